@@ -1,4 +1,8 @@
-"""Small column expressions used by every operator.
+"""SQL fragments shared by every operator.
+
+Operators state their expressions as SQL text (``selectExpr``/``expr``): the text is
+parsed once in the JVM, while building the same tree column by column costs several
+driver round trips per node.
 
 Money is summed as DECIMAL so that totals do not depend on the order in which
 partitions are merged; ratios are rounded through DECIMAL so that a half always
@@ -7,64 +11,78 @@ rounds up, whatever the binary representation of the double.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, functions as F
-
+from collections.abc import Iterable, Mapping
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from pyspark.sql import DataFrame, functions as F
 
 
-def exact_sum(c: str | Column, scale: int = 4) -> Column:
-    """Order-independent sum of a double column."""
-    return F.sum(_col(c).cast(f"decimal(28,{scale})")).cast("double")
+def exact_sum(x: str, scale: int = 4) -> str:
+    """Order-independent sum of a double."""
+    return f"cast(sum(cast({x} as decimal(28,{scale}))) as double)"
 
 
-def exact_avg(c: str | Column, scale: int = 9) -> Column:
-    """Order-independent mean of the non-null values of a double column."""
-    return F.try_divide(exact_sum(c, scale), F.count(_col(c)).cast("double"))
+def exact_avg(x: str, scale: int = 9) -> str:
+    """Order-independent mean of the non-null values of a double."""
+    return f"try_divide({exact_sum(x, scale)}, cast(count({x}) as double))"
 
 
-def round_dp(c: str | Column, dp: int = 3) -> Column:
-    return F.round(_col(c).cast("decimal(28,9)"), dp).cast("double")
+def round_dp(x: str, dp: int = 3) -> str:
+    return f"cast(round(cast({x} as decimal(28,9)), {dp}) as double)"
 
 
-def ratio(n: str | Column, d: str | Column) -> Column:
+def ratio(n: str, d: str) -> str:
     """n / d, null when d is zero."""
-    return F.try_divide(_col(n), _col(d))
+    return f"try_divide({n}, {d})"
 
 
-def ratio0(n: str | Column, d: str | Column, dp: int | None = None) -> Column:
+def ratio0(n: str, d: str, dp: int | None = None) -> str:
     """n / d where d is non-zero, else 0."""
-    q = F.try_divide(_col(n), _col(d))
-    if dp is not None:
-        q = round_dp(q, dp)
-    return F.when(_col(d) != 0, q).otherwise(F.lit(0.0))
+    q = ratio(n, d)
+    return f"case when ({d}) != 0 then {q if dp is None else round_dp(q, dp)} else 0D end"
 
 
-def change(new: str | Column, old: str | Column) -> Column:
+def change(new: str, old: str) -> str:
     """Relative change, null when the old value is zero."""
-    return F.try_divide(_col(new) - _col(old), _col(old))
+    return ratio(f"({new}) - ({old})", old)
+
+
+def zero_if_null(x: str) -> str:
+    return f"coalesce({x}, 0D)"
+
+
+def any_nonzero(columns: Iterable[str]) -> str:
+    return "(" + " or ".join(f"{c} != 0" for c in columns) + ")"
+
+
+def quoted(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def zero_if_null(c: str | Column) -> Column:
-    return F.coalesce(_col(c), F.lit(0.0))
+def in_list(column: str, values: Iterable[str]) -> str:
+    return f"{column} in ({', '.join(map(quoted, values))})"
 
 
-def any_nonzero(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c) != 0 for c in columns])
+HALF_LABEL = "case when cast(month as int) <= 6 then 'H1' else 'H2' end"
+HALF_NUMBER = "case when cast(month as int) <= 6 then 1 else 2 end"
+MONTH_START = "concat_ws('-', cast(year as string), lpad(cast(month as string), 2, '0'), '01')"
+MONTH_END = (
+    "concat_ws(' ', cast(last_day(make_date(cast(year as int), cast(month as int), 1)) as string), '23:59:59')"
+)
 
 
-def half_label(month: Column) -> Column:
-    return F.when(month <= 6, F.lit("H1")).otherwise(F.lit("H2"))
+def named(expressions: Mapping[str, str]) -> list[str]:
+    """``{name: sql}`` as aliased SQL, for ``selectExpr``."""
+    return [f"{sql} as {name}" for name, sql in expressions.items()]
 
 
-def half_number(month: Column) -> Column:
-    return F.when(month <= 6, F.lit(1)).otherwise(F.lit(2))
+def with_exprs(df: DataFrame, expressions: Mapping[str, str]) -> DataFrame:
+    """Add or replace columns by SQL text, in one projection; order of columns is kept."""
+    kept = [f"{expressions[c]} as {c}" if c in expressions else f"`{c}`" for c in df.columns]
+    new = [f"{sql} as {name}" for name, sql in expressions.items() if name not in df.columns]
+    return df.selectExpr(*kept, *new)
 
 
-def month_end_text(year: Column, month: Column) -> Column:
-    """'YYYY-MM-DD 23:59:59' for the last day of the month."""
-    day = F.last_day(F.make_date(year.cast("int"), month.cast("int"), F.lit(1)))
-    return F.concat_ws(" ", day.cast("string"), F.lit("23:59:59"))
+def aggregate(df: DataFrame, keys: list[str], expressions: Mapping[str, str]) -> DataFrame:
+    """``groupBy(keys)`` with aggregates given as SQL text."""
+    return df.groupBy(*keys).agg(*[F.expr(sql).alias(name) for name, sql in expressions.items()])

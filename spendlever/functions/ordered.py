@@ -8,16 +8,17 @@ fine running sum is taken inside one (group, bucket) only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
+
+from spendlever.functions.expr import aggregate
 
 BUCKETS_PER_E_FOLD = 64
 
 
-def value_bucket(value: Column, descending: bool = False) -> Column:
+def value_bucket(value: str, descending: bool = False) -> str:
     """Monotone integer bucket of a double; only balance depends on it, never the result."""
-    sign = -1 if descending else 1
-    step = F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_E_FOLD)
-    return (F.signum(value) * step * sign).cast("int")
+    sign = "-" if descending else ""
+    return f"cast({sign}signum({value}) * floor(ln(1 + abs({value})) * {BUCKETS_PER_E_FOLD}) as int)"
 
 
 def running_totals(
@@ -27,34 +28,26 @@ def running_totals(
     amount: str,
     descending: bool = False,
 ) -> DataFrame:
-    """Add ``<amount>_before`` (strictly smaller values) and ``<amount>_total`` per group.
+    """Add ``<amount>_before`` (values earlier in the order) and ``<amount>_total`` per group.
 
     ``steps`` holds one row per (group, value): ties must already be summed, which
     partial aggregation does before the shuffle.
     """
-    cut = steps.withColumn("_bucket", value_bucket(F.col(value), descending))
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    inside = (
-        Window.partitionBy(*group, "_bucket").orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    zero = F.lit(0.0)
-    running = F.sum(amount).over(inside).cast("double")
-    cut = cut.withColumn("_inside", F.coalesce(running, zero))
-
-    anchor = group or [F.lit(0)]
-    per_bucket = cut.groupBy(*group, "_bucket").agg(F.sum(amount).alias("_sum"))
-    earlier = (
-        Window.partitionBy(*anchor).orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*group, "_bucket"]
+    listed = ", ".join(keys)
+    order = f"{value} {'desc' if descending else 'asc'}"
+    before = "rows between unbounded preceding and 1 preceding"
+    cut = steps.selectExpr("*", f"{value_bucket(value, descending)} as _bucket").selectExpr(
+        "*",
+        f"coalesce(cast(sum({amount}) over (partition by {listed} order by {order} {before}) as double), 0D) as _inside",
     )
-    per_bucket = per_bucket.select(
-        *group, "_bucket",
-        F.coalesce(F.sum("_sum").over(earlier).cast("double"), zero).alias("_earlier"),
-        F.sum("_sum").over(Window.partitionBy(*anchor)).cast("double").alias(f"{amount}_total"),
+    anchor = ", ".join(group) or "0"
+    per_bucket = aggregate(cut, keys, {"_sum": f"sum({amount})"}).selectExpr(
+        *keys,
+        f"coalesce(cast(sum(_sum) over (partition by {anchor} order by _bucket {before}) as double), 0D) as _earlier",
+        f"cast(sum(_sum) over (partition by {anchor}) as double) as {amount}_total",
     )
     return (
-        cut.join(per_bucket, [*group, "_bucket"])
-        .withColumn(f"{amount}_before", F.col("_inside") + F.col("_earlier"))
-        .drop("_bucket", "_inside", "_earlier")
+        cut.join(per_bucket, keys)
+        .selectExpr(*steps.columns, f"_inside + _earlier as {amount}_before", f"{amount}_total")
     )

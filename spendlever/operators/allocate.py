@@ -10,13 +10,11 @@ one group with all items (a company-wide budget) is still spread over the cluste
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    change, exact_avg, exact_sum, ratio, ratio0, round_dp, zero_if_null,
+    aggregate, change, exact_avg, exact_sum, named, ratio, ratio0, round_dp, with_exprs, zero_if_null,
 )
 from spendlever.functions.lineage import settle
 from spendlever.functions.ordered import running_totals
@@ -25,7 +23,6 @@ LOWER, UPPER = 0.9, 1.1
 MAX_NET_SALES, SPEND_FIRST = "max_net_sales", "spend_first"
 POLICIES = [MAX_NET_SALES, SPEND_FIRST]
 TOLERANCE = 1e-6
-MONEY9 = "decimal(28,9)"
 
 LY = "last_year_period_"
 BASE_MEASURES = ["spends", "volume", "gps", "netsales"]
@@ -37,39 +34,37 @@ STAGE2_KEY = ["segment", "shisha", "planningcustomer"]
 
 
 def _scope_sums(scope: DataFrame, keys: list[str]) -> DataFrame:
-    return scope.groupBy(*keys).agg(
-        *[round_dp(exact_sum(m)).alias(m) for m in BASE_MEASURES],
-        round_dp(exact_avg("price")).alias("price"),
-    )
+    return aggregate(scope, keys, {
+        **{m: round_dp(exact_sum(m)) for m in BASE_MEASURES}, "price": round_dp(exact_avg("price")),
+    })
 
 
 def stage1_baseline(scope: DataFrame, coefficients: DataFrame) -> DataFrame:
     """Last-year totals per branch office and customer next to their coefficients."""
     totals = _scope_sums(scope, ["shisha", "channel", "planningcustomer"])
     joined = coefficients.join(totals, STAGE1_KEY, "left").fillna(0.0, [*BASE_MEASURES, "price"])
-    netsales = F.col("gps") - F.col("spends")
-    return joined.withColumns({
-        f"{LY}netsales": netsales,
-        "ns_to_gps": ratio0(netsales, F.col("gps"), 3),
-    }).drop("netsales").withColumnsRenamed({m: f"{LY}{m}" for m in ("spends", "volume", "gps")})
+    kept = [c for c in joined.columns if c not in BASE_MEASURES]
+    return joined.selectExpr(
+        *kept, *[f"{m} as {LY}{m}" for m in ("spends", "volume", "gps")],
+        f"gps - spends as {LY}netsales", f"{ratio0('gps - spends', 'gps', 3)} as ns_to_gps",
+    )
 
 
 def split_optimisable(baseline: DataFrame) -> DataFrame:
     """Flag rows to optimise (spend and volume) or to carry (spend without volume)."""
-    spends, volume = F.col(f"{LY}spends"), F.col(f"{LY}volume")
-    return baseline.withColumn(
-        "treatment",
-        F.when((spends > 0) & (volume > 0), "optimise").when((spends > 0) & (volume == 0), "carry"),
-    ).filter(F.col("treatment").isNotNull())
+    treatment = f"""case when {LY}spends > 0 and {LY}volume > 0 then 'optimise'
+        when {LY}spends > 0 and {LY}volume = 0 then 'carry' end"""
+    return baseline.selectExpr("*", f"{treatment} as treatment").filter("treatment is not null")
 
 
 def back_calibrate(items: DataFrame) -> DataFrame:
     """Intercept that reproduces last year's volume, and the net-sales adjustment factor."""
-    power = F.pow(F.col(f"{LY}spends"), F.col("spends_coef"))
-    intercept = F.greatest(F.try_divide(F.col(f"{LY}volume"), power), F.lit(0.0))
-    return items.withColumn("backcalc_intercept", intercept).withColumn(
-        f"{LY}netsales_calc", F.col("backcalc_intercept") * power * F.col("price") * F.col("ns_to_gps")
-    ).withColumn("adjustment_factor", ratio(f"{LY}netsales", f"{LY}netsales_calc"))
+    power = f"pow({LY}spends, spends_coef)"
+    return (
+        items.selectExpr("*", f"greatest({ratio(f'{LY}volume', power)}, 0D) as backcalc_intercept")
+        .selectExpr("*", f"backcalc_intercept * {power} * price * ns_to_gps as {LY}netsales_calc")
+        .selectExpr("*", f"{ratio(f'{LY}netsales', f'{LY}netsales_calc')} as adjustment_factor")
+    )
 
 
 # --- response --------------------------------------------------------------------------
@@ -80,46 +75,49 @@ def response_net_sales(items: DataFrame, spend: str, suffix: str = "") -> DataFr
 
     ``suffix`` selects the reference point: ``""`` for stage 1, ``"_old"`` for stage 2.
     """
-    s0, v0, g0 = (F.col(f"{LY}{m}{suffix}") for m in ("spends", "volume", "gps"))
-    step = ratio(F.col(spend) - s0, s0)
-    volume = v0 * (1 + step * F.col("spends_coef"))
-    return items.withColumns({"spend_change": step, "optimized_volume": volume}).withColumn(
-        "optimized_gps", ratio(F.col("optimized_volume") * g0, v0)
-    ).withColumn("optimized_netsales", F.col("optimized_gps") - F.col(spend))
+    s0, v0, g0 = (f"{LY}{m}{suffix}" for m in ("spends", "volume", "gps"))
+    return (
+        items.selectExpr("*", f"{change(spend, s0)} as spend_change")
+        .selectExpr("*", f"{v0} * (1 + spend_change * spends_coef) as optimized_volume")
+        .selectExpr("*", f"{ratio(f'optimized_volume * {g0}', v0)} as optimized_gps")
+        .selectExpr("*", f"optimized_gps - {spend} as optimized_netsales")
+    )
 
 
 def _boxed(items: DataFrame, suffix: str) -> DataFrame:
     """Bounds around the centre spend and the net-sales slope at the reference point."""
-    slope = F.col("spends_coef") * ratio(f"{LY}gps{suffix}", f"{LY}spends{suffix}") - 1
-    return items.withColumns({
-        "spends_lb": F.col(f"{LY}spends") * LOWER,
-        "spends_ub": F.col(f"{LY}spends") * UPPER,
-        "slope": F.coalesce(slope, F.lit(-1.0)),
-    }).withColumn("_range", F.col("spends_ub") - F.col("spends_lb"))
-
+    slope = f"spends_coef * {ratio(f'{LY}gps{suffix}', f'{LY}spends{suffix}')} - 1"
+    return items.selectExpr(
+        "*", f"{LY}spends * {LOWER}D as spends_lb", f"{LY}spends * {UPPER}D as spends_ub",
+        f"coalesce({slope}, -1D) as slope",
+    ).selectExpr("*", "spends_ub - spends_lb as _range")
 
-def _money(c: str | Column) -> Column:
-    return exact_sum(c, 9)
 
-
-def _filled(amount: Column, before: Column, tie: Column) -> Column:
+def _filled(amount: str) -> str:
     """Part of a tied step, between 0 and 1, that ``amount`` reaches."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(amount - before, tie), F.lit(0.0))))
+    return f"greatest(0D, least(1D, coalesce(try_divide({amount} - _tie_before, _tie), 0D)))"
 
 
 def _join_group(df: DataFrame, per_group: DataFrame, group: list[str]) -> DataFrame:
     """Attach group rows; without a group there is one total row per policy, so it is broadcast."""
     if group:
         return df.join(per_group, group)
-    one = per_group.withColumn("_g", F.lit(0))
-    return df.withColumn("_g", F.lit(0)).join(F.broadcast(one), "_g").drop("_g")
+    one = per_group.selectExpr("*", "0 as _g")
+    return df.selectExpr("*", "0 as _g").join(F.broadcast(one), "_g").drop("_g")
+
+
+def _steps(boxed: DataFrame, group: list[str], value: str, amount: str) -> DataFrame:
+    """Running totals of ``amount`` by descending ``value``, one row per distinct value."""
+    ties = aggregate(boxed, [*group, value], {"_tie": f"sum(cast({amount} as decimal(28,9)))"})
+    order = running_totals(ties, group, value, "_tie", descending=True)
+    return order.selectExpr(*group, value, "cast(_tie as double) as _tie", "_tie_before")
 
 
 def allocate(
     items: DataFrame,
     group: list[str],
     suffix: str = "",
-    goal: Column | None = None,
+    goal: float | None = None,
     band_on_old: bool = False,
     policies: list[str] | None = None,
 ) -> DataFrame:
@@ -130,41 +128,32 @@ def allocate(
     times, so pass a settled table. Adds ``policy``, ``optimized_spends``, ``feasible``.
     """
     boxed = _boxed(items, suffix)
-    old = f"{LY}spends{suffix}"
-    totals = boxed.groupBy(*group).agg(
-        _money("spends_lb").alias("_lb"), _money("spends_ub").alias("_ub"),
-        _money(f"{LY}spends").alias("_centre"), _money(old).alias("_old"),
-        _money(F.when(F.col("slope") > 0, F.col("_range")).otherwise(F.lit(0.0))).alias("_gainful"),
-    )
+    totals = aggregate(boxed, group, {
+        "_lb": exact_sum("spends_lb", 9), "_ub": exact_sum("spends_ub", 9),
+        "_centre": exact_sum(f"{LY}spends", 9), "_old": exact_sum(f"{LY}spends{suffix}", 9),
+        "_gainful": exact_sum("case when slope > 0 then _range else 0D end", 9),
+    })
+    low, high = "0D", "_centre"
     if goal is not None:
-        low = high = goal
-    else:
-        low, high = F.lit(0.0), F.col("_centre")
-        if band_on_old:
-            low, high = F.col("_old") * LOWER, F.least(high, F.col("_old") * UPPER)
-    fill = {
-        MAX_NET_SALES: F.least(F.col("_high") - F.col("_lb"), F.greatest("_gainful", F.col("_low") - F.col("_lb"))),
-        SPEND_FIRST: F.col("_high") - F.col("_lb"),
+        low = high = f"{float(goal)!r}D"
+    elif band_on_old:
+        low, high = f"_old * {LOWER}D", f"least(_centre, _old * {UPPER}D)"
+    amounts = {
+        MAX_NET_SALES: "least(_high - _lb, greatest(_gainful, _low - _lb))",
+        SPEND_FIRST: "_high - _lb",
     }
     wanted = policies or [MAX_NET_SALES]
-    plan = totals.withColumns({"_low": low, "_high": high}).select(
-        *group,
-        (F.greatest("_low", "_lb") <= F.least("_high", "_ub") + TOLERANCE).alias("feasible"),
-        F.explode(F.array(*[
-            F.struct(F.lit(p).alias("policy"), fill[p].alias("amount")) for p in wanted
-        ])).alias("p"),
-    ).select(*group, "feasible", "p.policy", "p.amount")
-    steps = boxed.groupBy(*group, "slope").agg(F.sum(F.col("_range").cast(MONEY9)).alias("_tie"))
-    order = running_totals(steps, group, "slope", "_tie", descending=True).select(
-        *group, "slope", F.col("_tie").cast("double").alias("_tie"), "_tie_before"
+    listed = ", ".join(f"'{p}', {amounts[p]}" for p in wanted)
+    plan = totals.selectExpr("*", f"{low} as _low", f"{high} as _high").selectExpr(
+        *group, f"greatest(_low, _lb) <= least(_high, _ub) + {TOLERANCE}D as feasible",
+        f"stack({len(wanted)}, {listed}) as (policy, _amount)",
     )
-    planned = _join_group(order, plan, group).select(
-        *group, "slope", "feasible", "policy", _filled(F.col("amount"), F.col("_tie_before"), F.col("_tie")).alias("_part")
+    planned = _join_group(_steps(boxed, group, "slope", "_range"), plan, group).selectExpr(
+        *group, "slope", "feasible", "policy", f"{_filled('_amount')} as _part"
     )
-    spend = F.col("spends_lb") + F.col("_range") * F.col("_part")
     return (
         boxed.join(planned, [*group, "slope"])
-        .withColumn("optimized_spends", round_dp(spend, 6))
+        .selectExpr("*", f"{round_dp('spends_lb + _range * _part', 6)} as optimized_spends")
         .drop("_range", "_part")
     )
 
@@ -178,56 +167,43 @@ def min_spend_for_target(
     slope until the target is met. With ``exact`` a surplus is given up by raising the
     items that lose net sales, steepest loss first, until the target is met from above.
     """
-    boxed = _boxed(items, suffix)
-    at_lb = response_net_sales(boxed, "spends_lb", suffix).withColumns({
-        "_worth": F.abs("slope") * F.col("_range"), "_gains": F.col("slope") > 0,
-    })
-    totals = at_lb.groupBy(*group).agg(
-        _money("optimized_netsales").alias("_ns_lb"), _money(f"{LY}netsales").alias("_ns_ly"),
-        _money(F.when(F.col("_gains"), F.col("_worth")).otherwise(F.lit(0.0))).alias("_up"),
-        _money(F.when(F.col("slope") < 0, F.col("_worth")).otherwise(F.lit(0.0))).alias("_down"),
-    )
-    missing = F.col("_ns_ly") * (1 + growth) - F.col("_ns_lb")
-    reach = F.when(missing > 0, F.col("_up")).otherwise(F.col("_down") if exact else F.abs(missing))
-    need = totals.withColumn("_need", missing).select(
-        *group, "_need", (F.abs("_need") <= reach + TOLERANCE).alias("feasible")
-    )
     # Gains fill by descending slope, losses by ascending slope: both by descending |slope|.
-    steps = (
-        at_lb.withColumn("_steep", F.abs("slope")).groupBy(*group, "_gains", "_steep")
-        .agg(F.sum(F.col("_worth").cast(MONEY9)).alias("_tie"))
+    boxed = _boxed(items, suffix).selectExpr(
+        "*", "slope > 0 as _gains", "abs(slope) as _steep", "abs(slope) * _range as _worth"
     )
-    order = running_totals(steps, [*group, "_gains"], "_steep", "_tie", descending=True).select(
-        *group, "_gains", "_steep", F.col("_tie").cast("double").alias("_tie"), "_tie_before"
+    totals = aggregate(response_net_sales(boxed, "spends_lb", suffix), group, {
+        "_ns_lb": exact_sum("optimized_netsales", 9), "_ns_ly": exact_sum(f"{LY}netsales", 9),
+        "_up": exact_sum("case when slope > 0 then _worth else 0D end", 9),
+        "_down": exact_sum("case when slope < 0 then _worth else 0D end", 9),
+    })
+    reach = f"case when _need > 0 then _up else {'_down' if exact else 'abs(_need)'} end"
+    need = totals.selectExpr("*", f"_ns_ly * {1 + growth!r}D - _ns_lb as _need").selectExpr(
+        *group, "_need", f"abs(_need) <= {reach} + {TOLERANCE}D as feasible"
     )
-    amount = F.when(F.col("_gains"), F.col("_need")).otherwise(-F.col("_need") if exact else F.lit(0.0))
-    planned = _join_group(order, need, group).select(
-        *group, "_gains", "_steep", "feasible",
-        _filled(amount, F.col("_tie_before"), F.col("_tie")).alias("_part"),
+    side = [*group, "_gains"]
+    amount = f"(case when _gains then _need else {'-_need' if exact else '0D'} end)"
+    planned = _join_group(_steps(boxed, side, "_steep", "_worth"), need, group).selectExpr(
+        *side, "_steep", "feasible", f"{_filled(amount)} as _part"
     )
-    spend = F.col("spends_lb") + F.col("_range") * F.col("_part")
     return (
-        boxed.withColumns({"_gains": F.col("slope") > 0, "_steep": F.abs("slope")})
-        .join(planned, [*group, "_gains", "_steep"])
-        .withColumn("optimized_spends", round_dp(spend, 6))
-        .drop("_range", "_part", "_gains", "_steep")
+        boxed.join(planned, [*side, "_steep"])
+        .selectExpr("*", f"{round_dp('spends_lb + _range * _part', 6)} as optimized_spends")
+        .drop("_range", "_part", "_gains", "_steep", "_worth")
     )
 
 
 def candidate_scores(candidates: DataFrame, group: list[str], suffix: str = "") -> DataFrame:
     """Growth, spend and overall spend percent of every candidate allocation of a group."""
-    valued = response_net_sales(candidates, "optimized_spends", suffix)
-    sums = valued.groupBy(*group, "policy").agg(
-        _money("optimized_netsales").alias("_ns"), _money("optimized_spends").alias("_spend"),
-        _money(f"{LY}netsales").alias("_ns_ly"), _money(f"{LY}spends").alias("_spend_ly"),
-        _money(f"{LY}spends{suffix}").alias("_spend_old"),
-    )
-    overall = change(F.col("_spend"), F.col("_spend_old")) if suffix else F.lit(0.0)
-    return sums.select(
-        *group, "policy",
-        round_dp(change(F.col("_ns"), F.col("_ns_ly")), 6).alias("growth_percent"),
-        round_dp(change(F.col("_spend"), F.col("_spend_ly")), 6).alias("spend_percent"),
-        round_dp(overall, 6).alias("overall_spend_percent"),
+    sums = aggregate(response_net_sales(candidates, "optimized_spends", suffix), [*group, "policy"], {
+        "_ns": exact_sum("optimized_netsales", 9), "_spend": exact_sum("optimized_spends", 9),
+        "_ns_ly": exact_sum(f"{LY}netsales", 9), "_spend_ly": exact_sum(f"{LY}spends", 9),
+        "_spend_old": exact_sum(f"{LY}spends{suffix}", 9),
+    })
+    overall = change("_spend", "_spend_old") if suffix else "0D"
+    return sums.selectExpr(
+        *group, "policy", f"{round_dp(change('_ns', '_ns_ly'), 6)} as growth_percent",
+        f"{round_dp(change('_spend', '_spend_ly'), 6)} as spend_percent",
+        f"{round_dp(overall, 6)} as overall_spend_percent",
     )
 
 
@@ -240,20 +216,17 @@ def candidate_select(
     move the old total by more than 10 %. A group where no candidate passes keeps its best
     one, flagged ``accepted = false``.
     """
-    scores = candidate_scores(candidates, group, suffix)
-    passes = F.lit(True)
+    passes = "true"
     if not has_goal:
-        passes = F.coalesce(F.col("spend_percent") <= 0.005, F.lit(False))
+        passes = "coalesce(spend_percent <= 0.005D, false)"
         if suffix:
-            passes = passes & (F.abs(F.round("overall_spend_percent", 1)) <= 0.1)
+            passes += f" and abs({round_dp('overall_spend_percent', 1)}) <= 0.1D"
     preference = ["spend_percent", "growth_percent"] if suffix else ["growth_percent"]
-    best = Window.partitionBy(*(group or [F.lit(0)])).orderBy(
-        F.col("accepted").desc(), *[F.col(c).desc_nulls_last() for c in preference], "policy"
-    )
-    return (
-        scores.withColumn("accepted", passes)
-        .withColumn("_place", F.row_number().over(best)).filter("_place = 1").drop("_place")
-    )
+    order = ", ".join(["accepted desc", *[f"{c} desc nulls last" for c in preference], "policy"])
+    # One row per policy in each window.
+    place = f"row_number() over (partition by {', '.join(group) or '0'} order by {order}) as _place"
+    scores = candidate_scores(candidates, group, suffix).selectExpr("*", f"{passes} as accepted")
+    return scores.selectExpr("*", place).filter("_place = 1").drop("_place")
 
 
 def select_candidate_rows(candidates: DataFrame, chosen: DataFrame, group: list[str]) -> DataFrame:
@@ -264,40 +237,36 @@ def select_candidate_rows(candidates: DataFrame, chosen: DataFrame, group: list[
 # --- projection ------------------------------------------------------------------------
 
 
+COST_OLD, COST_NEW = f"{LY}volume_old * ec_per_qtycase", "optimized_volume * ec_per_qtycase"
+COST = {
+    "ec": COST_OLD, "ec_new": COST_NEW, "mc": f"{LY}netsales_old - {COST_OLD}",
+    "mc_new": f"optimized_netsales_adj - {COST_NEW}",
+}
+
+
 def project_optimised(allocated: DataFrame, suffix: str = "") -> DataFrame:
     """Optimised volume, GPS, net sales and relative changes; stage 2 adds cost and margin."""
-    out = response_net_sales(allocated, "optimized_spends", suffix).fillna(
+    valued = response_net_sales(allocated, "optimized_spends", suffix).fillna(
         0.0, ["optimized_spends", "optimized_gps"]
-    ).withColumn("optimized_netsales", F.col("optimized_gps") - F.col("optimized_spends"))
-    out = out.withColumns({
-        "optimized_netsales_adj": F.col("optimized_netsales") * F.col("adjustment_factor"),
-        "vol_change": change(F.col("optimized_volume"), F.col(f"{LY}volume{suffix}")),
-        "ns_change": change(F.col("optimized_netsales"), F.col(f"{LY}netsales{suffix}")),
-    })
-    return _with_cost(out) if suffix else out
-
-
-def _with_cost(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "ec": F.col(f"{LY}volume_old") * F.col("ec_per_qtycase"),
-        "ec_new": F.col("optimized_volume") * F.col("ec_per_qtycase"),
-    }).withColumns({
-        "mc": F.col(f"{LY}netsales_old") - F.col("ec"),
-        "mc_new": F.col("optimized_netsales_adj") - F.col("ec_new"),
-    })
+    )
+    out = with_exprs(valued, {"optimized_netsales": "optimized_gps - optimized_spends"}).selectExpr(
+        "*", "optimized_netsales * adjustment_factor as optimized_netsales_adj",
+        f"{change('optimized_volume', f'{LY}volume{suffix}')} as vol_change",
+        f"{change('optimized_netsales', f'{LY}netsales{suffix}')} as ns_change",
+    )
+    return out.selectExpr("*", *named(COST)) if suffix else out
 
 
 def carry_non_optimised(carried: DataFrame, suffix: str = "") -> DataFrame:
     """Rows that spend without volume keep last year's values and zero factors."""
-    out = carried.withColumns({
-        "backcalc_intercept": F.lit(0.0), f"{LY}netsales_calc": F.lit(0.0), "adjustment_factor": F.lit(0.0),
-        "spends_lb": F.col(f"{LY}spends") * LOWER, "spends_ub": F.col(f"{LY}spends") * UPPER,
-        **{f"optimized_{m}": F.col(f"{LY}{m}") for m in BASE_MEASURES},
-        "optimized_netsales_adj": F.lit(0.0),
-        "spend_change": change(F.col(f"{LY}spends"), F.col(f"{LY}spends{suffix}")),
-        "vol_change": F.lit(0.0), "ns_change": F.lit(0.0),
-    })
-    return _with_cost(out) if suffix else out
+    out = carried.selectExpr(
+        "*", "0D as backcalc_intercept", f"0D as {LY}netsales_calc", "0D as adjustment_factor",
+        f"{LY}spends * {LOWER}D as spends_lb", f"{LY}spends * {UPPER}D as spends_ub",
+        *[f"{LY}{m} as optimized_{m}" for m in BASE_MEASURES], "0D as optimized_netsales_adj",
+        f"{change(f'{LY}spends', f'{LY}spends{suffix}')} as spend_change",
+        "0D as vol_change", "0D as ns_change",
+    )
+    return out.selectExpr("*", *named(COST)) if suffix else out
 
 
 OUTPUT_TAIL = [
@@ -334,8 +303,8 @@ def optimise_stage1(
     carried = parts.filter("treatment = 'carry'")
     goal = None
     if goal_spend is not None:
-        spent = carried.agg(zero_if_null(_money(f"{LY}spends")).alias("s")).first()["s"]
-        goal = F.lit(float(goal_spend) - spent)
+        spent = aggregate(carried, [], {"s": zero_if_null(exact_sum(f"{LY}spends", 9))}).first()["s"]
+        goal = float(goal_spend) - spent
     chosen = _choose(items, [], "", policies or [MAX_NET_SALES], goal=goal)
     done = project_optimised(chosen).select(*STAGE1_OUTPUT)
     return done.unionByName(carry_non_optimised(carried).select(*STAGE1_OUTPUT))
@@ -350,53 +319,49 @@ def pushdown_stage1(coefficients: DataFrame, old: DataFrame, stage1: DataFrame,
     """Spread stage-1 customer spend and volume over segments by last-year share.
 
     ``coefficients`` carry the eight dimensions. GPS follows volume at last year's unit
-    value; a segment without old volume keeps a null volume-based GPS, filled with 0.
+    value; where that is undefined it is 0.
     """
     measures = [f"{LY}{m}_old" for m in BASE_MEASURES]
     rows = coefficients.join(old, STAGE2_KEY, "left").fillna(0.0, [*measures, "price"])
-    customer = rows.groupBy(*STAGE1_KEY).agg(
-        _money(f"{LY}spends_old").alias("_all_spends"), _money(f"{LY}volume_old").alias("_all_volume")
-    )
-    updated = stage1.select(
-        *STAGE1_KEY, F.col("optimized_spends").alias("_new_spends"), F.col("optimized_volume").alias("_new_volume")
+    customer = aggregate(rows, STAGE1_KEY, {
+        "_all_spends": exact_sum(f"{LY}spends_old", 9), "_all_volume": exact_sum(f"{LY}volume_old", 9),
+    })
+    updated = stage1.selectExpr(
+        *STAGE1_KEY, "optimized_spends as _new_spends", "optimized_volume as _new_volume"
     )
-    spread = rows.join(customer.join(updated, STAGE1_KEY, "left"), STAGE1_KEY, "left")
-    volume = ratio0(F.col(f"{LY}volume_old"), F.col("_all_volume")) * F.col("_new_volume")
+    spends = f"({ratio0(f'{LY}spends_old', '_all_spends')}) * _new_spends"
+    volume = f"({ratio0(f'{LY}volume_old', '_all_volume')}) * _new_volume"
+    gps = ratio(f"{LY}volume * {LY}gps_old", f"{LY}volume_old")
     return (
-        spread.withColumns({
-            f"{LY}spends": zero_if_null(
-                ratio0(F.col(f"{LY}spends_old"), F.col("_all_spends")) * F.col("_new_spends")
-            ),
-            f"{LY}volume": volume,
-        })
-        .withColumn(f"{LY}gps", zero_if_null(ratio(F.col(f"{LY}volume") * F.col(f"{LY}gps_old"), F.col(f"{LY}volume_old"))))
-        .withColumn(f"{LY}netsales", F.col(f"{LY}gps") - F.col(f"{LY}spends"))
-        .withColumns({
-            "ns_to_gps": ratio0(F.col(f"{LY}netsales"), F.col(f"{LY}gps"), 3),
-            "key_combination": F.concat_ws("$", *STAGE2_KEY),
-            "key_combination1": F.concat_ws("$", *STAGE1_KEY),
-        })
+        rows.join(customer.join(updated, STAGE1_KEY, "left"), STAGE1_KEY, "left")
+        .selectExpr(*rows.columns, f"{zero_if_null(spends)} as {LY}spends", f"{volume} as {LY}volume")
+        .selectExpr("*", f"{zero_if_null(gps)} as {LY}gps")
+        .selectExpr("*", f"{LY}gps - {LY}spends as {LY}netsales")
+        .selectExpr(
+            "*", f"{ratio0(f'{LY}netsales', f'{LY}gps', 3)} as ns_to_gps",
+            f"concat_ws('$', {', '.join(STAGE2_KEY)}) as key_combination",
+            f"concat_ws('$', {', '.join(STAGE1_KEY)}) as key_combination1",
+        )
         .join(cost, STAGE2_KEY, "left")
-        .drop("_all_spends", "_all_volume", "_new_spends", "_new_volume")
     )
 
 
 def cost_per_case(actuals: DataFrame, year: int, spend_columns: list[str]) -> DataFrame:
-    """Cost per case of the period's year over booked lines that carry the listed spend."""
-    spend = reduce(lambda a, b: a + b, [F.col(c) for c in spend_columns])
-    return (
-        actuals.filter((F.col("year").cast("int") == year) & (spend > 0) & (F.col("salesqtycase") >= 0))
-        .groupBy("segment", F.col("shishanm").alias("shisha"), "planningcustomer")
-        .agg(exact_sum("salesqtycase").alias("_cases"), exact_sum("ec").alias("_ec"))
-        .select(*STAGE2_KEY, ratio0("_ec", "_cases").alias("ec_per_qtycase"))
-    )
+    """Cost per case of the period's year over booked rows that carry the listed spend."""
+    booked = actuals.filter(
+        f"cast(year as int) = {year} and {' + '.join(spend_columns)} > 0 and salesqtycase >= 0"
+    ).withColumnRenamed("shishanm", "shisha")
+    sums = aggregate(booked, STAGE2_KEY, {"_cases": exact_sum("salesqtycase"), "_ec": exact_sum("ec")})
+    return sums.selectExpr(*STAGE2_KEY, f"{ratio0('_ec', '_cases')} as ec_per_qtycase")
 
 
 def optimise_stage2(pushed: DataFrame, policies: list[str] | None = None) -> DataFrame:
     """Stage 2: every (branch office, customer) group over its segments, all groups in one job."""
-    netsales_old = F.col(f"{LY}gps_old") - F.col(f"{LY}spends_old")
     parts = settle(split_optimisable(pushed))
-    items = back_calibrate(parts.filter("treatment = 'optimise'")).withColumn(f"{LY}netsales_old", netsales_old)
+    items = with_exprs(
+        back_calibrate(parts.filter("treatment = 'optimise'")),
+        {f"{LY}netsales_old": f"{LY}gps_old - {LY}spends_old"},
+    )
     chosen = _choose(items, STAGE1_KEY, "_old", policies or [SPEND_FIRST], band_on_old=True)
     done = project_optimised(chosen, "_old").select(*STAGE2_OUTPUT)
     carried = carry_non_optimised(parts.filter("treatment = 'carry'"), "_old")
@@ -405,38 +370,33 @@ def optimise_stage2(pushed: DataFrame, policies: list[str] | None = None) -> Dat
 
 def guardrail_revert(output: DataFrame) -> DataFrame:
     """Rows that would spend as much or more and sell less go back to last year's values."""
-    old = {m: F.col(f"{LY}{m}_old") for m in BASE_MEASURES}
-    flagged = output.withColumns({
-        "spend_change": change(F.col("optimized_spends"), old["spends"]),
-        "netsales_change": ratio(F.col("optimized_netsales") - old["netsales"], F.abs(old["netsales"])),
-    }).withColumn(
-        "reverted", F.coalesce((F.col("spend_change") >= 0) & (F.col("netsales_change") < 0), F.lit(False))
-    )
-    return flagged.withColumns({
-        f"optimized_{m}": F.when(F.col("reverted"), old[m]).otherwise(F.col(f"optimized_{m}"))
-        for m in BASE_MEASURES
+    old_ns = f"{LY}netsales_old"
+    flagged = with_exprs(output, {
+        "spend_change": change("optimized_spends", f"{LY}spends_old"),
+        "netsales_change": ratio(f"optimized_netsales - {old_ns}", f"abs({old_ns})"),
+    }).selectExpr("*", "coalesce(spend_change >= 0 and netsales_change < 0, false) as reverted")
+    return with_exprs(flagged, {
+        f"optimized_{m}": f"if(reverted, {LY}{m}_old, optimized_{m})" for m in BASE_MEASURES
     })
 
 
 def stage_summary(output: DataFrame, suffix: str = "") -> DataFrame:
     """Relative change of total spend, volume and net sales against last year."""
-    sums = output.agg(
-        _money("optimized_spends").alias("_s1"), _money(f"{LY}spends{suffix}").alias("_s0"),
-        _money("optimized_volume").alias("_v1"), _money(f"{LY}volume{suffix}").alias("_v0"),
-        _money("optimized_netsales_adj").alias("_n1"), _money(f"{LY}netsales{suffix}").alias("_n0"),
-    )
-    return sums.select(
-        round_dp(change(F.col("_s1"), F.col("_s0")), 6).alias("spend_change"),
-        round_dp(change(F.col("_v1"), F.col("_v0")), 6).alias("volume_change"),
-        round_dp(change(F.col("_n1"), F.col("_n0")), 6).alias("netsales_change"),
-    )
+    pairs = {
+        "spend_change": ("optimized_spends", f"{LY}spends{suffix}"),
+        "volume_change": ("optimized_volume", f"{LY}volume{suffix}"),
+        "netsales_change": ("optimized_netsales_adj", f"{LY}netsales{suffix}"),
+    }
+    return aggregate(output, [], {
+        name: round_dp(change(exact_sum(new, 9), exact_sum(old, 9)), 6) for name, (new, old) in pairs.items()
+    })
 
 
 def spend_mismatch(output: DataFrame, group: list[str] = STAGE1_KEY) -> DataFrame:
     """Groups whose optimised spend differs from the pushed-down spend at whole units."""
-    sums = output.groupBy(*group).agg(
-        _money(f"{LY}spends").alias(f"{LY}spends"), _money("optimized_spends").alias("optimized_spends")
+    sums = aggregate(output, group, {
+        f"{LY}spends": exact_sum(f"{LY}spends", 9), "optimized_spends": exact_sum("optimized_spends", 9),
+    })
+    return sums.filter(f"{round_dp('optimized_spends', 0)} != {round_dp(f'{LY}spends', 0)}").selectExpr(
+        "*", f"{change('optimized_spends', f'{LY}spends')} * 100 as change_perc"
     )
-    return sums.filter(
-        round_dp("optimized_spends", 0) != round_dp(f"{LY}spends", 0)
-    ).withColumn("change_perc", change(F.col("optimized_spends"), F.col(f"{LY}spends")) * 100)

@@ -2,36 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    any_nonzero, change, exact_avg, exact_sum, ratio0, round_dp, zero_if_null,
+    aggregate, any_nonzero, change, exact_avg, exact_sum, in_list, named, quoted, ratio0, round_dp,
+    with_exprs, zero_if_null,
 )
 
 INI, ADD = "INI", "ADD"
-
-
-def _pick(prefix: str) -> Column:
-    """The prefix's money column that belongs to the row's spend type."""
-    return F.coalesce(*[
-        F.when(F.col("modelingname") == t, F.col(f"{prefix}_{t.lower()}")) for t in S.SPEND_TYPES
-    ])
+IS_SPEND = in_list("modelingname", S.SPEND_TYPES)
 
 
 def branch_totals(branch: DataFrame, keys: list[str]) -> DataFrame:
     """Initial and additional money per key, old customer and spend type."""
-    named = branch.withColumnsRenamed(
-        {"new_planningcustomer": "planningcustomer", "shishanm": "shisha"}
+    sums = aggregate(
+        branch.withColumnsRenamed({"new_planningcustomer": "planningcustomer", "shishanm": "shisha"}),
+        [*keys, "old_planningcustomer"],
+        {f"{k}_{t.lower()}": exact_sum(f"{k}_{t.lower()}") for t in S.SPEND_TYPES for k in ("ini", "add")},
     )
-    sums = named.groupBy(*keys, "old_planningcustomer").agg(*[
-        exact_sum(f"{kind}_{t.lower()}").alias(f"{kind}_{t.lower()}")
-        for t in S.SPEND_TYPES for kind in ("ini", "add")
-    ])
-    typed = sums.withColumn("modelingname", F.explode(F.array(*[F.lit(t) for t in S.SPEND_TYPES])))
-    return typed.select(
-        *keys, "old_planningcustomer", "modelingname",
-        _pick("ini").alias("ini_money"), _pick("add").alias("add_money"),
+    typed = ", ".join(f"'{t}', ini_{t.lower()}, add_{t.lower()}" for t in S.SPEND_TYPES)
+    return sums.selectExpr(
+        *keys, "old_planningcustomer", f"stack({len(S.SPEND_TYPES)}, {typed}) as (modelingname, ini_money, add_money)"
     )
 
 
@@ -41,24 +33,23 @@ def branch_share(branch: DataFrame, spend_rows: DataFrame, keys: list[str] = S.K
     All three spend types go through one plan: the spend type is part of the join key.
     Rows without any branch match keep null shares.
     """
-    total = F.col("ini_money") + F.col("add_money")
-    shares = branch_totals(branch, keys).select(
+    total = "ini_money + add_money"
+    shares = branch_totals(branch, keys).selectExpr(
         *keys, "modelingname", "old_planningcustomer",
-        ratio0(F.col("ini_money"), total, 3).alias("ini_contri"),
-        ratio0(F.col("add_money"), total, 3).alias("add_contri"),
+        f"{ratio0('ini_money', total, 3)} as ini_contri", f"{ratio0('add_money', total, 3)} as add_contri",
     )
     return spend_rows.join(shares, [*keys, "modelingname"], "left")
 
 
 def nonzero_spend_rows(fact: DataFrame) -> DataFrame:
-    return fact.filter(F.col("modelingname").isin(S.SPEND_TYPES) & any_nonzero(S.MEASURES))
+    return fact.filter(f"{IS_SPEND} and {any_nonzero(S.MEASURES)}")
 
 
 def unpivot_shares(shared: DataFrame) -> DataFrame:
     """One row per (spend row, old customer, INI/ADD) with its share."""
     ids = [c for c in shared.columns if c not in ("ini_contri", "add_contri")]
-    named = shared.withColumnsRenamed({"ini_contri": INI, "add_contri": ADD})
-    return named.unpivot(ids, [INI, ADD], "contri_type", "contri_val")
+    named_shares = shared.withColumnsRenamed({"ini_contri": INI, "add_contri": ADD})
+    return named_shares.unpivot(ids, [INI, ADD], "contri_type", "contri_val")
 
 
 def apportion_groups(
@@ -74,66 +65,43 @@ def apportion_groups(
 
     A key's window holds its old customers twice, never fact lines.
     """
-    per_key = Window.partitionBy(*keys)
-    share = zero_if_null("contri_val")
-    total = F.round(F.sum(share.cast("decimal(28,9)")).over(per_key), 3).cast("double")
-    kind_present = [
-        F.max(F.when((F.col("contri_type") == k) & (share != 0), 1).otherwise(0)).over(per_key)
-        for k in (INI, ADD)
-    ]
-    marked = long.withColumns({
-        "contri_val": share,
-        "_total": total,
-        "_both": (kind_present[0] + kind_present[1]) == 2,
-        "_rows": F.sum(F.when(share != 0, 1).otherwise(0)).over(per_key),
+    key = f"partition by {', '.join(keys)}"
+    marked = with_exprs(long, {"contri_val": zero_if_null("contri_val")}).selectExpr(
+        "*",
+        f"cast(round(sum(cast(contri_val as decimal(28,9))) over ({key}), 3) as double) as _total",
+        f"count_if(contri_val != 0) over ({key}) as _rows",
+        *[f"max(contri_type = '{k}' and contri_val != 0) over ({key}) as _has_{k}" for k in (INI, ADD)],
         # One representative per key carries an unmatched row through.
-        "_rank": F.row_number().over(
-            per_key.orderBy(F.col("contri_type").desc(), F.col("old_planningcustomer"))
-        ),
-    })
-    group = (
-        F.when(F.col("_total") == 0, "none").when(F.col("_total") < 2, "one")
-        .when(F.col("_total") > 2, "over").when(F.col("_both"), "two").otherwise("three")
-    )
-    keep = (
-        F.when(F.col("share_group") == "none", F.col("_rank") == 1)
-        .when(F.col("share_group") == "two", (F.col("contri_val") != 0) & (F.col("contri_val") != 1))
-        .otherwise(F.col("contri_val") != 0)
+        f"row_number() over ({key} order by contri_type desc, old_planningcustomer) as _rank",
     )
-    weight = (
-        F.when(F.col("share_group") == "none", F.lit(1.0))
-        .when(F.col("share_group") == "three", F.col("contri_val") / F.col("_rows"))
-        .when(F.col("share_group") == "over", F.try_divide(F.col("contri_val"), F.col("_total")))
-        .otherwise(F.col("contri_val"))
+    grouped = marked.selectExpr("*", f"""case when _total = 0 then 'none' when _total < 2 then 'one'
+        when _total > 2 then 'over' when _has_{INI} and _has_{ADD} then 'two' else 'three' end as share_group""")
+    weighed = grouped.selectExpr(
+        "*",
+        """case share_group when 'none' then _rank = 1 when 'two' then contri_val != 0 and contri_val != 1
+        else contri_val != 0 end as _keep""",
+        """case share_group when 'none' then 1D when 'three' then try_divide(contri_val, _rows)
+        when 'over' then try_divide(contri_val, _total) else contri_val end as weight""",
     )
-    grouped = marked.withColumn("share_group", group).withColumns({"_keep": keep, "weight": weight})
     if conserve:
-        kept = F.sum(F.when(F.col("_keep"), F.col("weight").cast("decimal(28,9)"))).over(per_key)
-        everything = F.sum(F.col("weight").cast("decimal(28,9)")).over(per_key)
-        scaled = grouped.withColumns({"_kept": kept.cast("double"), "_all": everything.cast("double")})
-        lost = (F.col("share_group") == "two") & F.col("_kept").isNull()
-        grouped = scaled.withColumns({
-            "_keep": F.col("_keep") | (lost & (F.col("contri_val") != 0)),
-            "weight": F.try_divide(F.col("weight"), F.when(lost, F.col("_all")).otherwise(F.col("_kept"))),
-        })
-    return (
-        grouped.filter("_keep")
-        .withColumns({
-            m: F.when(F.col("share_group") == "none", F.col(m))
-            .otherwise(round_dp(F.col(m) * F.col("weight")))
-            for m in measures
+        total = "cast(sum(cast({0} as decimal(28,9))) over ({1}) as double)"
+        sums = weighed.selectExpr(
+            "*", f"{total.format('case when _keep then weight end', key)} as _kept",
+            f"{total.format('weight', key)} as _all",
+        )
+        weighed = with_exprs(sums, {
+            "_keep": "_keep or (share_group = 'two' and _kept is null and contri_val != 0)",
+            "weight": "try_divide(weight, coalesce(_kept, _all))",
         })
-        .drop("_total", "_both", "_rows", "_rank", "_keep", "_kept", "_all")
-    )
+    scaled = with_exprs(weighed.filter("_keep"), {
+        m: f"case when share_group = 'none' then {m} else {round_dp(f'{m} * weight')} end" for m in measures
+    })
+    return scaled.drop("_total", "_rows", f"_has_{INI}", f"_has_{ADD}", "_rank", "_keep", "_kept", "_all")
 
 
-def target_customer() -> Column:
-    """New customer for initial money or an unchanged account, else the old customer."""
-    stays = (
-        (F.col("share_group") == "none") | (F.col("planningcustomer") == F.col("old_planningcustomer"))
-        | (F.col("contri_type") == INI)
-    )
-    return F.when(stays, F.col("planningcustomer")).otherwise(F.col("old_planningcustomer"))
+# New customer for initial money or an unchanged account, else the old customer.
+TARGET_CUSTOMER = f"""case when share_group = 'none' or planningcustomer = old_planningcustomer
+    or contri_type = '{INI}' then planningcustomer else old_planningcustomer end"""
 
 
 def reassign_branch(apportioned: DataFrame) -> DataFrame:
@@ -142,95 +110,75 @@ def reassign_branch(apportioned: DataFrame) -> DataFrame:
     Unmatched rows are returned as they are.
     """
     columns = [*S.KEY10, "modelingname", "price", *S.MEASURES]
-    moved = (
-        apportioned.filter(F.col("share_group") != "none")
-        .withColumn("planningcustomer", target_customer())
-        .groupBy(*S.KEY10, "modelingname")
-        .agg(exact_avg("price").alias("price"), *[exact_sum(m).alias(m) for m in S.MEASURES])
+    moved = aggregate(
+        with_exprs(apportioned.filter("share_group != 'none'"), {"planningcustomer": TARGET_CUSTOMER}),
+        [*S.KEY10, "modelingname"],
+        {"price": exact_avg("price"), **{m: exact_sum(m) for m in S.MEASURES}},
     )
-    untouched = apportioned.filter(F.col("share_group") == "none")
+    untouched = apportioned.filter("share_group = 'none'")
     return moved.select(*columns).unionByName(untouched.select(*columns))
 
 
 def reallocate_branches(fact: DataFrame, branch: DataFrame, conserve: bool = False) -> DataFrame:
     """Shares, apportionment and reassignment of all three spend types in one plan."""
     long = unpivot_shares(branch_share(branch, nonzero_spend_rows(fact)))
-    key = [*S.KEY5, "modelingname"]
-    return reassign_branch(apportion_groups(long, key, S.MEASURES, conserve))
+    return reassign_branch(apportion_groups(long, [*S.KEY5, "modelingname"], S.MEASURES, conserve))
 
 
 def assemble_fact(fact: DataFrame, reassigned: DataFrame) -> DataFrame:
     """Untouched drivers plus the reassigned spend rows."""
     columns = [*S.KEY10, "modelingname", "price", *S.MEASURES]
-    untouched = fact.filter(~F.col("modelingname").isin(S.SPEND_TYPES) & any_nonzero(S.MEASURES))
+    untouched = fact.filter(f"not {IS_SPEND} and {any_nonzero(S.MEASURES)}")
     return untouched.select(*columns).unionByName(reassigned.select(*columns)).distinct()
 
 
-OLD_MEASURES = [
-    "last_year_period_spends_old", "last_year_period_volume_old",
-    "last_year_period_gps_old", "last_year_period_netsales_old",
-]
+OLD_MEASURES = [f"last_year_period_{m}_old" for m in ("spends", "volume", "gps", "netsales")]
 NEW_MEASURES = ["optimized_spends", "optimized_volume", "optimized_gps", "optimized_netsales_adj"]
 
 
-def branch_rework_output(stage2: DataFrame, branch: DataFrame, months: Column) -> DataFrame:
+def branch_rework_output(stage2: DataFrame, branch: DataFrame, months: str) -> DataFrame:
     """Re-attribute an optimised scenario between head office and branches.
 
-    ``months`` filters the branch table to the scenario's last-year period. Last-year
-    and optimised measures are both scaled by the share and then summed.
+    ``months`` is a condition that keeps the branch rows of the scenario's last-year
+    period. Last-year and optimised measures are both scaled by the share, then summed.
     """
     key = ["segment", "shisha", "planningcustomer"]
-    measures = [*OLD_MEASURES, *NEW_MEASURES]
-    row_key = [*key, "modelingname"]
     long = unpivot_shares(branch_share(branch.filter(months), stage2, key))
-    split = apportion_groups(long, row_key, measures).withColumns({
-        "planningcustomer": target_customer(),
-        "optimized_gps_adj": F.col("optimized_gps") * F.col("adjustment_factor"),
+    split = with_exprs(apportion_groups(long, [*key, "modelingname"], [*OLD_MEASURES, *NEW_MEASURES]), {
+        "planningcustomer": TARGET_CUSTOMER, "optimized_gps_adj": "optimized_gps * adjustment_factor",
     })
     summed = [*OLD_MEASURES, "optimized_spends", "optimized_volume", "optimized_gps_adj", "optimized_netsales_adj"]
-    moved = (
-        split.filter(F.col("share_group") != "none")
-        .groupBy(*S.DIMENSIONS)
-        .agg(
-            exact_avg("ec_per_qtycase").alias("ec_per_qtycase"), exact_avg("price").alias("price"),
-            *[exact_sum(m, 9).alias(m) for m in summed],
-        )
-        .withColumns({
-            "ec": F.col("ec_per_qtycase") * F.col("last_year_period_volume_old"),
-            "ec_new": F.col("ec_per_qtycase") * F.col("optimized_volume"),
-        })
-        .withColumns({
-            "mc": F.col("last_year_period_netsales_old") - F.col("ec"),
-            "mc_new": F.col("optimized_netsales_adj") - F.col("ec_new"),
-            **{
-                name: F.when(
-                    F.col(old) != 0, round_dp(change(F.col(new), F.col(old)))
-                ).otherwise(F.lit(0.0))
-                for name, new, old in (
-                    ("spend_change", "optimized_spends", "last_year_period_spends_old"),
-                    ("vol_change", "optimized_volume", "last_year_period_volume_old"),
-                    ("ns_change", "optimized_netsales_adj", "last_year_period_netsales_old"),
-                )
-            },
-        })
+    changes = {
+        "spend_change": ("optimized_spends", OLD_MEASURES[0]),
+        "vol_change": ("optimized_volume", OLD_MEASURES[1]),
+        "ns_change": ("optimized_netsales_adj", OLD_MEASURES[3]),
+    }
+    cost_old, cost_new = f"ec_per_qtycase * {OLD_MEASURES[1]}", "ec_per_qtycase * optimized_volume"
+    moved = aggregate(split.filter("share_group != 'none'"), S.DIMENSIONS, {
+        "ec_per_qtycase": exact_avg("ec_per_qtycase"), "price": exact_avg("price"),
+        **{m: exact_sum(m, 9) for m in summed},
+    }).selectExpr(
+        "*", f"{cost_old} as ec", f"{OLD_MEASURES[3]} - {cost_old} as mc",
+        f"{cost_new} as ec_new", f"optimized_netsales_adj - {cost_new} as mc_new",
+        *named({
+            name: f"case when {old} != 0 then {round_dp(change(new, old))} else 0D end"
+            for name, (new, old) in changes.items()
+        }),
     )
-    untouched = split.filter(F.col("share_group") == "none")
+    untouched = split.filter("share_group = 'none'")
     return moved.unionByName(untouched.select(*moved.columns))
 
 
-def branch_list(
-    existing: DataFrame, branch: DataFrame, scenario: str
-) -> DataFrame:
+def branch_list(existing: DataFrame, branch: DataFrame, scenario: str) -> DataFrame:
     """Old customers that map to several new customers; replaces the scenario's rows."""
     pairs = branch.select("old_planningcustomer", "new_planningcustomer").distinct()
     mapping = (
-        pairs.groupBy("old_planningcustomer")
-        .agg(F.sort_array(F.collect_set("new_planningcustomer")).alias("branches"))
-        .filter(F.size("branches") > 1)
-        .select(
-            "old_planningcustomer", F.concat_ws(",", "branches").alias("branch_list"),
-            F.lit(scenario).alias("scenario_name"), F.lit(None).cast("string").alias("section_name"),
+        aggregate(pairs, ["old_planningcustomer"], {"branches": "sort_array(collect_set(new_planningcustomer))"})
+        .filter("size(branches) > 1")
+        .selectExpr(
+            "old_planningcustomer", "concat_ws(',', branches) as branch_list",
+            f"{quoted(scenario)} as scenario_name", "cast(null as string) as section_name",
         )
     )
-    others = existing.filter(F.col("scenario_name") != scenario)
+    others = existing.filter(f"scenario_name != {quoted(scenario)}")
     return others.unionByName(mapping, allowMissingColumns=True).distinct()

@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    any_nonzero, exact_avg, exact_sum, half_label, half_number, month_end_text,
-    ratio, ratio0, round_dp, zero_if_null,
+    HALF_LABEL, HALF_NUMBER, MONTH_END, aggregate, any_nonzero, exact_avg, exact_sum, in_list,
+    named, quoted, ratio, ratio0, round_dp, with_exprs, zero_if_null,
 )
 
 SHARE_NAMES = {
     "spends": "spends_contri", "volume": "vol_contri", "gps": "gps_contri", "netsales": "ns_contri",
 }
+IS_DRIVER = "not " + in_list("modelingname", S.NON_DRIVER_ROWS)
+IS_TOTAL = in_list("modelingname", S.TOTAL_ROWS)
+IS_SPEND = in_list("modelingname", S.SPEND_TYPES)
+
+
+def _total(measure: str, keys: list[str]) -> str:
+    return f"cast(sum(cast({measure} as decimal(28,4))) over (partition by {', '.join(keys)}) as double)"
 
 
 def contribution_share(fact: DataFrame, keys: list[str] = S.KEY10) -> DataFrame:
@@ -22,76 +29,55 @@ def contribution_share(fact: DataFrame, keys: list[str] = S.KEY10) -> DataFrame:
 
     The fact is at driver grain, so a window group holds one row per driver.
     """
-    total = Window.partitionBy(*keys)
-    drivers = fact.filter(~F.col("modelingname").isin(S.NON_DRIVER_ROWS))
-    return drivers.select(
-        *keys, "modelingname", "ec_per_qtycase",
-        *[
-            ratio0(F.col(m), _total(m, total), 3).alias(n)
-            for m, n in SHARE_NAMES.items()
-        ],
-        ratio("gps", "volume").alias("price"),
+    totals = {f"_{m}": _total(m, keys) for m in SHARE_NAMES}
+    shares = {name: ratio0(m, f"_{m}", 3) for m, name in SHARE_NAMES.items()}
+    return fact.filter(IS_DRIVER).selectExpr("*", *named(totals)).selectExpr(
+        *keys, "modelingname", "ec_per_qtycase", *named(shares), f"{ratio('gps', 'volume')} as price"
     )
 
 
-def _total(measure: str, window) -> Column:
-    return F.sum(F.col(measure).cast("decimal(28,4)")).over(window).cast("double")
-
-
 def actuals_rollup(actuals: DataFrame) -> DataFrame:
     """Booked spend, sales amount and cases per period, segment, branch office and customer."""
-    spends = F.col("priceoff") + F.col("promotionad") + F.col("liquidation")
-    return (
-        actuals.groupBy(
-            F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
-            "segment", F.col("shishanm").alias("shisha"), "planningcustomer",
-        )
-        .agg(
-            exact_sum(spends).alias("total_spends"),
-            exact_sum("salesamt").alias("total_salesamt"),
-            exact_sum("salesqtycase").alias("total_salesqtycase"),
-        )
+    keyed = actuals.selectExpr(
+        "cast(year as int) as year", "cast(month as int) as month", "segment", "shishanm as shisha",
+        "planningcustomer", "priceoff + promotionad + liquidation as spends", "salesamt", "salesqtycase",
     )
+    return aggregate(keyed, S.KEY5, {
+        "total_spends": exact_sum("spends"), "total_salesamt": exact_sum("salesamt"),
+        "total_salesqtycase": exact_sum("salesqtycase"),
+    })
 
 
 def rescale_to_actuals(shares: DataFrame, rolled: DataFrame) -> DataFrame:
-    """Apply modelled shares to booked totals; keys without actuals get zero measures."""
-    volume = zero_if_null(F.col("vol_contri") * F.col("total_salesqtycase"))
-    spends = zero_if_null(F.col("spends_contri") * F.col("total_spends"))
-    # The raw product feeds GPS: a missing price or missing cases both give zero.
-    gps = zero_if_null(F.col("vol_contri") * F.col("total_salesqtycase") * F.col("price"))
-    scaled = (
-        shares.join(rolled, S.KEY5, "left")
-        .withColumns({"volume": volume, "spends": spends, "gps": gps})
-        .withColumns({
-            "ec": F.col("ec_per_qtycase") * F.col("volume"),
-            "netsales": F.col("gps") - F.col("spends"),
-        })
-        .withColumn("mc", F.col("netsales") - F.col("ec"))
+    """Apply modelled shares to booked totals; keys without actuals get zero measures.
+
+    GPS is the raw volume times price: a missing price or missing cases both give zero.
+    """
+    cases = "vol_contri * total_salesqtycase"
+    scaled = shares.join(rolled, S.KEY5, "left").selectExpr(
+        "*", f"{zero_if_null(cases)} as volume",
+        f"{zero_if_null('spends_contri * total_spends')} as spends",
+        f"{zero_if_null(cases + ' * price')} as gps",
     )
-    rounded = ["spends", "netsales", "gps", "volume", "ec", "mc", "price", "ec_per_qtycase"]
-    return scaled.select(*S.KEY10, "modelingname", *[round_dp(c).alias(c) for c in rounded])
+    values = {
+        "spends": "spends", "netsales": "gps - spends", "gps": "gps", "volume": "volume",
+        "ec": "ec_per_qtycase * volume", "mc": "gps - spends - ec_per_qtycase * volume",
+        "price": "price", "ec_per_qtycase": "ec_per_qtycase",
+    }
+    return scaled.selectExpr(*S.KEY10, "modelingname", *named({k: round_dp(v) for k, v in values.items()}))
 
 
 def normalise_period(df: DataFrame) -> DataFrame:
     """Render year and month as text, month padded to two digits."""
-    return df.withColumns({
-        "year": F.col("year").cast("string"),
-        "month": F.lpad(F.col("month").cast("string"), 2, "0"),
-    })
+    return with_exprs(df, {"year": "cast(year as string)", "month": "lpad(cast(month as string), 2, '0')"})
 
 
 def driver_share_pct(fact: DataFrame, driver: str = S.OWN_PRICE) -> DataFrame:
     """Per segment, the driver's percent of the volume of all drivers."""
-    by_driver = (
-        fact.filter(~F.col("modelingname").isin(S.NON_DRIVER_ROWS))
-        .groupBy("segment", "modelingname").agg(exact_sum("volume").alias("volume"))
-    )
-    total = _total("volume", Window.partitionBy("segment"))
+    by_driver = aggregate(fact.filter(IS_DRIVER), ["segment", "modelingname"], {"volume": exact_sum("volume")})
     return (
-        by_driver.withColumn("own_price_contri", ratio(F.col("volume"), total) * 100)
-        .filter(F.col("modelingname") == driver)
-        .select("segment", "own_price_contri")
+        by_driver.selectExpr("*", f"{ratio('volume', _total('volume', ['segment']))} * 100 as own_price_contri")
+        .filter(in_list("modelingname", [driver])).select("segment", "own_price_contri")
     )
 
 
@@ -103,55 +89,48 @@ def price_change_passthrough(
     ``price_change`` is a fraction and ``own_price_contri`` a percentage, so the
     multiplier is in percent points.
     """
-    effect = price_changes.join(own_price, "segment").select(
-        "segment", "price_change",
-        (F.col("price_change") * F.col("own_price_contri")).alias("multiplier"),
-    )
-    joined = scaled.join(effect, "segment", "left").fillna(0.0, ["price_change", "multiplier"])
-    factor = (
-        F.when(F.col("modelingname") == S.PRICEOFF, 1 + F.col("multiplier"))
-        .when(F.col("modelingname") == S.OWN_PRICE, 1 - F.col("multiplier"))
-        .otherwise(F.lit(1.0))
+    effect = price_changes.join(own_price, "segment").selectExpr(
+        "segment", "price_change", "price_change * own_price_contri as multiplier"
     )
-    return joined.withColumns({
-        "price": F.col("price") * (1 + F.col("price_change")),
-        **{m: F.col(m) * factor for m in ("gps", "volume", "netsales")},
-    }).select(*scaled.columns)
+    factor = f"""case modelingname when '{S.PRICEOFF}' then 1 + {zero_if_null('multiplier')}
+        when '{S.OWN_PRICE}' then 1 - {zero_if_null('multiplier')} else 1D end"""
+    repriced = with_exprs(scaled.join(effect, "segment", "left"), {
+        "price": f"price * (1 + {zero_if_null('price_change')})",
+        **{m: f"{m} * {factor}" for m in ("gps", "volume", "netsales")},
+    })
+    return repriced.select(*scaled.columns)
+
+
+BRANCH_CODES = {"priceoff": "po", "liquidation": "liq", "promotionad": "pa"}
+BRANCH_MONEY = [f"{kind}_{t}" for t in BRANCH_CODES for kind in ("ini", "add")]
 
 
 def branch_money_split(feeds: list[DataFrame], customers: DataFrame) -> DataFrame:
     """Split new spend into initial and additional money per old customer.
 
-    Lines without sales that still carry new spend are left out.
+    ``feeds`` are tables of one layout. Lines without sales that still carry new spend
+    are left out.
     """
-    names = customers.select(
-        F.col("planningcustomercd").alias("old_planningcustomercd"),
-        F.col("planningcustomer").alias("old_planningcustomer"),
+    names = customers.selectExpr(
+        "planningcustomercd as old_planningcustomercd", "planningcustomer as old_planningcustomer"
     ).distinct()
-    short = {"priceoff": "po", "liquidation": "liq", "promotionad": "pa"}
-    no_new_spend = ~any_nonzero([f"new_{t}" for t in short])
-    money = [
-        (F.col(f"{kind}_contri_{code}") * F.col(f"new_{name}")).alias(f"{kind}_{name}")
-        for name, code in short.items() for kind in ("ini", "add")
-    ]
+    money = {
+        f"{kind}_{t}": f"{kind}_contri_{code} * new_{t}"
+        for t, code in BRANCH_CODES.items() for kind in ("ini", "add")
+    }
+    no_new_spend = " and ".join(f"new_{t} = 0" for t in BRANCH_CODES)
     return (
         reduce(DataFrame.unionByName, feeds)
-        .filter((F.col("salesamt") != 0) | no_new_spend)
+        .filter(f"salesamt != 0 or ({no_new_spend})")
         .join(names, "old_planningcustomercd", "left")
-        .select(
+        .selectExpr(
             "yearmonth", "year", "month", "week_start", "segment", "shishanm",
-            "new_planningcustomer", "old_planningcustomer", *money,
+            "new_planningcustomer", "old_planningcustomer", *named(money),
         )
         .distinct()
     )
 
 
-BRANCH_MONEY = [
-    "ini_priceoff", "add_priceoff", "ini_liquidation", "add_liquidation",
-    "ini_promotionad", "add_promotionad",
-]
-
-
 def category_from_path(
     branch: DataFrame, rules: list[tuple[str, str]], default: str
 ) -> DataFrame:
@@ -159,52 +138,37 @@ def category_from_path(
 
     ``rules`` are (text, category) pairs in order of precedence.
     """
-    category = F.lit(default)
-    for text, name in reversed(rules):
-        category = F.when(F.col("segment").contains(text), F.lit(name)).otherwise(category)
-    sums = branch.groupBy(category.alias("category")).agg(
-        *[exact_sum(c).alias(c) for c in BRANCH_MONEY]
+    cases = " ".join(f"when contains(segment, {quoted(text)}) then {quoted(name)}" for text, name in rules)
+    category = f"case {cases} else {quoted(default)} end" if rules else quoted(default)
+    sums = aggregate(
+        branch.selectExpr("*", f"{category} as category"), ["category"],
+        {c: exact_sum(c) for c in BRANCH_MONEY},
     )
-    return sums.withColumns({
-        f"new_{t}": F.col(f"ini_{t}") + F.col(f"add_{t}")
-        for t in ("priceoff", "liquidation", "promotionad")
-    })
+    return sums.selectExpr("*", *[f"ini_{t} + add_{t} as new_{t}" for t in BRANCH_CODES])
 
 
 def null_profile(df: DataFrame) -> DataFrame:
     """One row per column: how many values are null (or NaN, for floating columns)."""
-    def missing(f: T.StructField) -> Column:
-        gone = F.col(f.name).isNull()
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            gone = gone | F.isnan(f.name)
-        return F.count_if(gone)
+    def missing(name: str, kind: str) -> str:
+        nan = f" or isnan(`{name}`)" if kind in ("double", "float") else ""
+        return f"count_if(`{name}` is null{nan})"
 
-    names = [f.name for f in df.schema.fields]
-    counts = df.agg(*[missing(f).alias(f.name) for f in df.schema.fields])
-    return counts.unpivot([], names, "column_name", "missing")
+    counts = aggregate(df, [], {n: missing(n, k) for n, k in df.dtypes})
+    return counts.unpivot([], df.columns, "column_name", "missing")
 
 
-def decomp_view(fact: DataFrame, totals: DataFrame, keep: str | Column | None = None) -> DataFrame:
+def decomp_view(fact: DataFrame, totals: DataFrame, keep: str | None = None) -> DataFrame:
     """Published decomposition: drivers plus total rows, month-end date, half-year, text period.
 
     ``keep`` replaces the default row filter (any measure non-zero).
     """
     common = [*S.KEY10, "modelingname", "spends", "gps", "netsales", "volume", "price"]
-    rows = fact.select(*common).unionByName(
-        totals.filter(F.col("modelingname").isin(S.TOTAL_ROWS)).select(*common)
-    )
-    month = F.col("month").cast("int")
-    condition = any_nonzero(S.MEASURES) if keep is None else (F.expr(keep) if isinstance(keep, str) else keep)
-    placeholders = {c: F.lit(0) for c in ("ec", "ec_per_qtycase", "mc")}
-    view = rows.filter(condition).withColumns({
-        "date": month_end_text(F.col("year"), F.col("month")),
-        "half_year": half_number(month),
-        **placeholders,
-    })
-    return normalise_period(view).select(
-        "date", "year", "month", "half_year", *S.DIMENSIONS, "modelingname",
-        "spends", "gps", "netsales", "volume", "price", *placeholders,
+    rows = fact.select(*common).unionByName(totals.filter(IS_TOTAL).select(*common))
+    placeholders = {c: "0" for c in ("ec", "ec_per_qtycase", "mc")}
+    view = rows.filter(keep or any_nonzero(S.MEASURES)).selectExpr(
+        "*", f"{MONTH_END} as date", f"{HALF_NUMBER} as half_year", *named(placeholders)
     )
+    return normalise_period(view).select(*VIEW_KEYS, *VIEW_VALUES)
 
 
 # Drivers left out of the baseline of each spend type; the exclusion accumulates in this order.
@@ -222,68 +186,46 @@ def history_baseline(opt_input: DataFrame, decomposition: DataFrame) -> DataFram
     following year and carry the last day of the half-year.
     """
     key = ["year", "half_year", *S.DIMENSIONS]
-    month = F.col("month").cast("int")
-    baseline = (
-        decomposition.filter(~F.col("modelingname").isin(S.TOTAL_ROWS))
-        .withColumns({"year": F.col("year").cast("int"), "half_year": half_label(month)})
-        .groupBy(*key)
-        .agg(*[
-            exact_sum(F.when(~F.col("modelingname").isin(out), F.col("volume"))).alias(f"_base_{t}")
-            for t, out in BASELINE_EXCLUDES.items()
-        ])
-    )
-    spend_rows = (
-        opt_input.filter(F.col("modelingname").isin(S.SPEND_TYPES))
-        .withColumns({"year": F.col("year").cast("int"), "half_year": half_label(month)})
-        .groupBy(*key, "modelingname")
-        .agg(*[exact_sum(m).alias(m) for m in S.MEASURES], exact_avg("price").alias("price"))
+    halves = {"year": "cast(year as int)", "half_year": HALF_LABEL}
+    baseline = aggregate(with_exprs(decomposition.filter(f"not {IS_TOTAL}"), halves), key, {
+        f"_base_{t}": exact_sum(f"case when not {in_list('modelingname', out)} then volume end")
+        for t, out in BASELINE_EXCLUDES.items()
+    })
+    spend_rows = aggregate(
+        with_exprs(opt_input.filter(IS_SPEND), halves), [*key, "modelingname"],
+        {**{m: exact_sum(m) for m in S.MEASURES}, "price": exact_avg("price")},
     )
-    own_baseline = F.coalesce(*[
-        F.when(F.col("modelingname") == t, F.col(f"_base_{t}")) for t in BASELINE_EXCLUDES
-    ])
-    last_month = F.when(F.col("half_year") == "H1", 6).otherwise(12)
-    return (
-        spend_rows.join(baseline, key, "left")
-        .withColumns({"baseline_volume": own_baseline, "year": F.col("year") + 1, "month": last_month})
-        .withColumns({
-            "total_initial_spend": F.col("spends"),
-            "total_initial_volume": F.col("volume") + F.col("baseline_volume"),
-        })
-        .withColumn("total_initial_gps", F.col("total_initial_volume") * F.col("price"))
-        .withColumn("total_initial_netsales", F.col("total_initial_gps") - F.col("total_initial_spend"))
-        .fillna(0.0, [
-            "total_initial_spend", "total_initial_volume",
-            "total_initial_gps", "total_initial_netsales",
-        ])
-        .select(
-            F.lit("HISTORICAL_DATA").alias("scenario_name"), "year", "half_year",
-            month_end_text(F.col("year"), F.col("month")).alias("date"), *S.DIMENSIONS,
-            "modelingname", "baseline_volume", "price", "total_initial_spend",
-            "total_initial_volume", "total_initial_gps", "total_initial_netsales",
-            F.lit(1).alias("is_latest"),
-        )
+    own = " ".join(f"when '{t}' then _base_{t}" for t in BASELINE_EXCLUDES)
+    moved = with_exprs(spend_rows.join(baseline, key, "left"), {
+        "baseline_volume": f"case modelingname {own} end", "year": "year + 1",
+        "month": "case when half_year = 'H1' then 6 else 12 end",
+    })
+    volume = "volume + baseline_volume"
+    return moved.selectExpr(
+        "'HISTORICAL_DATA' as scenario_name", "year", "half_year", f"{MONTH_END} as date", *S.DIMENSIONS,
+        "modelingname", "baseline_volume", "price",
+        *named({
+            "total_initial_spend": zero_if_null("spends"), "total_initial_volume": zero_if_null(volume),
+            "total_initial_gps": zero_if_null(f"({volume}) * price"),
+            "total_initial_netsales": zero_if_null(f"({volume}) * price - spends"),
+        }),
+        "1 as is_latest",
     )
 
 
 def ratio_impute(
     fact: DataFrame, actuals: DataFrame, measures: tuple[str, ...] = ("spends", "gps", "netsales")
 ) -> DataFrame:
-    """Scale each key's rows so that its totals meet the actuals; no factor means 1."""
-    modelled = (
-        fact.filter(~F.col("modelingname").isin(S.TOTAL_ROWS))
-        .groupBy(*S.KEY5).agg(*[exact_sum(m).alias(f"_model_{m}") for m in measures])
-    )
-    booked = actuals.groupBy(*S.KEY5).agg(*[exact_sum(m).alias(f"_actual_{m}") for m in measures])
-    factors = modelled.join(booked, S.KEY5, "left").select(
-        *S.KEY5,
-        *[
-            F.coalesce(ratio(f"_actual_{m}", f"_model_{m}"), F.lit(1.0)).alias(f"_factor_{m}")
-            for m in measures
-        ],
-    )
-    scaled = fact.join(factors, S.KEY5, "left").withColumns(
-        {m: F.col(m) * F.col(f"_factor_{m}") for m in measures}
+    """Scale each key's rows so that its totals meet the actuals; no factor means 1.
+
+    Rows of a key that has total rows only carry no factor and become 0.
+    """
+    modelled = aggregate(fact.filter(f"not {IS_TOTAL}"), S.KEY5, {f"_model_{m}": exact_sum(m) for m in measures})
+    booked = aggregate(actuals, S.KEY5, {f"_actual_{m}": exact_sum(m) for m in measures})
+    factors = modelled.join(booked, S.KEY5, "left").selectExpr(
+        *S.KEY5, *[f"coalesce({ratio(f'_actual_{m}', f'_model_{m}')}, 1D) as _factor_{m}" for m in measures]
     )
+    scaled = with_exprs(fact.join(factors, S.KEY5, "left"), {m: f"{m} * _factor_{m}" for m in measures})
     return scaled.select(*fact.columns).fillna(0.0)
 
 
@@ -293,38 +235,28 @@ VIEW_VALUES = ["spends", "gps", "netsales", "volume", "price", "ec", "ec_per_qty
 
 def replacement_rows(new_rows: DataFrame) -> DataFrame:
     """New driver rows plus one synthetic total row of each kind per key, in view shape."""
-    totals = new_rows.groupBy(*S.KEY10).agg(
-        *[exact_sum(m).alias(m) for m in S.MEASURES],
-        *[exact_avg(m).alias(m) for m in ("price", "ec", "ec_per_qtycase", "mc")],
-    )
-    labelled = totals.withColumn(
-        "modelingname", F.explode(F.array(*[F.lit(t) for t in (S.PREDICTED_SALES, S.VOLUME_TOTAL)]))
-    )
+    labels = f"explode(array('{S.PREDICTED_SALES}', '{S.VOLUME_TOTAL}')) as modelingname"
+    totals = aggregate(new_rows, S.KEY10, {
+        **{m: exact_sum(m) for m in S.MEASURES},
+        **{m: exact_avg(m) for m in ("price", "ec", "ec_per_qtycase", "mc")},
+    }).selectExpr("*", labels)
     columns = [*S.KEY10, "modelingname", *VIEW_VALUES]
-    rows = new_rows.select(*columns).unionByName(labelled.select(*columns))
-    dated = rows.withColumns({
-        "date": month_end_text(F.col("year"), F.col("month")),
-        "half_year": half_number(F.col("month").cast("int")),
-    })
+    rows = new_rows.select(*columns).unionByName(totals.select(*columns))
+    dated = rows.selectExpr("*", f"{MONTH_END} as date", f"{HALF_NUMBER} as half_year")
     return normalise_period(dated).select(*VIEW_KEYS, *VIEW_VALUES)
 
 
 def override_merge(view: DataFrame, replacement: DataFrame, segments: list[str]) -> DataFrame:
     """Take replacement rows for the listed segments; keep existing predicted-sales rows."""
-    renamed = replacement.withColumnsRenamed({c: f"{c}_new" for c in VIEW_VALUES})
-    listed = F.col("segment").isin(segments)
-    predicted = F.col("modelingname") == S.PREDICTED_SALES
-    return (
-        view.select(*VIEW_KEYS, *VIEW_VALUES).join(renamed, VIEW_KEYS, "outer")
-        .select(*VIEW_KEYS, *[
-            zero_if_null(
-                F.when(listed & ~predicted, F.col(f"{c}_new"))
-                .when(listed & predicted, F.coalesce(F.col(c), F.col(f"{c}_new")))
-                .otherwise(F.col(c)).cast("double")
-            ).alias(c)
-            for c in VIEW_VALUES
-        ])
-    )
+    renamed = replacement.selectExpr(*VIEW_KEYS, *[f"{c} as {c}_new" for c in VIEW_VALUES])
+    value = """cast(case when {listed} and modelingname != '{predicted}' then {c}_new
+        when {listed} then coalesce({c}, {c}_new) else {c} end as double)"""
+    merged = {
+        c: zero_if_null(value.format(c=c, listed=in_list("segment", segments), predicted=S.PREDICTED_SALES))
+        for c in VIEW_VALUES
+    }
+    both = view.select(*VIEW_KEYS, *VIEW_VALUES).join(renamed, VIEW_KEYS, "outer")
+    return both.selectExpr(*VIEW_KEYS, *named(merged))
 
 
 def reconcile_totals(
@@ -332,28 +264,20 @@ def reconcile_totals(
 ) -> DataFrame:
     """One row per key and measure: total before, after, difference, display text, row counts."""
     def totals(df: DataFrame, tag: str) -> DataFrame:
-        return df.groupBy(*keys).agg(
-            *[exact_sum(m).alias(f"{m}_{tag}") for m in measures],
-            F.count(F.lit(1)).alias(f"rows_{tag}"),
-        )
+        return aggregate(df, keys, {**{f"{m}_{tag}": exact_sum(m) for m in measures}, f"rows_{tag}": "count(1)"})
 
-    both = totals(before, "before").join(totals(after, "after"), keys, "outer")
-    checks = F.array(*[
-        F.struct(
-            F.lit(m).alias("measure"),
-            zero_if_null(f"{m}_before").alias("before"),
-            zero_if_null(f"{m}_after").alias("after"),
-        )
+    checks = ", ".join(
+        f"named_struct('measure', '{m}', 'before', {zero_if_null(m + '_before')}, 'after', {zero_if_null(m + '_after')})"
         for m in measures
-    ])
+    )
     return (
-        both.select(
-            *keys, F.coalesce("rows_before", F.lit(0)).alias("rows_before"),
-            F.coalesce("rows_after", F.lit(0)).alias("rows_after"), F.explode(checks).alias("c"),
+        totals(before, "before").join(totals(after, "after"), keys, "outer")
+        .selectExpr(
+            *keys, "coalesce(rows_before, 0L) as rows_before", "coalesce(rows_after, 0L) as rows_after",
+            f"explode(array({checks})) as c",
         )
-        .select(
-            *keys, "c.measure", "c.before", "c.after",
-            (F.col("c.after") - F.col("c.before")).alias("diff"),
-            F.format_number("c.after", 2).alias("after_text"), "rows_before", "rows_after",
+        .selectExpr(
+            *keys, "c.measure", "c.before", "c.after", "c.after - c.before as diff",
+            "format_number(c.after, 2) as after_text", "rows_before", "rows_after",
         )
     )

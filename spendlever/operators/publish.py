@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
-from spendlever.functions.expr import change, exact_avg, exact_sum, ratio, round_dp, zero_if_null
+from spendlever.functions.expr import (
+    aggregate, change, exact_avg, exact_sum, in_list, named, quoted, ratio, round_dp, with_exprs,
+    zero_if_null,
+)
 from spendlever.sources.star import BUDGET_SPEND, KEEP_SPEND
 
 LY = "last_year_period_"
@@ -43,19 +46,18 @@ class Scenario:
 def scenario_params(requests: DataFrame, uid: str | None = None) -> DataFrame:
     """Parse request documents and map the objective text to a strategy."""
     if uid is not None:
-        requests = requests.filter(F.col("uid") == uid)
-    doc = F.from_json("parameters", S.REQUEST)
-    parsed = requests.select("uid", doc.alias("d")).distinct().select(
-        "uid", F.col("d.scenarioPrameters.scenarioName").alias("scenario_name"), "d.optimizationInput.*"
-    )
-    objective = F.col("optimizationobjective")
-    return parsed.select(
-        "uid", "scenario_name", F.replace("scenario_name", F.lit(" "), F.lit("")).alias("table_suffix"),
-        "business", F.col("spendtype").alias("spend_type"), "channel", "category", "shisha",
-        F.col("min").alias("period_start"), F.col("max").alias("period_end"),
-        F.when(objective == KEEP_SPEND, "2").when(objective == BUDGET_SPEND, "3").alias("strategy"),
-        F.when(objective == BUDGET_SPEND, "1").alias("sub_strategy"),
-        F.when(objective == BUDGET_SPEND, F.col("budget")).alias("goal_spend"),
+        requests = requests.filter(f"uid = {quoted(uid)}")
+    keep, budget = quoted(KEEP_SPEND), quoted(BUDGET_SPEND)
+    parsed = requests.selectExpr("uid", f"from_json(parameters, {quoted(S.REQUEST)}) as d").distinct()
+    return parsed.selectExpr(
+        "uid", "d.scenarioPrameters.scenarioName as scenario_name", "d.optimizationInput.*"
+    ).selectExpr(
+        "uid", "scenario_name", "replace(scenario_name, ' ', '') as table_suffix", "business",
+        "spendtype as spend_type", "channel", "category", "shisha",
+        "min as period_start", "max as period_end",
+        f"case optimizationobjective when {keep} then '2' when {budget} then '3' end as strategy",
+        f"case when optimizationobjective = {budget} then '1' end as sub_strategy",
+        f"case when optimizationobjective = {budget} then budget end as goal_spend",
     )
 
 
@@ -72,15 +74,14 @@ def scenario_from_row(row) -> Scenario:
 
 def last_year_period(params: DataFrame) -> DataFrame:
     """First days of the planned months in the year before, newest first."""
-    year = F.substring("period_end", 1, 4).cast("int") - 1
     first, last = (
-        F.make_date(year, F.substring(c, 6, 2).cast("int"), F.lit(1)) for c in ("period_start", "period_end")
+        f"make_date(cast(substring(period_end, 1, 4) as int) - 1, cast(substring({c}, 6, 2) as int), 1)"
+        for c in ("period_start", "period_end")
     )
-    months = F.sequence(last, first, F.expr("interval -1 month"))
     return (
-        params.filter(F.substring("period_start", 6, 2) <= F.substring("period_end", 6, 2))
-        .select("uid", "scenario_name", F.posexplode(months).alias("position", "day"))
-        .select("uid", "scenario_name", "position", F.col("day").cast("string").alias("month_start"))
+        params.filter("substring(period_start, 6, 2) <= substring(period_end, 6, 2)")
+        .selectExpr("uid", "scenario_name", f"posexplode(sequence({last}, {first}, interval -1 month)) as (position, day)")
+        .selectExpr("uid", "scenario_name", "position", "cast(day as string) as month_start")
     )
 
 
@@ -92,16 +93,13 @@ def scenario_period_actuals(scope: DataFrame, scenario: str, date_text: str) ->
 
     ``ec_per_qtycase`` is the plain sum of unit costs; ``ec_per_case`` the weighted one.
     """
-    return (
-        scope.groupBy(*S.DIMENSIONS, "modelingname")
-        .agg(
-            *[exact_sum(m).alias(m) for m in (*S.MEASURES, "ec", "mc")],
-            exact_sum("ec_per_qtycase", 9).alias("ec_per_qtycase"), exact_avg("price").alias("price"),
-        )
-        .withColumns({
-            "ec_per_case": ratio("ec", "volume"),
-            "scenario_name": F.lit(scenario), "date": F.lit(date_text),
-        })
+    sums = aggregate(scope, [*S.DIMENSIONS, "modelingname"], {
+        **{m: exact_sum(m) for m in (*S.MEASURES, "ec", "mc")},
+        "ec_per_qtycase": exact_sum("ec_per_qtycase", 9), "price": exact_avg("price"),
+    })
+    return sums.selectExpr(
+        "*", f"{ratio('ec', 'volume')} as ec_per_case",
+        f"{quoted(scenario)} as scenario_name", f"{quoted(date_text)} as date",
     )
 
 
@@ -109,19 +107,15 @@ def scenario_output_projection(
     reworked: DataFrame, scenario: str, spend_type: str, date_text: str
 ) -> DataFrame:
     """Reworked scenario rows in published column names."""
-    return (
-        reworked.select(
-            *S.DIMENSIONS,
-            F.col("optimized_spends").alias("spends"), F.col("optimized_gps_adj").alias("gps"),
-            F.col("optimized_netsales_adj").alias("netsales"), F.col("optimized_volume").alias("volume"),
-            *[f"{LY}{m}_old" for m in S.MEASURES], "spend_change", "vol_change", "ns_change",
-            "price", "ec", "ec_per_qtycase", F.col("mc_new").alias("mc"),
-        )
-        .distinct()
-        .withColumns({
-            "modelingname": F.lit(spend_type), "scenario_name": F.lit(scenario), "date": F.lit(date_text),
-        })
-    )
+    published = {
+        "spends": "optimized_spends", "gps": "optimized_gps_adj", "netsales": "optimized_netsales_adj",
+        "volume": "optimized_volume", "mc": "mc_new",
+    }
+    tags = {"modelingname": spend_type, "scenario_name": scenario, "date": date_text}
+    return reworked.selectExpr(
+        *S.DIMENSIONS, *named(published), *[f"{LY}{m}_old" for m in S.MEASURES],
+        "spend_change", "vol_change", "ns_change", "price", "ec", "ec_per_qtycase",
+    ).distinct().selectExpr("*", *named({c: quoted(v) for c, v in tags.items()}))
 
 
 def baseline_overlay(output: DataFrame, other_drivers: DataFrame) -> DataFrame:
@@ -131,46 +125,45 @@ def baseline_overlay(output: DataFrame, other_drivers: DataFrame) -> DataFrame:
     scenario's. Missing values and undefined changes become 0.
     """
     key = ["segment", "shisha", "planningcustomer"]
-    baseline = other_drivers.groupBy(*key).agg(exact_sum("volume").alias("baseline_volume"))
+    baseline = aggregate(other_drivers, key, {"baseline_volume": exact_sum("volume")})
     old = {m: f"{LY}{m}_old" for m in S.MEASURES}
     new = {m: f"optimized_{m}" for m in S.MEASURES}
-    filled = output.fillna(0.0, [*old.values(), *new.values()])
 
-    def absolute_change(after: Column, before: Column) -> Column:
-        return zero_if_null(F.try_divide(after - before, F.abs(before)))
+    def absolute_change(after: str, before: str) -> str:
+        return zero_if_null(ratio(f"{after} - {before}", f"abs({before})"))
 
-    unit_gps = lambda volume: zero_if_null(F.try_divide(F.col(volume) * F.col(old["gps"]), F.col(old["volume"])))
-    return (
-        filled.drop("spend_change", "vol_change", "ns_change", "netsales_change")
-        .join(baseline, key, "left").fillna(0.0, ["baseline_volume"])
-        .withColumns({
-            "spend_change": zero_if_null(change(F.col(new["spends"]), F.col(old["spends"]))),
-            "volume_change": zero_if_null(change(F.col(new["volume"]), F.col(old["volume"]))),
-            "gps_change": zero_if_null(change(F.col(new["gps"]), F.col(old["gps"]))),
-            "netsales_change": absolute_change(F.col(new["netsales"]), F.col(old["netsales"])),
-            "total_initial_spend": F.col(old["spends"]),
-            "total_initial_volume": F.col(old["volume"]) + F.col("baseline_volume"),
-            "total_optimized_spend": F.col(new["spends"]),
-            "total_optimized_volume": F.col(new["volume"]) + F.col("baseline_volume"),
-        })
-        .withColumns({
-            "total_initial_gps": unit_gps("total_initial_volume"),
-            "total_optimized_gps": unit_gps("total_optimized_volume"),
-        })
-        .withColumns({
-            "total_initial_netsales": F.col("total_initial_gps") - F.col("total_initial_spend"),
-            "total_optimized_netsales": F.col("total_optimized_gps") - F.col("total_optimized_spend"),
-        })
-        .withColumns({
+    def at_unit_gps(volume: str) -> str:
+        return zero_if_null(ratio(f"{volume} * {old['gps']}", old["volume"]))
+
+    both = (
+        output.drop("spend_change", "vol_change", "ns_change", "netsales_change")
+        .join(baseline, key, "left")
+        .fillna(0.0, [*old.values(), *new.values(), "baseline_volume"])
+    )
+    layers = [
+        {
+            "spend_change": zero_if_null(change(new["spends"], old["spends"])),
+            "volume_change": zero_if_null(change(new["volume"], old["volume"])),
+            "gps_change": zero_if_null(change(new["gps"], old["gps"])),
+            "netsales_change": absolute_change(new["netsales"], old["netsales"]),
+            "total_initial_spend": old["spends"],
+            "total_initial_volume": f"{old['volume']} + baseline_volume",
+            "total_optimized_spend": new["spends"],
+            "total_optimized_volume": f"{new['volume']} + baseline_volume",
+        },
+        {f"total_{s}_gps": at_unit_gps(f"total_{s}_volume") for s in ("initial", "optimized")},
+        {f"total_{s}_netsales": f"total_{s}_gps - total_{s}_spend" for s in ("initial", "optimized")},
+        {
             **{
-                f"final_{m}_change": zero_if_null(ratio(f"total_optimized_{m}", f"total_initial_{m}") - 1)
+                f"final_{m}_change": zero_if_null(ratio(f"total_optimized_{m}", f"total_initial_{m}") + " - 1")
                 for m in ("spend", "volume", "gps")
             },
-            "final_netsales_change": absolute_change(
-                F.col("total_optimized_netsales"), F.col("total_initial_netsales")
-            ),
-        })
-    )
+            "final_netsales_change": absolute_change("total_optimized_netsales", "total_initial_netsales"),
+        },
+    ]
+    for layer in layers:
+        both = both.selectExpr("*", *named(layer))
+    return both
 
 
 # --- publication -----------------------------------------------------------------------
@@ -178,47 +171,48 @@ def baseline_overlay(output: DataFrame, other_drivers: DataFrame) -> DataFrame:
 
 def publish_history(existing: DataFrame, history: DataFrame) -> DataFrame:
     """Replace history rows; every other row stops being the latest; pad missing columns."""
-    others = existing.filter(F.col("scenario_name") != HISTORY).withColumn("is_latest", F.lit(0))
+    others = with_exprs(existing.filter(f"scenario_name != '{HISTORY}'"), {"is_latest": "0"})
     return others.unionByName(history, allowMissingColumns=True)
 
 
 def publish_scenario(existing: DataFrame, final: DataFrame, scenario: Scenario) -> DataFrame:
     """Replace the scenario's rows and retire overlapping rows of other scenarios."""
-    end = F.last_day(F.make_date(F.lit(scenario.year), F.lit(scenario.last_month), F.lit(1)))
-    overlap = (
-        (F.col("business") == scenario.business) & (F.col("modelingname") == scenario.spend_type)
-        & F.year(F.to_date(F.substring("date", 1, 10))).isin(scenario.year)
-        & F.month(F.to_date(F.substring("date", 1, 10))).between(scenario.first_month, scenario.last_month)
+    lists = {
+        "business": [scenario.business], "modelingname": [scenario.spend_type],
+        "category": scenario.categories, "shisha": scenario.shishas, "channel": scenario.channels,
+    }
+    overlap = " and ".join([
+        *[in_list(c, values) for c, values in lists.items() if values is not None],
+        f"year(to_date(substring(date, 1, 10))) = {scenario.year}",
+        f"month(to_date(substring(date, 1, 10))) between {scenario.first_month} and {scenario.last_month}",
+    ])
+    others = with_exprs(
+        existing.filter(f"scenario_name != {quoted(scenario.name)}"),
+        {"is_latest": f"case when {overlap} then 0 else is_latest end"},
     )
-    for column, values in (
-        ("category", scenario.categories), ("shisha", scenario.shishas), ("channel", scenario.channels),
-    ):
-        if values is not None:
-            overlap = overlap & F.col(column).isin(values)
-    others = existing.filter(F.col("scenario_name") != scenario.name).withColumn(
-        "is_latest", F.when(F.coalesce(overlap, F.lit(False)), 0).otherwise(F.col("is_latest"))
-    )
-    modeling = F.lit(scenario.spend_type)
-    if "modelingname" in final.columns:
-        is_list = isinstance(final.schema["modelingname"].dataType, T.ArrayType)
-        modeling = F.concat_ws(",", "modelingname") if is_list else F.col("modelingname")
-    tagged = final.withColumns({
-        "modelingname": modeling, "scenario_name": F.lit(scenario.name), "is_latest": F.lit(1),
-        "date": F.concat_ws(" ", end.cast("string"), F.lit("23:59:59")),
-        "year": F.lit(scenario.year), "month": F.lit(scenario.last_month),
-        "half_year": F.lit("H1" if scenario.last_month <= 6 else "H2"),
+    types = dict(final.dtypes)
+    is_list = types.get("modelingname", "").startswith("array")
+    label = "modelingname" if "modelingname" in types else quoted(scenario.spend_type)
+    end = f"last_day(make_date({scenario.year}, {scenario.last_month}, 1))"
+    tagged = with_exprs(final, {
+        "modelingname": "concat_ws(',', modelingname)" if is_list else label,
+        "scenario_name": quoted(scenario.name), "is_latest": "1",
+        "date": f"concat(cast({end} as string), ' 23:59:59')",
+        "year": str(scenario.year), "month": str(scenario.last_month),
+        "half_year": "'H1'" if scenario.last_month <= 6 else "'H2'",
     })
     return others.unionByName(tagged, allowMissingColumns=True).distinct()
 
 
 def load_check(written: DataFrame, published: DataFrame, scenario: str) -> DataFrame:
     """One row: distinct rows written, rows read back for the scenario, and whether they agree."""
-    sent = written.distinct().agg(F.count(F.lit(1)).alias("rows_written"))
-    read = published.filter(F.col("scenario_name") == scenario).agg(F.count(F.lit(1)).alias("rows_loaded"))
-    # Two one-row tables.
-    return sent.withColumn("_one", F.lit(1)).join(read.withColumn("_one", F.lit(1)), "_one").select(
-        F.lit(scenario).alias("scenario_name"), "rows_written", "rows_loaded",
-        (F.col("rows_written") == F.col("rows_loaded")).alias("loaded"),
+    sent = written.distinct().selectExpr("1L as sent", "0L as loaded")
+    read = published.filter(f"scenario_name = {quoted(scenario)}").selectExpr("0L as sent", "1L as loaded")
+    counts = aggregate(sent.unionByName(read), [], {
+        "rows_written": "coalesce(sum(sent), 0L)", "rows_loaded": "coalesce(sum(loaded), 0L)",
+    })
+    return counts.selectExpr(
+        f"{quoted(scenario)} as scenario_name", "*", "rows_written = rows_loaded as loaded"
     )
 
 
@@ -228,17 +222,15 @@ RUNNING, DONE, FAILED = 0, 1, 2
 def status_upsert(ledger: DataFrame, reports: DataFrame) -> DataFrame:
     """Ledger with the reported scenarios replaced by their newest report."""
     kept = ledger.join(reports.select("scenarioname").distinct(), "scenarioname", "left_anti")
-    columns = [f.name for f in S.LEDGER.fields]
-    return kept.unionByName(latest_status(reports).select(*columns), allowMissingColumns=True)
+    newest = latest_status(reports).select(*[f.name for f in S.LEDGER.fields])
+    return kept.unionByName(newest, allowMissingColumns=True)
 
 
 def latest_status(reports: DataFrame) -> DataFrame:
     """Newest report per scenario from an append-only log; partial sums before the shuffle."""
-    row = F.struct("isoptimizationexecutioncompleted", "progressmessage", "reported_at", "report_no")
-    newest = reports.groupBy("scenarioname").agg(
-        F.max_by(row, F.struct("reported_at", "report_no")).alias("r")
-    )
-    return newest.select("scenarioname", "r.*")
+    row = "struct(isoptimizationexecutioncompleted, progressmessage, reported_at, report_no)"
+    newest = aggregate(reports, ["scenarioname"], {"r": f"max_by({row}, struct(reported_at, report_no))"})
+    return newest.selectExpr("scenarioname", "r.*")
 
 
 # --- comparison with actuals -----------------------------------------------------------
@@ -259,28 +251,24 @@ def key_semi_filter(output: DataFrame, actuals: DataFrame) -> DataFrame:
 
 
 def _with_actuals(output: DataFrame, actuals: DataFrame) -> DataFrame:
-    named = actuals.select(*MATCH_KEY, *[F.col(m).alias(f"decomp_{m}") for m in S.MEASURES])
-    return output.join(named, MATCH_KEY, "left")
+    renamed = actuals.selectExpr(*MATCH_KEY, *[f"{m} as decomp_{m}" for m in S.MEASURES])
+    return output.join(renamed, MATCH_KEY, "left")
 
 
 def match_flags(output: DataFrame, actuals: DataFrame) -> DataFrame:
     """Per measure, 1 where last year's value equals the actual at whole units, else 0."""
-    return _with_actuals(output, actuals).withColumns({
-        f"{m}_match": F.when(
-            round_dp(f"{LY}{m}_old", 0) == round_dp(f"decomp_{m}", 0), 1
-        ).otherwise(0)
-        for m in S.MEASURES
-    })
+    return _with_actuals(output, actuals).selectExpr("*", *named({
+        f"{m}_match": f"if({round_dp(f'{LY}{m}_old', 0)} = {round_dp(f'decomp_{m}', 0)}, 1, 0)" for m in S.MEASURES
+    }))
 
 
 def factor_align(output: DataFrame, actuals: DataFrame) -> DataFrame:
     """Scale output and last-year values by the ratio of actuals to last-year values."""
-    factors = {m: ratio(f"decomp_{m}", f"{LY}{m}_old") for m in S.MEASURES}
-    joined = _with_actuals(output, actuals).withColumns({f"{m}_factor": c for m, c in factors.items()})
-    return joined.withColumns({
-        **{m: F.col(m) * F.col(f"{m}_factor") for m in ("spends", "gps", "volume")},
-        **{f"{LY}{m}_old_calc": F.col(f"{LY}{m}_old") * F.col(f"{m}_factor") for m in S.MEASURES},
-        "netsales_calc_factor": ratio(
-            F.col("decomp_netsales"), F.col("decomp_gps") - F.col("decomp_spends")
-        ),
-    }).withColumn("netsales", (F.col("gps") - F.col("spends")) * F.col("netsales_calc_factor"))
+    factors = {f"{m}_factor": ratio(f"decomp_{m}", f"{LY}{m}_old") for m in S.MEASURES}
+    factors["netsales_calc_factor"] = ratio("decomp_netsales", "decomp_gps - decomp_spends")
+    joined = _with_actuals(output, actuals).selectExpr("*", *named(factors))
+    return with_exprs(joined, {
+        **{m: f"{m} * {m}_factor" for m in ("spends", "gps", "volume")},
+        **{f"{LY}{m}_old_calc": f"{LY}{m}_old * {m}_factor" for m in S.MEASURES},
+        "netsales": "(gps * gps_factor - spends * spends_factor) * netsales_calc_factor",
+    })

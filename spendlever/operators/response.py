@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
-from spendlever.functions.expr import exact_sum, round_dp
+from spendlever.functions.expr import (
+    MONTH_START, aggregate, exact_sum, in_list, named, quoted, round_dp, with_exprs,
+)
 from spendlever.functions.lineage import settle
 from spendlever.functions.ordered import running_totals
 
@@ -55,45 +57,37 @@ def scope_filter(
     """Rows of one scenario's scope.
 
     ``period`` is (year, first month, last month). ``spends`` and ``volume`` are
-    comparisons such as ``"> 0"``. Only raw columns are compared, so every predicate
-    reaches the scan.
+    comparisons such as ``"> 0"``. Only plain columns are compared, so every predicate
+    reaches the scan of a stored fact.
     """
-    conditions: list[Column] = []
-    if business is not None:
-        conditions.append(F.col("business") == business)
-    for column, values in (
-        ("category", categories), ("channel", channels), ("shisha", shishas), ("modelingname", drivers),
-    ):
-        if values is not None:
-            conditions.append(F.col(column).isin(values))
+    tests = [f"business = {quoted(business)}"] if business is not None else []
+    lists = {"category": categories, "channel": channels, "shisha": shishas, "modelingname": drivers}
+    tests += [in_list(c, values) for c, values in lists.items() if values is not None]
     if period is not None:
-        year, first, last = period
-        conditions += [F.col("year") == year, F.col("month").between(first, last)]
-    conditions += [F.expr(f"{c} {test}") for c, test in (("spends", spends), ("volume", volume)) if test]
-    for condition in conditions:
-        fact = fact.filter(condition)
-    return fact
+        tests.append("year = {} and month between {} and {}".format(*period))
+    tests += [f"{c} {test}" for c, test in (("spends", spends), ("volume", volume)) if test]
+    return fact.filter(" and ".join(tests)) if tests else fact
 
 
 def value_ranks(rows: DataFrame, keys: list[str], measure: str) -> DataFrame:
     """Average-tie percentile rank of every distinct value of ``measure`` within its key."""
-    counts = rows.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, keys, measure, "n")
-    rank = F.col("n_before") + (F.col("n") + 1) / 2.0
-    return ranked.select(*keys, measure, (rank / F.col("n_total")).alias(f"pct_rank_{measure}"))
+    counts = aggregate(rows, [*keys, measure], {"n": "count(1)"})
+    return running_totals(counts, keys, measure, "n").selectExpr(
+        *keys, measure, f"(n_before + (n + 1) / 2D) / n_total as pct_rank_{measure}"
+    )
 
 
 def pct_rank_avg(rows: DataFrame, keys: list[str], measures: list[str] | None = None) -> DataFrame:
     """Add the average-tie percentile rank of each measure within its key."""
+    ranked = rows
     for measure in measures or ["spends", "volume"]:
-        rows = rows.join(value_ranks(rows, keys, measure), [*keys, measure], "left")
-    return rows
+        ranked = ranked.join(value_ranks(rows, keys, measure), [*keys, measure], "left")
+    return ranked
 
 
-def month_start() -> Column:
-    return F.concat_ws(
-        "-", F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"), F.lit("01")
-    )
+def _r_squared(n: str, flat_x: str, flat_y: str, r2: str) -> str:
+    """Undefined for one row, 1 for a constant response, 0 for a constant spend."""
+    return f"case when {n} < 2 then null when {flat_y} then 1D when {flat_x} then 0D else {r2} end"
 
 
 def loglog_fit(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,34 +95,22 @@ def loglog_fit(rows: DataFrame, keys: list[str]) -> DataFrame:
 
     A single row or a constant spend has slope 0 and the mean of ln(volume) as intercept.
     """
-    x, y = F.ln("spends"), F.ln("volume")
-    fits = rows.groupBy(*keys).agg(
-        F.min(month_start()).alias("first_sales_month"),
-        F.max(month_start()).alias("last_sales_month"),
-        F.count(F.lit(1)).alias("number_of_rows"),
-        exact_sum("spends").alias("total_overall_spends"),
-        exact_sum("volume").alias("total_overall_volume"),
-        F.regr_slope(y, x).alias("_slope"), F.regr_intercept(y, x).alias("_intercept"),
-        F.regr_r2(y, x).alias("_r2"), F.avg(y).alias("_mean_y"),
-        (F.min("spends") == F.max("spends")).alias("_flat_x"),
-        (F.min("volume") == F.max("volume")).alias("_flat_y"),
+    points = rows.selectExpr(
+        *keys, "spends", "volume", f"{MONTH_START} as sales_month", "ln(spends) as x", "ln(volume) as y"
     )
-    return fits.select(
+    fits = aggregate(points, keys, {
+        "first_sales_month": "min(sales_month)", "last_sales_month": "max(sales_month)",
+        "number_of_rows": "count(1)",
+        "total_overall_spends": exact_sum("spends"), "total_overall_volume": exact_sum("volume"),
+        "_slope": "regr_slope(y, x)", "_intercept": "regr_intercept(y, x)", "_r2": "regr_r2(y, x)",
+        "_mean_y": "avg(y)", "_flat_x": "min(spends) = max(spends)", "_flat_y": "min(volume) = max(volume)",
+    })
+    return fits.selectExpr(
         *keys, "first_sales_month", "last_sales_month", "number_of_rows",
         "total_overall_spends", "total_overall_volume",
-        _r_squared(F.col("number_of_rows"), F.col("_flat_x"), F.col("_flat_y"), F.col("_r2")).alias("r_squared"),
-        F.greatest(
-            F.when(F.col("_flat_x"), F.col("_mean_y")).otherwise(F.col("_intercept")), F.lit(0.0)
-        ).alias("intercept"),
-        F.when(F.col("_flat_x"), 0.0).otherwise(F.col("_slope")).alias("spends_coef"),
-    )
-
-
-def _r_squared(n: Column, flat_x: Column, flat_y: Column, r2: Column) -> Column:
-    """Undefined for one row, 1 for a constant response, 0 for a constant spend."""
-    return (
-        F.when(n < 2, F.lit(None).cast("double")).when(flat_y, F.lit(1.0))
-        .when(flat_x, F.lit(0.0)).otherwise(r2)
+        f"{_r_squared('number_of_rows', '_flat_x', '_flat_y', '_r2')} as r_squared",
+        "greatest(case when _flat_x then _mean_y else _intercept end, 0D) as intercept",
+        "case when _flat_x then 0D else _slope end as spends_coef",
     )
 
 
@@ -138,55 +120,42 @@ def _cutoffs(rows: DataFrame, keys: list[str]) -> DataFrame:
     A rank is monotone in its value, so comparing values with these cutoffs selects the
     same rows as comparing ranks with the thresholds.
     """
-    sides = F.explode(F.array(*[
-        F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in ("spends", "volume")
-    ]))
-    values = rows.select(*keys, sides.alias("v")).select(*keys, "v.measure", "v.value")
+    values = rows.selectExpr(*keys, "stack(2, 'spends', spends, 'volume', volume) as (measure, value)")
     ranks = value_ranks(values, [*keys, "measure"], "value")
-    pct, value = F.col("pct_rank_value"), F.col("value")
-
-    def per_measure(measure: str, tag: str) -> list[Column]:
-        mine = F.col("measure") == measure
-        return [
-            F.min(F.when(mine, value)).alias(f"{tag}_min"),
-            *[F.min(F.when(mine & (pct >= t), value)).alias(f"{tag}_hi{i}") for i, t in enumerate(TRIM_HIGH)],
-            *[F.max(F.when(mine & (pct <= t), value)).alias(f"{tag}_lo{i}") for i, t in enumerate(TRIM_LOW)],
-        ]
-
-    return ranks.groupBy(*keys).agg(*per_measure("spends", "s"), *per_measure("volume", "v"))
-
-
-def _first_trim(s_side: tuple[str, str], v_side: tuple[str, str]) -> Column:
-    """First threshold (1-based) whose two corners contain the row, else NEVER."""
-    test = {"hi": lambda m, c: F.col(m) >= F.col(c), "lo": lambda m, c: F.col(m) <= F.col(c)}
-    result = F.lit(NEVER)
-    for i in reversed(range(len(TRIM_HIGH))):
-        corners = [
-            test[s]("spends", f"s_{s}{i}") & test[v]("volume", f"v_{v}{i}")
-            for s, v in zip(s_side, v_side)
-        ]
-        result = F.when(corners[0] | corners[1], F.lit(i + 1)).otherwise(result)
-    return result
-
-
-MOMENTS = ["n", "sx", "sy", "sxx", "sxy", "syy"]
-EXTREMES = {"x_lo": F.min, "x_hi": F.max, "y_lo": F.min, "y_hi": F.max}
-
-
-def _fit_columns() -> dict[str, Column]:
-    """Slope, intercept and R² from shifted moments and the shift."""
-    n = F.col("n")
-    cxx = F.col("sxx") - F.col("sx") * F.col("sx") / n
-    cxy = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    cyy = F.col("syy") - F.col("sy") * F.col("sy") / n
-    flat_x, flat_y = F.col("x_lo") == F.col("x_hi"), F.col("y_lo") == F.col("y_hi")
-    slope = F.when(flat_x, 0.0).otherwise(F.try_divide(cxy, cxx))
-    intercept = F.col("y_min") + F.col("sy") / n - slope * (F.col("x_min") + F.col("sx") / n)
-    return {
-        "spends_coef": round_dp(slope, 6),
-        "intercept": round_dp(F.greatest(intercept, F.lit(0.0)), 6),
-        "r_squared": round_dp(_r_squared(n, flat_x, flat_y, F.try_divide(cxy * cxy, cxx * cyy)), 6),
-    }
+    cuts = {}
+    for measure, tag in (("spends", "s"), ("volume", "v")):
+        mine = f"filter (where measure = '{measure}'"
+        cuts[f"{tag}_min"] = f"min(value) {mine})"
+        for i, (high, low) in enumerate(zip(TRIM_HIGH, TRIM_LOW)):
+            cuts[f"{tag}_hi{i}"] = f"min(value) {mine} and pct_rank_value >= {high}D)"
+            cuts[f"{tag}_lo{i}"] = f"max(value) {mine} and pct_rank_value <= {low}D)"
+    return aggregate(ranks, keys, cuts)
+
+
+def _first_trim(corners: tuple[tuple[str, str], tuple[str, str]]) -> str:
+    """First threshold (1-based) with a corner that contains the row, else NEVER."""
+    sign = {"hi": ">=", "lo": "<="}
+    cases = [
+        "when " + " or ".join(
+            f"(spends {sign[s]} s_{s}{i} and volume {sign[v]} v_{v}{i})" for s, v in corners
+        ) + f" then {i + 1}"
+        for i in range(len(TRIM_HIGH))
+    ]
+    return f"case {' '.join(cases)} else {NEVER} end"
+
+
+OFF_DIAGONAL = (("hi", "lo"), ("lo", "hi"))
+DIAGONAL = (("hi", "hi"), ("lo", "lo"))
+TOTALS = {
+    "n": "sum(n)", "sx": "sum(sx)", "sy": "sum(sy)", "sxx": "sum(sxx)", "sxy": "sum(sxy)", "syy": "sum(syy)",
+    "x_lo": "min(x_lo)", "x_hi": "max(x_hi)", "y_lo": "min(y_lo)", "y_hi": "max(y_hi)",
+    "x_min": "max(x_min)", "y_min": "max(y_min)",
+    "first_sales_month": "min(first_sales_month)", "last_sales_month": "max(last_sales_month)",
+    "spent": "sum(spent)", "sold": "sum(sold)",
+}
+CXX, CXY, CYY = "(sxx - sx * sx / n)", "(sxy - sx * sy / n)", "(syy - sy * sy / n)"
+FLAT_X, FLAT_Y = "x_lo = x_hi", "y_lo = y_hi"
+SLOPE = f"case when {FLAT_X} then 0D else try_divide({CXY}, {CXX}) end"
 
 
 def trim_refit(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -200,107 +169,73 @@ def trim_refit(rows: DataFrame, keys: list[str]) -> DataFrame:
     One aggregation keeps moments per class; each refit is a sum over classes. Logs are
     shifted by the key's minimum so the moments do not cancel.
     """
-    keyed = rows.select(*keys, "spends", "volume", month_start().alias("sales_month"))
-    cut = keyed.join(_cutoffs(keyed, keys), keys)
-    x, y = F.ln("spends") - F.ln("s_min"), F.ln("volume") - F.ln("v_min")
-    points = cut.select(
-        *keys, "spends", "volume", "sales_month", x.alias("x"), y.alias("y"),
-        F.ln("s_min").alias("x_min"), F.ln("v_min").alias("y_min"),
-        _first_trim(("hi", "lo"), ("lo", "hi")).alias("less"),
-        _first_trim(("hi", "lo"), ("hi", "lo")).alias("more"),
-    )
-    classes = points.groupBy(*keys, "less", "more").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-        F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * F.col("y")).alias("sxy"),
-        F.sum(F.col("y") * F.col("y")).alias("syy"),
-        F.min("spends").alias("x_lo"), F.max("spends").alias("x_hi"),
-        F.min("volume").alias("y_lo"), F.max("volume").alias("y_hi"),
-        F.max("x_min").alias("x_min"), F.max("y_min").alias("y_min"),
-        F.min("sales_month").alias("first_sales_month"), F.max("sales_month").alias("last_sales_month"),
-        F.sum(F.col("spends").cast("decimal(28,4)")).alias("total_overall_spends"),
-        F.sum(F.col("volume").cast("decimal(28,4)")).alias("total_overall_volume"),
+    keyed = rows.selectExpr(*keys, "spends", "volume", f"{MONTH_START} as sales_month")
+    points = keyed.join(_cutoffs(keyed, keys), keys).selectExpr(
+        *keys, "spends", "volume", "sales_month",
+        "ln(spends) - ln(s_min) as x", "ln(volume) - ln(v_min) as y",
+        "ln(s_min) as x_min", "ln(v_min) as y_min",
+        f"{_first_trim(OFF_DIAGONAL)} as less", f"{_first_trim(DIAGONAL)} as more",
     )
+    classes = aggregate(points, [*keys, "less", "more"], {
+        "n": "count(1)", "sx": "sum(x)", "sy": "sum(y)",
+        "sxx": "sum(x * x)", "sxy": "sum(x * y)", "syy": "sum(y * y)",
+        "x_lo": "min(spends)", "x_hi": "max(spends)", "y_lo": "min(volume)", "y_hi": "max(volume)",
+        "x_min": "max(x_min)", "y_min": "max(y_min)",
+        "first_sales_month": "min(sales_month)", "last_sales_month": "max(sales_month)",
+        "spent": "sum(cast(spends as decimal(28,4)))", "sold": "sum(cast(volume as decimal(28,4)))",
+    })
     # A key has at most 8 x 8 classes, so its window and its refits stay small.
-    per_key = Window.partitionBy(*keys)
-    originals = {m: F.sum(m).over(per_key).alias(m) for m in ("n", "sx", "sxx", "sxy", "sy")}
-    whole = {f"_{m}": c for m, c in originals.items()}
-    slope0 = F.when(
-        F.min("x_lo").over(per_key) == F.max("x_hi").over(per_key), 0.0
-    ).otherwise(F.try_divide(
-        F.col("_sxy") - F.col("_sx") * F.col("_sy") / F.col("_n"),
-        F.col("_sxx") - F.col("_sx") * F.col("_sx") / F.col("_n"),
-    ))
-    directed = classes.withColumns(whole).withColumn("slope0", slope0).withColumn(
-        "direction", F.when(F.col("slope0") < 0, -1).when(F.col("slope0") > 1, 1).otherwise(0)
+    per_key = f"over (partition by {', '.join(keys)})"
+    whole = {f"_{m}": f"sum({m}) {per_key}" for m in ("n", "sx", "sy", "sxx", "sxy")}
+    slope0 = f"""case when min(x_lo) {per_key} = max(x_hi) {per_key} then 0D
+        else try_divide(_sxy - _sx * _sy / _n, _sxx - _sx * _sx / _n) end"""
+    variants = (
+        classes.selectExpr("*", *named(whole)).selectExpr("*", f"{slope0} as slope0")
+        .selectExpr("*", "case when slope0 < 0 then -1 when slope0 > 1 then 1 else 0 end as direction")
+        .selectExpr("*", f"explode(if(direction = 0, array(0), sequence(0, {NEVER - 1}))) as step")
+        .filter("step = 0 or if(direction < 0, less, more) > step")
     )
-    steps = F.when(F.col("direction") == 0, F.array(F.lit(0))).otherwise(
-        F.array(*[F.lit(i) for i in range(NEVER)])
+    fits = aggregate(variants, [*keys, "direction", "step"], TOTALS).selectExpr("*", f"{SLOPE} as _slope").selectExpr(
+        "*", f"{round_dp('_slope', 6)} as spends_coef",
+        f"{round_dp('greatest(y_min + sy / n - _slope * (x_min + sx / n), 0D)', 6)} as intercept",
+        f"{round_dp(_r_squared('n', FLAT_X, FLAT_Y, f'try_divide({CXY} * {CXY}, {CXX} * {CYY})'), 6)} as r_squared",
     )
-    removed_at = F.when(F.col("direction") < 0, F.col("less")).otherwise(F.col("more"))
-    variants = directed.withColumn("step", F.explode(steps)).filter(
-        (F.col("step") == 0) | (removed_at > F.col("step"))
-    )
-    fits = (
-        variants.groupBy(*keys, "direction", "step")
-        .agg(
-            *[F.sum(m).alias(m) for m in MOMENTS],
-            *[f(c).alias(c) for c, f in EXTREMES.items()],
-            F.max("x_min").alias("x_min"), F.max("y_min").alias("y_min"),
-            F.min("first_sales_month").alias("first_sales_month"),
-            F.max("last_sales_month").alias("last_sales_month"),
-            F.sum("total_overall_spends").cast("double").alias("total_overall_spends"),
-            F.sum("total_overall_volume").cast("double").alias("total_overall_volume"),
-        )
-        .withColumns(_fit_columns())
-    )
-    original, accepted = F.col("step") == 0, (
-        (F.col("step") > 0) & (F.col("spends_coef") > SLOPE_LOW) & (F.col("spends_coef") < SLOPE_HIGH)
-    )
-    fit = F.struct("step", "n", "r_squared", "intercept", "spends_coef")
-    picked = fits.groupBy(*keys).agg(
-        F.max(F.when(original, fit)).alias("original"),
-        F.max_by(F.when(accepted, fit), F.when(accepted, F.col("step"))).alias("refit"),
-        F.max("step").alias("last_step"), F.max("direction").alias("direction"),
-        *[
-            F.max(F.when(original, F.col(c))).alias(c)
-            for c in ("first_sales_month", "last_sales_month", "total_overall_spends", "total_overall_volume")
-        ],
-    )
-    exhausted = F.col("last_step") < NEVER - 1
-    chosen = F.when(exhausted, F.col("original")).otherwise(F.coalesce("refit", "original"))
-    return picked.withColumn("fit", chosen).select(
-        *keys, "first_sales_month", "last_sales_month",
-        F.col("original.n").alias("number_of_rows"),
-        F.col("fit.n").alias("number_of_rows_after_perct_rank"),
-        "total_overall_spends", "total_overall_volume",
-        _model_type().alias("model_type"), "fit.r_squared", "fit.intercept", "fit.spends_coef",
+    fit = "struct(step, n, r_squared, intercept, spends_coef)"
+    accepted = f"(where step > 0 and spends_coef > {SLOPE_LOW}D and spends_coef < {SLOPE_HIGH}D)"
+    kept = ["first_sales_month", "last_sales_month", "spent", "sold"]
+    picked = aggregate(fits, keys, {
+        "original": f"max({fit}) filter (where step = 0)",
+        "refit": f"max_by({fit}, step) filter {accepted}",
+        "last_step": "max(step)", "direction": "max(direction)",
+        **{c: f"max({c}) filter (where step = 0)" for c in kept},
+    })
+    chosen = f"if(last_step < {NEVER - 1}, original, coalesce(refit, original))"
+    return picked.selectExpr("*", f"{chosen} as fit").selectExpr(
+        *keys, "first_sales_month", "last_sales_month", "original.n as number_of_rows",
+        "fit.n as number_of_rows_after_perct_rank",
+        "cast(spent as double) as total_overall_spends", "cast(sold as double) as total_overall_volume",
+        f"{_model_type()} as model_type", "fit.r_squared", "fit.intercept", "fit.spends_coef",
     )
 
 
-def _model_type() -> Column:
-    label = F.lit("Original")
+def _model_type() -> str:
+    cases = []
     for i, (hi, lo) in enumerate(zip(TRIM_HIGH, TRIM_LOW), start=1):
-        here = F.col("fit.step") == i
-        label = (
-            F.when(here & (F.col("direction") < 0), F.lit(f"augmented_less[({hi}, {lo}), ({lo}, {hi})]"))
-            .when(here & (F.col("direction") > 0), F.lit(f"augmented_more[({hi}, {hi}), ({lo}, {lo})]"))
-            .otherwise(label)
-        )
-    return label
+        cases.append(f"when fit.step = {i} and direction < 0 then 'augmented_less[({hi}, {lo}), ({lo}, {hi})]'")
+        cases.append(f"when fit.step = {i} and direction > 0 then 'augmented_more[({hi}, {hi}), ({lo}, {lo})]'")
+    return f"case {' '.join(cases)} else 'Original' end"
 
 
 def level_rows(rows: DataFrame, levels: FitLevels) -> DataFrame:
     """Each row once per fit level, the left-out key column replaced by ``*``."""
-    tagged = [
-        F.struct(
-            F.lit(i).alias("level"),
-            *[(F.lit(ALL) if k == drop else F.col(k)).alias(k) for k in levels.keys],
-        )
+    tagged = ", ".join(
+        f"{i}, " + ", ".join(f"'{ALL}'" if k == drop else k for k in levels.keys)
         for i, drop in enumerate((None, *levels.drops))
-    ]
-    return rows.select(
-        F.explode(F.array(*tagged)).alias("l"), "year", "month", "spends", "volume"
-    ).select("l.*", "year", "month", "spends", "volume")
+    )
+    stacked = f"stack({len(levels.drops) + 1}, {tagged}) as (level, {', '.join('_' + k for k in levels.keys)})"
+    return rows.selectExpr(stacked, "year", "month", "spends", "volume").selectExpr(
+        "level", *[f"_{k} as {k}" for k in levels.keys], "year", "month", "spends", "volume"
+    )
 
 
 def fit_levels(rows: DataFrame, levels: FitLevels) -> DataFrame:
@@ -313,59 +248,51 @@ def hierarchical_fallback(fits: DataFrame, levels: FitLevels) -> DataFrame:
 
     ``fits`` is read once per level, so pass a settled table.
     """
-    model = fits.filter(F.col("level") == 0).drop("level")
+    model = fits.filter("level = 0").drop("level")
     columns = model.columns
+    inside = f"coalesce(spends_coef between {SLOPE_LOW}D and {SLOPE_HIGH}D, false)"
     for i, drop in enumerate(levels.drops, start=1):
         kept = [k for k in levels.keys if k != drop]
-        coarse = fits.filter(F.col("level") == i).select(*kept, F.col("spends_coef").alias("_coarse"))
-        outside = ~F.coalesce(F.col("spends_coef").between(SLOPE_LOW, SLOPE_HIGH), F.lit(False))
-        model = model.join(coarse, kept, "left").withColumns({
-            "spends_coef": F.when(outside, F.col("_coarse")).otherwise(F.col("spends_coef")),
-            "model_type": F.when(outside, F.lit(f"Without_{drop.upper()}_Level_Model_Augmented"))
-            .otherwise(F.col("model_type")),
+        coarse = fits.filter(f"level = {i}").selectExpr(*kept, "spends_coef as _coarse")
+        model = with_exprs(model.join(coarse, kept, "left"), {
+            "spends_coef": f"if({inside}, spends_coef, _coarse)",
+            "model_type": f"if({inside}, model_type, 'Without_{drop.upper()}_Level_Model_Augmented')",
         }).select(*columns)
     return model
 
 
 def zero_response_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Coefficient rows of zeros for keys that spent without selling."""
-    return (
-        rows.filter((F.col("spends") > 0) & (F.col("volume") == 0))
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("number_of_rows"),
-            exact_sum("spends").alias("total_overall_spends"),
-            exact_sum("volume").alias("total_overall_volume"),
-        )
-        .select(
-            *keys, F.lit("").alias("first_sales_month"), F.lit("").alias("last_sales_month"),
-            "number_of_rows", F.lit(0).cast("bigint").alias("number_of_rows_after_perct_rank"),
-            "total_overall_spends", "total_overall_volume", F.lit(ZERO_RESPONSE).alias("model_type"),
-            *[F.lit(0.0).alias(c) for c in ("r_squared", "intercept", "spends_coef")],
-        )
+    counted = aggregate(rows.filter("spends > 0 and volume = 0"), keys, {
+        "number_of_rows": "count(1)", "total_overall_spends": exact_sum("spends"),
+        "total_overall_volume": exact_sum("volume"),
+    })
+    return counted.selectExpr(
+        *keys, "'' as first_sales_month", "'' as last_sales_month", "number_of_rows",
+        "0L as number_of_rows_after_perct_rank", "total_overall_spends", "total_overall_volume",
+        f"'{ZERO_RESPONSE}' as model_type", "0D as r_squared", "0D as intercept", "0D as spends_coef",
     )
 
 
 def consolidate_models(models: DataFrame, zero_rows: DataFrame, keys: list[str]) -> DataFrame:
     """One coefficient row per key: numbers add up, model types are listed in order."""
     counted = ["number_of_rows", "number_of_rows_after_perct_rank"]
-    return (
-        models.unionByName(zero_rows).groupBy(*keys)
-        .agg(
-            F.max("first_sales_month").alias("first_sales_month"),
-            F.max("last_sales_month").alias("last_sales_month"),
-            *[F.sum(c).alias(c) for c in counted],
-            *[exact_sum(c).alias(c) for c in ("total_overall_spends", "total_overall_volume")],
-            F.sort_array(F.collect_list("model_type")).alias("model_type"),
-            *[exact_sum(c, 6).alias(c) for c in ("r_squared", "intercept", "spends_coef")],
-        )
-    )
+    return aggregate(models.unionByName(zero_rows), keys, {
+        "first_sales_month": "max(first_sales_month)", "last_sales_month": "max(last_sales_month)",
+        **{c: f"sum({c})" for c in counted},
+        **{c: exact_sum(c) for c in ("total_overall_spends", "total_overall_volume")},
+        "model_type": "sort_array(collect_list(model_type))",
+        **{c: exact_sum(c, 6) for c in ("r_squared", "intercept", "spends_coef")},
+    })
 
 
 def response_model(rows: DataFrame, levels: FitLevels) -> DataFrame:
-    """Coefficients per key of one scope: fits, fallback and zero-response keys."""
+    """Coefficients per key of one scope: fits, fallback and zero-response keys.
+
+    ``rows`` (spend above zero) is read several times, so pass a settled table.
+    """
     keys = list(levels.keys)
-    fits = settle(fit_levels(rows.filter((F.col("spends") > 0) & (F.col("volume") > 0)), levels))
+    fits = settle(fit_levels(rows.filter("spends > 0 and volume > 0"), levels))
     return consolidate_models(
         hierarchical_fallback(fits, levels), zero_response_keys(rows, keys), keys
     )
@@ -373,6 +300,5 @@ def response_model(rows: DataFrame, levels: FitLevels) -> DataFrame:
 
 def attach_dimensions(coefficients: DataFrame, fact: DataFrame) -> DataFrame:
     """Add the fact's distinct dimensions; a key with several dimension rows fans out."""
-    key = ["segment", "shisha", "planningcustomer"]
     dims = fact.select(*S.DIMENSIONS).distinct()
-    return coefficients.join(dims, key, "left")
+    return coefficients.join(dims, ["segment", "shisha", "planningcustomer"], "left")

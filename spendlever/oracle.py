@@ -638,7 +638,7 @@ SQL["carry_non_optimised"] = stmt(f"SELECT {_s1out} FROM ({_carried('x_base1', '
 def _cost(where: str) -> str:
     return f"""
     SELECT {S2}, {div0(es('ec'), es('volume'))} AS ec_per_qtycase
-    FROM x_lines WHERE year = 1999 AND modelingname IN {where} AND spends > 0 AND volume >= 0 GROUP BY {S2}"""
+    FROM x_fact WHERE year = 1999 AND modelingname IN {where} AND spends > 0 AND volume >= 0 GROUP BY {S2}"""
 
 
 SQL["cost_per_case"] = stmt(f"""

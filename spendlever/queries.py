@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from spendlever import schemas as S
-from spendlever.functions.expr import round_dp
+from spendlever.functions.expr import in_list, round_dp, with_exprs
 from spendlever.functions.lineage import settle
 from spendlever.operators import allocate as A, branch as B, prep as P, publish as U, response as R
 from spendlever.sources import star
@@ -25,41 +25,29 @@ RUN = Callable[[SparkSession, str], DataFrame]
 
 def _rounded(df: DataFrame, dp: int = 4) -> DataFrame:
     """Present doubles at a fixed number of places."""
-    return df.select(*[
-        round_dp(f.name, dp).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f.name)
-        for f in df.schema.fields
-    ])
+    return df.selectExpr(*[f"{round_dp(f'`{c}`', dp)} as `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes])
 
 
 # --- derived tables --------------------------------------------------------------------
+# A table that a query reads more than once is settled first, so the lines are scanned once.
 
 
 def _fact(spark, d, **period) -> DataFrame:
     return star.promo_fact(spark, d, **period)
 
 
-def _lines(spark, d) -> DataFrame:
-    return star.promo_lines(spark, d)
-
-
-def _actuals(spark, d) -> DataFrame:
-    return star.booked_actuals(_lines(spark, d))
-
+def _actual_totals(fact: DataFrame) -> DataFrame:
+    return P.actuals_rollup(star.booked_actuals(fact))
 
-def _rescaled(spark, d) -> DataFrame:
-    shares = P.contribution_share(_fact(spark, d))
-    return P.rescale_to_actuals(shares, P.actuals_rollup(_actuals(spark, d)))
 
+def _repriced(spark, d, fact: DataFrame) -> DataFrame:
+    own = P.driver_share_pct(fact)
+    return P.price_change_passthrough(fact, star.price_change_feed(spark, d), own)
 
-def _repriced(spark, d) -> DataFrame:
-    own = settle(P.driver_share_pct(_lines(spark, d)))
-    feed = star.price_change_feed(_lines(spark, d))
-    return P.price_change_passthrough(_fact(spark, d), feed, own)
 
-
-def _branch(spark, d) -> DataFrame:
-    lines = _lines(spark, d)
-    return P.branch_money_split(star.branch_feeds(lines), star.customer_master(lines))
+def _branch(spark, d, **period) -> DataFrame:
+    lines = star.promo_lines(spark, d, **period)
+    return P.branch_money_split([star.branch_feed(lines)], star.customer_master(spark, d))
 
 
 def _unpivoted(spark, d) -> DataFrame:
@@ -70,61 +58,50 @@ def _apportioned(spark, d, conserve=False) -> DataFrame:
     return B.apportion_groups(_unpivoted(spark, d), [*S.KEY5, "modelingname"], S.MEASURES, conserve)
 
 
-def _assembled(spark, d) -> DataFrame:
-    fact = settle(_fact(spark, d))
-    return B.assemble_fact(fact, B.reallocate_branches(fact, _branch(spark, d)))
+SCOPE = {
+    "business": SCENARIO.business, "categories": SCENARIO.categories, "drivers": [SCENARIO.spend_type],
+}
+LAST_YEAR = {"since": "1999-01-01", "until": "1999-07-01"}
 
 
-def _scope(fact: DataFrame, **tests) -> DataFrame:
+def _period_scope(spark, d) -> DataFrame:
+    """Scenario scope in its last-year period; ship dates prune the scan."""
     return R.scope_filter(
-        fact, business=SCENARIO.business, categories=SCENARIO.categories,
-        drivers=[SCENARIO.spend_type], **tests,
+        _fact(spark, d, **LAST_YEAR), **SCOPE, period=SCENARIO.last_year_period, spends="> 0", volume=">= 0"
     )
 
 
-def _period_fact(spark, d) -> DataFrame:
-    """Fact of the scenario's last-year period; ship dates prune the scan."""
-    return _fact(spark, d, since="1999-01-01", until="1999-07-01")
-
+def _fit_rows(spark, d) -> DataFrame:
+    """Scenario scope over the whole history, settled: fits, baselines and costs all read it."""
+    return settle(R.scope_filter(_fact(spark, d), **SCOPE, spends="> 0", volume=">= 0"))
 
-def _period_scope(spark, d) -> DataFrame:
-    return _scope(_period_fact(spark, d), period=SCENARIO.last_year_period, spends="> 0", volume=">= 0")
 
-
-def _fit_rows(spark, d) -> DataFrame:
-    return _scope(_fact(spark, d), spends="> 0", volume=">= 0")
+def _in_period(rows: DataFrame) -> DataFrame:
+    return R.scope_filter(rows, period=SCENARIO.last_year_period)
 
 
 def _positive(df: DataFrame) -> DataFrame:
-    return df.filter((F.col("spends") > 0) & (F.col("volume") > 0))
+    return df.filter("spends > 0 and volume > 0")
 
 
-def _stage1_rows(spark, d) -> DataFrame:
-    coefficients = R.response_model(settle(_fit_rows(spark, d)), R.STAGE1)
-    return A.stage1_baseline(_period_scope(spark, d), coefficients)
+def _stage1_rows(rows: DataFrame) -> DataFrame:
+    return A.stage1_baseline(_in_period(rows), R.response_model(rows, R.STAGE1))
 
 
-def _stage1_items(spark, d) -> DataFrame:
-    parts = A.split_optimisable(_stage1_rows(spark, d))
-    return settle(A.back_calibrate(parts.filter("treatment = 'optimise'")))
+def _optimisable(parts: DataFrame) -> DataFrame:
+    return settle(A.back_calibrate(A.split_optimisable(parts).filter("treatment = 'optimise'")))
 
 
-def _stage1(spark, d) -> DataFrame:
-    return A.optimise_stage1(_stage1_rows(spark, d))
+def _stage1_items(spark, d) -> DataFrame:
+    return _optimisable(_stage1_rows(_fit_rows(spark, d)))
 
 
 def _pushed(spark, d) -> DataFrame:
-    rows = settle(_fit_rows(spark, d))
-    scope = settle(_period_scope(spark, d))
-    stage1 = A.optimise_stage1(A.stage1_baseline(scope, R.response_model(rows, R.STAGE1)))
+    rows = _fit_rows(spark, d)
+    stage1 = A.optimise_stage1(_stage1_rows(rows))
     fine = R.attach_dimensions(R.response_model(rows, R.STAGE2), rows)
-    cost = A.cost_per_case(_actuals(spark, d), SCENARIO.last_year, ["priceoff"])
-    return A.pushdown_stage1(fine, A.stage2_old(scope), stage1, cost)
-
-
-def _stage2_items(spark, d) -> DataFrame:
-    parts = A.split_optimisable(_pushed(spark, d))
-    return settle(A.back_calibrate(parts.filter("treatment = 'optimise'")))
+    cost = A.cost_per_case(star.booked_actuals(rows), SCENARIO.last_year, ["priceoff"])
+    return A.pushdown_stage1(fine, A.stage2_old(_in_period(rows)), stage1, cost)
 
 
 def _stage2(spark, d) -> DataFrame:
@@ -132,23 +109,19 @@ def _stage2(spark, d) -> DataFrame:
 
 
 def _final(spark, d) -> DataFrame:
-    return U.baseline_overlay(A.guardrail_revert(_stage2(spark, d)), _other_drivers(spark, d)).withColumn(
-        "modelingname", F.lit(SCENARIO.spend_type)
-    )
-
-
-def _other_drivers(spark, d) -> DataFrame:
-    return R.scope_filter(
-        _period_fact(spark, d), business=SCENARIO.business, categories=SCENARIO.categories,
+    others = R.scope_filter(
+        _fact(spark, d, **LAST_YEAR), business=SCENARIO.business, categories=SCENARIO.categories,
         period=SCENARIO.last_year_period,
-    ).filter(~F.col("modelingname").isin(*S.TOTAL_ROWS, SCENARIO.spend_type))
+    ).filter("not " + in_list("modelingname", [*S.TOTAL_ROWS, SCENARIO.spend_type]))
+    overlaid = U.baseline_overlay(A.guardrail_revert(_stage2(spark, d)), others)
+    return overlaid.selectExpr("*", f"'{SCENARIO.spend_type}' as modelingname")
 
 
 def _reworked(spark, d) -> DataFrame:
     year, first, last = SCENARIO.last_year_period
-    months = (F.col("year") == year) & F.col("month").between(first, last)
-    stage2 = settle(_stage2(spark, d).withColumn("modelingname", F.lit(SCENARIO.spend_type)))
-    return B.branch_rework_output(stage2, _branch(spark, d), months)
+    stage2 = settle(_stage2(spark, d).selectExpr("*", f"'{SCENARIO.spend_type}' as modelingname"))
+    branch = _branch(spark, d, **LAST_YEAR)
+    return B.branch_rework_output(stage2, branch, f"year = {year} and month between {first} and {last}")
 
 
 def _period_actuals(spark, d) -> DataFrame:
@@ -156,9 +129,9 @@ def _period_actuals(spark, d) -> DataFrame:
 
 
 def _projected(spark, d) -> DataFrame:
-    return U.scenario_output_projection(
+    return settle(U.scenario_output_projection(
         _reworked(spark, d), SCENARIO.name, SCENARIO.spend_type, DATE_TEXT
-    )
+    ))
 
 
 def _requests(spark, d) -> DataFrame:
@@ -173,11 +146,12 @@ def contribution_share(spark, d):
 
 
 def actuals_rollup(spark, d):
-    return P.actuals_rollup(_actuals(spark, d))
+    return _actual_totals(_fact(spark, d))
 
 
 def rescale_to_actuals(spark, d):
-    return _rescaled(spark, d)
+    fact = settle(_fact(spark, d))
+    return P.rescale_to_actuals(P.contribution_share(fact), _actual_totals(fact))
 
 
 def normalise_period(spark, d):
@@ -185,11 +159,11 @@ def normalise_period(spark, d):
 
 
 def driver_share_pct(spark, d):
-    return _rounded(P.driver_share_pct(_lines(spark, d)), 6)
+    return _rounded(P.driver_share_pct(star.promo_lines(spark, d)), 6)
 
 
 def price_change_passthrough(spark, d):
-    return _rounded(_repriced(spark, d))
+    return _rounded(_repriced(spark, d, settle(_fact(spark, d))))
 
 
 def branch_money_split(spark, d):
@@ -223,9 +197,8 @@ APPORTIONED = [
 def apportion_groups(spark, d):
     out = _apportioned(spark, d)
     # An unmatched row passes through once; which old customer it came from carries no meaning.
-    old = F.when(F.col("share_group") != "none", F.col("old_planningcustomer"))
-    kind = F.when(F.col("share_group") != "none", F.col("contri_type"))
-    return _rounded(out.withColumns({"old_planningcustomer": old, "contri_type": kind}).select(*APPORTIONED), 6)
+    shown = {c: f"if(share_group != 'none', {c}, null)" for c in ("old_planningcustomer", "contri_type")}
+    return _rounded(with_exprs(out, shown).select(*APPORTIONED), 6)
 
 
 def apportion_conserving(spark, d):
@@ -238,16 +211,17 @@ def reassign_branch(spark, d):
 
 
 def assemble_fact(spark, d):
-    return _rounded(_assembled(spark, d))
+    fact = settle(_fact(spark, d))
+    return _rounded(B.assemble_fact(fact, B.reallocate_branches(fact, _branch(spark, d))))
 
 
 def decomp_view(spark, d):
-    fact = _fact(spark, d)
-    return _rounded(P.decomp_view(fact.filter(~F.col("modelingname").isin(S.TOTAL_ROWS)), fact))
+    fact = settle(_fact(spark, d))
+    return _rounded(P.decomp_view(fact.filter(f"not {P.IS_TOTAL}"), fact))
 
 
 def history_baseline(spark, d):
-    fact = _fact(spark, d)
+    fact = settle(_fact(spark, d))
     return _rounded(P.history_baseline(fact, fact))
 
 
@@ -258,33 +232,30 @@ def publish_history(spark, d):
 
 
 def ratio_impute(spark, d):
-    booked = _lines(spark, d).filter(F.col("modelingname").isin(S.SPEND_TYPES)).select(
-        *S.KEY5, "spends", "gps", (F.col("gps") - F.col("spends")).alias("netsales")
-    )
-    return _rounded(P.ratio_impute(_fact(spark, d), booked))
+    fact = settle(_fact(spark, d))
+    return _rounded(P.ratio_impute(fact, fact.filter(P.IS_SPEND)))
 
 
 def override_merge(spark, d):
     fact = settle(_fact(spark, d))
-    drivers = fact.filter(~F.col("modelingname").isin(S.TOTAL_ROWS))
-    view = P.decomp_view(drivers, fact).filter(F.col("month") != "12")
-    fresh = drivers.filter(F.col("segment").isin(OVERRIDE_SEGMENTS) & (F.col("month") != 1)).withColumns(
-        {m: F.col(m) * 2 for m in S.MEASURES}
+    drivers = fact.filter(f"not {P.IS_TOTAL}")
+    view = P.decomp_view(drivers, fact).filter("month != '12'")
+    fresh = with_exprs(
+        drivers.filter(in_list("segment", OVERRIDE_SEGMENTS) + " and month != 1"),
+        {m: f"{m} * 2" for m in S.MEASURES},
     )
     return _rounded(P.override_merge(view, P.replacement_rows(fresh), OVERRIDE_SEGMENTS))
 
 
 def reconcile_totals(spark, d):
     fact = settle(_fact(spark, d))
-    own = settle(P.driver_share_pct(fact))
-    after = P.price_change_passthrough(fact, star.price_change_feed(fact), own)
-    return _rounded(P.reconcile_totals(fact, after, ["year", "category"]).drop("after_text"), 2)
+    return _rounded(P.reconcile_totals(fact, _repriced(spark, d, fact), ["year", "category"]).drop("after_text"), 2)
 
 
 def scenario_params(spark, d):
     out = _requests(spark, d)
-    joined = {c: F.concat_ws(",", c) for c in ("channel", "category", "shisha")}
-    return _rounded(out.withColumns(joined))
+    joined = {c: f"concat_ws(',', {c})" for c in ("channel", "category", "shisha")}
+    return _rounded(with_exprs(out, joined))
 
 
 def last_year_period(spark, d):
@@ -299,7 +270,7 @@ def scope_filter(spark, d):
 
 
 def _spend_rows(spark, d) -> DataFrame:
-    return _positive(_fact(spark, d).filter(F.col("modelingname").isin(S.SPEND_TYPES)))
+    return _positive(_fact(spark, d).filter(P.IS_SPEND))
 
 
 FIT_KEYS = ["modelingname", "shisha", "planningcustomer"]
@@ -319,7 +290,7 @@ def trim_refit(spark, d):
 
 
 def _fallback(spark, d, levels):
-    rows = settle(_positive(_fit_rows(spark, d)))
+    rows = _positive(_fit_rows(spark, d))
     return _rounded(R.hierarchical_fallback(settle(R.fit_levels(rows, levels)), levels), 6)
 
 
@@ -332,20 +303,20 @@ def hierarchical_fallback_stage2(spark, d):
 
 
 def zero_response_keys(spark, d):
-    rows = _fact(spark, d).filter(F.col("modelingname").isin(S.SPEND_TYPES))
+    rows = _fact(spark, d).filter(P.IS_SPEND)
     return _rounded(R.zero_response_keys(rows, FIT_KEYS))
 
 
 def _model_text(df: DataFrame) -> DataFrame:
-    return df.withColumn("model_type", F.concat_ws(",", "model_type"))
+    return with_exprs(df, {"model_type": "concat_ws(',', model_type)"})
 
 
 def consolidate_models(spark, d):
-    return _model_text(R.response_model(settle(_fit_rows(spark, d)), R.STAGE1))
+    return _model_text(R.response_model(_fit_rows(spark, d), R.STAGE1))
 
 
 def attach_dimensions(spark, d):
-    rows = settle(_fit_rows(spark, d))
+    rows = _fit_rows(spark, d)
     return _model_text(R.attach_dimensions(R.response_model(rows, R.STAGE2), rows))
 
 
@@ -360,11 +331,11 @@ BASELINE = ["shisha", "channel", "planningcustomer", "spends_coef", *[f"{A.LY}{m
 
 
 def stage1_baseline(spark, d):
-    return _view(_stage1_rows(spark, d), BASELINE, 6)
+    return _view(_stage1_rows(_fit_rows(spark, d)), BASELINE, 6)
 
 
 def split_optimisable(spark, d):
-    return _view(A.split_optimisable(_stage1_rows(spark, d)), [*BASELINE, "treatment"], 6)
+    return _view(A.split_optimisable(_stage1_rows(_fit_rows(spark, d))), [*BASELINE, "treatment"], 6)
 
 
 def back_calibrate(spark, d):
@@ -372,7 +343,7 @@ def back_calibrate(spark, d):
 
 
 def response_net_sales(spark, d):
-    items = _stage1_items(spark, d).withColumn("plan", F.col(f"{A.LY}spends") * 1.05)
+    items = _stage1_items(spark, d).selectExpr("*", f"{A.LY}spends * 1.05D as plan")
     return _view(A.response_net_sales(items, "plan"), [*A.STAGE1_KEY, "plan", "spend_change", "optimized_volume", "optimized_gps", "optimized_netsales"])
 
 
@@ -384,12 +355,12 @@ def allocate_stage1(spark, d):
 
 
 def allocate_goal(spark, d):
-    return _view(A.allocate(_stage1_items(spark, d), [], goal=F.lit(GOAL)), ALLOCATED)
+    return _view(A.allocate(_stage1_items(spark, d), [], goal=GOAL), ALLOCATED)
 
 
 def allocate_stage2(spark, d):
     out = A.allocate(
-        _stage2_items(spark, d), A.STAGE1_KEY, "_old", band_on_old=True, policies=[A.SPEND_FIRST]
+        _optimisable(_pushed(spark, d)), A.STAGE1_KEY, "_old", band_on_old=True, policies=[A.SPEND_FIRST]
     )
     return _view(out, ["segment", *ALLOCATED])
 
@@ -406,17 +377,17 @@ def exact_growth_target(spark, d):
 
 def candidate_select(spark, d):
     candidates = A.allocate(
-        _stage2_items(spark, d), A.STAGE1_KEY, "_old", band_on_old=True, policies=A.POLICIES
+        _optimisable(_pushed(spark, d)), A.STAGE1_KEY, "_old", band_on_old=True, policies=A.POLICIES
     )
     return A.candidate_select(settle(candidates), A.STAGE1_KEY, "_old")
 
 
 def project_optimised(spark, d):
-    return _view(_stage1(spark, d).filter(F.col("adjustment_factor") != 0), A.STAGE1_OUTPUT)
+    return _view(A.project_optimised(A.allocate(_stage1_items(spark, d), [])), A.STAGE1_OUTPUT)
 
 
 def carry_non_optimised(spark, d):
-    parts = A.split_optimisable(_stage1_rows(spark, d)).filter("treatment = 'carry'")
+    parts = A.split_optimisable(_stage1_rows(_fit_rows(spark, d))).filter("treatment = 'carry'")
     return _view(A.carry_non_optimised(parts), A.STAGE1_OUTPUT)
 
 
@@ -428,7 +399,8 @@ def pushdown_stage1(spark, d):
 
 
 def cost_per_case(spark, d):
-    return _rounded(A.cost_per_case(_actuals(spark, d), SCENARIO.last_year, ["priceoff", "promotionad"]), 6)
+    actuals = star.booked_actuals(_fact(spark, d, since="1999-01-01", until="2000-01-01"))
+    return _rounded(A.cost_per_case(actuals, SCENARIO.last_year, ["priceoff", "promotionad"]), 6)
 
 
 def branch_rework_output(spark, d):
@@ -475,9 +447,9 @@ def load_check(spark, d):
 
 def status_upsert(spark, d):
     events = settle(star.ledger_events(spark, d))
-    early = F.col("reported_at") < F.lit("2000-01-01").cast("timestamp")
+    early = "reported_at < timestamp_ntz'2000-01-01 00:00:00'"
     ledger = U.latest_status(events.filter(early)).select(*[f.name for f in S.LEDGER.fields])
-    return U.status_upsert(ledger, events.filter(~early))
+    return U.status_upsert(ledger, events.filter(f"not ({early})"))
 
 
 def stage_summary(spark, d):
@@ -489,33 +461,34 @@ def spend_mismatch(spark, d):
 
 
 def branch_list(spark, d):
-    pairs = _branch(spark, d)
-    existing = pairs.select("old_planningcustomer", F.col("new_planningcustomer").alias("branch_list")).withColumn(
-        "scenario_name", F.concat(F.lit("SCN_"), F.col("branch_list"))
-    ).distinct()
+    pairs = settle(_branch(spark, d).select("old_planningcustomer", "new_planningcustomer").distinct())
+    existing = pairs.selectExpr(
+        "old_planningcustomer", "new_planningcustomer as branch_list",
+        "concat('SCN_', new_planningcustomer) as scenario_name",
+    )
     return B.branch_list(existing, pairs, SCENARIO.name)
 
 
 
 def missing_keys_backfill(spark, d):
     actual = settle(_period_actuals(spark, d))
-    output = actual.filter(F.col("volume") > 0).drop("ec_per_case")
+    output = actual.filter("volume > 0").drop("ec_per_case")
     return _rounded(U.missing_keys_backfill(output, actual), 3)
 
 
 def key_semi_filter(spark, d):
-    facts = settle(_period_fact(spark, d))
-    actual = _scope(facts, period=SCENARIO.last_year_period, spends="> 0", volume=">= 0")
+    facts = settle(_fact(spark, d, **LAST_YEAR))
+    actual = R.scope_filter(facts, **SCOPE, spends="> 0", volume=">= 0")
     return U.key_semi_filter(facts, actual).select(*S.KEY10, "modelingname", "spends", "volume")
 
 
 def match_flags(spark, d):
-    out = U.match_flags(settle(_projected(spark, d)), _period_actuals(spark, d))
+    out = U.match_flags(_projected(spark, d), _period_actuals(spark, d))
     return out.select(*S.DIMENSIONS, *[f"{m}_match" for m in S.MEASURES])
 
 
 def factor_align(spark, d):
-    out = U.factor_align(settle(_projected(spark, d)), _period_actuals(spark, d))
+    out = U.factor_align(_projected(spark, d), _period_actuals(spark, d))
     return _view(out, [*S.DIMENSIONS, *S.MEASURES, *[f"{A.LY}{m}_old_calc" for m in S.MEASURES]], 2)
 
 

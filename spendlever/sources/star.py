@@ -8,269 +8,189 @@ arrives as a few partial sums per task, never as raw lines.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from spendlever import schemas as S
-from spendlever.functions.expr import any_nonzero, exact_sum
+from spendlever.functions.expr import (
+    HALF_LABEL, MONTH_END, aggregate, exact_sum, in_list, named, with_exprs,
+)
 from spendlever.sources.tables import read_parquet
 
-MONEY = "decimal(18,4)"
-
 # Scenario objectives understood by the request parser.
 KEEP_SPEND = "Maximize revenue keeping spends same as last quarter"
 BUDGET_SPEND = "Achieve maximum growth basis budgeted spend"
 
+DRIVER = f"""case l_orderkey % 20
+    when 0 then '{S.VOLUME_TOTAL}' when 1 then '{S.PREDICTED_SALES}' when 2 then '{S.BASE_PRICE}'
+    else case when l_returnflag = 'R' then '{S.PRICEOFF}' when l_returnflag = 'A' then '{S.PROMOTIONAD}'
+      when l_linestatus = 'F' then '{S.LIQUIDATION}' else '{S.OWN_PRICE}' end end"""
+PACK = "case when p_size <= 12 then 'XS' when p_size <= 25 then 'S' when p_size <= 37 then 'M' else 'L' end"
+# Listing-fee accounts and single-unit trial lines book spend without volume.
+QUANTITY = f"""case when {in_list('modelingname', S.SPEND_TYPES)}
+    and (l_quantity = 1 or (c_nationkey % 12 = 5 and channel = 'FURNITURE')) then 0D else l_quantity end"""
+# Head-office account that booked the line before the branch split.
+OLD_CUSTOMER = """case when l_orderkey % 3 = 0 then concat(cluster, '#HO')
+    when l_orderkey % 7 = 0 then concat(cluster, '#AREA') else planningcustomer end"""
+IS_SPEND = in_list("modelingname", S.SPEND_TYPES)
+
+
+def star_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return read_parquet(spark, sf_dir, table, S.STAR[table])
+
+
+def _coded_lines(
+    spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """Lines with the codes of their product, branch office and customer.
 
-def _line_join(spark: SparkSession, sf_dir: str, since: str | None, until: str | None) -> DataFrame:
-    """Lines with the raw codes of their product, branch and customer."""
-    lines = read_parquet(spark, sf_dir, "lineitem")
-    # On the raw column, so that Parquet row groups outside the period are skipped.
+    ``since`` (inclusive) and ``until`` (exclusive) compare the raw ship date, so
+    Parquet row groups outside the period are skipped.
+    """
+    lines = star_table(spark, sf_dir, "lineitem")
     if since:
-        lines = lines.filter(F.col("l_shipdate") >= F.lit(since).cast("timestamp"))
+        lines = lines.filter(f"l_shipdate >= timestamp_ntz'{since} 00:00:00'")
     if until:
-        lines = lines.filter(F.col("l_shipdate") < F.lit(until).cast("timestamp"))
-    nation = read_parquet(spark, sf_dir, "nation")
-    region = read_parquet(spark, sf_dir, "region")
+        lines = lines.filter(f"l_shipdate < timestamp_ntz'{until} 00:00:00'")
+    nation = star_table(spark, sf_dir, "nation")
     accounts = (
-        read_parquet(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-        .join(read_parquet(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "c_nationkey", "c_mktsegment")
+        star_table(spark, sf_dir, "orders").selectExpr("o_orderkey as l_orderkey", "o_custkey as c_custkey")
+        .join(star_table(spark, sf_dir, "customer"), "c_custkey")
+        .join(nation.selectExpr("n_nationkey as c_nationkey", "n_name as cluster"), "c_nationkey")
+        .selectExpr("l_orderkey", "c_nationkey", "cluster", "c_mktsegment as channel")
     )
     branches = (
-        read_parquet(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", F.col("r_name").alias("shisha"))
+        star_table(spark, sf_dir, "supplier").selectExpr("s_suppkey as l_suppkey", "s_nationkey as n_nationkey")
+        .join(nation, "n_nationkey")
+        .join(star_table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+        .selectExpr("l_suppkey", "r_name as shisha")
     )
-    countries = nation.select("n_nationkey", F.col("n_name").alias("cluster"))
-    parts = read_parquet(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_retailprice")
-    return (
-        lines.join(accounts, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(branches, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(countries, F.col("c_nationkey") == F.col("n_nationkey"))
+    parts = star_table(spark, sf_dir, "part").selectExpr(
+        "p_partkey as l_partkey", "p_type as category", f"{PACK} as pack", "p_retailprice"
     )
-
-
-def _driver() -> Column:
-    slot = F.col("l_orderkey") % 20
     return (
-        F.when(slot == 0, F.lit(S.VOLUME_TOTAL))
-        .when(slot == 1, F.lit(S.PREDICTED_SALES))
-        .when(slot == 2, F.lit(S.BASE_PRICE))
-        .when(F.col("l_returnflag") == "R", F.lit(S.PRICEOFF))
-        .when(F.col("l_returnflag") == "A", F.lit(S.PROMOTIONAD))
-        .when(F.col("l_linestatus") == "F", F.lit(S.LIQUIDATION))
-        .otherwise(F.lit(S.OWN_PRICE))
-    )
-
-
-def _pack() -> Column:
-    return (
-        F.when(F.col("p_size") <= 12, "XS").when(F.col("p_size") <= 25, "S")
-        .when(F.col("p_size") <= 37, "M").otherwise("L")
+        lines.join(accounts, "l_orderkey").join(parts, "l_partkey").join(branches, "l_suppkey")
+        .selectExpr("*", f"{DRIVER} as modelingname")
+        .selectExpr(
+            "year(l_shipdate) as year", "month(l_shipdate) as month", "category", "pack", "shisha",
+            "cluster", "channel", "modelingname", "l_extendedprice as gps",
+            "l_extendedprice * l_discount as spends", f"{QUANTITY} as volume",
+            "0.4D * p_retailprice * l_quantity as ec",
+            "l_orderkey", "l_linestatus", "l_shipdate",
+        )
     )
 
 
-def _quantity() -> Column:
-    """Listing-fee accounts and single-unit trial lines book spend without volume."""
-    listing = (F.col("c_nationkey") % 12 == 5) & (F.col("c_mktsegment") == "FURNITURE")
-    no_volume = F.col("modelingname").isin(S.SPEND_TYPES) & (listing | (F.col("l_quantity") == 1))
-    return F.when(no_volume, F.lit(0.0)).otherwise(F.col("l_quantity"))
-
-
-def _with_dimensions(df: DataFrame) -> DataFrame:
-    pack = F.when(F.col("pack").isin("XS", "S"), "SMALL PACK").otherwise("LARGE PACK")
-    value_line = F.col("category").isin("ECONOMY", "STANDARD", "SMALL")
-    return df.withColumns({
-        "business": F.when(value_line, "VALUE").otherwise("CORE"),
-        "subcategory": F.concat_ws("/", "category", pack),
-        "segment": F.concat_ws("/", "category", "pack"),
-        "planningcustomer": F.concat_ws("#", "cluster", "channel"),
-    })
-
-
-def _coded_lines(spark, sf_dir, since=None, until=None) -> DataFrame:
-    spends = F.col("l_extendedprice") * F.col("l_discount")
-    return (
-        _line_join(spark, sf_dir, since, until)
-        .withColumn("modelingname", _driver())
-        .select(
-            F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"),
-            F.col("p_type").alias("category"), _pack().alias("pack"), "shisha", "cluster",
-            F.col("c_mktsegment").alias("channel"), "modelingname",
-            F.col("l_extendedprice").alias("gps"), spends.alias("spends"),
-            _quantity().alias("volume"),
-            (F.lit(0.4) * F.col("p_retailprice") * F.col("l_quantity")).alias("ec"),
-            "l_orderkey", "l_linenumber", "l_linestatus", "l_shipdate",
-        )
-    )
+DERIVED = {
+    "business": "case when category in ('ECONOMY', 'STANDARD', 'SMALL') then 'VALUE' else 'CORE' end",
+    "subcategory": "concat_ws('/', category, case when pack in ('XS', 'S') then 'SMALL PACK' else 'LARGE PACK' end)",
+    "segment": "concat_ws('/', category, pack)",
+    "planningcustomer": "concat_ws('#', cluster, channel)",
+}
 
 
-def promo_lines(
-    spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None
-) -> DataFrame:
+def promo_lines(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
     """One row per booked line with the eight dimensions, the driver and the measures."""
-    return _with_dimensions(_coded_lines(spark, sf_dir, since, until))
+    return _coded_lines(spark, sf_dir, since, until).selectExpr("*", *named(DERIVED))
 
 
-def promo_fact(
-    spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None
-) -> DataFrame:
-    """Monthly decomposition fact: one row per period, dimensions and driver.
-
-    ``since`` (inclusive) and ``until`` (exclusive) are ship dates and prune the scan.
-    """
+def promo_fact(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Monthly decomposition fact: one row per period, dimensions and driver."""
     grain = ["year", "month", "category", "pack", "shisha", "cluster", "channel", "modelingname"]
-    sums = _coded_lines(spark, sf_dir, since, until).groupBy(*grain).agg(
-        *[F.sum(F.col(m).cast(MONEY)).alias(m) for m in ("spends", "gps", "volume", "ec")]
-    )
-    netsales = F.col("gps") - F.col("spends")
-    valued = sums.select(
-        *grain,
-        *[F.col(m).cast("double").alias(m) for m in ("spends", "gps", "volume", "ec")],
-        netsales.cast("double").alias("netsales"),
-        (netsales - F.col("ec")).cast("double").alias("mc"),
+    sums = aggregate(
+        _coded_lines(spark, sf_dir, since, until), grain,
+        {m: f"sum(cast({m} as decimal(18,4)))" for m in ("spends", "gps", "volume", "ec")},
     )
-    return _with_dimensions(valued).withColumns({
-        "price": F.try_divide(F.col("gps"), F.col("volume")),
-        "ec_per_qtycase": F.try_divide(F.col("ec"), F.col("volume")),
-    }).select(*S.FACT_COLUMNS)
-
-
-def booked_actuals(lines: DataFrame) -> DataFrame:
-    """Booked actuals per line: spend by type, sales amount, cases and cost; text periods."""
-    spend = {
-        name.lower(): F.when(F.col("modelingname") == name, F.col("spends")).otherwise(F.lit(0.0))
-        for name in S.SPEND_TYPES
+    values = {
+        **{m: f"cast({m} as double)" for m in ("spends", "gps", "volume", "ec")},
+        "netsales": "cast(gps - spends as double)", "mc": "cast(gps - spends - ec as double)",
     }
-    return lines.filter(F.col("modelingname").isin(S.SPEND_TYPES)).select(
-        F.col("year").cast("string").alias("year"), F.col("month").cast("string").alias("month"),
-        "segment", F.col("shisha").alias("shishanm"), "planningcustomer",
-        *[c.alias(n) for n, c in spend.items()],
-        F.col("gps").alias("salesamt"), F.col("volume").alias("salesqtycase"), "ec",
-    )
+    return sums.selectExpr(*grain, *named(DERIVED), *named(values)).selectExpr(
+        "*", "try_divide(gps, volume) as price", "try_divide(ec, volume) as ec_per_qtycase"
+    ).select(*S.FACT_COLUMNS)
 
 
-def price_change_feed(lines: DataFrame) -> DataFrame:
-    """One announced relative price change per segment."""
-    step = (F.ascii(F.col("segment")) + F.length("segment")) % 7 - 3
-    return lines.groupBy("segment").agg(
-        F.max(step).cast("double").alias("step")
-    ).select("segment", (F.col("step") / 100.0).alias("price_change"))
+def booked_actuals(fact: DataFrame) -> DataFrame:
+    """Booked actuals per month, segment, branch office and customer; text periods."""
+    spend = {t.lower(): f"case when modelingname = '{t}' then spends else 0D end" for t in S.SPEND_TYPES}
+    return fact.filter(IS_SPEND).selectExpr(
+        "cast(year as string) as year", "cast(month as string) as month", "segment",
+        "shisha as shishanm", "planningcustomer", *named(spend),
+        "gps as salesamt", "volume as salesqtycase", "ec",
+    )
 
 
-def _old_customer() -> Column:
-    """Head-office account that booked the line before the branch split."""
-    return (
-        F.when(F.col("l_orderkey") % 3 == 0, F.concat_ws("#", "cluster", F.lit("HO")))
-        .when(F.col("l_orderkey") % 7 == 0, F.concat_ws("#", "cluster", F.lit("AREA")))
-        .otherwise(F.col("planningcustomer"))
+def price_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One announced relative price change per product segment."""
+    segments = star_table(spark, sf_dir, "part").selectExpr(f"concat_ws('/', p_type, {PACK}) as segment").distinct()
+    return segments.selectExpr(
+        "segment", "cast((ascii(segment) + length(segment)) % 7 - 3 as double) / 100D as price_change"
     )
 
 
-def branch_feeds(lines: DataFrame) -> list[DataFrame]:
-    """Four head-office/branch feeds, split by line number, with initial/additional shares."""
-    initial = F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.0)
-    base = lines.filter(F.col("modelingname").isin(S.SPEND_TYPES)).select(
-        F.concat(F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0")).alias("yearmonth"),
-        "year", "month", F.date_format("l_shipdate", "yyyy-MM-dd").alias("week_start"),
-        "segment", F.col("shisha").alias("shishanm"),
-        F.md5(_old_customer()).alias("old_planningcustomercd"),
-        F.md5("planningcustomer").alias("new_planningcustomercd"),
-        F.col("planningcustomer").alias("new_planningcustomer"),
-        *[
-            F.when(F.col("modelingname") == n, F.col("spends")).otherwise(F.lit(0.0))
-            .alias(f"new_{n.lower()}")
-            for n in S.SPEND_TYPES
-        ],
-        F.col("gps").alias("salesamt"),
-        *[initial.alias(f"ini_contri_{s}") for s in ("po", "liq", "pa")],
-        *[(1.0 - initial).alias(f"add_contri_{s}") for s in ("po", "liq", "pa")],
-        (F.col("l_linenumber") % 4).alias("_feed"),
+def branch_feed(lines: DataFrame) -> DataFrame:
+    """Head-office/branch feed: new spend per type with initial and additional shares."""
+    initial = "case when l_linestatus = 'F' then 1D else 0D end"
+    new = {f"new_{t.lower()}": f"case when modelingname = '{t}' then spends else 0D end" for t in S.SPEND_TYPES}
+    codes = ("po", "liq", "pa")
+    return lines.filter(IS_SPEND).selectExpr(
+        "concat(cast(year as string), lpad(cast(month as string), 2, '0')) as yearmonth", "year", "month",
+        "substring(cast(l_shipdate as string), 1, 10) as week_start", "segment", "shisha as shishanm",
+        f"md5({OLD_CUSTOMER}) as old_planningcustomercd", "md5(planningcustomer) as new_planningcustomercd",
+        "planningcustomer as new_planningcustomer", *named(new), "gps as salesamt",
+        *[f"{initial} as ini_contri_{c}" for c in codes],
+        *[f"1D - {initial} as add_contri_{c}" for c in codes],
     )
-    return [base.filter(F.col("_feed") == i).drop("_feed") for i in range(4)]
 
 
-def customer_master(lines: DataFrame) -> DataFrame:
-    """Distinct (code, name) of every account seen as old or new customer."""
-    return (
-        lines.select(F.explode(F.array(_old_customer(), F.col("planningcustomer"))).alias("planningcustomer"))
-        .distinct()
-        .select(F.md5("planningcustomer").alias("planningcustomercd"), "planningcustomer")
+def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (code, name) of every account: branches, head offices and area offices."""
+    accounts = star_table(spark, sf_dir, "customer").join(
+        star_table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey"
     )
+    names = accounts.selectExpr(
+        "explode(array(concat_ws('#', n_name, c_mktsegment), concat(n_name, '#HO'), concat(n_name, '#AREA')))"
+        " as planningcustomer"
+    ).distinct()
+    return names.selectExpr("md5(planningcustomer) as planningcustomercd", "planningcustomer")
 
 
 def scenario_requests(fact: DataFrame) -> DataFrame:
     """One JSON request per (category, spend type): scope, half-year window and budget."""
-    objective = (
-        F.when(F.col("modelingname") == S.PRICEOFF, KEEP_SPEND)
-        .when(F.col("modelingname") == S.PROMOTIONAD, BUDGET_SPEND)
-        .otherwise("Minimize spends")
-    )
-    last_day = F.last_day(F.make_date(
-        F.floor(F.col("ym") / 12).cast("int"), (F.col("ym") % 12 + 1).cast("int"), F.lit(1)
-    ))
-    per_scope = (
-        fact.filter(F.col("modelingname").isin(S.SPEND_TYPES))
-        .groupBy("business", "category", "modelingname")
-        .agg(
-            F.sort_array(F.collect_set("channel")).alias("channel"),
-            F.sort_array(F.collect_set("shisha")).alias("shisha"),
-            exact_sum("spends").alias("budget"),
-            F.max(F.col("year") * 12 + F.col("month") - 1).alias("ym"),
-        )
-        .withColumn("scenario", F.concat_ws(" ", "category", "modelingname"))
-        .withColumn("last_day", last_day)
-    )
-    first = F.trunc(F.add_months("last_day", -F.least(F.lit(5), F.month("last_day") - 1)), "MM")
-    document = F.struct(
-        F.struct(F.col("scenario").alias("scenarioName")).alias("scenarioPrameters"),
-        F.struct(
-            "business", F.col("modelingname").alias("spendtype"), "channel",
-            F.array("category").alias("category"), "budget",
-            objective.alias("optimizationobjective"),
-            F.concat_ws(" ", F.col("last_day").cast("string"), F.lit("23:59:59")).alias("max"),
-            F.concat_ws(" ", first.cast("string"), F.lit("00:00:00")).alias("min"),
-            "shisha",
-        ).alias("optimizationInput"),
-    )
-    return per_scope.select(
-        F.concat(F.lit("uid"), F.substring(F.md5("scenario"), 1, 12)).alias("uid"),
-        F.to_json(document).alias("parameters"),
+    scopes = aggregate(fact.filter(IS_SPEND), ["business", "category", "modelingname"], {
+        "channel": "sort_array(collect_set(channel))", "shisha": "sort_array(collect_set(shisha))",
+        "budget": exact_sum("spends"), "last_day": "last_day(max(make_date(year, month, 1)))",
+    })
+    first_day = "trunc(add_months(last_day, -least(5, month(last_day) - 1)), 'MM')"
+    objective = f"""case modelingname when '{S.PRICEOFF}' then '{KEEP_SPEND}'
+        when '{S.PROMOTIONAD}' then '{BUDGET_SPEND}' else 'Minimize spends' end"""
+    document = f"""to_json(named_struct(
+        'scenarioPrameters', named_struct('scenarioName', scenario),
+        'optimizationInput', named_struct(
+            'business', business, 'spendtype', modelingname, 'channel', channel, 'category', array(category),
+            'budget', budget, 'optimizationobjective', {objective},
+            'max', concat(cast(last_day as string), ' 23:59:59'),
+            'min', concat(cast({first_day} as string), ' 00:00:00'), 'shisha', shisha)))"""
+    return scopes.selectExpr("*", "concat_ws(' ', category, modelingname) as scenario").selectExpr(
+        "concat('uid', substring(md5(scenario), 1, 12)) as uid", f"{document} as parameters"
     )
 
 
 def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress reports of scenarios, one per order: scenario, state, progress and time."""
-    orders = read_parquet(spark, sf_dir, "orders")
-    state = (
-        F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "P", 2).otherwise(0)
-    )
-    return orders.select(
-        F.concat(F.lit("SCN_"), F.col("o_custkey").cast("string")).alias("scenarioname"),
-        state.alias("isoptimizationexecutioncompleted"),
-        ((F.col("o_orderkey") % 100 + 1) / 100.0).alias("progressmessage"),
-        F.col("o_orderdate").alias("reported_at"),
-        F.col("o_orderkey").alias("report_no"),
+    return star_table(spark, sf_dir, "orders").selectExpr(
+        "concat('SCN_', cast(o_custkey as string)) as scenarioname",
+        "case o_orderstatus when 'F' then 1 when 'P' then 2 else 0 end as isoptimizationexecutioncompleted",
+        "cast(o_orderkey % 100 + 1 as double) / 100D as progressmessage",
+        "o_orderdate as reported_at", "o_orderkey as report_no",
     )
 
 
 def published_output(fact: DataFrame) -> DataFrame:
     """An existing scenario output table: history rows plus one scenario per category."""
-    half = F.when(F.col("month") <= 6, F.lit("H1")).otherwise(F.lit("H2"))
-    dims = S.DIMENSIONS
-    return (
-        fact.filter(F.col("modelingname").isin(S.SPEND_TYPES) & any_nonzero(["spends"]))
-        .withColumn("half_year", half)
-        .groupBy("year", "half_year", *dims, "modelingname")
-        .agg(exact_sum("spends").alias("optimized_spends"), F.max("month").alias("month"))
-        .withColumns({
-            "scenario_name": F.when(F.col("year") % 2 == 0, F.lit("HISTORICAL_DATA"))
-            .otherwise(F.concat(F.lit("SCN_"), F.col("category"))),
-            "date": F.concat_ws(
-                " ", F.last_day(F.make_date("year", "month", F.lit(1))).cast("string"), F.lit("23:59:59")
-            ),
-            "is_latest": F.lit(1),
-        })
-    )
+    spent = fact.filter(f"{IS_SPEND} and spends != 0").selectExpr("*", f"{HALF_LABEL} as half_year")
+    keys = ["year", "half_year", *S.DIMENSIONS, "modelingname"]
+    totals = aggregate(spent, keys, {"optimized_spends": exact_sum("spends"), "month": "max(month)"})
+    return with_exprs(totals, {
+        "scenario_name": "case when year % 2 = 0 then 'HISTORICAL_DATA' else concat('SCN_', category) end",
+        "date": MONTH_END, "is_latest": "1",
+    })

@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 
-def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+def read_parquet(spark: SparkSession, folder: str, table: str, schema: str | None = None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{table}.parquet")
 
 
 def read_catalog(spark: SparkSession, database: str, table: str) -> DataFrame:
