@@ -16,8 +16,21 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, functions as F
 
 
+def ten_thousandths(x: str) -> str:
+    """A double as a whole number of ten-thousandths.
+
+    Values that fit a long take the cheap conversion; larger ones go through DECIMAL.
+    """
+    return (
+        f"if(abs({x}) < 9e13D, cast(cast(rint(({x}) * 10000D) as bigint) as decimal(28,0)), "
+        f"cast(({x}) * 10000D as decimal(28,0)))"
+    )
+
+
 def exact_sum(x: str, scale: int = 4) -> str:
-    """Order-independent sum of a double."""
+    """Order-independent sum of a double, kept at ``scale`` places."""
+    if scale == 4:
+        return f"(cast(sum({ten_thousandths(x)}) as double) / 10000D)"
     return f"cast(sum(cast({x} as decimal(28,{scale}))) as double)"
 
 

@@ -68,18 +68,19 @@ def apportion_groups(
     key = f"partition by {', '.join(keys)}"
     marked = with_exprs(long, {"contri_val": zero_if_null("contri_val")}).selectExpr(
         "*",
-        f"cast(round(sum(cast(contri_val as decimal(28,9))) over ({key}), 3) as double) as _total",
+        # Shares are multiples of 0.001, so their rounded sum does not depend on order.
+        f"round(sum(contri_val) over ({key}), 3) as _total",
         f"count_if(contri_val != 0) over ({key}) as _rows",
         *[f"max(contri_type = '{k}' and contri_val != 0) over ({key}) as _has_{k}" for k in (INI, ADD)],
-        # One representative per key carries an unmatched row through.
-        f"row_number() over ({key} order by contri_type desc, old_planningcustomer) as _rank",
+        f"min(old_planningcustomer) over ({key}) as _first",
     )
     grouped = marked.selectExpr("*", f"""case when _total = 0 then 'none' when _total < 2 then 'one'
         when _total > 2 then 'over' when _has_{INI} and _has_{ADD} then 'two' else 'three' end as share_group""")
     weighed = grouped.selectExpr(
         "*",
-        """case share_group when 'none' then _rank = 1 when 'two' then contri_val != 0 and contri_val != 1
-        else contri_val != 0 end as _keep""",
+        # One representative per key carries an unmatched row through.
+        f"""case share_group when 'none' then contri_type = '{INI}' and old_planningcustomer <=> _first
+        when 'two' then contri_val != 0 and contri_val != 1 else contri_val != 0 end as _keep""",
         """case share_group when 'none' then 1D when 'three' then try_divide(contri_val, _rows)
         when 'over' then try_divide(contri_val, _total) else contri_val end as weight""",
     )
@@ -96,7 +97,7 @@ def apportion_groups(
     scaled = with_exprs(weighed.filter("_keep"), {
         m: f"case when share_group = 'none' then {m} else {round_dp(f'{m} * weight')} end" for m in measures
     })
-    return scaled.drop("_total", "_rows", f"_has_{INI}", f"_has_{ADD}", "_rank", "_keep", "_kept", "_all")
+    return scaled.drop("_total", "_rows", f"_has_{INI}", f"_has_{ADD}", "_first", "_keep", "_kept", "_all")
 
 
 # New customer for initial money or an unchanged account, else the old customer.

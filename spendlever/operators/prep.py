@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from spendlever import schemas as S
 from spendlever.functions.expr import (
     HALF_LABEL, HALF_NUMBER, MONTH_END, aggregate, any_nonzero, exact_avg, exact_sum, in_list,
-    named, quoted, ratio, ratio0, round_dp, with_exprs, zero_if_null,
+    named, quoted, ratio, ratio0, round_dp, ten_thousandths, with_exprs, zero_if_null,
 )
 
 SHARE_NAMES = {
@@ -21,7 +21,7 @@ IS_SPEND = in_list("modelingname", S.SPEND_TYPES)
 
 
 def _total(measure: str, keys: list[str]) -> str:
-    return f"cast(sum(cast({measure} as decimal(28,4))) over (partition by {', '.join(keys)}) as double)"
+    return f"cast(sum({ten_thousandths(measure)}) over (partition by {', '.join(keys)}) as double) / 10000D"
 
 
 def contribution_share(fact: DataFrame, keys: list[str] = S.KEY10) -> DataFrame:

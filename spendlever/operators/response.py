@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    MONTH_START, aggregate, exact_sum, in_list, named, quoted, round_dp, with_exprs,
+    MONTH_START, aggregate, exact_sum, in_list, named, quoted, round_dp, ten_thousandths, with_exprs,
 )
 from spendlever.functions.lineage import settle
 from spendlever.functions.ordered import running_totals
@@ -182,7 +182,7 @@ def trim_refit(rows: DataFrame, keys: list[str]) -> DataFrame:
         "x_lo": "min(spends)", "x_hi": "max(spends)", "y_lo": "min(volume)", "y_hi": "max(volume)",
         "x_min": "max(x_min)", "y_min": "max(y_min)",
         "first_sales_month": "min(sales_month)", "last_sales_month": "max(sales_month)",
-        "spent": "sum(cast(spends as decimal(28,4)))", "sold": "sum(cast(volume as decimal(28,4)))",
+        "spent": f"sum({ten_thousandths('spends')})", "sold": f"sum({ten_thousandths('volume')})",
     })
     # A key has at most 8 x 8 classes, so its window and its refits stay small.
     per_key = f"over (partition by {', '.join(keys)})"
@@ -213,7 +213,8 @@ def trim_refit(rows: DataFrame, keys: list[str]) -> DataFrame:
     return picked.selectExpr("*", f"{chosen} as fit").selectExpr(
         *keys, "first_sales_month", "last_sales_month", "original.n as number_of_rows",
         "fit.n as number_of_rows_after_perct_rank",
-        "cast(spent as double) as total_overall_spends", "cast(sold as double) as total_overall_volume",
+        "cast(spent as double) / 10000D as total_overall_spends",
+        "cast(sold as double) / 10000D as total_overall_volume",
         f"{_model_type()} as model_type", "fit.r_squared", "fit.intercept", "fit.spends_coef",
     )
 
@@ -226,21 +227,29 @@ def _model_type() -> str:
     return f"case {' '.join(cases)} else 'Original' end"
 
 
-def level_rows(rows: DataFrame, levels: FitLevels) -> DataFrame:
-    """Each row once per fit level, the left-out key column replaced by ``*``."""
+def _level(keys: list[str]) -> str:
+    return "+".join(keys)
+
+
+def level_rows(rows: DataFrame, *models: FitLevels) -> DataFrame:
+    """Each row once per distinct fit level of the models, absent key columns shown as ``*``."""
+    columns = list(max((m.keys for m in models), key=len))
+    wanted = dict.fromkeys(
+        tuple(k for k in m.keys if k != drop) for m in models for drop in (None, *m.drops)
+    )
     tagged = ", ".join(
-        f"{i}, " + ", ".join(f"'{ALL}'" if k == drop else k for k in levels.keys)
-        for i, drop in enumerate((None, *levels.drops))
+        f"'{_level(kept)}', " + ", ".join(c if c in kept else f"'{ALL}'" for c in columns) for kept in wanted
     )
-    stacked = f"stack({len(levels.drops) + 1}, {tagged}) as (level, {', '.join('_' + k for k in levels.keys)})"
+    stacked = f"stack({len(wanted)}, {tagged}) as (level, {', '.join('_' + c for c in columns)})"
     return rows.selectExpr(stacked, "year", "month", "spends", "volume").selectExpr(
-        "level", *[f"_{k} as {k}" for k in levels.keys], "year", "month", "spends", "volume"
+        "level", *[f"_{c} as {c}" for c in columns], "year", "month", "spends", "volume"
     )
 
 
-def fit_levels(rows: DataFrame, levels: FitLevels) -> DataFrame:
-    """Trimmed fits of the full key and of every fallback level, in one job."""
-    return trim_refit(level_rows(rows, levels), ["level", *levels.keys])
+def fit_levels(rows: DataFrame, *models: FitLevels) -> DataFrame:
+    """Trimmed fits of every level of the models, in one job; shared levels are fitted once."""
+    columns = list(max((m.keys for m in models), key=len))
+    return trim_refit(level_rows(rows, *models), ["level", *columns])
 
 
 def hierarchical_fallback(fits: DataFrame, levels: FitLevels) -> DataFrame:
@@ -248,12 +257,14 @@ def hierarchical_fallback(fits: DataFrame, levels: FitLevels) -> DataFrame:
 
     ``fits`` is read once per level, so pass a settled table.
     """
-    model = fits.filter("level = 0").drop("level")
-    columns = model.columns
+    keys = list(levels.keys)
+    base = fits.filter(f"level = '{_level(keys)}'")
+    columns = [*keys, *base.columns[base.columns.index("first_sales_month"):]]
+    model = base.select(*columns)
     inside = f"coalesce(spends_coef between {SLOPE_LOW}D and {SLOPE_HIGH}D, false)"
-    for i, drop in enumerate(levels.drops, start=1):
-        kept = [k for k in levels.keys if k != drop]
-        coarse = fits.filter(f"level = {i}").selectExpr(*kept, "spends_coef as _coarse")
+    for drop in levels.drops:
+        kept = [k for k in keys if k != drop]
+        coarse = fits.filter(f"level = '{_level(kept)}'").selectExpr(*kept, "spends_coef as _coarse")
         model = with_exprs(model.join(coarse, kept, "left"), {
             "spends_coef": f"if({inside}, spends_coef, _coarse)",
             "model_type": f"if({inside}, model_type, 'Without_{drop.upper()}_Level_Model_Augmented')",
@@ -286,16 +297,23 @@ def consolidate_models(models: DataFrame, zero_rows: DataFrame, keys: list[str])
     })
 
 
-def response_model(rows: DataFrame, levels: FitLevels) -> DataFrame:
-    """Coefficients per key of one scope: fits, fallback and zero-response keys.
+def response_models(rows: DataFrame, *models: FitLevels) -> list[DataFrame]:
+    """Coefficients per key of one scope, per model: fits, fallback and zero-response keys.
 
-    ``rows`` (spend above zero) is read several times, so pass a settled table.
+    All levels of all models are fitted in one job. ``rows`` (spend above zero) is read
+    several times, so pass a settled table.
     """
-    keys = list(levels.keys)
-    fits = settle(fit_levels(rows.filter("spends > 0 and volume > 0"), levels))
-    return consolidate_models(
-        hierarchical_fallback(fits, levels), zero_response_keys(rows, keys), keys
-    )
+    fits = settle(fit_levels(rows.filter("spends > 0 and volume > 0"), *models))
+    return [
+        consolidate_models(
+            hierarchical_fallback(fits, m), zero_response_keys(rows, list(m.keys)), list(m.keys)
+        )
+        for m in models
+    ]
+
+
+def response_model(rows: DataFrame, levels: FitLevels) -> DataFrame:
+    return response_models(rows, levels)[0]
 
 
 def attach_dimensions(coefficients: DataFrame, fact: DataFrame) -> DataFrame:

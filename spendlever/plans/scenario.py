@@ -49,8 +49,9 @@ def run_scenario(
     try:
         rows = done("fit_rows", R.scope_filter(repriced, **mine, **spent), 0.02)
         base = done("base_rows", R.scope_filter(opt_input, **mine, **spent, period=period), 0.04)
-        coarse = done("data_prep_iter1", R.response_model(rows, R.STAGE1), 0.12)
-        fine = done("data_prep_iter2", R.attach_dimensions(R.response_model(rows, R.STAGE2), rows), 0.26)
+        models = R.response_models(rows, R.STAGE1, R.STAGE2)
+        coarse = done("data_prep_iter1", models[0], 0.12)
+        fine = done("data_prep_iter2", R.attach_dimensions(models[1], rows), 0.26)
         goal = scenario.goal_spend if scenario.strategy == "3" else None
         stage1 = done("opt_stage1_output", A.optimise_stage1(A.stage1_baseline(base, coarse), goal), 0.46)
         cost = A.cost_per_case(actuals, scenario.last_year, [scenario.spend_type.lower()])

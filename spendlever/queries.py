@@ -98,10 +98,10 @@ def _stage1_items(spark, d) -> DataFrame:
 
 def _pushed(spark, d) -> DataFrame:
     rows = _fit_rows(spark, d)
-    stage1 = A.optimise_stage1(_stage1_rows(rows))
-    fine = R.attach_dimensions(R.response_model(rows, R.STAGE2), rows)
+    coarse, fine = R.response_models(rows, R.STAGE1, R.STAGE2)
+    stage1 = A.optimise_stage1(A.stage1_baseline(_in_period(rows), coarse))
     cost = A.cost_per_case(star.booked_actuals(rows), SCENARIO.last_year, ["priceoff"])
-    return A.pushdown_stage1(fine, A.stage2_old(_in_period(rows)), stage1, cost)
+    return A.pushdown_stage1(R.attach_dimensions(fine, rows), A.stage2_old(_in_period(rows)), stage1, cost)
 
 
 def _stage2(spark, d) -> DataFrame:

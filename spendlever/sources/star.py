@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    HALF_LABEL, MONTH_END, aggregate, exact_sum, in_list, named, with_exprs,
+    HALF_LABEL, MONTH_END, aggregate, exact_sum, in_list, named, ten_thousandths, with_exprs,
 )
 from spendlever.sources.tables import read_parquet
 
@@ -34,6 +34,12 @@ OLD_CUSTOMER = """case when l_orderkey % 3 = 0 then concat(cluster, '#HO')
 IS_SPEND = in_list("modelingname", S.SPEND_TYPES)
 
 
+LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
+
+
 def star_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return read_parquet(spark, sf_dir, table, S.STAR[table])
 
@@ -51,24 +57,25 @@ def _coded_lines(
         lines = lines.filter(f"l_shipdate >= timestamp_ntz'{since} 00:00:00'")
     if until:
         lines = lines.filter(f"l_shipdate < timestamp_ntz'{until} 00:00:00'")
-    nation = star_table(spark, sf_dir, "nation")
+    nation, region = star_table(spark, sf_dir, "nation"), star_table(spark, sf_dir, "region")
+    # Customers are attached to orders, not to lines: a quarter of the rows to move.
     accounts = (
         star_table(spark, sf_dir, "orders").selectExpr("o_orderkey as l_orderkey", "o_custkey as c_custkey")
         .join(star_table(spark, sf_dir, "customer"), "c_custkey")
-        .join(nation.selectExpr("n_nationkey as c_nationkey", "n_name as cluster"), "c_nationkey")
-        .selectExpr("l_orderkey", "c_nationkey", "cluster", "c_mktsegment as channel")
-    )
-    branches = (
-        star_table(spark, sf_dir, "supplier").selectExpr("s_suppkey as l_suppkey", "s_nationkey as n_nationkey")
-        .join(nation, "n_nationkey")
-        .join(star_table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
-        .selectExpr("l_suppkey", "r_name as shisha")
+        .selectExpr("l_orderkey", "c_nationkey", "c_mktsegment as channel")
     )
+    suppliers = star_table(spark, sf_dir, "supplier").selectExpr("s_suppkey as l_suppkey", "s_nationkey")
+    branches = nation.selectExpr("n_nationkey as s_nationkey", "n_regionkey as r_regionkey")
+    countries = nation.selectExpr("n_nationkey as c_nationkey", "n_name as cluster")
     parts = star_table(spark, sf_dir, "part").selectExpr(
         "p_partkey as l_partkey", "p_type as category", f"{PACK} as pack", "p_retailprice"
     )
+    # Both sides of the order join grow with the data; the hint keeps a small sample from
+    # broadcasting its lines. The other tables are plain scans, so their file size decides.
     return (
-        lines.join(accounts, "l_orderkey").join(parts, "l_partkey").join(branches, "l_suppkey")
+        lines.select(*LINE_COLUMNS).join(accounts.hint("merge"), "l_orderkey")
+        .join(parts, "l_partkey").join(suppliers, "l_suppkey").join(branches, "s_nationkey")
+        .join(region, "r_regionkey").withColumnRenamed("r_name", "shisha").join(countries, "c_nationkey")
         .selectExpr("*", f"{DRIVER} as modelingname")
         .selectExpr(
             "year(l_shipdate) as year", "month(l_shipdate) as month", "category", "pack", "shisha",
@@ -98,12 +105,11 @@ def promo_fact(spark: SparkSession, sf_dir: str, since: str | None = None, until
     grain = ["year", "month", "category", "pack", "shisha", "cluster", "channel", "modelingname"]
     sums = aggregate(
         _coded_lines(spark, sf_dir, since, until), grain,
-        {m: f"sum(cast({m} as decimal(18,4)))" for m in ("spends", "gps", "volume", "ec")},
+        {m: f"sum({ten_thousandths(m)})" for m in ("spends", "gps", "volume", "ec")},
     )
-    values = {
-        **{m: f"cast({m} as double)" for m in ("spends", "gps", "volume", "ec")},
-        "netsales": "cast(gps - spends as double)", "mc": "cast(gps - spends - ec as double)",
-    }
+    measures = {"spends": "spends", "gps": "gps", "volume": "volume", "ec": "ec",
+                "netsales": "gps - spends", "mc": "gps - spends - ec"}
+    values = {m: f"cast({sql} as double) / 10000D" for m, sql in measures.items()}
     return sums.selectExpr(*grain, *named(DERIVED), *named(values)).selectExpr(
         "*", "try_divide(gps, volume) as price", "try_divide(ec, volume) as ec_per_qtycase"
     ).select(*S.FACT_COLUMNS)
@@ -135,7 +141,8 @@ def branch_feed(lines: DataFrame) -> DataFrame:
     return lines.filter(IS_SPEND).selectExpr(
         "concat(cast(year as string), lpad(cast(month as string), 2, '0')) as yearmonth", "year", "month",
         "substring(cast(l_shipdate as string), 1, 10) as week_start", "segment", "shisha as shishanm",
-        f"md5({OLD_CUSTOMER}) as old_planningcustomercd", "md5(planningcustomer) as new_planningcustomercd",
+        f"concat('CD-', {OLD_CUSTOMER}) as old_planningcustomercd",
+        "concat('CD-', planningcustomer) as new_planningcustomercd",
         "planningcustomer as new_planningcustomer", *named(new), "gps as salesamt",
         *[f"{initial} as ini_contri_{c}" for c in codes],
         *[f"1D - {initial} as add_contri_{c}" for c in codes],
@@ -151,7 +158,7 @@ def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         "explode(array(concat_ws('#', n_name, c_mktsegment), concat(n_name, '#HO'), concat(n_name, '#AREA')))"
         " as planningcustomer"
     ).distinct()
-    return names.selectExpr("md5(planningcustomer) as planningcustomercd", "planningcustomer")
+    return names.selectExpr("concat('CD-', planningcustomer) as planningcustomercd", "planningcustomer")
 
 
 def scenario_requests(fact: DataFrame) -> DataFrame:

@@ -89,13 +89,16 @@ def test_rank_of_known_ties(spark):
 
 def test_fallback_takes_first_plausible_level(spark):
     levels = R.STAGE1
+    full, customer, branch = "shisha+planningcustomer", "planningcustomer", "shisha"
     rows = [
-        (0, "s1", "c1", 0.5, "Original"), (0, "s1", "c2", -2.0, "Original"), (0, "s2", "c3", 0.95, "Original"),
-        (1, "*", "c1", 0.3, "x"), (1, "*", "c2", 0.4, "x"), (1, "*", "c3", 5.0, "x"),
-        (2, "s1", "*", 0.6, "x"), (2, "s2", "*", 0.9, "x"),
+        (full, "s1", "c1", "", 0.5, "Original"), (full, "s1", "c2", "", -2.0, "Original"),
+        (full, "s2", "c3", "", 0.95, "Original"), (customer, "*", "c1", "", 0.3, "x"),
+        (customer, "*", "c2", "", 0.4, "x"), (customer, "*", "c3", "", 5.0, "x"),
+        (branch, "s1", "*", "", 0.6, "x"), (branch, "s2", "*", "", 0.9, "x"),
     ]
     df = spark.createDataFrame(
-        rows, "level int, shisha string, planningcustomer string, spends_coef double, model_type string"
+        rows, "level string, shisha string, planningcustomer string, first_sales_month string, "
+        "spends_coef double, model_type string"
     )
     got = {r["planningcustomer"]: (r["spends_coef"], r["model_type"]) for r in R.hierarchical_fallback(df, levels).collect()}
     assert got["c1"] == (0.5, "Original")
