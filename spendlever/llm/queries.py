@@ -2,17 +2,39 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spendlever.llm import sentence_pieces, token_store
 from spendlever.llm.near_dedup import near_duplicates
 
+#: Folder of the public vocabulary files (see the README there); empty: where the package lies.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    if TOKENIZERS:
+        return os.path.join(TOKENIZERS, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = token_store.written(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+    return token_store.digests(spark, store)
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, threshold=80)
 
