@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlever.llm import sentence_pieces, token_store
+from spendlever.llm import html_text, pii, sentence_pieces, token_store
 from spendlever.llm.near_dedup import near_duplicates
 
 #: Folder of the public vocabulary files (see the README there); empty: where the package lies.
@@ -39,5 +39,13 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, threshold=80)
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.texts_of(table(spark, sf_dir, "pages"))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
