@@ -5,9 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendlever.llm import html_text, pii, sentence_pieces, token_store
+from spendlever.llm import html_text, pii, quality, samples, sentence_pieces, token_store, toxicity
 from spendlever.llm.near_dedup import near_duplicates
 
 #: Folder of the public vocabulary files (see the README there); empty: where the package lies.
@@ -35,10 +35,41 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def remainder(modulus: int) -> str:
+    """Fold of a document: the crc32 of its id's decimal digits."""
+    return f"pmod(crc32(cast(cast(doc_id as string) as binary)), {modulus})"
+
+
+#: Texts and lengths go into the score; labels, lang, source and doc_id never do.
+QUALITY_METADATA = ["n_chars"]
+QUALITY_FLOOR = 0.7
+
+
+def quality_machine(spark: SparkSession, sf_dir: str) -> quality.Machine:
+    sample = samples.labelled(table(spark, sf_dir, "labels"), "quality", quality.SAMPLE, f"{remainder(4)} != 2")
+    return quality.train(table(spark, sf_dir, "documents"), sample, metadata=QUALITY_METADATA)
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    machine = quality_machine(spark, sf_dir)
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint"), "text", *QUALITY_METADATA)
+    return quality.scored(documents, machine, metadata=QUALITY_METADATA, name="score").selectExpr(
+        "doc_id", f"coalesce({remainder(4)} = 2, false) as held_out", "score", f"cast(score >= {QUALITY_FLOOR}D as int) as predicted")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, threshold=80)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    sample = samples.labelled(table(spark, sf_dir, "labels"), "toxic", toxicity.SAMPLE, f"{remainder(5)} != 0")
+    scorer = toxicity.train(documents, sample)
+    texts = documents.select(F.col("doc_id").cast("bigint"), "text")
+    return toxicity.scored(texts, scorer, name="score").selectExpr(
+        "doc_id", f"coalesce({remainder(5)} = 0, false) as held_out", "score", "cast(score >= 0.5D as int) as predicted")
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.texts_of(table(spark, sf_dir, "pages"))
 
