@@ -13,7 +13,7 @@ Work is page by page inside a task; memory follows the longest page.
 Defined results. Null or empty html: empty text. White space inside a block becomes one space;
 blocks are joined by one line feed in page order. Unclosed and crossed tags, cut-off pages and broken
 references are read as the parser reads them. Rows are independent; other columns are kept by ``extract``,
-which refuses an output name that is taken. An empty table gives an empty result.
+where an input column of an output's name is replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from spendlever.llm.stages import without
+
 #: Standard deviation, in lines, of the smoothing kernel.
 SIGMA = 1.5
 #: A region holds at least this share of the largest region's content characters.
@@ -165,9 +167,7 @@ def main_text(html: str | None) -> str:
 
 def extract(pages: DataFrame, html_col: str = "html", name: str = "text") -> DataFrame:
     """``pages`` with the main text of ``html_col`` and its length in code points (``n_chars``)."""
-    for column in (name, "n_chars"):
-        if column in pages.columns:
-            raise ValueError(f"the input has a column {column} already")
+    pages = without(pages, name, "n_chars")
     place = pages.columns.index(html_col)
     schema = T.StructType([*pages.schema.fields, T.StructField(name, T.StringType()), T.StructField("n_chars", T.LongType())])
 

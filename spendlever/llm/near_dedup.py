@@ -231,6 +231,8 @@ def near_duplicates(
     more = stages.settle(_confirmed(_crossing(prefixes, threshold), sets, threshold), "more")
     final = components(stages, first.selectExpr("node as a", "component as b").union(more))
 
+    stages.drop(posted, sets, listed, links, marked, prefixes, more)
+
     named = classes.select("cls", "doc_id").join(
         final.withColumnRenamed("node", "cls"), "cls", "left"
     ).selectExpr("cls", "doc_id", "coalesce(component, cls) as part")

@@ -23,6 +23,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from spendlever.llm.stages import without
+
 KINDS = ["email", "ip", "card", "phone", "iban", "national_id", "secret"]
 BASE = 4
 ACCEPT = 0.6
@@ -149,9 +151,8 @@ def _per_text(df: DataFrame, schema: T.StructType, make: Callable[[pa.RecordBatc
 
 
 def personal_data(df: DataFrame, text_col: str = "text", name: str = "personal_data") -> DataFrame:
-    """``df`` with an array of (kind, start, end, score); refuses a column name that is taken."""
-    if name in df.columns:
-        raise ValueError(f"the input has a column {name} already")
+    """``df`` with an array of (kind, start, end, score); an input column of that name is replaced."""
+    df = without(df, name)
     place = df.columns.index(text_col)
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:

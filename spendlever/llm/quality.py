@@ -11,7 +11,7 @@ the executors; the fitted arrays (a few megabytes, of fixed size) travel with th
 Defined results. Null text counts as empty and is scored by its statistics alone. A null metadata value is a value
 of its own. Rows are independent, so repeated rows get equal scores. Without any labelled row, or with
 labels of one class only, every score is the share of label 1 (one half without labels). Other columns are kept by
-``scored``, which refuses an output name that is taken. An empty table gives an empty result.
+``scored``; an input column of the output's name is replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from spendlever.llm import flat, samples
+from spendlever.llm.stages import free_name, without
 
 SAMPLE = 12_000
 BUCKETS = 1 << 16
@@ -219,8 +220,7 @@ def train(documents: DataFrame, sample: DataFrame, text_col: str = "text", metad
 def scored(documents: DataFrame, machine: Machine, text_col: str = "text", metadata: list[str] = [],
            name: str = "quality_score") -> DataFrame:
     """``documents`` with the probability of label 1."""
-    if name in documents.columns:
-        raise ValueError(f"the input has a column {name} already")
+    documents = without(documents, name)
     place = documents.columns.index(text_col)
     carried = len(documents.columns)
     schema = T.StructType([*documents.schema.fields, T.StructField(name, T.DoubleType())])
@@ -236,5 +236,4 @@ def scored(documents: DataFrame, machine: Machine, text_col: str = "text", metad
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:carried], pa.array(np.concatenate(score).astype(float))], names=schema.names)
 
-    hidden = "_metadata_" + "_".join(documents.columns)
-    return documents.withColumn(hidden, _metadata(metadata)).mapInArrow(run, schema)
+    return documents.withColumn(free_name(documents, "metadata"), _metadata(metadata)).mapInArrow(run, schema)

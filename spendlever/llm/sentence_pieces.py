@@ -11,8 +11,8 @@ Ids and texts of a document are made and used inside one task; nothing is shuffl
 
 Defined results. Null text counts as empty: the begin and end ids alone, decoded to the empty
 text. Rows are independent, so ties, repeated rows and clashing names don't matter; all input columns but the
-named ones are left out by ``digests`` and kept by ``encode`` and ``decode``, which refuse an
-output name that the input has already. An empty table gives an empty result.
+named ones are left out by ``digests`` and kept by ``encode`` and ``decode``, where an input column of
+the output's name is replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,8 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from spendlever.llm import flat, pieces
+from spendlever.llm.stages import without
 
 MARK = "▁"
+#: Bytes of text that are cut and merged at a time.
+CHUNK = 4 << 20
 FAR = np.int32(2**31 - 1)
 #: A cut is safe before a space, unless a space or a mark (whose last byte is 0x81) comes before it.
 _VISIBLE = ~flat.byte_set(b" \x81")
@@ -280,8 +283,7 @@ def _text_array(text: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 def _mapped(df: DataFrame, source: str, name: str, kind: T.DataType, convert) -> DataFrame:
     """All columns of ``df`` and a new one, made batch by batch from column ``source``."""
-    if name in df.columns:
-        raise ValueError(f"the input has a column {name} already")
+    df = without(df, name)
     place = df.columns.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +300,7 @@ def encode(df: DataFrame, model: str, text_col: str = "text", name: str = "piece
     """``df`` with the ids of ``text_col``, begin and end ids included."""
     def convert(column: pa.Array):
         data, offsets = flat.utf8(column)
-        for a, b in flat.chunks(offsets, 8 << 20):
+        for a, b in flat.chunks(offsets, CHUNK):
             ids, bounds = encode_texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], model)
             yield a, flat.lists(ids, bounds, pa.int32())
 
@@ -322,7 +324,7 @@ def _digests(path: str):
             hashlib.sha256(body[a:b]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         for batch in batches:
             data, offsets = flat.utf8(batch.column(1))
-            for a, b in flat.chunks(offsets, 8 << 20):
+            for a, b in flat.chunks(offsets, CHUNK):
                 ids, bounds = encode_texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], path)
                 text, ends = decode_rows(ids, bounds, path)
                 yield pa.RecordBatch.from_arrays([

@@ -9,6 +9,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from spendlever.functions.lineage import stage_folder
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without its own columns of these names, whatever their case."""
+    low = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has it already."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 class Stages:
     """Tables written once and read many times; ``drop`` frees those that no later plan reads."""
 

@@ -18,7 +18,7 @@ Scoring is one narrow pass; the fitted lexicon and model have a bounded size.
 
 Defined results. Null or empty text has no evidence and gets the lowest score. Rows are independent, so
 repeated rows get equal scores. Without labelled rows of both classes the lexicon is empty, and every score is the share of
-label 1 (zero without labels). Other columns are kept by ``scored``, which refuses an output name that is taken.
+label 1 (zero without labels). Other columns are kept by ``scored``; an input column of the output's name is replaced.
 An empty table gives an empty result.
 """
 
@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from spendlever.llm import flat, samples
+from spendlever.llm.stages import without
 
 SAMPLE = 12_000
 TERMS = 2_000
@@ -357,8 +358,7 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def scored(documents: DataFrame, scorer: Scorer, text_col: str = "text", name: str = "toxicity_score") -> DataFrame:
     """``documents`` with the probability of being toxic."""
-    if name in documents.columns:
-        raise ValueError(f"the input has a column {name} already")
+    documents = without(documents, name)
     place = documents.columns.index(text_col)
     schema = T.StructType([*documents.schema.fields, T.StructField(name, T.DoubleType())])
 
