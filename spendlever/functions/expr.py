@@ -19,12 +19,10 @@ from pyspark.sql import DataFrame, functions as F
 def ten_thousandths(x: str) -> str:
     """A double as a whole number of ten-thousandths.
 
-    Values that fit a long take the cheap conversion; larger ones go through DECIMAL.
+    Both branches convert the same rounded number; one that fits a long is converted faster.
     """
-    return (
-        f"if(abs({x}) < 9e13D, cast(cast(rint(({x}) * 10000D) as bigint) as decimal(28,0)), "
-        f"cast(({x}) * 10000D as decimal(28,0)))"
-    )
+    whole = f"rint(({x}) * 10000D)"
+    return f"if(abs({x}) < 9e13D, cast(cast({whole} as bigint) as decimal(28,0)), cast({whole} as decimal(28,0)))"
 
 
 def exact_sum(x: str, scale: int = 4) -> str:
@@ -96,6 +94,15 @@ def with_exprs(df: DataFrame, expressions: Mapping[str, str]) -> DataFrame:
     return df.selectExpr(*kept, *new)
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with null equal to null; the keys appear once, as in ``left``."""
+    if not keys:
+        raise ValueError("no join key")
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = " and ".join(f"`{k}` <=> `_right_{k}`" for k in keys)
+    return left.join(renamed, F.expr(same), how).drop(*[f"_right_{k}" for k in keys])
+
+
 def aggregate(df: DataFrame, keys: list[str], expressions: Mapping[str, str]) -> DataFrame:
     """``groupBy(keys)`` with aggregates given as SQL text."""
     return df.groupBy(*keys).agg(*[F.expr(sql).alias(name) for name, sql in expressions.items()])

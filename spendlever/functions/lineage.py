@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, or else the warehouse, which all executors reach as well."""
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir")
+
+
 def stage_folder(spark: SparkSession) -> str:
-    """The shared folder named by the session, or a scratch folder in local mode only."""
-    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spendlever-stage-"))
-    return spark.sparkContext.getCheckpointDir()
+    """Where this application keeps its stage tables."""
+    return f"{shared_folder(spark)}/stages-{spark.sparkContext.applicationId}"
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -30,3 +29,9 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{stage_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete every stage table of this application; results that still read one are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

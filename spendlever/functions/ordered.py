@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from spendlever.functions.expr import aggregate
+from spendlever.functions.expr import aggregate, join_keys
 
 BUCKETS_PER_E_FOLD = 64
 
@@ -48,6 +48,6 @@ def running_totals(
         f"cast(sum(_sum) over (partition by {anchor}) as double) as {amount}_total",
     )
     return (
-        cut.join(per_bucket, keys)
+        join_keys(cut, per_bucket, keys)
         .selectExpr(*steps.columns, f"_inside + _earlier as {amount}_before", f"{amount}_total")
     )

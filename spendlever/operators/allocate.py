@@ -10,11 +10,11 @@ one group with all items (a company-wide budget) is still spread over the cluste
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    aggregate, change, exact_avg, exact_sum, named, ratio, ratio0, round_dp, with_exprs, zero_if_null,
+    aggregate, change, exact_avg, exact_sum, join_keys, named, ratio, ratio0, round_dp, with_exprs, zero_if_null,
 )
 from spendlever.functions.lineage import settle
 from spendlever.functions.ordered import running_totals
@@ -101,7 +101,7 @@ def _filled(amount: str) -> str:
 def _join_group(df: DataFrame, per_group: DataFrame, group: list[str]) -> DataFrame:
     """Attach group rows; without a group there is one total row per policy, so it is broadcast."""
     if group:
-        return df.join(per_group, group)
+        return join_keys(df, per_group, group)
     one = per_group.selectExpr("*", "0 as _g")
     return df.selectExpr("*", "0 as _g").join(F.broadcast(one), "_g").drop("_g")
 
@@ -117,14 +117,15 @@ def allocate(
     items: DataFrame,
     group: list[str],
     suffix: str = "",
-    goal: float | None = None,
+    goal: float | str | Column | None = None,
     band_on_old: bool = False,
     policies: list[str] | None = None,
 ) -> DataFrame:
     """Spend per item and policy that maximises net sales inside the group's band.
 
     Without a goal, total spend may not exceed the centre total; ``band_on_old`` adds the
-    0.9-1.1 band on the old total. ``goal`` fixes the total. ``items`` is read several
+    0.9-1.1 band on the old total. ``goal`` fixes the total: a number, an expression over the
+    group's ``_centre``, ``_lb`` and ``_ub`` totals, or a column. ``items`` is read several
     times, so pass a settled table. Adds ``policy``, ``optimized_spends``, ``feasible``.
     """
     boxed = _boxed(items, suffix)
@@ -135,7 +136,8 @@ def allocate(
     })
     low, high = "0D", "_centre"
     if goal is not None:
-        low = high = f"{float(goal)!r}D"
+        totals = totals.withColumn("_goal", F.expr(goal) if isinstance(goal, str) else goal if isinstance(goal, Column) else F.lit(float(goal)))
+        low = high = "_goal"
     elif band_on_old:
         low, high = f"_old * {LOWER}D", f"least(_centre, _old * {UPPER}D)"
     amounts = {
@@ -152,7 +154,7 @@ def allocate(
         *group, "slope", "feasible", "policy", f"{_filled('_amount')} as _part"
     )
     return (
-        boxed.join(planned, [*group, "slope"])
+        join_keys(boxed, planned, [*group, "slope"])
         .selectExpr("*", f"{round_dp('spends_lb + _range * _part', 6)} as optimized_spends")
         .drop("_range", "_part")
     )
@@ -186,7 +188,7 @@ def min_spend_for_target(
         *side, "_steep", "feasible", f"{_filled(amount)} as _part"
     )
     return (
-        boxed.join(planned, [*side, "_steep"])
+        join_keys(boxed, planned, [*side, "_steep"])
         .selectExpr("*", f"{round_dp('spends_lb + _range * _part', 6)} as optimized_spends")
         .drop("_range", "_part", "_gains", "_steep", "_worth")
     )
@@ -231,7 +233,7 @@ def candidate_select(
 
 def select_candidate_rows(candidates: DataFrame, chosen: DataFrame, group: list[str]) -> DataFrame:
     """Item rows of the chosen candidate of each group."""
-    return candidates.join(chosen.select(*group, "policy"), [*group, "policy"])
+    return join_keys(candidates, chosen.select(*group, "policy"), [*group, "policy"])
 
 
 # --- projection ------------------------------------------------------------------------
@@ -264,7 +266,7 @@ def carry_non_optimised(carried: DataFrame, suffix: str = "") -> DataFrame:
         f"{LY}spends * {LOWER}D as spends_lb", f"{LY}spends * {UPPER}D as spends_ub",
         *[f"{LY}{m} as optimized_{m}" for m in BASE_MEASURES], "0D as optimized_netsales_adj",
         f"{change(f'{LY}spends', f'{LY}spends{suffix}')} as spend_change",
-        "0D as vol_change", "0D as ns_change",
+        "0D as vol_change", "0D as ns_change", "true as feasible",
     )
     return out.selectExpr("*", *named(COST)) if suffix else out
 
@@ -273,7 +275,7 @@ OUTPUT_TAIL = [
     "spends_coef", "price", "ns_to_gps", "backcalc_intercept", f"{LY}netsales_calc",
     "adjustment_factor", "spends_lb", "spends_ub", "optimized_spends", "optimized_volume",
     "optimized_gps", "optimized_netsales", "optimized_netsales_adj",
-    "spend_change", "vol_change", "ns_change",
+    "spend_change", "vol_change", "ns_change", "feasible",
 ]
 STAGE1_OUTPUT = ["shisha", "channel", "planningcustomer", *[f"{LY}{m}" for m in BASE_MEASURES], *OUTPUT_TAIL]
 STAGE2_OUTPUT = [
@@ -303,8 +305,8 @@ def optimise_stage1(
     carried = parts.filter("treatment = 'carry'")
     goal = None
     if goal_spend is not None:
-        spent = aggregate(carried, [], {"s": zero_if_null(exact_sum(f"{LY}spends", 9))}).first()["s"]
-        goal = float(goal_spend) - spent
+        spent = aggregate(carried, [], {"s": zero_if_null(exact_sum(f"{LY}spends", 9))})
+        goal = F.lit(float(goal_spend)) - spent.scalar()
     chosen = _choose(items, [], "", policies or [MAX_NET_SALES], goal=goal)
     done = project_optimised(chosen).select(*STAGE1_OUTPUT)
     return done.unionByName(carry_non_optimised(carried).select(*STAGE1_OUTPUT))
@@ -368,6 +370,14 @@ def optimise_stage2(pushed: DataFrame, policies: list[str] | None = None) -> Dat
     return done.unionByName(carried.select(*STAGE2_OUTPUT))
 
 
+def infeasible_groups(output: DataFrame, group: list[str] = STAGE1_KEY) -> DataFrame:
+    """Groups whose band or goal no allocation inside the items' bounds can meet, with their totals."""
+    return aggregate(output.filter("not feasible"), group, {
+        "items": "count(1)", "spends_lb": exact_sum("spends_lb", 9), "spends_ub": exact_sum("spends_ub", 9),
+        "optimized_spends": exact_sum("optimized_spends", 9),
+    })
+
+
 def guardrail_revert(output: DataFrame) -> DataFrame:
     """Rows that would spend as much or more and sell less go back to last year's values."""
     old_ns = f"{LY}netsales_old"

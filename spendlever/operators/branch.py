@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    aggregate, any_nonzero, change, exact_avg, exact_sum, in_list, named, quoted, ratio0, round_dp,
+    aggregate, any_nonzero, change, exact_avg, exact_sum, in_list, join_keys, named, quoted, ratio0, round_dp,
     with_exprs, zero_if_null,
 )
 
@@ -38,7 +38,7 @@ def branch_share(branch: DataFrame, spend_rows: DataFrame, keys: list[str] = S.K
         *keys, "modelingname", "old_planningcustomer",
         f"{ratio0('ini_money', total, 3)} as ini_contri", f"{ratio0('add_money', total, 3)} as add_contri",
     )
-    return spend_rows.join(shares, [*keys, "modelingname"], "left")
+    return join_keys(spend_rows, shares, [*keys, "modelingname"], "left")
 
 
 def nonzero_spend_rows(fact: DataFrame) -> DataFrame:
@@ -53,15 +53,16 @@ def unpivot_shares(shared: DataFrame) -> DataFrame:
 
 
 def apportion_groups(
-    long: DataFrame, keys: list[str], measures: list[str], conserve: bool = False
+    long: DataFrame, keys: list[str], measures: list[str], conserve: bool = True
 ) -> DataFrame:
     """Classify each key by the sum of its shares and apply the shares to the measures.
 
     ``share_group`` is ``none`` (no share: the row passes through unchanged), ``one``
     (sum below 2: shares as they are), ``two`` (sum 2 with both kinds: rows whose share
     is not 1), ``three`` (sum 2 with one kind: share divided by the row count) or ``over``
-    (sum above 2: share divided by the sum). With ``conserve`` the kept weights of every
-    key are scaled to sum to 1, and a key that would keep no row keeps all of them.
+    (sum above 2: share divided by the sum). The kept weights of every key are scaled to
+    sum to 1, and a key that would keep no row keeps all of them; without ``conserve`` the
+    weights stay as the groups give them, which loses or doubles money in group ``two``.
 
     A key's window holds its old customers twice, never fact lines.
     """
@@ -120,17 +121,17 @@ def reassign_branch(apportioned: DataFrame) -> DataFrame:
     return moved.select(*columns).unionByName(untouched.select(*columns))
 
 
-def reallocate_branches(fact: DataFrame, branch: DataFrame, conserve: bool = False) -> DataFrame:
+def reallocate_branches(fact: DataFrame, branch: DataFrame) -> DataFrame:
     """Shares, apportionment and reassignment of all three spend types in one plan."""
     long = unpivot_shares(branch_share(branch, nonzero_spend_rows(fact)))
-    return reassign_branch(apportion_groups(long, [*S.KEY5, "modelingname"], S.MEASURES, conserve))
+    return reassign_branch(apportion_groups(long, [*S.KEY5, "modelingname"], S.MEASURES))
 
 
 def assemble_fact(fact: DataFrame, reassigned: DataFrame) -> DataFrame:
     """Untouched drivers plus the reassigned spend rows."""
     columns = [*S.KEY10, "modelingname", "price", *S.MEASURES]
     untouched = fact.filter(f"not {IS_SPEND} and {any_nonzero(S.MEASURES)}")
-    return untouched.select(*columns).unionByName(reassigned.select(*columns)).distinct()
+    return untouched.select(*columns).unionByName(reassigned.select(*columns))
 
 
 OLD_MEASURES = [f"last_year_period_{m}_old" for m in ("spends", "volume", "gps", "netsales")]
@@ -182,4 +183,4 @@ def branch_list(existing: DataFrame, branch: DataFrame, scenario: str) -> DataFr
         )
     )
     others = existing.filter(f"scenario_name != {quoted(scenario)}")
-    return others.unionByName(mapping, allowMissingColumns=True).distinct()
+    return others.unionByName(mapping, allowMissingColumns=True)

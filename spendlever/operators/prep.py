@@ -106,10 +106,10 @@ BRANCH_MONEY = [f"{kind}_{t}" for t in BRANCH_CODES for kind in ("ini", "add")]
 
 
 def branch_money_split(feeds: list[DataFrame], customers: DataFrame) -> DataFrame:
-    """Split new spend into initial and additional money per old customer.
+    """Initial and additional money per week, segment, branch office, new and old customer.
 
     ``feeds`` are tables of one layout. Lines without sales that still carry new spend
-    are left out.
+    are left out. Lines are summed, never deduplicated: two equal lines are two bookings.
     """
     names = customers.selectExpr(
         "planningcustomercd as old_planningcustomercd", "planningcustomer as old_planningcustomer"
@@ -119,16 +119,12 @@ def branch_money_split(feeds: list[DataFrame], customers: DataFrame) -> DataFram
         for t, code in BRANCH_CODES.items() for kind in ("ini", "add")
     }
     no_new_spend = " and ".join(f"new_{t} = 0" for t in BRANCH_CODES)
-    return (
-        reduce(DataFrame.unionByName, feeds)
-        .filter(f"salesamt != 0 or ({no_new_spend})")
-        .join(names, "old_planningcustomercd", "left")
-        .selectExpr(
-            "yearmonth", "year", "month", "week_start", "segment", "shishanm",
-            "new_planningcustomer", "old_planningcustomer", *named(money),
-        )
-        .distinct()
+    grain = ["yearmonth", "year", "month", "week_start", "segment", "shishanm", "new_planningcustomer"]
+    weekly = aggregate(
+        reduce(DataFrame.unionByName, feeds).filter(f"salesamt != 0 or ({no_new_spend})"),
+        [*grain, "old_planningcustomercd"], {m: exact_sum(x) for m, x in money.items()},
     )
+    return weekly.join(names, "old_planningcustomercd", "left").select(*grain, "old_planningcustomer", *money)
 
 
 def category_from_path(
@@ -263,19 +259,20 @@ def reconcile_totals(
     before: DataFrame, after: DataFrame, keys: list[str], measures: list[str] = S.MEASURES
 ) -> DataFrame:
     """One row per key and measure: total before, after, difference, display text, row counts."""
-    def totals(df: DataFrame, tag: str) -> DataFrame:
-        return aggregate(df, keys, {**{f"{m}_{tag}": exact_sum(m) for m in measures}, f"rows_{tag}": "count(1)"})
-
+    # One aggregation over both sides: a key of nulls meets itself, and no key at all gives one row.
+    sides = before.selectExpr("*", "true as _first").select(*keys, *measures, "_first").unionByName(
+        after.selectExpr("*", "false as _first").select(*keys, *measures, "_first"))
+    tags = {"before": "_first", "after": "not _first"}
+    totals = aggregate(sides, keys, {
+        **{f"{m}_{tag}": exact_sum(f"if({mine}, {m}, null)") for tag, mine in tags.items() for m in measures},
+        **{f"rows_{tag}": f"count_if({mine})" for tag, mine in tags.items()},
+    })
     checks = ", ".join(
         f"named_struct('measure', '{m}', 'before', {zero_if_null(m + '_before')}, 'after', {zero_if_null(m + '_after')})"
         for m in measures
     )
     return (
-        totals(before, "before").join(totals(after, "after"), keys, "outer")
-        .selectExpr(
-            *keys, "coalesce(rows_before, 0L) as rows_before", "coalesce(rows_after, 0L) as rows_after",
-            f"explode(array({checks})) as c",
-        )
+        totals.selectExpr(*keys, "rows_before", "rows_after", f"explode(array({checks})) as c")
         .selectExpr(
             *keys, "c.measure", "c.before", "c.after", "c.after - c.before as diff",
             "format_number(c.after, 2) as after_text", "rows_before", "rows_after",

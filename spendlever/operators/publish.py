@@ -62,7 +62,14 @@ def scenario_params(requests: DataFrame, uid: str | None = None) -> DataFrame:
 
 
 def scenario_from_row(row) -> Scenario:
-    """Scenario of one parsed request row (see ``scenario_params``)."""
+    """Scenario of one parsed request row (see ``scenario_params``).
+
+    A request whose objective is not understood, or whose period ends before it starts, is an error.
+    """
+    if row["strategy"] is None:
+        raise ValueError(f"request {row['uid']}: unknown optimisation objective")
+    if row["period_start"][:10] > row["period_end"][:10] or row["period_start"][:4] != row["period_end"][:4]:
+        raise ValueError(f"request {row['uid']}: a scenario's period lies in one year")
     return Scenario(
         name=row["scenario_name"], business=row["business"], spend_type=row["spend_type"],
         year=int(row["period_end"][:4]), first_month=int(row["period_start"][5:7]),
@@ -73,14 +80,17 @@ def scenario_from_row(row) -> Scenario:
 
 
 def last_year_period(params: DataFrame) -> DataFrame:
-    """First days of the planned months in the year before, newest first."""
+    """First days of the planned months in the year before, newest first.
+
+    A period that ends before it starts gives one row without a month.
+    """
     first, last = (
-        f"make_date(cast(substring(period_end, 1, 4) as int) - 1, cast(substring({c}, 6, 2) as int), 1)"
+        f"make_date(cast(substring({c}, 1, 4) as int) - 1, cast(substring({c}, 6, 2) as int), 1)"
         for c in ("period_start", "period_end")
     )
+    months = f"if({first} <= {last}, sequence({last}, {first}, interval -1 month), null)"
     return (
-        params.filter("substring(period_start, 6, 2) <= substring(period_end, 6, 2)")
-        .selectExpr("uid", "scenario_name", f"posexplode(sequence({last}, {first}, interval -1 month)) as (position, day)")
+        params.selectExpr("uid", "scenario_name", f"posexplode_outer({months}) as (position, day)")
         .selectExpr("uid", "scenario_name", "position", "cast(day as string) as month_start")
     )
 
@@ -201,7 +211,7 @@ def publish_scenario(existing: DataFrame, final: DataFrame, scenario: Scenario)
         "year": str(scenario.year), "month": str(scenario.last_month),
         "half_year": "'H1'" if scenario.last_month <= 6 else "'H2'",
     })
-    return others.unionByName(tagged, allowMissingColumns=True).distinct()
+    return others.unionByName(tagged.distinct(), allowMissingColumns=True)
 
 
 def load_check(written: DataFrame, published: DataFrame, scenario: str) -> DataFrame:

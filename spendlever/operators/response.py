@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    MONTH_START, aggregate, exact_sum, in_list, named, quoted, round_dp, ten_thousandths, with_exprs,
+    MONTH_START, aggregate, exact_sum, in_list, join_keys, named, quoted, round_dp, ten_thousandths, with_exprs,
 )
 from spendlever.functions.lineage import settle
 from spendlever.functions.ordered import running_totals
@@ -81,7 +81,7 @@ def pct_rank_avg(rows: DataFrame, keys: list[str], measures: list[str] | None =
     """Add the average-tie percentile rank of each measure within its key."""
     ranked = rows
     for measure in measures or ["spends", "volume"]:
-        ranked = ranked.join(value_ranks(rows, keys, measure), [*keys, measure], "left")
+        ranked = join_keys(ranked, value_ranks(rows, keys, measure), [*keys, measure], "left")
     return ranked
 
 
@@ -170,7 +170,7 @@ def trim_refit(rows: DataFrame, keys: list[str]) -> DataFrame:
     shifted by the key's minimum so the moments do not cancel.
     """
     keyed = rows.selectExpr(*keys, "spends", "volume", f"{MONTH_START} as sales_month")
-    points = keyed.join(_cutoffs(keyed, keys), keys).selectExpr(
+    points = join_keys(keyed, _cutoffs(keyed, keys), keys).selectExpr(
         *keys, "spends", "volume", "sales_month",
         "ln(spends) - ln(s_min) as x", "ln(volume) - ln(v_min) as y",
         "ln(s_min) as x_min", "ln(v_min) as y_min",
@@ -265,7 +265,7 @@ def hierarchical_fallback(fits: DataFrame, levels: FitLevels) -> DataFrame:
     for drop in levels.drops:
         kept = [k for k in keys if k != drop]
         coarse = fits.filter(f"level = '{_level(kept)}'").selectExpr(*kept, "spends_coef as _coarse")
-        model = with_exprs(model.join(coarse, kept, "left"), {
+        model = with_exprs(join_keys(model, coarse, kept, "left"), {
             "spends_coef": f"if({inside}, spends_coef, _coarse)",
             "model_type": f"if({inside}, model_type, 'Without_{drop.upper()}_Level_Model_Augmented')",
         }).select(*columns)

@@ -52,6 +52,8 @@ def rounded(columns: str, dp: int) -> str:
 
 
 CTES: dict[str, str] = {}
+#: Expressions that several others read; computed once.
+SHARED = {"x_fact", "x_lines", "x_branch", "x_coef1", "x_coef2", "x_base1", "x_stage1", "x_pushed", "x_stage2", "x_long2", "x_rework"}
 
 
 def cte(name: str, sql: str) -> None:
@@ -67,7 +69,7 @@ def stmt(select: str) -> str:
             if word in CTES and word not in needed:
                 needed.add(word)
                 todo.append(CTES[word])
-    parts = [f"{n} AS ({CTES[n]})" for n in CTES if n in needed]
+    parts = [f"{n} AS {'MATERIALIZED ' if n in SHARED else ''}({CTES[n]})" for n in CTES if n in needed]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + select
 
 
@@ -125,14 +127,14 @@ SELECT s.*, coalesce(vol_contri * total_salesqtycase, 0) AS volume,
   coalesce(vol_contri * total_salesqtycase * price, 0) AS gps
 FROM x_share s LEFT JOIN x_rolled USING ({KEY5})""")
 cte("x_branch", f"""
-SELECT DISTINCT CAST(year AS VARCHAR) || lpad(CAST(month AS VARCHAR), 2, '0') AS yearmonth, year, month,
+SELECT CAST(year AS VARCHAR) || lpad(CAST(month AS VARCHAR), 2, '0') AS yearmonth, year, month,
   strftime(l_shipdate, '%Y-%m-%d') AS week_start, segment, shisha AS shishanm,
   planningcustomer AS new_planningcustomer,
   CASE WHEN l_orderkey % 3 = 0 THEN cluster || '#HO' WHEN l_orderkey % 7 = 0 THEN cluster || '#AREA'
        ELSE planningcustomer END AS old_planningcustomer,
-  {', '.join(f"CASE WHEN modelingname = '{t.upper()}' AND l_linestatus = '{f}' THEN spends ELSE 0.0 END AS {k}_{t}"
+  {', '.join(es(f"CASE WHEN modelingname = '{t.upper()}' AND l_linestatus = '{f}' THEN spends ELSE 0.0 END") + f" AS {k}_{t}"
              for t in SPEND_NAMES.values() for k, f in (('ini', 'F'), ('add', 'O')))}
-FROM x_lines WHERE modelingname IN {TYPES} AND (gps <> 0 OR spends = 0)""")
+FROM x_lines WHERE modelingname IN {TYPES} AND (gps <> 0 OR spends = 0) GROUP BY ALL""")
 _money = [f"{k}_{t}" for t in SPEND_NAMES.values() for k in ("ini", "add")]
 
 
@@ -211,7 +213,7 @@ def _reassigned(source: str) -> str:
     SELECT {KEY10}, modelingname, price, {', '.join(MEASURES)} FROM {source} WHERE share_group = 'none'"""
 
 
-cte("x_reassigned", _reassigned("x_apportioned"))
+cte("x_reassigned", _reassigned("x_conserved"))
 cte("x_half", "SELECT *, CASE WHEN month <= 6 THEN 'H1' ELSE 'H2' END AS half_year FROM x_fact")
 _HKEY = f"year, half_year, {DIMS}"
 _excl = {
@@ -290,13 +292,18 @@ SQL["apportion_groups"] = stmt(f"""
 SELECT {KEY10}, modelingname, old_planningcustomer, contri_type, share_group,
   {rounded('weight, spends, netsales, gps, volume', 6)} FROM x_apportioned""")
 _re_cols = f"{KEY10}, modelingname, {rounded('price, spends, netsales, gps, volume', 4)}"
-SQL["apportion_conserving"] = stmt(f"SELECT {_re_cols} FROM ({_reassigned('x_conserved')})")
+SQL["apportion_conserving"] = stmt(f"""
+SELECT {KEY10}, modelingname, old_planningcustomer, contri_type, share_group,
+  {rounded('weight, spends, netsales, gps, volume', 6)} FROM x_conserved WHERE share_group <> 'none'""")
+SQL["reallocation_check"] = stmt(" UNION ALL ".join(f"""
+SELECT modelingname, '{m}' AS measure, {rd(es(m), 2)} AS before, true AS kept FROM x_spendrows GROUP BY modelingname"""
+    for m in MEASURES))
 SQL["reassign_branch"] = stmt(f"SELECT {_re_cols} FROM x_reassigned")
 SQL["assemble_fact"] = stmt(f"""
 SELECT {_re_cols} FROM (
   SELECT {KEY10}, modelingname, price, {', '.join(MEASURES)} FROM x_fact WHERE modelingname NOT IN {TYPES}
     AND (spends <> 0 OR netsales <> 0 OR gps <> 0 OR volume <> 0)
-  UNION SELECT * FROM x_reassigned)""")
+  UNION ALL SELECT * FROM x_reassigned)""")
 _view_cols = f"""{month_end('year', 'month')} AS date, CAST(year AS VARCHAR) AS year,
   lpad(CAST(month AS VARCHAR), 2, '0') AS month, CASE WHEN month <= 6 THEN 1 ELSE 2 END AS half_year,
   {DIMS}, modelingname"""
@@ -330,7 +337,7 @@ _SEG = "('SMALL/XS','SMALL/S','LARGE/M')"
 cte("x_fresh", f"""
 SELECT {KEY10}, modelingname, spends * 2 AS spends, gps * 2 AS gps, netsales * 2 AS netsales, volume * 2 AS volume,
   price, ec, ec_per_qtycase, mc
-FROM x_fact WHERE modelingname NOT IN {TOTALS} AND segment IN {_SEG} AND month <> 1""")
+FROM x_fact WHERE modelingname NOT IN {TOTALS} AND segment IN {_SEG}""")
 cte("x_replacement", f"""
 SELECT {_view_cols}, {', '.join(_VV)} FROM (
   SELECT {KEY10}, modelingname, {', '.join(_VV)} FROM x_fresh
@@ -343,14 +350,29 @@ SELECT {', '.join(f'coalesce(o.{k.strip()}, r.{k.strip()}) AS {k.strip()}' for k
       THEN CASE WHEN coalesce(o.modelingname, r.modelingname) <> 'PREDICTED_SALES' THEN r.{c} ELSE coalesce(o.{c}, r.{c}) END
       ELSE o.{c} END, 0)''') + f' AS {c}' for c in _VV)}
 FROM (SELECT {_view_cols}, spends, gps, netsales, volume, price, 0.0 AS ec, 0.0 AS ec_per_qtycase, 0.0 AS mc
-      FROM x_fact WHERE (spends <> 0 OR volume <> 0 OR gps <> 0 OR netsales <> 0) AND x_fact.month <> 12) o
+      FROM x_fact WHERE (spends <> 0 OR volume <> 0 OR gps <> 0 OR netsales <> 0)) o
 FULL JOIN x_replacement r ON {' AND '.join(f'o.{k.strip()} = r.{k.strip()}' for k in _VK.split(','))}""")
-SQL["reconcile_totals"] = stmt(" UNION ALL ".join(f"""
-SELECT b.year, b.category, '{m}' AS measure, {rd('b.t', 2)} AS before, {rd('a.t', 2)} AS after, {rd('a.t - b.t', 2)} AS diff,
-  b.n AS rows_before, a.n AS rows_after
-FROM (SELECT year, category, {es(m)} AS t, count(*) AS n FROM x_fact GROUP BY ALL) b
-JOIN (SELECT year, category, {es(m)} AS t, count(*) AS n FROM x_repriced GROUP BY ALL) a USING (year, category)"""
-    for m in MEASURES))
+_TEXT = "format('{{:,.2f}}', {0})"
+
+
+def _reconciled(before: str, after: str, keys: str) -> str:
+    """Totals of both sides per key and measure; keys of one side only keep the other at 0."""
+    listed = keys + ", " if keys else ""
+    sides = f"""(SELECT {listed}true AS f, {', '.join(MEASURES)} FROM {before}
+      UNION ALL SELECT {listed}false, {', '.join(MEASURES)} FROM {after})"""
+    return " UNION ALL ".join(f"""
+    SELECT {listed}'{m}' AS measure, {rd('b', 2)} AS before, {rd('a', 2)} AS after, {rd('a - b', 2)} AS diff,
+      {_TEXT.format('a')} AS after_text, rows_before, rows_after
+    FROM (SELECT {listed}coalesce(CAST(sum(CAST({m} AS DECIMAL(28,4))) FILTER (WHERE f) AS DOUBLE), 0) AS b,
+        coalesce(CAST(sum(CAST({m} AS DECIMAL(28,4))) FILTER (WHERE NOT f) AS DOUBLE), 0) AS a,
+        count(*) FILTER (WHERE f) AS rows_before, count(*) FILTER (WHERE NOT f) AS rows_after
+      FROM {sides} {'GROUP BY ' + keys if keys else ''})""" for m in MEASURES)
+
+
+SQL["reconcile_totals"] = stmt(_reconciled("x_fact", "x_repriced", "year, category"))
+SQL["reconcile_grand_total"] = stmt(_reconciled("x_fact", "x_repriced", ""))
+cte("x_monthly", "SELECT *, CAST(year AS VARCHAR) || lpad(CAST(month AS VARCHAR), 2, '0') AS yearmonth FROM x_fact")
+SQL["reconcile_months"] = stmt(_reconciled("x_monthly", f"(SELECT * FROM x_monthly WHERE modelingname IN {TYPES})", "yearmonth"))
 cte("x_requests", f"""
 WITH g AS (SELECT business, category, modelingname, string_agg(DISTINCT channel, ',' ORDER BY channel) AS channel,
     string_agg(DISTINCT shisha, ',' ORDER BY shisha) AS shisha, {es('spends')} AS budget,
@@ -410,6 +432,7 @@ FROM x_spendpos GROUP BY {FITK}""")
 SQL["pct_rank_avg"] = stmt(f"""
 SELECT year, month, segment, {FITK}, {rounded('spends, volume', 6)}, {rd(_rank(FITK, 'spends'), 6)} AS pct_rank_spends,
   {rd(_rank(FITK, 'volume'), 6)} AS pct_rank_volume FROM x_spendpos""")
+# Percentile pairs of the trimming corners, mildest first.
 HI = [0.975, 0.95, 0.9, 0.85, 0.8, 0.75, 0.7]
 LO = [0.025, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3]
 
@@ -446,6 +469,8 @@ def _trimmed(source: str, keys: str) -> str:
 
 
 SQL["trim_refit"] = stmt(_trimmed("x_spendpos", FITK))
+cte("x_spendnull", "SELECT * REPLACE (nullif(shisha, 'ASIA') AS shisha) FROM x_spendpos")
+SQL["trim_refit_null_keys"] = stmt(_trimmed("x_spendnull", FITK))
 cte("x_fitpos", "SELECT * FROM x_fitrows WHERE volume > 0")
 
 
@@ -576,10 +601,15 @@ def _alloc(source: str, group: str, sfx: str, low: str, high: str, fills: dict[s
 
 MAXNS, FIRST = "least(hi - lb, greatest(gainful, lo - lb))", "hi - lb"
 cte("x_alloc1", _alloc("x_items1", "", "", "0.0", "centre", {"max_net_sales": MAXNS}))
-cte("x_goal1", _alloc("x_items1", "", "", "100000.0", "100000.0", {"max_net_sales": MAXNS}))
+cte("x_goal1", _alloc("x_items1", "", "", "centre * 1.02", "centre * 1.02", {"max_net_sales": MAXNS}))
+cte("x_goal2", _alloc("x_items1", "", "", "centre * 1.25", "centre * 1.25", {"max_net_sales": MAXNS}))
+cte("x_itemsnull", "SELECT * REPLACE (nullif(shisha, 'ASIA') AS shisha) FROM x_items1")
+cte("x_allocnull", _alloc("x_itemsnull", "shisha", "", "0.0", "centre", {"max_net_sales": MAXNS}))
 _al = f"policy, feasible, {rounded('slope, spends_lb, spends_ub, optimized_spends', 3)}"
 SQL["allocate_stage1"] = stmt(f"SELECT {S1}, {_al} FROM x_alloc1")
 SQL["allocate_goal"] = stmt(f"SELECT {S1}, {_al} FROM x_goal1")
+SQL["allocate_broken_goal"] = stmt(f"SELECT {S1}, {_al} FROM x_goal2")
+SQL["allocate_null_keys"] = stmt(f"SELECT {S1}, {_al} FROM x_allocnull")
 
 
 def _target(growth: float, exact: bool) -> str:
@@ -624,13 +654,13 @@ def _carried(source: str, sfx: str) -> str:
       {L}spends * 0.9 AS spends_lb, {L}spends * 1.1 AS spends_ub, {L}spends AS optimized_spends,
       {L}volume AS optimized_volume, {L}gps AS optimized_gps, {L}netsales AS optimized_netsales,
       0.0 AS optimized_netsales_adj, {div(f'{L}spends - {L}spends{sfx}', f'{L}spends{sfx}')} AS spend_change,
-      0.0 AS vol_change, 0.0 AS ns_change FROM {source} WHERE {L}spends > 0 AND {L}volume = 0"""
+      0.0 AS vol_change, 0.0 AS ns_change, true AS feasible FROM {source} WHERE {L}spends > 0 AND {L}volume = 0"""
 
 
-_s1cols = f"shisha, channel, planningcustomer, {_ly}, {_tail}"
+_s1cols = f"shisha, channel, planningcustomer, feasible, {_ly}, {_tail}"
 cte("x_stage1", f"""
 SELECT {_s1cols} FROM ({_projected('x_alloc1', '')}) UNION ALL SELECT {_s1cols} FROM ({_carried('x_base1', '')})""")
-_s1out = f"shisha, channel, planningcustomer, {rounded(f'{_ly}, {_tail}', 3)}"
+_s1out = f"shisha, channel, planningcustomer, feasible, {rounded(f'{_ly}, {_tail}', 3)}"
 SQL["project_optimised"] = stmt(f"SELECT {_s1out} FROM ({_projected('x_alloc1', '')})")
 SQL["carry_non_optimised"] = stmt(f"SELECT {_s1out} FROM ({_carried('x_base1', '')})")
 
@@ -676,7 +706,7 @@ SELECT {S1}, policy, growth_percent, spend_percent, overall_spend_percent, accep
       {_ch('optimized_spends', f'{L}spends_old')} AS overall_spend_percent
     FROM ({_respond('x_cand2', 'optimized_spends', '_old')}) GROUP BY {S1}, policy)))
 WHERE place = 1""")
-_s2cols = f"{DIMS}, {_lyo}, {_ly}, ec_per_qtycase, {_tail}"
+_s2cols = f"{DIMS}, feasible, {_lyo}, {_ly}, ec_per_qtycase, {_tail}"
 cte("x_stage2", f"""
 SELECT *, {L}volume_old * ec_per_qtycase AS ec, {L}netsales_old - {L}volume_old * ec_per_qtycase AS mc,
   optimized_volume * ec_per_qtycase AS ec_new, optimized_netsales_adj - optimized_volume * ec_per_qtycase AS mc_new
@@ -687,6 +717,9 @@ SQL["stage_summary"] = stmt(f"""
 SELECT {_sum('optimized_spends', f'{L}spends_old')} AS spend_change,
   {_sum('optimized_volume', f'{L}volume_old')} AS volume_change,
   {_sum('optimized_netsales_adj', f'{L}netsales_old')} AS netsales_change FROM x_stage2""")
+SQL["infeasible_groups"] = stmt(f"""
+SELECT {S1}, count(*) AS items, {', '.join(rd(es(c, 9), 3) + f' AS {c}' for c in ('spends_lb', 'spends_ub', 'optimized_spends'))}
+FROM x_stage2 WHERE NOT feasible GROUP BY {S1}""")
 SQL["spend_mismatch"] = stmt(f"""
 SELECT {S1}, {rd('a', 3)} AS {L}spends, {rd('b', 3)} AS optimized_spends, {rd('(b - a) / a * 100', 3)} AS change_perc
 FROM (SELECT {S1}, {es(f'{L}spends', 9)} AS a, {es('optimized_spends', 9)} AS b FROM x_stage2 GROUP BY {S1})
@@ -754,10 +787,13 @@ _rw_sum = [*[c.strip() for c in _lyo.split(",")], "optimized_spends", "optimized
 _rw_scaled = [*[c.strip() for c in _lyo.split(",")], "optimized_spends", "optimized_volume", "optimized_gps", "optimized_netsales_adj"]
 _d7 = "business, category, subcategory, segment, shisha, cluster, channel"
 cte("x_rework", f"""
-WITH w AS (SELECT l.*, {_WEIGHT} AS weight,
+WITH w0 AS (SELECT l.*, {_WEIGHT} AS w0, NOT (share_group = 'two' AND contri_val = 1) AS keep,
     CASE WHEN planningcustomer = old_planningcustomer OR contri_type = 'INI' THEN planningcustomer ELSE old_planningcustomer END AS target
-  FROM x_long2 l JOIN x_groups2 USING ({S2})
-  WHERE contri_val <> 0 AND share_group <> 'none' AND NOT (share_group = 'two' AND contri_val = 1)),
+  FROM x_long2 l JOIN x_groups2 USING ({S2}) WHERE contri_val <> 0 AND share_group <> 'none'),
+k AS (SELECT {S2}, {es('w0', 9)} AS alls, CAST(sum(CAST(w0 AS DECIMAL(28,9))) FILTER (WHERE keep) AS DOUBLE) AS kept
+  FROM w0 GROUP BY {S2}),
+w AS (SELECT w0.*, CASE WHEN kept IS NULL THEN w0 / alls ELSE w0 / kept END AS weight
+  FROM w0 JOIN k USING ({S2}) WHERE keep OR kept IS NULL),
 z AS (SELECT {_d7}, target AS planningcustomer, ec_per_qtycase, price, adjustment_factor,
     {', '.join(rd(f'{c} * weight', 3) + f' AS {c}' for c in _rw_scaled)} FROM w),
 g AS (SELECT {DIMS}, {av('ec_per_qtycase')} AS ec_per_qtycase, {av('price')} AS price,
@@ -785,10 +821,14 @@ _act = "spends, netsales, gps, volume, ec, mc, ec_per_qtycase, price"
 SQL["scenario_period_actuals"] = stmt(f"""
 SELECT {DIMS}, modelingname, {rounded(_act + ', ec_per_case', 3)}, scenario_name, date FROM x_actual""")
 SQL["missing_keys_backfill"] = stmt(f"""
-SELECT {DIMS}, modelingname, {rounded(_act, 3)}, CASE WHEN volume > 0 THEN NULL ELSE {rd('ec_per_case', 3)} END AS ec_per_case,
-  scenario_name, date FROM x_actual""")
+SELECT {DIMS}, modelingname, {rounded('spends, netsales, gps, volume', 2)} FROM (
+  SELECT DISTINCT {DIMS}, 'PRICEOFF' AS modelingname, optimized_spends AS spends, optimized_netsales_adj AS netsales,
+    optimized_gps_adj AS gps, optimized_volume AS volume FROM x_rework
+  UNION ALL
+  SELECT {DIMS}, modelingname, spends, netsales, gps, volume FROM x_actual a
+  WHERE NOT EXISTS (SELECT 1 FROM x_rework r WHERE {' AND '.join(f'r.{c.strip()} = a.{c.strip()}' for c in DIMS.split(','))}))""")
 SQL["key_semi_filter"] = stmt(f"""
-SELECT {KEY10}, modelingname, spends, volume FROM x_period p WHERE EXISTS (SELECT 1 FROM x_scope s
+SELECT {KEY10}, modelingname, spends, volume FROM x_fact p WHERE EXISTS (SELECT 1 FROM x_scope s
   WHERE p.segment = s.segment AND p.shisha = s.shisha AND p.planningcustomer = s.planningcustomer)""")
 cte("x_matched", f"""
 SELECT r.*, {', '.join(f'a.{m} AS d_{m}' for m in MEASURES)},

@@ -38,21 +38,21 @@ def prepare(
     save: Save = settle_stage,
 ) -> dict[str, DataFrame]:
     """Rescale, reprice and re-attribute the decomposition; one write per stage."""
-    scaled = save("optimization_input", P.rescale_to_actuals(
+    scaled = save("rescaled", P.rescale_to_actuals(
         P.contribution_share(decomposition), P.actuals_rollup(actuals)
     ))
-    repriced = save("optimization_input_pc", P.price_change_passthrough(
+    repriced = save("repriced", P.price_change_passthrough(
         scaled, price_changes, P.driver_share_pct(decomposition)
     ))
-    branch = save("ho_branch_info", P.branch_money_split(branch_feeds, customers))
-    updated = save("optimization_input_pc_updt", B.assemble_fact(
+    branch = save("branch_money", P.branch_money_split(branch_feeds, customers))
+    updated = save("reattributed", B.assemble_fact(
         repriced, B.reallocate_branches(repriced, branch)
     ))
     return {
-        "optimization_input": scaled,
-        "optimization_input_pc": repriced,
-        "ho_branch_info": branch,
-        "optimization_input_pc_updt": updated,
+        "rescaled": scaled,
+        "repriced": repriced,
+        "branch_money": branch,
+        "reattributed": updated,
         "decomp_view": save("decomp_view", P.decomp_view(updated, decomposition)),
         "history": save("history", P.history_baseline(scaled, decomposition)),
     }

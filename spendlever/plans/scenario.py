@@ -4,14 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from spendlever import schemas as S
-from spendlever.functions.expr import in_list
+from spendlever.functions.expr import in_list, quoted
+from spendlever.functions.lineage import settle
 from spendlever.operators import allocate as A, branch as B, publish as U, response as R
 from spendlever.plans.preparation import Save, settle_stage
+from spendlever.sources.tables import read_catalog, replace_catalog, replace_partitions
 
 Report = Callable[[int, float], None]
+STRATEGIES = ("2", "3")
+
+
+def catalog_ledger(spark: SparkSession, database: str, table: str, scenario: str) -> Report:
+    """Progress reports that replace the scenario's row in a catalog ledger."""
+    def report(state: int, progress: float) -> None:
+        row = spark.createDataFrame([(scenario, state, progress)], S.LEDGER).selectExpr(
+            "*", "current_timestamp() as reported_at", "0L as report_no")
+        replace_catalog(U.status_upsert(read_catalog(spark, database, table), row), database, table)
+
+    return report
+
+
+def publish_in_place(final: DataFrame, scenario: U.Scenario, database: str, table: str) -> None:
+    """Replace the scenario's rows in a catalog table partitioned by year.
+
+    Only the years that hold the scenario's rows, old or new, are rewritten; a rerun
+    leaves the same table.
+    """
+    published = read_catalog(final.sparkSession, database, table)
+    mine = published.filter(f"scenario_name = {quoted(scenario.name)}").select("year").distinct()
+    years = {scenario.year, *(row["year"] for row in mine.collect())}  # one row per year
+    touched = published.filter(f"year in ({', '.join(map(str, sorted(years)))})")
+    replace_partitions(settle(U.publish_scenario(touched, final, scenario)), database, table, "year", years)
 
 
 def run_scenario(
@@ -24,12 +50,18 @@ def run_scenario(
     published: DataFrame,
     save: Save = settle_stage,
     report: Report = lambda state, progress: None,
+    publish: Callable[[DataFrame, U.Scenario], None] | None = None,
+    allow_broken_goal: bool = False,
 ) -> dict[str, DataFrame]:
     """Run every stage of one scenario and return its tables.
 
     ``report`` receives (state, progress) after each stage; a failure is reported and
-    raised, never swallowed.
+    raised, never swallowed. ``publish`` receives the final rows, for instance to write them in
+    place. A goal that the items' bounds can't meet is an error, unless it is allowed; groups
+    of the second stage whose band can't be met are returned as ``infeasible``.
     """
+    if scenario.strategy not in STRATEGIES:
+        raise ValueError(f"scenario {scenario.name}: unknown strategy {scenario.strategy!r}")
     progress = 0.0
     scope = {
         "business": scenario.business, "categories": scenario.categories,
@@ -50,32 +82,42 @@ def run_scenario(
         rows = done("fit_rows", R.scope_filter(repriced, **mine, **spent), 0.02)
         base = done("base_rows", R.scope_filter(opt_input, **mine, **spent, period=period), 0.04)
         models = R.response_models(rows, R.STAGE1, R.STAGE2)
-        coarse = done("data_prep_iter1", models[0], 0.12)
-        fine = done("data_prep_iter2", R.attach_dimensions(models[1], rows), 0.26)
+        coarse = done("coarse_models", models[0], 0.12)
+        fine = done("fine_models", R.attach_dimensions(models[1], rows), 0.26)
         goal = scenario.goal_spend if scenario.strategy == "3" else None
-        stage1 = done("opt_stage1_output", A.optimise_stage1(A.stage1_baseline(base, coarse), goal), 0.46)
+        stage1 = done("customer_plan", A.optimise_stage1(A.stage1_baseline(base, coarse), goal), 0.46)
+        if goal is not None and not allow_broken_goal and not stage1.filter("not feasible").isEmpty():
+            raise ValueError(f"scenario {scenario.name}: the items' bounds can't meet the goal {goal}")
         cost = A.cost_per_case(actuals, scenario.last_year, [scenario.spend_type.lower()])
         pushed = A.pushdown_stage1(fine, A.stage2_old(base), stage1, cost)
-        stage2 = done("opt_stage2_output", A.optimise_stage2(pushed), 0.60)
+        stage2 = done("segment_plan", A.optimise_stage2(pushed), 0.60)
         year, first, last = period
         labelled = stage2.selectExpr("*", f"'{scenario.spend_type}' as modelingname")
-        reworked = done("opt_stage2_output_updt", B.branch_rework_output(
+        reworked = done("reattributed_plan", B.branch_rework_output(
             labelled, branch, f"year = {year} and month between {first} and {last}"
         ), 0.76)
         others = R.scope_filter(decomposition, **scope, period=period).filter(
             "not " + in_list("modelingname", [*S.TOTAL_ROWS, scenario.spend_type])
         )
-        final = done("opt_stage2_output_updt_final", U.baseline_overlay(
-            A.guardrail_revert(labelled), others
-        ), 0.88)
-        output = done("optimization_output", U.publish_scenario(published, final, scenario), 1.0)
+        final = done("final_plan", U.baseline_overlay(A.guardrail_revert(labelled), others), 0.88)
+        output = done("publication", U.publish_scenario(published, final, scenario), 0.96)
+        if publish is not None:
+            publish(final, scenario)
     except Exception:
         report(U.FAILED, progress)
         raise
     report(U.DONE, 1.0)
     return {
         "coefficients_stage1": coarse, "coefficients_stage2": fine, "stage1": stage1, "stage2": stage2,
-        "reworked": reworked, "final": final, "output": output,
+        "infeasible": A.infeasible_groups(stage2), "reworked": reworked, "final": final, "output": output,
         "load_check": U.load_check(final, output, scenario.name),
         "summary": A.stage_summary(stage2, "_old"),
     }
+
+
+def run_request(requests: DataFrame, uid: str, *inputs: DataFrame, **how) -> dict[str, DataFrame]:
+    """Run the scenario of one request document; ``inputs`` and ``how`` as in ``run_scenario``."""
+    rows = U.scenario_params(requests, uid).limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"{len(rows)} requests have the id {uid}")
+    return run_scenario(U.scenario_from_row(rows[0]), *inputs, **how)

@@ -17,7 +17,8 @@ SCENARIO = U.Scenario(
     categories=["ECONOMY", "SMALL", "STANDARD"],
 )
 DATE_TEXT = "2000-06-30 23:59:59"
-GOAL = 100000.0
+#: Goals as parts of last year's spend: one inside the items' bounds, one beyond them.
+GOAL_SHARE, BROKEN_GOAL_SHARE = 1.02, 1.25
 SEGMENT_RULES = [("ECONOMY", "LOW"), ("STANDARD", "LOW"), ("PROMO", "PROMOTED")]
 OVERRIDE_SEGMENTS = ["SMALL/XS", "SMALL/S", "LARGE/M"]
 RUN = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +55,7 @@ def _unpivoted(spark, d) -> DataFrame:
     return B.unpivot_shares(B.branch_share(_branch(spark, d), B.nonzero_spend_rows(_fact(spark, d))))
 
 
-def _apportioned(spark, d, conserve=False) -> DataFrame:
+def _apportioned(spark, d, conserve=True) -> DataFrame:
     return B.apportion_groups(_unpivoted(spark, d), [*S.KEY5, "modelingname"], S.MEASURES, conserve)
 
 
@@ -71,9 +72,9 @@ def _period_scope(spark, d) -> DataFrame:
     )
 
 
-def _fit_rows(spark, d) -> DataFrame:
+def _fit_rows(spark, d, fact: DataFrame | None = None) -> DataFrame:
     """Scenario scope over the whole history, settled: fits, baselines and costs all read it."""
-    return settle(R.scope_filter(_fact(spark, d), **SCOPE, spends="> 0", volume=">= 0"))
+    return settle(R.scope_filter(_fact(spark, d) if fact is None else fact, **SCOPE, spends="> 0", volume=">= 0"))
 
 
 def _in_period(rows: DataFrame) -> DataFrame:
@@ -96,24 +97,23 @@ def _stage1_items(spark, d) -> DataFrame:
     return _optimisable(_stage1_rows(_fit_rows(spark, d)))
 
 
-def _pushed(spark, d) -> DataFrame:
-    rows = _fit_rows(spark, d)
+def _pushed(spark, d, fact: DataFrame | None = None) -> DataFrame:
+    rows = _fit_rows(spark, d, fact)
     coarse, fine = R.response_models(rows, R.STAGE1, R.STAGE2)
     stage1 = A.optimise_stage1(A.stage1_baseline(_in_period(rows), coarse))
     cost = A.cost_per_case(star.booked_actuals(rows), SCENARIO.last_year, ["priceoff"])
     return A.pushdown_stage1(R.attach_dimensions(fine, rows), A.stage2_old(_in_period(rows)), stage1, cost)
 
 
-def _stage2(spark, d) -> DataFrame:
-    return A.optimise_stage2(_pushed(spark, d))
+def _stage2(spark, d, fact: DataFrame | None = None) -> DataFrame:
+    return A.optimise_stage2(_pushed(spark, d, fact))
 
 
-def _final(spark, d) -> DataFrame:
+def _final(spark, d, fact: DataFrame) -> DataFrame:
     others = R.scope_filter(
-        _fact(spark, d, **LAST_YEAR), business=SCENARIO.business, categories=SCENARIO.categories,
-        period=SCENARIO.last_year_period,
+        fact, business=SCENARIO.business, categories=SCENARIO.categories, period=SCENARIO.last_year_period,
     ).filter("not " + in_list("modelingname", [*S.TOTAL_ROWS, SCENARIO.spend_type]))
-    overlaid = U.baseline_overlay(A.guardrail_revert(_stage2(spark, d)), others)
+    overlaid = U.baseline_overlay(A.guardrail_revert(_stage2(spark, d, fact)), others)
     return overlaid.selectExpr("*", f"'{SCENARIO.spend_type}' as modelingname")
 
 
@@ -195,15 +195,26 @@ APPORTIONED = [
 
 
 def apportion_groups(spark, d):
-    out = _apportioned(spark, d)
+    out = _apportioned(spark, d, conserve=False)
     # An unmatched row passes through once; which old customer it came from carries no meaning.
     shown = {c: f"if(share_group != 'none', {c}, null)" for c in ("old_planningcustomer", "contri_type")}
     return _rounded(with_exprs(out, shown).select(*APPORTIONED), 6)
 
 
 def apportion_conserving(spark, d):
-    out = B.reassign_branch(_apportioned(spark, d, conserve=True))
-    return _rounded(out)
+    """Weights and groups with the money kept; old customers and kinds that carry meaning."""
+    shown = _apportioned(spark, d).filter("share_group != 'none'")
+    return _rounded(shown.select(*APPORTIONED), 6)
+
+
+def reallocation_check(spark, d):
+    """Spend, volume, GPS and net sales per spend type before and after the re-attribution, at whole units of a thousand."""
+    fact = settle(_fact(spark, d))
+    after = B.reallocate_branches(fact, _branch(spark, d))
+    checked = P.reconcile_totals(B.nonzero_spend_rows(fact), after, ["modelingname"])
+    # Every row is rounded to three places, so totals may differ by half a thousandth a row.
+    return checked.selectExpr(
+        "modelingname", "measure", f"{round_dp('before', 2)} as before", "abs(diff) <= 0.0005D * (rows_after + 2 * rows_before) as kept")
 
 
 def reassign_branch(spark, d):
@@ -239,17 +250,25 @@ def ratio_impute(spark, d):
 def override_merge(spark, d):
     fact = settle(_fact(spark, d))
     drivers = fact.filter(f"not {P.IS_TOTAL}")
-    view = P.decomp_view(drivers, fact).filter("month != '12'")
-    fresh = with_exprs(
-        drivers.filter(in_list("segment", OVERRIDE_SEGMENTS) + " and month != 1"),
-        {m: f"{m} * 2" for m in S.MEASURES},
-    )
+    view = P.decomp_view(drivers, fact)
+    # Keys without a total row, and keys with total rows only, are unmatched on either side.
+    fresh = with_exprs(drivers.filter(in_list("segment", OVERRIDE_SEGMENTS)), {m: f"{m} * 2" for m in S.MEASURES})
     return _rounded(P.override_merge(view, P.replacement_rows(fresh), OVERRIDE_SEGMENTS))
 
 
 def reconcile_totals(spark, d):
     fact = settle(_fact(spark, d))
-    return _rounded(P.reconcile_totals(fact, _repriced(spark, d, fact), ["year", "category"]).drop("after_text"), 2)
+    return _rounded(P.reconcile_totals(fact, _repriced(spark, d, fact), ["year", "category"]), 2)
+
+
+def reconcile_grand_total(spark, d):
+    fact = settle(_fact(spark, d))
+    return _rounded(P.reconcile_totals(fact, _repriced(spark, d, fact), []), 2)
+
+
+def reconcile_months(spark, d):
+    fact = settle(P.normalise_period(_fact(spark, d)).selectExpr("*", "concat(year, month) as yearmonth"))
+    return _rounded(P.reconcile_totals(fact, fact.filter(P.IS_SPEND), ["yearmonth"]), 2)
 
 
 def scenario_params(spark, d):
@@ -355,7 +374,29 @@ def allocate_stage1(spark, d):
 
 
 def allocate_goal(spark, d):
-    return _view(A.allocate(_stage1_items(spark, d), [], goal=GOAL), ALLOCATED)
+    return _view(A.allocate(_stage1_items(spark, d), [], goal=f"_centre * {GOAL_SHARE}D"), ALLOCATED)
+
+
+def allocate_broken_goal(spark, d):
+    return _view(A.allocate(_stage1_items(spark, d), [], goal=f"_centre * {BROKEN_GOAL_SHARE}D"), ALLOCATED)
+
+
+def infeasible_groups(spark, d):
+    return _rounded(A.infeasible_groups(_stage2(spark, d)), 3)
+
+
+def _with_null_branch(rows: DataFrame) -> DataFrame:
+    """One branch office becomes unknown, so that keys hold nulls."""
+    return with_exprs(rows, {"shisha": "nullif(shisha, 'ASIA')"})
+
+
+def trim_refit_null_keys(spark, d):
+    return _rounded(R.trim_refit(settle(_with_null_branch(_spend_rows(spark, d))), FIT_KEYS), 6)
+
+
+def allocate_null_keys(spark, d):
+    items = settle(_with_null_branch(_stage1_items(spark, d)))
+    return _view(A.allocate(items, ["shisha"]), ALLOCATED)
 
 
 def allocate_stage2(spark, d):
@@ -426,13 +467,14 @@ FINAL = [
 
 
 def baseline_overlay(spark, d):
-    return _view(_final(spark, d), [*S.DIMENSIONS, *FINAL])
+    return _view(_final(spark, d, settle(_fact(spark, d))), [*S.DIMENSIONS, *FINAL])
 
 
 def _published(spark, d):
-    existing = star.published_output(_fact(spark, d))
+    fact = settle(_fact(spark, d))
+    existing = star.published_output(fact)
     # Settled: the solve below is read by the publication and by its check.
-    final = settle(_final(spark, d).select(*S.DIMENSIONS, "modelingname", "optimized_spends", *FINAL))
+    final = settle(_final(spark, d, fact).select(*S.DIMENSIONS, "modelingname", "optimized_spends", *FINAL))
     return final, U.publish_scenario(existing, final, SCENARIO)
 
 
@@ -471,14 +513,15 @@ def branch_list(spark, d):
 
 
 def missing_keys_backfill(spark, d):
-    actual = settle(_period_actuals(spark, d))
-    output = actual.filter("volume > 0").drop("ec_per_case")
-    return _rounded(U.missing_keys_backfill(output, actual), 3)
+    """Re-attributed scenario output plus the actual rows whose customer the re-attribution left empty."""
+    columns = [*S.DIMENSIONS, "modelingname", *S.MEASURES]
+    output = _projected(spark, d).select(*columns)
+    return _rounded(U.missing_keys_backfill(output, _period_actuals(spark, d).select(*columns)), 2)
 
 
 def key_semi_filter(spark, d):
-    facts = settle(_fact(spark, d, **LAST_YEAR))
-    actual = R.scope_filter(facts, **SCOPE, spends="> 0", volume=">= 0")
+    facts = settle(_fact(spark, d))
+    actual = R.scope_filter(facts, **SCOPE, period=SCENARIO.last_year_period, spends="> 0", volume=">= 0")
     return U.key_semi_filter(facts, actual).select(*S.KEY10, "modelingname", "spends", "volume")
 
 
@@ -496,12 +539,14 @@ def registry() -> dict[str, RUN]:
     named = [
         contribution_share, actuals_rollup, rescale_to_actuals, normalise_period, driver_share_pct,
         price_change_passthrough, branch_money_split, category_from_path, null_profile, branch_share,
-        unpivot_shares, apportion_groups, apportion_conserving, reassign_branch, assemble_fact,
+        unpivot_shares, apportion_groups, apportion_conserving, reassign_branch, reallocation_check, assemble_fact,
         decomp_view, history_baseline, publish_history, ratio_impute, override_merge, reconcile_totals,
+        reconcile_grand_total, reconcile_months,
         scenario_params, last_year_period, scope_filter, pct_rank_avg, loglog_fit, trim_refit,
         hierarchical_fallback, hierarchical_fallback_stage2, zero_response_keys, consolidate_models,
         attach_dimensions, stage1_baseline, split_optimisable, back_calibrate, response_net_sales,
-        allocate_stage1, allocate_goal, allocate_stage2, min_spend_for_target, exact_growth_target,
+        allocate_stage1, allocate_goal, allocate_broken_goal, allocate_null_keys, trim_refit_null_keys,
+        allocate_stage2, infeasible_groups, min_spend_for_target, exact_growth_target,
         candidate_select, project_optimised, carry_non_optimised, pushdown_stage1, cost_per_case,
         branch_rework_output, scenario_period_actuals, guardrail_revert, baseline_overlay,
         publish_scenario, load_check, status_upsert, stage_summary, spend_mismatch, branch_list,

@@ -8,7 +8,7 @@ arrives as a few partial sums per task, never as raw lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
@@ -70,15 +70,22 @@ def _coded_lines(
     parts = star_table(spark, sf_dir, "part").selectExpr(
         "p_partkey as l_partkey", "p_type as category", f"{PACK} as pack", "p_retailprice"
     )
-    # Both sides of the order join grow with the data; the hint keeps a small sample from
-    # broadcasting its lines. The other tables are plain scans, so their file size decides.
+    # Products and suppliers first: a filter on them thins the lines, and their keys shrink to
+    # codes, before the lines meet the orders, which are the largest other table.
+    offices = (
+        suppliers.join(branches, "s_nationkey").join(region, "r_regionkey")
+        .select("l_suppkey", F.col("r_name").alias("shisha"))
+    )
+    coded = (
+        lines.select(*LINE_COLUMNS).join(parts, "l_partkey").join(offices, "l_suppkey")
+        .selectExpr("*", "year(l_shipdate) as year", "month(l_shipdate) as month")
+        .drop("l_partkey", "l_suppkey")
+    )
     return (
-        lines.select(*LINE_COLUMNS).join(accounts.hint("merge"), "l_orderkey")
-        .join(parts, "l_partkey").join(suppliers, "l_suppkey").join(branches, "s_nationkey")
-        .join(region, "r_regionkey").withColumnRenamed("r_name", "shisha").join(countries, "c_nationkey")
+        coded.join(accounts.join(countries, "c_nationkey"), "l_orderkey")
         .selectExpr("*", f"{DRIVER} as modelingname")
         .selectExpr(
-            "year(l_shipdate) as year", "month(l_shipdate) as month", "category", "pack", "shisha",
+            "year", "month", "category", "pack", "shisha",
             "cluster", "channel", "modelingname", "l_extendedprice as gps",
             "l_extendedprice * l_discount as spends", f"{QUANTITY} as volume",
             "0.4D * p_retailprice * l_quantity as ec",

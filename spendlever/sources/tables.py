@@ -63,6 +63,25 @@ def replace_catalog(df: DataFrame, database: str, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {retired}")
 
 
+def replace_partitions(df: DataFrame, database: str, table: str, column: str, values: set) -> None:
+    """Replace the named partitions of a catalog table by the rows of ``df``, and no other partition.
+
+    ``df`` must not read the table lazily (settle it first). Partitions that get no rows are dropped.
+    """
+    spark, name, mode = df.sparkSession, f"{database}.{table}", "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    filled = {row[0] for row in df.select(column).distinct().collect()}  # one row per partition
+    if not filled <= set(values):
+        raise ValueError(f"rows outside the replaced partitions: {sorted(filled - set(values))}")
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+    for value in sorted(set(values) - filled):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = {value!r})")
+
+
 def snapshot(df: DataFrame, database: str, table: str) -> DataFrame:
     """Keep a dated copy of an external view as a catalog table and return the copy."""
     write_catalog(df, database, table)

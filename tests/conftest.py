@@ -3,6 +3,8 @@ import os
 import pytest
 from pyspark.sql import SparkSession
 
+from spendlever.functions.lineage import drop_stages
+
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -20,6 +22,7 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("stages")))
     yield session
+    drop_stages(session)
     session.stop()
 
 

@@ -150,3 +150,14 @@ def test_candidate_choice_prefers_spend_then_growth_in_stage_two(spark):
     assert (two["policy"], two["accepted"]) == ("full", True)
     only = A.candidate_select(df.filter("policy = 'over'"), ["grp"], "_old").first()
     assert (only["policy"], only["accepted"]) == ("over", False)
+
+
+def test_null_groups_are_allocated(spark):
+    rows = [(None, "p", 0.5, 100.0, 50.0, 400.0, 300.0), ("a", "p", 0.5, 100.0, 50.0, 400.0, 300.0)]
+    schema = "shisha string, planningcustomer string, spends_coef double, " + ", ".join(
+        f"{A.LY}{m} double" for m in ("spends", "volume", "gps", "netsales"))
+    items = spark.createDataFrame(rows, schema)
+    assert A.allocate(items, ["shisha"]).count() == 2
+    assert A.min_spend_for_target(items, ["shisha"]).count() == 2
+    goal = A.allocate(items, [], goal=1000.0)
+    assert goal.filter("feasible").count() == 0 and goal.count() == 2

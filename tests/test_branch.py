@@ -32,7 +32,7 @@ CASES = {
 
 
 def test_groups_and_weights(spark):
-    rows = B.apportion_groups(long_rows(spark, CASES), KEY, S.MEASURES).collect()
+    rows = B.apportion_groups(long_rows(spark, CASES), KEY, S.MEASURES, conserve=False).collect()
     got = {}
     for r in rows:
         got.setdefault(r["planningcustomer"], []).append((r["share_group"], round(r["weight"], 4), r["spends"]))
@@ -45,7 +45,7 @@ def test_groups_and_weights(spark):
 
 
 def test_conserving_mode_keeps_all_money(spark):
-    out = B.reassign_branch(B.apportion_groups(long_rows(spark, CASES), KEY, S.MEASURES, conserve=True))
+    out = B.reassign_branch(B.apportion_groups(long_rows(spark, CASES), KEY, S.MEASURES))
     total = out.selectExpr("sum(spends) as s", "sum(volume) as v").first()
     assert total["s"] == pytest.approx(100.0 * len(CASES), abs=0.01)
     assert total["v"] == pytest.approx(50.0 * len(CASES), abs=0.01)

@@ -138,3 +138,29 @@ def test_fact_is_unique_at_its_grain(spark, sf_dir):
     assert f.groupBy(*key).count().filter("count > 1").count() == 0
     assert f.selectExpr("sum(cast(gps as decimal(28,4)))").first() == lines.selectExpr("sum(cast(gps as decimal(28,4)))").first()
     assert reduce(DataFrame.unionByName, [f, f]).count() == 2 * f.count()
+
+
+def test_grand_total_and_null_keys_reconcile(spark):
+    schema = "category string, spends double, netsales double, gps double, volume double"
+    before = spark.createDataFrame([("a", 1.0, 2.0, 3.0, 4.0), (None, 1.0, 2.0, 3.0, 4.0)], schema)
+    after = spark.createDataFrame([(None, 2.0, 2.0, 3.0, 4.0), ("b", 1234.5, 0.0, 0.0, 0.0)], schema)
+    total = {r["measure"]: r for r in P.reconcile_totals(before, after, []).collect()}
+    assert total["spends"]["diff"] == 1234.5 and total["spends"]["after_text"] == "1,236.50"
+    assert (total["spends"]["rows_before"], total["spends"]["rows_after"]) == (2, 2)
+    keyed = P.reconcile_totals(before, after, ["category"]).filter("measure = 'spends'").collect()
+    assert {(r["category"], r["before"], r["after"]) for r in keyed} == {("a", 1.0, 0.0), (None, 1.0, 2.0), ("b", 0.0, 1234.5)}
+
+
+def test_equal_lines_are_two_bookings(spark):
+    line = ("199901", 1999, 1, "1999-01-04", "S", "X", "CD-a", "CD-a", "a", 5.0, 0.0, 0.0, 10.0, *[1.0] * 3, *[0.0] * 3)
+    kinds = ["priceoff", "promotionad", "liquidation"]
+    schema = ", ".join([
+        "yearmonth string, year int, month int, week_start string, segment string, shishanm string",
+        "old_planningcustomercd string, new_planningcustomercd string, new_planningcustomer string",
+        *[f"new_{k} double" for k in kinds], "salesamt double",
+        *[f"{k}_contri_{c} double" for k in ("ini", "add") for c in ("po", "liq", "pa")],
+    ])
+    feed = spark.createDataFrame([line, line], schema)
+    names = spark.createDataFrame([("CD-a", "a")], "planningcustomercd string, planningcustomer string")
+    out = P.branch_money_split([feed], names).collect()
+    assert [(r["ini_priceoff"], r["old_planningcustomer"]) for r in out] == [(10.0, "a")]

@@ -115,3 +115,12 @@ def test_zero_response_rows_join_their_key(spark):
     assert len(model) == 1
     assert model[0]["number_of_rows"] == 3 and model[0]["total_overall_spends"] == 23.0
     assert R.ZERO_RESPONSE in model[0]["model_type"] and model[0]["first_sales_month"] == "1999-02-01"
+
+
+def test_null_keys_are_fitted_like_any_other(spark):
+    rows = [(s, float(i + 1), float(2 * i + 3 + (i % 3))) for s in ("a", None) for i in range(12)]
+    df = spark.createDataFrame(rows, "shisha string, spends double, volume double").selectExpr("*", "1999 as year", "1 as month")
+    plain, trimmed = (f(df, ["shisha"]).collect() for f in (R.loglog_fit, R.trim_refit))
+    assert len(plain) == len(trimmed) == 2
+    ranks = R.pct_rank_avg(df, ["shisha"]).filter("shisha is null")
+    assert ranks.filter("pct_rank_spends is null or pct_rank_volume is null").count() == 0 and ranks.count() == 12
