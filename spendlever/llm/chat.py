@@ -43,24 +43,28 @@ def branches(messages: DataFrame, stages: Stages, best: int = 1) -> DataFrame:
         "tree_id", "message_id", "parent_id as above", "1L as depth", "cast(score as double) as total"), "reach")
     leaves = now.select("tree_id", "message_id").join(
         now.selectExpr("tree_id as t", "above as a"), F.expr("tree_id <=> t and message_id = a"), "left_anti")
-    jumps, rounds = [], max(1, now.count()).bit_length() + 1
+    # Messages that have reached their root are set aside; only the others are joined again.
+    jumps, rooted, rounds = [], now.filter("above is null"), max(1, now.count()).bit_length() + 1
+    now = now.filter("above is not null")
     for _ in range(rounds):
-        jumps.append(now)
-        if now.filter("above is not null").isEmpty():
+        if now.isEmpty():
             break
-        higher = now.selectExpr("tree_id as t", "message_id as m", "above as next", "depth as more", "total as added")
-        now = stages.settle(
+        jumps.append(now)
+        higher = rooted.unionByName(now).selectExpr(
+            "tree_id as t", "message_id as m", "above as next", "depth as more", "total as added")
+        after = stages.settle(
             now.join(higher, F.expr("tree_id <=> t and above = m"), "left").selectExpr(
                 "tree_id", "message_id", "next as above", "depth + coalesce(more, 0L) as depth", "total + coalesce(added, 0D) as total"),
             "reach")
-    rooted = now.filter("above is null").select("tree_id", "message_id", "depth", "total")
+        rooted, now = rooted.unionByName(after.filter("above is null")), after.filter("above is not null")
+    rooted = rooted.select("tree_id", "message_id", "depth", "total")
     tips = leaves.join(rooted.selectExpr("tree_id as t", "message_id as m", "depth", "total"), F.expr("tree_id <=> t and message_id = m"))
     ranked = tips.selectExpr(
         "tree_id", "message_id", "row_number() over (partition by tree_id order by total desc, depth desc, message_id) as branch"
     ).filter(f"branch <= {best}")
     members = stages.settle(ranked.select("tree_id", "branch", "message_id"), "members")
-    for jump in jumps[:-1]:
-        up = jump.filter("above is not null").selectExpr("tree_id as t", "message_id as m", "above")
+    for jump in jumps:
+        up = jump.selectExpr("tree_id as t", "message_id as m", "above")
         members = stages.settle(members.union(
             members.join(up, F.expr("tree_id <=> t and message_id = m")).select("tree_id", "branch", "above")).distinct(), "members")
     # A pointer to a message that doesn't exist ends a branch.
