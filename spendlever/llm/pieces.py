@@ -15,26 +15,30 @@ import pandas as pd
 from spendlever.llm import flat
 
 #: Ids of at most so many bytes of distinct pieces are remembered by a worker process.
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 4 << 20
+
+
+def _grown(array: np.ndarray, need: int) -> np.ndarray:
+    if need <= len(array):
+        return array
+    return np.concatenate([array, np.zeros(max(need, 2 * len(array)) - len(array), array.dtype)])
 
 
 class Ragged:
-    """Growing list of integer lists in one flat array."""
+    """Growing list of integer lists in one flat array; list k is flat[ends[k]:ends[k + 1]]."""
 
     def __init__(self, dtype):
-        self.flat, self.used, self.starts, self.sizes = np.zeros(1 << 16, dtype), 0, [], []
+        self.flat, self.ends, self.n = np.zeros(1 << 16, dtype), np.zeros(1 << 12, np.int64), 0
 
     def extend(self, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Append lists; returns their numbers."""
-        need = self.used + len(values)
-        if need > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(need, 2 * len(self.flat)) - len(self.flat), self.flat.dtype)])
-        self.flat[self.used:need] = values
-        first = len(self.starts)
-        self.starts.extend((self.used + np.concatenate(([0], np.cumsum(sizes)[:-1]))).tolist())
-        self.sizes.extend(sizes.tolist())
-        self.used = need
-        return np.arange(first, first + len(sizes))
+        used, n = int(self.ends[self.n]), len(sizes)
+        self.flat = _grown(self.flat, used + len(values))
+        self.ends = _grown(self.ends, self.n + n + 1)
+        self.flat[used:used + len(values)] = values
+        self.ends[self.n + 1:self.n + n + 1] = used + np.cumsum(sizes)
+        self.n += n
+        return np.arange(self.n - n, self.n)
 
 
 class PieceCache:
@@ -58,7 +62,7 @@ class PieceCache:
             self.bytes += sum(map(len, fresh))
             number.update(zip(fresh, self.ids.extend(*self.encode(fresh)).tolist()))
         at = np.fromiter((number[p] for p in pieces), np.int64, len(pieces))
-        return np.asarray(self.ids.starts, np.int64)[at], np.asarray(self.ids.sizes, np.int64)[at]
+        return self.ids.ends[at], self.ids.ends[at + 1] - self.ids.ends[at]
 
 
 def cut(data: np.ndarray, offsets: np.ndarray, visible: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
