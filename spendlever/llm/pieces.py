@@ -1,8 +1,9 @@
 """Distinct words of a batch of texts, so that a tokenizer sees each of them once.
 
 Both tokenizers here cut a text before a space that follows a visible character, whatever
-comes before or after. A text is therefore split there, each distinct piece is encoded once
-per task, and the ids of a text are gathered from the ids of its pieces.
+comes before or after. A text is therefore split there, and at further places where a
+tokenizer always cuts; each distinct piece is encoded once while it is remembered, and the ids of a
+text are gathered from the ids of its pieces.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ class Ragged:
 class PieceCache:
     """Ids of distinct pieces, by their bytes; emptied when it has grown to its bound."""
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype=np.int32):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[list[bytes], np.ndarray, np.ndarray]], dtype=np.int32):
+        """``encode`` returns its pieces in an order of its own, their ids one after the other, and the numbers of ids."""
         self.encode, self.dtype = encode, dtype
         self._empty()
 
@@ -60,19 +62,20 @@ class PieceCache:
         fresh = [p for p in pieces if p not in number]
         if fresh:
             self.bytes += sum(map(len, fresh))
-            number.update(zip(fresh, self.ids.extend(*self.encode(fresh)).tolist()))
+            ordered, values, sizes = self.encode(fresh)
+            number.update(zip(ordered, self.ids.extend(values, sizes).tolist()))
         at = np.fromiter((number[p] for p in pieces), np.int64, len(pieces))
         return self.ids.ends[at], self.ids.ends[at + 1] - self.ids.ends[at]
 
 
-def cut(data: np.ndarray, offsets: np.ndarray, visible: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cut(data: np.ndarray, offsets: np.ndarray, visible: np.ndarray, further=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every piece and the n + 1 positions of the rows in them.
 
-    ``visible`` marks bytes that are not white space. A piece starts with a text, and at each
-    space after a visible byte.
+    ``visible`` marks bytes that are not white space. A piece starts with a text, at each
+    space after a visible byte, and where ``further`` of the bytes says so.
     """
-    begins = np.zeros(len(data), bool)
-    begins[1:] = (data[1:] == 32) & visible[data[:-1]]
+    begins = further(data) if further else np.zeros(len(data), bool)
+    begins[1:] |= (data[1:] == 32) & visible[data[:-1]]
     texts = offsets[:-1][offsets[:-1] < offsets[1:]]
     begins[texts] = True
     starts = np.flatnonzero(begins)
@@ -81,10 +84,10 @@ def cut(data: np.ndarray, offsets: np.ndarray, visible: np.ndarray) -> tuple[np.
 
 
 def encode_rows(
-    data: np.ndarray, offsets: np.ndarray, visible: np.ndarray, cache: PieceCache
+    data: np.ndarray, offsets: np.ndarray, visible: np.ndarray, cache: PieceCache, further=None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows in one array, and the n + 1 offsets of the rows in it."""
-    starts, ends, rows = cut(data, offsets, visible)
+    starts, ends, rows = cut(data, offsets, visible, further)
     code, _ = pd.factorize(flat.hashes(data, starts, ends))
     first = np.zeros(code.max() + 1 if len(code) else 0, np.int64)
     first[code[::-1]] = np.arange(len(code) - 1, -1, -1)

@@ -28,8 +28,6 @@ from spendlever.llm import flat, pieces
 from spendlever.llm.stages import without
 
 MARK = "▁"
-#: Bytes of text that are cut and merged at a time.
-CHUNK = 4 << 20
 FAR = np.int32(2**31 - 1)
 #: A cut is safe before a space, unless a space or a mark (whose last byte is 0x81) comes before it.
 _VISIBLE = ~flat.byte_set(b" \x81")
@@ -212,7 +210,7 @@ _models: dict[str, tuple[Model, pieces.PieceCache]] = {}
 def loaded(path: str) -> tuple[Model, pieces.PieceCache]:
     if path not in _models:
         model = Model(path)
-        _models[path] = model, pieces.PieceCache(lambda fresh: encode_pieces(model, fresh))
+        _models[path] = model, pieces.PieceCache(lambda fresh: (fresh, *encode_pieces(model, fresh)))
     return _models[path]
 
 
@@ -300,7 +298,7 @@ def encode(df: DataFrame, model: str, text_col: str = "text", name: str = "piece
     """``df`` with the ids of ``text_col``, begin and end ids included."""
     def convert(column: pa.Array):
         data, offsets = flat.utf8(column)
-        for a, b in flat.chunks(offsets, CHUNK):
+        for a, b in flat.chunks(offsets):
             ids, bounds = encode_texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], model)
             yield a, flat.lists(ids, bounds, pa.int32())
 
@@ -324,7 +322,7 @@ def _digests(path: str):
             hashlib.sha256(body[a:b]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         for batch in batches:
             data, offsets = flat.utf8(batch.column(1))
-            for a, b in flat.chunks(offsets, CHUNK):
+            for a, b in flat.chunks(offsets):
                 ids, bounds = encode_texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], path)
                 text, ends = decode_rows(ids, bounds, path)
                 yield pa.RecordBatch.from_arrays([

@@ -36,6 +36,21 @@ WIDE_SPACES = [chr(c) for c in (0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *ran
 
 _caches: dict[str, pieces.PieceCache] = {}
 _VISIBLE = ~flat.byte_set(flat.WORD_BREAKS)
+_LETTER = flat.byte_set(bytes(range(65, 91)) + bytes(range(97, 123)))
+_OTHER = flat.byte_set(bytes(range(33, 127))) & ~_LETTER
+
+
+def _always_cut(data: np.ndarray) -> np.ndarray:
+    """Places where the pattern of byte-level tokenizers ends a word whatever surrounds it.
+
+    Between an ASCII letter and a mark or digit, before white space after a visible byte, and after a
+    single line feed between visible bytes.
+    """
+    begins = np.zeros(len(data), bool)
+    seen = _VISIBLE[data]
+    begins[1:] = (_LETTER[data[:-1]] & _OTHER[data[1:]]) | (seen[:-1] & ~seen[1:])
+    begins[2:] |= seen[:-2] & (data[1:-1] == 10) & seen[2:]
+    return begins
 
 
 def _cache(path: str) -> pieces.PieceCache:
@@ -47,19 +62,23 @@ def _cache(path: str) -> pieces.PieceCache:
         tokenizer.encode_special_tokens = True
         line = tokenizer.encode("\n", add_special_tokens=False).ids
 
-        def encode(fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            """Plain pieces, a space and visible bytes, go in one text with a line between them."""
-            text = [p.decode() for p in fresh]
-            plain = [i for i, t in enumerate(text) if t[0] == " " and t[1:].split() == [t[1:]]]
-            out: list = [None] * len(fresh)
-            ids = np.array(tokenizer.encode("\n".join(text[i] for i in plain), add_special_tokens=False).ids, np.int32)
-            parts = np.split(ids, np.flatnonzero(ids == line[0])) if plain else []
-            for k, i in enumerate(plain):
-                out[i] = parts[k][1:] if k else parts[0]
-            rest = [i for i, p in enumerate(out) if p is None]
-            for i, got in zip(rest, tokenizer.encode_batch([text[i] for i in rest], add_special_tokens=False)):
-                out[i] = np.array(got.ids, np.int32)
-            return np.concatenate(out).astype(np.int32), np.array([len(x) for x in out])
+        def encode(fresh: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+            """Plain pieces, visible characters after a space or none, go in one text with a line between them."""
+            plain, rest = [], []
+            for p in fresh:
+                t = p.decode()
+                (plain if t.rfind(" ") <= 0 and t != " " and t.isprintable() else rest).append(t)
+            parts = [np.array(got.ids, np.int32) for got in tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            if plain:
+                ids = np.array(tokenizer.encode_batch_fast(["\n".join(plain)], add_special_tokens=False)[0].ids, np.int32)
+                between = ids == line[0]
+                ends = np.append(np.flatnonzero(between) - np.arange(len(plain) - 1), len(ids) - len(plain) + 1)
+                parts.insert(0, ids[~between])
+                sizes = np.diff(ends, prepend=0)
+            else:
+                sizes = np.zeros(0, np.int64)
+            sizes = np.concatenate([sizes, [len(x) for x in parts[bool(plain):]]]).astype(np.int64)
+            return [t.encode() for t in plain + rest], np.concatenate(parts), sizes
 
         _caches[path] = pieces.PieceCache(encode)
         _caches[path].whole = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
@@ -82,7 +101,7 @@ def _odd_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def encode_texts(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows, exactly as the tokenizer gives them for each whole text."""
     cache = _cache(path)
-    ids, bounds = pieces.encode_rows(data, offsets, _VISIBLE, cache)
+    ids, bounds = pieces.encode_rows(data, offsets, _VISIBLE, cache, _always_cut)
     if len(odd := _odd_rows(data, offsets)):
         rows = np.split(ids, bounds[1:-1])
         for row in odd.tolist():
