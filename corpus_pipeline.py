@@ -51,8 +51,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their piece ids, the number of ids, and whether decoding gives the text back."""
     model = vocabulary("piece_bpe_32k.model")
     decoded = free_name(docs, "decoded")
-    ids = sentence_pieces.encode(docs, model, name="piece_ids")
-    both = sentence_pieces.decode(ids, model, ids_col="piece_ids", name=decoded)
+    both = sentence_pieces.encode_and_decode(docs, model, text_name=decoded)
     kept = [f"`{c}`" for c in both.columns if c.lower() not in ("n_pieces", "round_trip", decoded)]
     return both.selectExpr(*kept, "cast(size(piece_ids) as bigint) as n_pieces", f"`{decoded}` = coalesce(text, '') as round_trip")
 

@@ -279,30 +279,36 @@ def _text_array(text: np.ndarray, offsets: np.ndarray) -> pa.Array:
         len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(text.tobytes())).cast(pa.string())
 
 
-def _mapped(df: DataFrame, source: str, name: str, kind: T.DataType, convert) -> DataFrame:
-    """All columns of ``df`` and a new one, made batch by batch from column ``source``."""
-    df = without(df, name)
+def _mapped(df: DataFrame, source: str, made: dict[str, T.DataType], convert) -> DataFrame:
+    """All columns of ``df`` and new ones, made from column ``source`` a few megabytes at a time."""
+    df = without(df, *made)
     place = df.columns.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in convert(batch.column(place)):
-                start, column = part
-                rows = batch.slice(start, len(column))
-                yield pa.RecordBatch.from_arrays([*rows.columns, column], names=[*rows.schema.names, name])
+            for start, columns in convert(batch.column(place)):
+                rows = batch.slice(start, len(columns[0]))
+                yield pa.RecordBatch.from_arrays([*rows.columns, *columns], names=[*rows.schema.names, *made])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *[T.StructField(n, kind) for n, kind in made.items()]]))
+
+
+_IDS = T.ArrayType(T.IntegerType())
+
+
+def _encoded(column: pa.Array, model: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    data, offsets = flat.utf8(column)
+    for a, b in flat.chunks(offsets):
+        yield a, *encode_texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], model)
 
 
 def encode(df: DataFrame, model: str, text_col: str = "text", name: str = "piece_ids") -> DataFrame:
     """``df`` with the ids of ``text_col``, begin and end ids included."""
     def convert(column: pa.Array):
-        data, offsets = flat.utf8(column)
-        for a, b in flat.chunks(offsets):
-            ids, bounds = encode_texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], model)
-            yield a, flat.lists(ids, bounds, pa.int32())
+        for a, ids, bounds in _encoded(column, model):
+            yield a, [flat.lists(ids, bounds, pa.int32())]
 
-    return _mapped(df, text_col, name, T.ArrayType(T.IntegerType()), convert)
+    return _mapped(df, text_col, {name: _IDS}, convert)
 
 
 def decode(df: DataFrame, model: str, ids_col: str = "piece_ids", name: str = "decoded") -> DataFrame:
@@ -310,10 +316,22 @@ def decode(df: DataFrame, model: str, ids_col: str = "piece_ids", name: str = "d
     def convert(column: pa.Array):
         column = column.fill_null([]) if column.null_count else column
         bounds = column.offsets.to_numpy().astype(np.int64)
-        ids = column.values.to_numpy(zero_copy_only=False)[bounds[0]:bounds[-1]]
-        yield 0, _text_array(*decode_rows(ids, bounds - bounds[0], model))
+        ids = column.values.to_numpy(zero_copy_only=False)
+        for a, b in flat.chunks(bounds, flat.CHUNK_BYTES // 4):
+            yield a, [_text_array(*decode_rows(ids[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a], model))]
+
+    return _mapped(df, ids_col, {name: T.StringType()}, convert)
+
+
+def encode_and_decode(
+    df: DataFrame, model: str, text_col: str = "text", ids_name: str = "piece_ids", text_name: str = "decoded"
+) -> DataFrame:
+    """``df`` with the ids of ``text_col`` and the text they decode to, in one pass."""
+    def convert(column: pa.Array):
+        for a, ids, bounds in _encoded(column, model):
+            yield a, [flat.lists(ids, bounds, pa.int32()), _text_array(*decode_rows(ids, bounds, model))]
 
-    return _mapped(df, ids_col, name, T.StringType(), convert)
+    return _mapped(df, text_col, {ids_name: _IDS, text_name: T.StringType()}, convert)
 
 
 def _digests(path: str):
@@ -321,12 +339,10 @@ def _digests(path: str):
         sha = lambda body, ends: [
             hashlib.sha256(body[a:b]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         for batch in batches:
-            data, offsets = flat.utf8(batch.column(1))
-            for a, b in flat.chunks(offsets):
-                ids, bounds = encode_texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], path)
+            for a, ids, bounds in _encoded(batch.column(1), path):
                 text, ends = decode_rows(ids, bounds, path)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(np.diff(bounds), pa.int64()),
+                    batch.column(0).slice(a, len(bounds) - 1), pa.array(np.diff(bounds), pa.int64()),
                     pa.array(sha(np.ascontiguousarray(ids.astype("<u4")), bounds)),
                     pa.array(sha(np.ascontiguousarray(text), ends)),
                 ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -120,6 +120,8 @@ def test_hostile_rows(spark, tmp_path, byte_bpe, piece_bpe):
     texts = {r["doc_id"]: r["text"] for r in df.collect()}
     assert all(list(r["tokens"]) == byte_bpe(texts[r["doc_id"]]) + [0] for r in stored if r["doc_id"] is not None)
     both = sentence_pieces.decode(sentence_pieces.encode(df, PIECES), PIECES)
+    at_once = sentence_pieces.encode_and_decode(df, PIECES).select(both.columns)
+    assert sorted(map(str, both.collect())) == sorted(map(str, at_once.collect()))
     assert set(both.columns) == set(df.columns) and both.count() == df.count()
     for r in both.select("text", "piece_ids", "decoded").collect():
         want = piece_bpe.encode(r["text"] or "", add_bos=True, add_eos=True)
