@@ -6,7 +6,7 @@ in the tests; connected components of similar documents are as well.
 
 from __future__ import annotations
 
-from spendlever.llm import chat, decontaminate, quality_rules
+from spendlever.llm import chat, decontaminate, fp_search, quality_rules
 
 _LINE = "chr(10)"
 
@@ -71,9 +71,28 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id"""
 
 
+def _ranked_search() -> str:
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    listed = f"regexp_extract_all(translate(coalesce(text, ''), '{capitals}', '{capitals.lower()}'), '{term}')"
+    return f"""
+WITH d AS (SELECT doc_id, {listed} AS terms FROM documents),
+p AS (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d WHERE len(terms) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d WHERE len(terms) > 0),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM p GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, s GROUP BY term, docs),
+q AS (SELECT DISTINCT item_id, unnest({listed}) AS term FROM benchmark),
+r AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term), s GROUP BY item_id, doc_id),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= {fp_search.K}"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_decontamination": _decontamination(),
         "op6_quality_rules": _quality_rules(),
         "op10_chat_formatting": _chat(),
+        "op13_ranked_search": _ranked_search(),
     }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendlever.llm import (
-    chat, decontaminate, html_text, pii, quality, quality_rules, samples, sentence_pieces, token_store, toxicity,
+    chat, decontaminate, fp_search, html_text, pii, quality, quality_rules, samples, sentence_pieces, token_store, toxicity,
 )
 from spendlever.llm.near_dedup import near_duplicates
 
@@ -100,5 +100,9 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.best_conversations(trees))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
