@@ -88,6 +88,12 @@ def _grow(n: int) -> None:
             globals()[name] = np.cumprod(table, dtype=np.uint64)
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the hash base, and of its inverse, modulo 2 ** 64."""
+    _grow(n)
+    return _powers, _inverses
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves every output bit."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendlever.llm import (
-    chat, decontaminate, fp_search, html_text, pii, quality, quality_rules, samples, sentence_pieces, token_store, toxicity,
+    chat, decontaminate, fp_search, html_text, periodic_runs, pii, quality, quality_rules, samples, sentence_pieces, token_store, toxicity,
 )
 from spendlever.llm.near_dedup import near_duplicates
 
@@ -100,6 +100,34 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.best_conversations(trees))
 
 
+def with_planted_repeats(documents: DataFrame) -> DataFrame:
+    """(doc_id, text) of all documents; one document in ten repeats a stretch of its words to its end.
+
+    With h the crc32 of the id's digits and g a tenth of it, a text of n words with h % 10 = 0 continues from its word
+    g % n on with period 1 + (n - g % n) / (3 + g % 8). A text without words or without an id stays as it is.
+    """
+    keyed = documents.select(
+        F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"),
+        F.expr("crc32(cast(cast(doc_id as string) as binary))").alias("h"))
+    marked = keyed.withColumn("words", F.when(F.expr("h % 10 = 0"), F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")))
+    placed = marked.selectExpr("*", "cast(size(words) as bigint) as n").selectExpr(
+        "*", "if(n > 0, (h div 10) % n, 0L) as a").selectExpr("*", "1L + (n - a) div (3 + (h div 10) % 8) as p")
+    repeated = "array_join(transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)])), ' ')"
+    return placed.selectExpr("doc_id", f"if(n > 0, {repeated}, text) as text")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_repeats(table(spark, sf_dir, "documents")))
+    run = "struct<start: bigint, length: bigint, period: bigint>"
+    # Runs stand by start, then period, so of equal exponents the first is kept.
+    best = f"aggregate(runs, cast(null as {run}), (a, r) -> if(a is null or r.length * a.period > a.length * r.period, r, a))"
+    listed = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
+    return found.selectExpr("*", f"{best} as best").selectExpr(
+        "doc_id", "cast(size(runs) as bigint) as n_runs", "best.start", "best.length", "best.period",
+        "1000 * best.length div best.period as exponent_milli", f"sha2({listed}, 256) as runs_sha256",
+        "sha2(collapsed, 256) as collapsed_sha256")
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fp_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
