@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendlever.llm import (
-    chat, decontaminate, fp_search, html_text, periodic_runs, pii, quality, quality_rules, samples, sentence_pieces, token_store, toxicity,
+    chat, decontaminate, fp_search, html_text, lm_scoring, periodic_runs, pii, quality, quality_rules, samples, sentence_pieces, token_store, toxicity,
 )
 from spendlever.llm.near_dedup import near_duplicates
 
@@ -128,6 +128,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sha2(collapsed, 256) as collapsed_sha256")
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores, train_tokens = lm_scoring.scored(table(spark, sf_dir, "documents"), f"{remainder(10)} != 0")
+    return scores.selectExpr(
+        "doc_id", f"coalesce({remainder(10)} = 0, false) as held_out", "n_tokens", "n_known",
+        f"{train_tokens}L as train_tokens", "base_score", "score")
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fp_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
