@@ -95,12 +95,21 @@ def with_exprs(df: DataFrame, expressions: Mapping[str, str]) -> DataFrame:
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys`` with null equal to null; the keys appear once, as in ``left``."""
+    """Join on ``keys`` with null equal to null; the keys appear once, at their places in ``left``.
+
+    ``how`` is inner, left, outer, left_semi or left_anti. In an outer join a row of ``right``
+    alone brings its own keys.
+    """
     if not keys:
         raise ValueError("no join key")
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     same = " and ".join(f"`{k}` <=> `_right_{k}`" for k in keys)
-    return left.join(renamed, F.expr(same), how).drop(*[f"_right_{k}" for k in keys])
+    joined = left.join(renamed, F.expr(same), how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    if how in ("outer", "full", "full_outer"):
+        joined = with_exprs(joined, {k: f"coalesce(`{k}`, `_right_{k}`)" for k in keys})
+    return joined.drop(*[f"_right_{k}" for k in keys])
 
 
 def aggregate(df: DataFrame, keys: list[str], expressions: Mapping[str, str]) -> DataFrame:

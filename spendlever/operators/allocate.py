@@ -39,10 +39,13 @@ def _scope_sums(scope: DataFrame, keys: list[str]) -> DataFrame:
     })
 
 
-def stage1_baseline(scope: DataFrame, coefficients: DataFrame) -> DataFrame:
-    """Last-year totals per branch office and customer next to their coefficients."""
-    totals = _scope_sums(scope, ["shisha", "channel", "planningcustomer"])
-    joined = coefficients.join(totals, STAGE1_KEY, "left").fillna(0.0, [*BASE_MEASURES, "price"])
+def stage1_baseline(scope: DataFrame, coefficients: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Last-year totals per branch office and customer next to their coefficients.
+
+    ``by`` are further key columns, such as a scenario, of both inputs.
+    """
+    totals = _scope_sums(scope, [*by, "shisha", "channel", "planningcustomer"])
+    joined = join_keys(coefficients, totals, [*by, *STAGE1_KEY], "left").fillna(0.0, [*BASE_MEASURES, "price"])
     kept = [c for c in joined.columns if c not in BASE_MEASURES]
     return joined.selectExpr(
         *kept, *[f"{m} as {LY}{m}" for m in ("spends", "volume", "gps")],
@@ -117,7 +120,7 @@ def allocate(
     items: DataFrame,
     group: list[str],
     suffix: str = "",
-    goal: float | str | Column | None = None,
+    goal: float | str | Column | DataFrame | None = None,
     band_on_old: bool = False,
     policies: list[str] | None = None,
 ) -> DataFrame:
@@ -125,7 +128,8 @@ def allocate(
 
     Without a goal, total spend may not exceed the centre total; ``band_on_old`` adds the
     0.9-1.1 band on the old total. ``goal`` fixes the total: a number, an expression over the
-    group's ``_centre``, ``_lb`` and ``_ub`` totals, or a column. ``items`` is read several
+    group's ``_centre``, ``_lb`` and ``_ub`` totals, a column, or a table of the group's columns and
+    ``goal_spend``, where null or a missing row means no goal. ``items`` is read several
     times, so pass a settled table. Adds ``policy``, ``optimized_spends``, ``feasible``.
     """
     boxed = _boxed(items, suffix)
@@ -135,7 +139,10 @@ def allocate(
         "_gainful": exact_sum("case when slope > 0 then _range else 0D end", 9),
     })
     low, high = "0D", "_centre"
-    if goal is not None:
+    if isinstance(goal, DataFrame):
+        totals = join_keys(totals, goal, group, "left")
+        low, high = "coalesce(goal_spend, 0D)", "coalesce(goal_spend, _centre)"
+    elif goal is not None:
         totals = totals.withColumn("_goal", F.expr(goal) if isinstance(goal, str) else goal if isinstance(goal, Column) else F.lit(float(goal)))
         low = high = "_goal"
     elif band_on_old:
@@ -294,48 +301,56 @@ def _choose(items: DataFrame, group: list[str], suffix: str, policies: list[str]
 
 
 def optimise_stage1(
-    baseline: DataFrame, goal_spend: float | None = None, policies: list[str] | None = None
+    baseline: DataFrame, goal_spend: float | None = None, policies: list[str] | None = None,
+    by: list[str] = (), goals: DataFrame | None = None,
 ) -> DataFrame:
     """Stage 1: one budget over all customers, carried rows appended.
 
-    A goal is reduced by the spend of carried rows before it is allocated.
+    A goal is reduced by the spend of carried rows before it is allocated. With ``by``, each of its groups
+    has a budget of its own, and ``goals`` (by, goal_spend) gives the goals of those that have one.
     """
     parts = settle(split_optimisable(baseline))
     items = back_calibrate(parts.filter("treatment = 'optimise'"))
     carried = parts.filter("treatment = 'carry'")
     goal = None
-    if goal_spend is not None:
+    if goals is not None:
+        spent = aggregate(carried, list(by), {"_carried": exact_sum(f"{LY}spends", 9)})
+        goal = join_keys(goals, spent, list(by), "left").selectExpr(*by, f"goal_spend - {zero_if_null('_carried')} as goal_spend")
+    elif goal_spend is not None:
         spent = aggregate(carried, [], {"s": zero_if_null(exact_sum(f"{LY}spends", 9))})
         goal = F.lit(float(goal_spend)) - spent.scalar()
-    chosen = _choose(items, [], "", policies or [MAX_NET_SALES], goal=goal)
-    done = project_optimised(chosen).select(*STAGE1_OUTPUT)
-    return done.unionByName(carry_non_optimised(carried).select(*STAGE1_OUTPUT))
+    chosen = _choose(items, list(by), "", policies or [MAX_NET_SALES], goal=goal)
+    done = project_optimised(chosen).select(*by, *STAGE1_OUTPUT)
+    return done.unionByName(carry_non_optimised(carried).select(*by, *STAGE1_OUTPUT))
 
 
-def stage2_old(scope: DataFrame) -> DataFrame:
+def stage2_old(scope: DataFrame, by: list[str] = ()) -> DataFrame:
     """Last-year totals per segment, branch office and customer."""
-    return _scope_sums(scope, STAGE2_KEY).withColumnsRenamed({m: f"{LY}{m}_old" for m in BASE_MEASURES})
+    return _scope_sums(scope, [*by, *STAGE2_KEY]).withColumnsRenamed({m: f"{LY}{m}_old" for m in BASE_MEASURES})
 
 
-def pushdown_stage1(coefficients: DataFrame, old: DataFrame, stage1: DataFrame, cost: DataFrame) -> DataFrame:
+def pushdown_stage1(
+    coefficients: DataFrame, old: DataFrame, stage1: DataFrame, cost: DataFrame, by: list[str] = ()
+) -> DataFrame:
     """Spread stage-1 customer spend and volume over segments by last-year share.
 
     ``coefficients`` carry the eight dimensions. GPS follows volume at last year's unit
     value; where that is undefined it is 0.
     """
+    fine, customer_key = [*by, *STAGE2_KEY], [*by, *STAGE1_KEY]
     measures = [f"{LY}{m}_old" for m in BASE_MEASURES]
-    rows = coefficients.join(old, STAGE2_KEY, "left").fillna(0.0, [*measures, "price"])
-    customer = aggregate(rows, STAGE1_KEY, {
+    rows = join_keys(coefficients, old, fine, "left").fillna(0.0, [*measures, "price"])
+    customer = aggregate(rows, customer_key, {
         "_all_spends": exact_sum(f"{LY}spends_old", 9), "_all_volume": exact_sum(f"{LY}volume_old", 9),
     })
     updated = stage1.selectExpr(
-        *STAGE1_KEY, "optimized_spends as _new_spends", "optimized_volume as _new_volume"
+        *customer_key, "optimized_spends as _new_spends", "optimized_volume as _new_volume"
     )
     spends = f"({ratio0(f'{LY}spends_old', '_all_spends')}) * _new_spends"
     volume = f"({ratio0(f'{LY}volume_old', '_all_volume')}) * _new_volume"
     gps = ratio(f"{LY}volume * {LY}gps_old", f"{LY}volume_old")
-    return (
-        rows.join(customer.join(updated, STAGE1_KEY, "left"), STAGE1_KEY, "left")
+    shared = (
+        join_keys(rows, join_keys(customer, updated, customer_key, "left"), customer_key, "left")
         .selectExpr(*rows.columns, f"{zero_if_null(spends)} as {LY}spends", f"{volume} as {LY}volume")
         .selectExpr("*", f"{zero_if_null(gps)} as {LY}gps")
         .selectExpr("*", f"{LY}gps - {LY}spends as {LY}netsales")
@@ -344,8 +359,8 @@ def pushdown_stage1(coefficients: DataFrame, old: DataFrame, stage1: DataFrame,
             f"concat_ws('$', {', '.join(STAGE2_KEY)}) as key_combination",
             f"concat_ws('$', {', '.join(STAGE1_KEY)}) as key_combination1",
         )
-        .join(cost, STAGE2_KEY, "left")
     )
+    return join_keys(shared, cost, fine, "left")
 
 
 def cost_per_case(actuals: DataFrame, year: int, spend_columns: list[str]) -> DataFrame:
@@ -357,17 +372,17 @@ def cost_per_case(actuals: DataFrame, year: int, spend_columns: list[str]) -> Da
     return sums.selectExpr(*STAGE2_KEY, f"{ratio0('_ec', '_cases')} as ec_per_qtycase")
 
 
-def optimise_stage2(pushed: DataFrame, policies: list[str] | None = None) -> DataFrame:
+def optimise_stage2(pushed: DataFrame, policies: list[str] | None = None, by: list[str] = ()) -> DataFrame:
     """Stage 2: every (branch office, customer) group over its segments, all groups in one job."""
     parts = settle(split_optimisable(pushed))
     items = with_exprs(
         back_calibrate(parts.filter("treatment = 'optimise'")),
         {f"{LY}netsales_old": f"{LY}gps_old - {LY}spends_old"},
     )
-    chosen = _choose(items, STAGE1_KEY, "_old", policies or [SPEND_FIRST], band_on_old=True)
-    done = project_optimised(chosen, "_old").select(*STAGE2_OUTPUT)
+    chosen = _choose(items, [*by, *STAGE1_KEY], "_old", policies or [SPEND_FIRST], band_on_old=True)
+    done = project_optimised(chosen, "_old").select(*by, *STAGE2_OUTPUT)
     carried = carry_non_optimised(parts.filter("treatment = 'carry'"), "_old")
-    return done.unionByName(carried.select(*STAGE2_OUTPUT))
+    return done.unionByName(carried.select(*by, *STAGE2_OUTPUT))
 
 
 def infeasible_groups(output: DataFrame, group: list[str] = STAGE1_KEY) -> DataFrame:
@@ -390,14 +405,14 @@ def guardrail_revert(output: DataFrame) -> DataFrame:
     })
 
 
-def stage_summary(output: DataFrame, suffix: str = "") -> DataFrame:
+def stage_summary(output: DataFrame, suffix: str = "", by: list[str] = ()) -> DataFrame:
     """Relative change of total spend, volume and net sales against last year."""
     pairs = {
         "spend_change": ("optimized_spends", f"{LY}spends{suffix}"),
         "volume_change": ("optimized_volume", f"{LY}volume{suffix}"),
         "netsales_change": ("optimized_netsales_adj", f"{LY}netsales{suffix}"),
     }
-    return aggregate(output, [], {
+    return aggregate(output, list(by), {
         name: round_dp(change(exact_sum(new, 9), exact_sum(old, 9)), 6) for name, (new, old) in pairs.items()
     })
 

@@ -27,18 +27,22 @@ def branch_totals(branch: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def key_shares(branch: DataFrame, keys: list[str] = S.KEY5) -> DataFrame:
+    """Initial and additional share of every old customer of a key and spend type."""
+    total = "ini_money + add_money"
+    return branch_totals(branch, keys).selectExpr(
+        *keys, "modelingname", "old_planningcustomer",
+        f"{ratio0('ini_money', total, 3)} as ini_contri", f"{ratio0('add_money', total, 3)} as add_contri",
+    )
+
+
 def branch_share(branch: DataFrame, spend_rows: DataFrame, keys: list[str] = S.KEY5) -> DataFrame:
     """Spend rows with the initial/additional share of every old customer of their key.
 
     All three spend types go through one plan: the spend type is part of the join key.
     Rows without any branch match keep null shares.
     """
-    total = "ini_money + add_money"
-    shares = branch_totals(branch, keys).selectExpr(
-        *keys, "modelingname", "old_planningcustomer",
-        f"{ratio0('ini_money', total, 3)} as ini_contri", f"{ratio0('add_money', total, 3)} as add_contri",
-    )
-    return join_keys(spend_rows, shares, [*keys, "modelingname"], "left")
+    return join_keys(spend_rows, key_shares(branch, keys), [*keys, "modelingname"], "left")
 
 
 def nonzero_spend_rows(fact: DataFrame) -> DataFrame:
@@ -52,22 +56,21 @@ def unpivot_shares(shared: DataFrame) -> DataFrame:
     return named_shares.unpivot(ids, [INI, ADD], "contri_type", "contri_val")
 
 
-def apportion_groups(
-    long: DataFrame, keys: list[str], measures: list[str], conserve: bool = True
-) -> DataFrame:
-    """Classify each key by the sum of its shares and apply the shares to the measures.
+def share_weights(pairs: DataFrame, keys: list[str], conserve: bool = True) -> DataFrame:
+    """Weight of every (key, old customer, INI/ADD) pair that receives part of the key's money.
 
-    ``share_group`` is ``none`` (no share: the row passes through unchanged), ``one``
-    (sum below 2: shares as they are), ``two`` (sum 2 with both kinds: rows whose share
-    is not 1), ``three`` (sum 2 with one kind: share divided by the row count) or ``over``
+    ``pairs`` holds each pair of a key once, with its share ``contri_val``. ``share_group`` is ``none`` (no
+    share), ``one`` (sum below 2: shares as they are), ``two`` (sum 2 with both kinds: pairs whose share
+    is not 1), ``three`` (sum 2 with one kind: share divided by the number of pairs) or ``over``
     (sum above 2: share divided by the sum). The kept weights of every key are scaled to
-    sum to 1, and a key that would keep no row keeps all of them; without ``conserve`` the
-    weights stay as the groups give them, which loses or doubles money in group ``two``.
+    sum to 1, and a key that would keep no pair keeps all of them; without ``conserve`` the
+    weights stay as the groups give them, which loses or doubles money in group ``two``. A key of
+    group ``none`` keeps its first pair, with weight 1.
 
-    A key's window holds its old customers twice, never fact lines.
+    A key's window holds its old customers twice, never fact rows.
     """
     key = f"partition by {', '.join(keys)}"
-    marked = with_exprs(long, {"contri_val": zero_if_null("contri_val")}).selectExpr(
+    marked = with_exprs(pairs, {"contri_val": zero_if_null("contri_val")}).selectExpr(
         "*",
         # Shares are multiples of 0.001, so their rounded sum does not depend on order.
         f"round(sum(contri_val) over ({key}), 3) as _total",
@@ -95,10 +98,40 @@ def apportion_groups(
             "_keep": "_keep or (share_group = 'two' and _kept is null and contri_val != 0)",
             "weight": "try_divide(weight, coalesce(_kept, _all))",
         })
-    scaled = with_exprs(weighed.filter("_keep"), {
+    return weighed.filter("_keep").select(*keys, "old_planningcustomer", "contri_type", "share_group", "weight")
+
+
+def _weighted(rows: DataFrame, measures: list[str]) -> DataFrame:
+    return with_exprs(rows, {
         m: f"case when share_group = 'none' then {m} else {round_dp(f'{m} * weight')} end" for m in measures
     })
-    return scaled.drop("_total", "_rows", f"_has_{INI}", f"_has_{ADD}", "_first", "_keep", "_kept", "_all")
+
+
+def apportion_groups(
+    long: DataFrame, keys: list[str], measures: list[str], conserve: bool = True
+) -> DataFrame:
+    """Classify each key by the sum of its shares and apply the shares to the measures of its rows.
+
+    ``long`` holds every row once per pair of its key (``unpivot_shares``). Weights belong to the key's
+    distinct pairs, so each of several rows that share a key is split by the same weights and keeps
+    its own money. Groups and weights as in ``share_weights``; a row of group ``none`` passes through once.
+    """
+    pair = [*keys, "old_planningcustomer", "contri_type"]
+    pairs = aggregate(long, pair, {"contri_val": "max(contri_val)"})
+    return _weighted(join_keys(long, share_weights(pairs, keys, conserve), pair), measures)
+
+
+def apportion_rows(
+    rows: DataFrame, shares: DataFrame, keys: list[str], measures: list[str], conserve: bool = True
+) -> DataFrame:
+    """Rows split by the shares of their key; a row whose key has no share passes through once.
+
+    The same as ``apportion_groups`` of the joined and unpivoted rows, but the rows meet only the
+    weights they keep.
+    """
+    weights = share_weights(shares.transform(unpivot_shares), keys, conserve).filter("share_group != 'none'")
+    split = join_keys(rows, weights, keys, "left")
+    return _weighted(with_exprs(split, {"share_group": "coalesce(share_group, 'none')", "weight": "coalesce(weight, 1D)"}), measures)
 
 
 # New customer for initial money or an unchanged account, else the old customer.
@@ -123,8 +156,8 @@ def reassign_branch(apportioned: DataFrame) -> DataFrame:
 
 def reallocate_branches(fact: DataFrame, branch: DataFrame) -> DataFrame:
     """Shares, apportionment and reassignment of all three spend types in one plan."""
-    long = unpivot_shares(branch_share(branch, nonzero_spend_rows(fact)))
-    return reassign_branch(apportion_groups(long, [*S.KEY5, "modelingname"], S.MEASURES))
+    return reassign_branch(apportion_rows(
+        nonzero_spend_rows(fact), key_shares(branch), [*S.KEY5, "modelingname"], S.MEASURES))
 
 
 def assemble_fact(fact: DataFrame, reassigned: DataFrame) -> DataFrame:
@@ -145,8 +178,8 @@ def branch_rework_output(stage2: DataFrame, branch: DataFrame, months: str) -> D
     period. Last-year and optimised measures are both scaled by the share, then summed.
     """
     key = ["segment", "shisha", "planningcustomer"]
-    long = unpivot_shares(branch_share(branch.filter(months), stage2, key))
-    split = with_exprs(apportion_groups(long, [*key, "modelingname"], [*OLD_MEASURES, *NEW_MEASURES]), {
+    shares = key_shares(branch.filter(months), key)
+    split = with_exprs(apportion_rows(stage2, shares, [*key, "modelingname"], [*OLD_MEASURES, *NEW_MEASURES]), {
         "planningcustomer": TARGET_CUSTOMER, "optimized_gps_adj": "optimized_gps * adjustment_factor",
     })
     summed = [*OLD_MEASURES, "optimized_spends", "optimized_volume", "optimized_gps_adj", "optimized_netsales_adj"]

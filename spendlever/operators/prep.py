@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    HALF_LABEL, HALF_NUMBER, MONTH_END, aggregate, any_nonzero, exact_avg, exact_sum, in_list,
+    HALF_LABEL, HALF_NUMBER, MONTH_END, aggregate, any_nonzero, exact_avg, exact_sum, in_list, join_keys,
     named, quoted, ratio, ratio0, round_dp, ten_thousandths, with_exprs, zero_if_null,
 )
 
@@ -54,7 +54,7 @@ def rescale_to_actuals(shares: DataFrame, rolled: DataFrame) -> DataFrame:
     GPS is the raw volume times price: a missing price or missing cases both give zero.
     """
     cases = "vol_contri * total_salesqtycase"
-    scaled = shares.join(rolled, S.KEY5, "left").selectExpr(
+    scaled = join_keys(shares, rolled, S.KEY5, "left").selectExpr(
         "*", f"{zero_if_null(cases)} as volume",
         f"{zero_if_null('spends_contri * total_spends')} as spends",
         f"{zero_if_null(cases + ' * price')} as gps",
@@ -192,7 +192,7 @@ def history_baseline(opt_input: DataFrame, decomposition: DataFrame) -> DataFram
         {**{m: exact_sum(m) for m in S.MEASURES}, "price": exact_avg("price")},
     )
     own = " ".join(f"when '{t}' then _base_{t}" for t in BASELINE_EXCLUDES)
-    moved = with_exprs(spend_rows.join(baseline, key, "left"), {
+    moved = with_exprs(join_keys(spend_rows, baseline, key, "left"), {
         "baseline_volume": f"case modelingname {own} end", "year": "year + 1",
         "month": "case when half_year = 'H1' then 6 else 12 end",
     })
@@ -218,10 +218,10 @@ def ratio_impute(
     """
     modelled = aggregate(fact.filter(f"not {IS_TOTAL}"), S.KEY5, {f"_model_{m}": exact_sum(m) for m in measures})
     booked = aggregate(actuals, S.KEY5, {f"_actual_{m}": exact_sum(m) for m in measures})
-    factors = modelled.join(booked, S.KEY5, "left").selectExpr(
+    factors = join_keys(modelled, booked, S.KEY5, "left").selectExpr(
         *S.KEY5, *[f"coalesce({ratio(f'_actual_{m}', f'_model_{m}')}, 1D) as _factor_{m}" for m in measures]
     )
-    scaled = with_exprs(fact.join(factors, S.KEY5, "left"), {m: f"{m} * _factor_{m}" for m in measures})
+    scaled = with_exprs(join_keys(fact, factors, S.KEY5, "left"), {m: f"{m} * _factor_{m}" for m in measures})
     return scaled.select(*fact.columns).fillna(0.0)
 
 
@@ -251,7 +251,7 @@ def override_merge(view: DataFrame, replacement: DataFrame, segments: list[str])
         c: zero_if_null(value.format(c=c, listed=in_list("segment", segments), predicted=S.PREDICTED_SALES))
         for c in VIEW_VALUES
     }
-    both = view.select(*VIEW_KEYS, *VIEW_VALUES).join(renamed, VIEW_KEYS, "outer")
+    both = join_keys(view.select(*VIEW_KEYS, *VIEW_VALUES), renamed, VIEW_KEYS, "outer")
     return both.selectExpr(*VIEW_KEYS, *named(merged))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    aggregate, change, exact_avg, exact_sum, in_list, named, quoted, ratio, round_dp, with_exprs,
+    aggregate, change, exact_avg, exact_sum, in_list, join_keys, named, quoted, ratio, round_dp, with_exprs,
     zero_if_null,
 )
 from spendlever.sources.star import BUDGET_SPEND, KEEP_SPEND
@@ -128,13 +128,13 @@ def scenario_output_projection(
     ).distinct().selectExpr("*", *named({c: quoted(v) for c, v in tags.items()}))
 
 
-def baseline_overlay(output: DataFrame, other_drivers: DataFrame) -> DataFrame:
+def baseline_overlay(output: DataFrame, other_drivers: DataFrame, by: list[str] = ()) -> DataFrame:
     """Add the baseline volume of the other drivers and the final totals and changes.
 
     ``other_drivers`` are the in-scope rows of the period for every driver but the
     scenario's. Missing values and undefined changes become 0.
     """
-    key = ["segment", "shisha", "planningcustomer"]
+    key = [*by, "segment", "shisha", "planningcustomer"]
     baseline = aggregate(other_drivers, key, {"baseline_volume": exact_sum("volume")})
     old = {m: f"{LY}{m}_old" for m in S.MEASURES}
     new = {m: f"optimized_{m}" for m in S.MEASURES}
@@ -146,8 +146,7 @@ def baseline_overlay(output: DataFrame, other_drivers: DataFrame) -> DataFrame:
         return zero_if_null(ratio(f"{volume} * {old['gps']}", old["volume"]))
 
     both = (
-        output.drop("spend_change", "vol_change", "ns_change", "netsales_change")
-        .join(baseline, key, "left")
+        join_keys(output.drop("spend_change", "vol_change", "ns_change", "netsales_change"), baseline, key, "left")
         .fillna(0.0, [*old.values(), *new.values(), "baseline_volume"])
     )
     layers = [
@@ -250,19 +249,19 @@ MATCH_KEY = [*S.DIMENSIONS, "modelingname"]
 
 def missing_keys_backfill(output: DataFrame, actuals: DataFrame) -> DataFrame:
     """Output rows plus the actual rows that have no output row."""
-    absent = actuals.join(output.select(*MATCH_KEY).distinct(), MATCH_KEY, "left_anti")
+    absent = join_keys(actuals, output.select(*MATCH_KEY).distinct(), MATCH_KEY, "left_anti")
     return output.unionByName(absent, allowMissingColumns=True)
 
 
 def key_semi_filter(output: DataFrame, actuals: DataFrame) -> DataFrame:
     """Output rows whose segment, branch office and customer occur in the actuals."""
     key = ["segment", "shisha", "planningcustomer"]
-    return output.join(actuals.select(*key).distinct(), key, "left_semi")
+    return join_keys(output, actuals.select(*key).distinct(), key, "left_semi")
 
 
 def _with_actuals(output: DataFrame, actuals: DataFrame) -> DataFrame:
     renamed = actuals.selectExpr(*MATCH_KEY, *[f"{m} as decomp_{m}" for m in S.MEASURES])
-    return output.join(renamed, MATCH_KEY, "left")
+    return join_keys(output, renamed, MATCH_KEY, "left")
 
 
 def match_flags(output: DataFrame, actuals: DataFrame) -> DataFrame:

@@ -231,7 +231,7 @@ def _level(keys: list[str]) -> str:
     return "+".join(keys)
 
 
-def level_rows(rows: DataFrame, *models: FitLevels) -> DataFrame:
+def level_rows(rows: DataFrame, *models: FitLevels, by: list[str] = ()) -> DataFrame:
     """Each row once per distinct fit level of the models, absent key columns shown as ``*``."""
     columns = list(max((m.keys for m in models), key=len))
     wanted = dict.fromkeys(
@@ -241,31 +241,33 @@ def level_rows(rows: DataFrame, *models: FitLevels) -> DataFrame:
         f"'{_level(kept)}', " + ", ".join(c if c in kept else f"'{ALL}'" for c in columns) for kept in wanted
     )
     stacked = f"stack({len(wanted)}, {tagged}) as (level, {', '.join('_' + c for c in columns)})"
-    return rows.selectExpr(stacked, "year", "month", "spends", "volume").selectExpr(
-        "level", *[f"_{c} as {c}" for c in columns], "year", "month", "spends", "volume"
-    )
+    rest = [*by, "year", "month", "spends", "volume"]
+    return rows.selectExpr(stacked, *rest).selectExpr("level", *[f"_{c} as {c}" for c in columns], *rest)
+
 
+def fit_levels(rows: DataFrame, *models: FitLevels, by: list[str] = ()) -> DataFrame:
+    """Trimmed fits of every level of the models, in one job; shared levels are fitted once.
 
-def fit_levels(rows: DataFrame, *models: FitLevels) -> DataFrame:
-    """Trimmed fits of every level of the models, in one job; shared levels are fitted once."""
+    ``by`` are further key columns, such as a scenario, that every level keeps.
+    """
     columns = list(max((m.keys for m in models), key=len))
-    return trim_refit(level_rows(rows, *models), ["level", *columns])
+    return trim_refit(level_rows(rows, *models, by=by), ["level", *by, *columns])
 
 
-def hierarchical_fallback(fits: DataFrame, levels: FitLevels) -> DataFrame:
+def hierarchical_fallback(fits: DataFrame, levels: FitLevels, by: list[str] = ()) -> DataFrame:
     """Replace slopes outside [0.1, 0.9] by the slope of each coarser level in turn.
 
     ``fits`` is read once per level, so pass a settled table.
     """
     keys = list(levels.keys)
     base = fits.filter(f"level = '{_level(keys)}'")
-    columns = [*keys, *base.columns[base.columns.index("first_sales_month"):]]
+    columns = [*by, *keys, *base.columns[base.columns.index("first_sales_month"):]]
     model = base.select(*columns)
     inside = f"coalesce(spends_coef between {SLOPE_LOW}D and {SLOPE_HIGH}D, false)"
     for drop in levels.drops:
         kept = [k for k in keys if k != drop]
-        coarse = fits.filter(f"level = '{_level(kept)}'").selectExpr(*kept, "spends_coef as _coarse")
-        model = with_exprs(join_keys(model, coarse, kept, "left"), {
+        coarse = fits.filter(f"level = '{_level(kept)}'").selectExpr(*by, *kept, "spends_coef as _coarse")
+        model = with_exprs(join_keys(model, coarse, [*by, *kept], "left"), {
             "spends_coef": f"if({inside}, spends_coef, _coarse)",
             "model_type": f"if({inside}, model_type, 'Without_{drop.upper()}_Level_Model_Augmented')",
         }).select(*columns)
@@ -297,26 +299,25 @@ def consolidate_models(models: DataFrame, zero_rows: DataFrame, keys: list[str])
     })
 
 
-def response_models(rows: DataFrame, *models: FitLevels) -> list[DataFrame]:
+def response_models(rows: DataFrame, *models: FitLevels, by: list[str] = ()) -> list[DataFrame]:
     """Coefficients per key of one scope, per model: fits, fallback and zero-response keys.
 
-    All levels of all models are fitted in one job. ``rows`` (spend above zero) is read
-    several times, so pass a settled table.
+    All levels of all models are fitted in one job, and all scopes that ``by`` tells apart. ``rows``
+    (spend above zero) is read several times, so pass a settled table.
     """
-    fits = settle(fit_levels(rows.filter("spends > 0 and volume > 0"), *models))
-    return [
-        consolidate_models(
-            hierarchical_fallback(fits, m), zero_response_keys(rows, list(m.keys)), list(m.keys)
-        )
-        for m in models
-    ]
+    fits = settle(fit_levels(rows.filter("spends > 0 and volume > 0"), *models, by=by))
+    out = []
+    for m in models:
+        keys = [*by, *m.keys]
+        out.append(consolidate_models(hierarchical_fallback(fits, m, by), zero_response_keys(rows, keys), keys))
+    return out
 
 
 def response_model(rows: DataFrame, levels: FitLevels) -> DataFrame:
     return response_models(rows, levels)[0]
 
 
-def attach_dimensions(coefficients: DataFrame, fact: DataFrame) -> DataFrame:
+def attach_dimensions(coefficients: DataFrame, fact: DataFrame, by: list[str] = ()) -> DataFrame:
     """Add the fact's distinct dimensions; a key with several dimension rows fans out."""
-    dims = fact.select(*S.DIMENSIONS).distinct()
-    return coefficients.join(dims, ["segment", "shisha", "planningcustomer"], "left")
+    dims = fact.select(*by, *S.DIMENSIONS).distinct()
+    return join_keys(coefficients, dims, [*by, "segment", "shisha", "planningcustomer"], "left")

@@ -53,7 +53,8 @@ def rounded(columns: str, dp: int) -> str:
 
 CTES: dict[str, str] = {}
 #: Expressions that several others read; computed once.
-SHARED = {"x_fact", "x_lines", "x_branch", "x_coef1", "x_coef2", "x_base1", "x_stage1", "x_pushed", "x_stage2", "x_long2", "x_rework"}
+SHARED = {"x_fact", "x_lines", "x_branch", "x_coef1", "x_coef2", "x_base1", "x_stage1", "x_pushed", "x_stage2", "x_long2", "x_rework",
+          "xb_fit", "xb_coef1", "xb_coef2", "xb_base1", "xb_stage1", "xb_pushed", "xb_cand2", "xb_stage2", "xb_final"}
 
 
 def cte(name: str, sql: str) -> None:
@@ -474,20 +475,20 @@ SQL["trim_refit_null_keys"] = stmt(_trimmed("x_spendnull", FITK))
 cte("x_fitpos", "SELECT * FROM x_fitrows WHERE volume > 0")
 
 
-def _fallback(keys: list[str], drops: list[str], tag: str) -> None:
-    cte(f"{tag}_l0", _trimmed("x_fitpos", ", ".join(keys)))
+def _fallback(keys: list[str], drops: list[str], tag: str, source: str = "x_fitpos", by: tuple[str, ...] = ()) -> None:
+    cte(f"{tag}_l0", _trimmed(source, ", ".join([*by, *keys])))
     previous = f"{tag}_l0"
     rest = """first_sales_month, last_sales_month, number_of_rows, number_of_rows_after_perct_rank,
       total_overall_spends, total_overall_volume, r_squared, intercept"""
     for i, drop in enumerate(drops, start=1):
-        kept = ", ".join(k for k in keys if k != drop)
-        cte(f"{tag}_c{i}", _trimmed("x_fitpos", kept))
+        kept = [*by, *(k for k in keys if k != drop)]
+        cte(f"{tag}_c{i}", _trimmed(source, ", ".join(kept)))
         cte(f"{tag}_l{i}", f"""
-        SELECT {', '.join('b.' + k for k in keys)}, {', '.join('b.' + c.strip() for c in rest.split(','))},
+        SELECT {', '.join('b.' + k for k in (*by, *keys))}, {', '.join('b.' + c.strip() for c in rest.split(','))},
           CASE WHEN b.spends_coef BETWEEN 0.1 AND 0.9 THEN b.model_type
                ELSE 'Without_{drop.upper()}_Level_Model_Augmented' END AS model_type,
           CASE WHEN b.spends_coef BETWEEN 0.1 AND 0.9 THEN b.spends_coef ELSE c.spends_coef END AS spends_coef
-        FROM {previous} b LEFT JOIN {tag}_c{i} c ON {' AND '.join(f'b.{k} = c.{k}' for k in keys if k != drop)}""")
+        FROM {previous} b LEFT JOIN {tag}_c{i} c ON {' AND '.join(f'b.{k} = c.{k}' for k in kept)}""")
         previous = f"{tag}_l{i}"
 
 
@@ -506,7 +507,7 @@ def _zero(source: str, keys: str) -> str:
     FROM {source} WHERE spends > 0 AND volume = 0 GROUP BY {keys}"""
 
 
-def _consolidated(model: str, keys: str) -> str:
+def _consolidated(model: str, keys: str, rows: str = "x_fitrows") -> str:
     cols = f"""{keys}, first_sales_month, last_sales_month, number_of_rows, number_of_rows_after_perct_rank,
       total_overall_spends, total_overall_volume, model_type, CAST(r_squared AS DOUBLE) AS r_squared,
       CAST(intercept AS DOUBLE) AS intercept, CAST(spends_coef AS DOUBLE) AS spends_coef"""
@@ -517,7 +518,7 @@ def _consolidated(model: str, keys: str) -> str:
       {es('total_overall_spends')} AS total_overall_spends, {es('total_overall_volume')} AS total_overall_volume,
       string_agg(model_type, ',' ORDER BY model_type) AS model_type, {es('r_squared', 6)} AS r_squared,
       {es('intercept', 6)} AS intercept, {es('spends_coef', 6)} AS spends_coef
-    FROM (SELECT {cols} FROM {model} UNION ALL SELECT {cols} FROM ({_zero('x_fitrows', keys)})) GROUP BY {keys}"""
+    FROM (SELECT {cols} FROM {model} UNION ALL SELECT {cols} FROM ({_zero(rows, keys)})) GROUP BY {keys}"""
 
 
 SQL["zero_response_keys"] = stmt(_zero(f"(SELECT * FROM x_fact WHERE modelingname IN {TYPES})", FITK))
@@ -532,13 +533,23 @@ SQL["attach_dimensions"] = stmt("SELECT * FROM x_coef2d")
 # --- allocation ------------------------------------------------------------------------
 
 L = "last_year_period_"
-cte("x_base1", f"""
-WITH t AS (SELECT shisha, channel, planningcustomer, {', '.join(rd(es(m), 3) + f' AS {m}' for m in MEASURES)},
-  {rd(av('price'), 3)} AS price FROM x_scope GROUP BY ALL)
-SELECT c.shisha, c.planningcustomer, channel, c.spends_coef, coalesce(spends, 0) AS {L}spends,
-  coalesce(volume, 0) AS {L}volume, coalesce(gps, 0) AS {L}gps, coalesce(gps, 0) - coalesce(spends, 0) AS {L}netsales,
-  coalesce(price, 0) AS price, coalesce({div0('gps - spends', 'gps', 3)}, 0) AS ns_to_gps
-FROM x_coef1 c LEFT JOIN t USING ({S1})""")
+
+
+def _with(by: str, columns: str) -> str:
+    return f"{by}, {columns}" if by else columns
+
+
+def _base1(coefficients: str, scope: str, by: str = "") -> str:
+    return f"""
+    WITH t AS (SELECT {_with(by, 'shisha, channel, planningcustomer')}, {', '.join(rd(es(m), 3) + f' AS {m}' for m in MEASURES)},
+      {rd(av('price'), 3)} AS price FROM {scope} GROUP BY ALL)
+    SELECT {_with('c.' + by if by else '', 'c.shisha, c.planningcustomer')}, channel, c.spends_coef, coalesce(spends, 0) AS {L}spends,
+      coalesce(volume, 0) AS {L}volume, coalesce(gps, 0) AS {L}gps, coalesce(gps, 0) - coalesce(spends, 0) AS {L}netsales,
+      coalesce(price, 0) AS price, coalesce({div0('gps - spends', 'gps', 3)}, 0) AS ns_to_gps
+    FROM {coefficients} c LEFT JOIN t USING ({_with(by, S1)})"""
+
+
+cte("x_base1", _base1("x_coef1", "x_scope"))
 _b1 = f"spends_coef, {L}spends, {L}volume, {L}gps, {L}netsales, price, ns_to_gps"
 SQL["stage1_baseline"] = stmt(f"SELECT shisha, channel, planningcustomer, {rounded(_b1, 6)} FROM x_base1")
 SQL["split_optimisable"] = stmt(f"""
@@ -674,18 +685,25 @@ def _cost(where: str) -> str:
 SQL["cost_per_case"] = stmt(f"""
 SELECT {S2}, {rd('ec_per_qtycase', 6)} AS ec_per_qtycase FROM ({_cost("('PRICEOFF','PROMOTIONAD')")})""")
 cte("x_cost", _cost("('PRICEOFF')"))
-cte("x_pushed", f"""
-WITH o AS (SELECT {S2}, {', '.join(rd(es(m), 3) + f' AS {m}' for m in MEASURES)}, {rd(av('price'), 3)} AS price
-  FROM x_scope GROUP BY {S2}),
-r AS (SELECT c.*, {', '.join(f'coalesce({m}, 0) AS {L}{m}_old' for m in MEASURES)}, coalesce(price, 0) AS price
-  FROM x_coef2d c LEFT JOIN o USING ({S2})),
-k AS (SELECT {S1}, {es(f'{L}spends_old', 9)} AS ts, {es(f'{L}volume_old', 9)} AS tv FROM r GROUP BY {S1}),
-p AS (SELECT r.*, coalesce({div0(f'{L}spends_old', 'ts')} * u.optimized_spends, 0) AS {L}spends,
-    {div0(f'{L}volume_old', 'tv')} * u.optimized_volume AS {L}volume
-  FROM r JOIN k USING ({S1}) LEFT JOIN (SELECT {S1}, optimized_spends, optimized_volume FROM x_stage1) u USING ({S1})),
-q AS (SELECT *, coalesce({div(f'{L}volume * {L}gps_old', f'{L}volume_old')}, 0) AS {L}gps FROM p)
-SELECT q.*, {L}gps - {L}spends AS {L}netsales, {div0(f'{L}gps - {L}spends', f'{L}gps', 3)} AS ns_to_gps, x_cost.ec_per_qtycase
-FROM q LEFT JOIN x_cost USING ({S2})""")
+
+
+def _pushed(coefficients: str, scope: str, stage1: str, cost: str, by: str = "") -> str:
+    s1, s2 = _with(by, S1), _with(by, S2)
+    return f"""
+    WITH o AS (SELECT {s2}, {', '.join(rd(es(m), 3) + f' AS {m}' for m in MEASURES)}, {rd(av('price'), 3)} AS price
+      FROM {scope} GROUP BY {s2}),
+    r AS (SELECT c.*, {', '.join(f'coalesce({m}, 0) AS {L}{m}_old' for m in MEASURES)}, coalesce(price, 0) AS price
+      FROM {coefficients} c LEFT JOIN o USING ({s2})),
+    k AS (SELECT {s1}, {es(f'{L}spends_old', 9)} AS ts, {es(f'{L}volume_old', 9)} AS tv FROM r GROUP BY {s1}),
+    p AS (SELECT r.*, coalesce({div0(f'{L}spends_old', 'ts')} * u.optimized_spends, 0) AS {L}spends,
+        {div0(f'{L}volume_old', 'tv')} * u.optimized_volume AS {L}volume
+      FROM r JOIN k USING ({s1}) LEFT JOIN (SELECT {s1}, optimized_spends, optimized_volume FROM {stage1}) u USING ({s1})),
+    q AS (SELECT *, coalesce({div(f'{L}volume * {L}gps_old', f'{L}volume_old')}, 0) AS {L}gps FROM p)
+    SELECT q.*, {L}gps - {L}spends AS {L}netsales, {div0(f'{L}gps - {L}spends', f'{L}gps', 3)} AS ns_to_gps, {cost}.ec_per_qtycase
+    FROM q LEFT JOIN {cost} USING ({s2})"""
+
+
+cte("x_pushed", _pushed("x_coef2d", "x_scope", "x_stage1", "x_cost"))
 SQL["pushdown_stage1"] = stmt(f"""
 SELECT segment || '$' || shisha || '$' || planningcustomer AS key_combination,
   shisha || '$' || planningcustomer AS key_combination1, {rounded(f'{_lyo}, {_ly}, ns_to_gps, ec_per_qtycase', 3)}
@@ -695,23 +713,37 @@ cte("x_cand2", _alloc("x_items2", S1, "_old", "old * 0.9", "least(centre, old *
 cte("x_alloc2", "SELECT * FROM x_cand2 WHERE policy = 'spend_first'")
 SQL["allocate_stage2"] = stmt(f"SELECT {S2}, {_al} FROM x_alloc2")
 _ch = lambda a, b: rd(div(f"{es(a, 9)} - {es(b, 9)}", es(b, 9)), 6)
-SQL["candidate_select"] = stmt(f"""
-SELECT {S1}, policy, growth_percent, spend_percent, overall_spend_percent, accepted FROM (
-  SELECT *, row_number() OVER (PARTITION BY {S1} ORDER BY accepted DESC, spend_percent DESC NULLS LAST,
+
+
+def _chosen(candidates: str, by: str = "") -> str:
+    """The best policy of every customer in the second stage."""
+    s1 = _with(by, S1)
+    return f"""
+SELECT {s1}, policy, growth_percent, spend_percent, overall_spend_percent, accepted FROM (
+  SELECT *, row_number() OVER (PARTITION BY {s1} ORDER BY accepted DESC, spend_percent DESC NULLS LAST,
     growth_percent DESC NULLS LAST, policy) AS place
   FROM (SELECT *, coalesce(spend_percent <= 0.005, false)
           AND abs(round(CAST(overall_spend_percent AS DECIMAL(28,9)), 1)) <= 0.1 AS accepted
-    FROM (SELECT {S1}, policy, {_ch('optimized_netsales', f'{L}netsales')} AS growth_percent,
+    FROM (SELECT {s1}, policy, {_ch('optimized_netsales', f'{L}netsales')} AS growth_percent,
       {_ch('optimized_spends', f'{L}spends')} AS spend_percent,
       {_ch('optimized_spends', f'{L}spends_old')} AS overall_spend_percent
-    FROM ({_respond('x_cand2', 'optimized_spends', '_old')}) GROUP BY {S1}, policy)))
-WHERE place = 1""")
+    FROM ({_respond(candidates, 'optimized_spends', '_old')}) GROUP BY {s1}, policy)))
+WHERE place = 1"""
+
+
+SQL["candidate_select"] = stmt(_chosen("x_cand2"))
 _s2cols = f"{DIMS}, feasible, {_lyo}, {_ly}, ec_per_qtycase, {_tail}"
-cte("x_stage2", f"""
-SELECT *, {L}volume_old * ec_per_qtycase AS ec, {L}netsales_old - {L}volume_old * ec_per_qtycase AS mc,
-  optimized_volume * ec_per_qtycase AS ec_new, optimized_netsales_adj - optimized_volume * ec_per_qtycase AS mc_new
-FROM (SELECT {_s2cols} FROM ({_projected('x_alloc2', '_old')})
-      UNION ALL SELECT {_s2cols} FROM ({_carried('x_pushed', '_old')}))""")
+
+
+def _stage2(allocated: str, pushed: str, by: str = "") -> str:
+    return f"""
+    SELECT *, {L}volume_old * ec_per_qtycase AS ec, {L}netsales_old - {L}volume_old * ec_per_qtycase AS mc,
+      optimized_volume * ec_per_qtycase AS ec_new, optimized_netsales_adj - optimized_volume * ec_per_qtycase AS mc_new
+    FROM (SELECT {_with(by, _s2cols)} FROM ({_projected(allocated, '_old')})
+          UNION ALL SELECT {_with(by, _s2cols)} FROM ({_carried(pushed, '_old')}))"""
+
+
+cte("x_stage2", _stage2("x_alloc2", "x_pushed"))
 _sum = lambda a, b: rd(div(f"{es(a, 9)} - {es(b, 9)}", es(b, 9)), 6)
 SQL["stage_summary"] = stmt(f"""
 SELECT {_sum('optimized_spends', f'{L}spends_old')} AS spend_change,
@@ -724,32 +756,45 @@ SQL["spend_mismatch"] = stmt(f"""
 SELECT {S1}, {rd('a', 3)} AS {L}spends, {rd('b', 3)} AS optimized_spends, {rd('(b - a) / a * 100', 3)} AS change_perc
 FROM (SELECT {S1}, {es(f'{L}spends', 9)} AS a, {es('optimized_spends', 9)} AS b FROM x_stage2 GROUP BY {S1})
 WHERE {rd('a', 0)} <> {rd('b', 0)}""")
-cte("x_guard0", f"""
-SELECT * EXCLUDE (spend_change, vol_change, ns_change),
-  {div(f'optimized_spends - {L}spends_old', f'{L}spends_old')} AS spend_change,
-  {div(f'optimized_netsales - {L}netsales_old', f'abs({L}netsales_old)')} AS netsales_change FROM x_stage2""")
-cte("x_guard", f"""
-SELECT * EXCLUDE (flag) REPLACE ({', '.join(
-    f'CASE WHEN flag THEN {L}{m}_old ELSE optimized_{m} END AS optimized_{m}' for m in MEASURES)}), flag AS reverted
-FROM (SELECT *, coalesce(spend_change >= 0 AND netsales_change < 0, false) AS flag FROM x_guard0)""")
+
+
+def _guarded(stage2: str) -> str:
+    changes = f"""
+    SELECT * EXCLUDE (spend_change, vol_change, ns_change),
+      {div(f'optimized_spends - {L}spends_old', f'{L}spends_old')} AS spend_change,
+      {div(f'optimized_netsales - {L}netsales_old', f'abs({L}netsales_old)')} AS netsales_change FROM {stage2}"""
+    reverted = ", ".join(f"CASE WHEN flag THEN {L}{m}_old ELSE optimized_{m} END AS optimized_{m}" for m in MEASURES)
+    return f"""
+    SELECT * EXCLUDE (flag) REPLACE ({reverted}), flag AS reverted
+    FROM (SELECT *, coalesce(spend_change >= 0 AND netsales_change < 0, false) AS flag FROM ({changes}))"""
+
+
+cte("x_guard", _guarded("x_stage2"))
 SQL["guardrail_revert"] = stmt(f"""
 SELECT {S2}, reverted, {rounded('spend_change, netsales_change, optimized_spends, optimized_volume, optimized_gps, optimized_netsales', 3)}
 FROM x_guard""")
-cte("x_final", f"""
-WITH b AS (SELECT {S2}, {es('volume')} AS bv FROM x_period WHERE business = 'VALUE' AND category IN {_CATS}
-  AND modelingname NOT IN ('Volume','PREDICTED_SALES','PRICEOFF') GROUP BY {S2}),
-a AS (SELECT {DIMS}, optimized_spends, coalesce(bv, 0) AS baseline_volume, {L}spends_old AS total_initial_spend,
-    {L}volume_old + coalesce(bv, 0) AS total_initial_volume, coalesce(optimized_spends, 0) AS total_optimized_spend,
-    coalesce(optimized_volume, 0) + coalesce(bv, 0) AS total_optimized_volume,
-    {L}gps_old AS g, {L}volume_old AS v FROM x_guard LEFT JOIN b USING ({S2})),
-c AS (SELECT *, coalesce({div('total_initial_volume * g', 'v')}, 0) AS total_initial_gps,
-  coalesce({div('total_optimized_volume * g', 'v')}, 0) AS total_optimized_gps FROM a),
-e AS (SELECT *, total_initial_gps - total_initial_spend AS total_initial_netsales,
-  total_optimized_gps - total_optimized_spend AS total_optimized_netsales FROM c)
-SELECT * EXCLUDE (g, v), 'PRICEOFF' AS modelingname, {', '.join(
-    f"coalesce({div(f'total_optimized_{m}', f'total_initial_{m}')} - 1, 0) AS final_{m}_change" for m in ('spend', 'volume', 'gps'))},
-  coalesce({div('total_optimized_netsales - total_initial_netsales', 'abs(total_initial_netsales)')}, 0) AS final_netsales_change
-FROM e""")
+
+
+def _overlaid(guard: str, others: str, by: str = "", more: str = "", label: str = "'PRICEOFF' AS modelingname") -> str:
+    return f"""
+    WITH b AS (SELECT {_with(by, S2)}, {es('volume')} AS bv FROM {others} GROUP BY {_with(by, S2)}),
+    a AS (SELECT {_with(by, DIMS)}, {more}optimized_spends, coalesce(bv, 0) AS baseline_volume, {L}spends_old AS total_initial_spend,
+        {L}volume_old + coalesce(bv, 0) AS total_initial_volume, coalesce(optimized_spends, 0) AS total_optimized_spend,
+        coalesce(optimized_volume, 0) + coalesce(bv, 0) AS total_optimized_volume,
+        {L}gps_old AS g, {L}volume_old AS v FROM {guard} LEFT JOIN b USING ({_with(by, S2)})),
+    c AS (SELECT *, coalesce({div('total_initial_volume * g', 'v')}, 0) AS total_initial_gps,
+      coalesce({div('total_optimized_volume * g', 'v')}, 0) AS total_optimized_gps FROM a),
+    e AS (SELECT *, total_initial_gps - total_initial_spend AS total_initial_netsales,
+      total_optimized_gps - total_optimized_spend AS total_optimized_netsales FROM c)
+    SELECT * EXCLUDE (g, v), {label}, {', '.join(
+        f"coalesce({div(f'total_optimized_{m}', f'total_initial_{m}')} - 1, 0) AS final_{m}_change" for m in ('spend', 'volume', 'gps'))},
+      coalesce({div('total_optimized_netsales - total_initial_netsales', 'abs(total_initial_netsales)')}, 0) AS final_netsales_change
+    FROM e"""
+
+
+cte("x_others", f"""SELECT * FROM x_period WHERE business = 'VALUE' AND category IN {_CATS}
+  AND modelingname NOT IN ('Volume','PREDICTED_SALES','PRICEOFF')""")
+cte("x_final", _overlaid("x_guard", "x_others"))
 _fin = """baseline_volume, total_initial_spend, total_initial_volume, total_initial_gps, total_initial_netsales,
   total_optimized_spend, total_optimized_volume, total_optimized_gps, total_optimized_netsales,
   final_spend_change, final_volume_change, final_gps_change, final_netsales_change"""
@@ -853,5 +898,130 @@ _sc = f"{KEY10}, modelingname, spends, volume, gps, netsales"
 SQL["scope_filter"] = stmt(f"SELECT {_sc} FROM x_scope")
 
 
+# --- scenarios as data -----------------------------------------------------------------
+
+_N = "scenario_name"
+cte("xb_scenarios", f"""
+WITH r AS (SELECT *, 12 * year + month - 1 AS i FROM x_fact WHERE modelingname IN {TYPES} AND spends > 0 AND volume >= 0),
+w AS (SELECT business, modelingname, 'A' AS w, '2' AS strategy, CAST(NULL AS VARCHAR[]) AS offices, 24000 AS first_month, 24005 AS last_month,
+    list(DISTINCT category) AS cats, list(DISTINCT channel) AS chans, CAST(NULL AS DOUBLE) AS goal_spend FROM r GROUP BY ALL
+  UNION ALL
+  SELECT business, modelingname, 'B', '3', ['AMERICA', 'ASIA', 'EUROPE'], 24009, 24014, list(DISTINCT category), list(DISTINCT channel),
+    round({es('CASE WHEN i BETWEEN 23997 AND 24002 THEN spends ELSE 0.0 END')} * 1.02, 2)
+  FROM r WHERE shisha IN ('AMERICA', 'ASIA', 'EUROPE') GROUP BY ALL)
+SELECT business || ' ' || modelingname || ' ' || w AS {_N}, business, modelingname AS spend_type, strategy, offices, cats, chans,
+  goal_spend, CAST(first_month AS INTEGER) AS first_month, CAST(last_month AS INTEGER) AS last_month FROM w""")
+_IN = """f.business = s.business AND list_contains(s.cats, f.category) AND list_contains(s.chans, f.channel)
+  AND (s.offices IS NULL OR list_contains(s.offices, f.shisha))"""
+_PAST = "12 * year + month - 1 BETWEEN first_month - 12 AND last_month - 12"
+cte("xb_fit", f"""
+SELECT s.{_N}, first_month, last_month, f.* FROM x_fact f JOIN xb_scenarios s ON {_IN} AND f.modelingname = s.spend_type
+WHERE spends > 0 AND volume >= 0""")
+cte("xb_pos", "SELECT * FROM xb_fit WHERE volume > 0")
+cte("xb_scope", f"SELECT * FROM xb_fit WHERE {_PAST}")
+_fallback(["shisha", "planningcustomer"], ["shisha", "planningcustomer"], "xb_f", "xb_pos", (_N,))
+_fallback(["segment", "shisha", "planningcustomer"], ["shisha", "segment", "planningcustomer"], "xb_g", "xb_pos", (_N,))
+cte("xb_coef1", _consolidated("xb_f_l2", _with(_N, S1), "xb_fit"))
+cte("xb_coef2", _consolidated("xb_g_l3", _with(_N, S2), "xb_fit"))
+cte("xb_coef2d", f"""
+SELECT c.*, d.business, d.category, d.subcategory, d.cluster, d.channel
+FROM xb_coef2 c LEFT JOIN (SELECT DISTINCT {_N}, {DIMS} FROM xb_fit) d USING ({_with(_N, S2)})""")
+cte("xb_base1", _base1("xb_coef1", "xb_scope", _N))
+cte("xb_items1", f"""
+SELECT i.*, goal FROM ({_calibrated('xb_base1')}) i JOIN (
+  SELECT {_N}, CASE WHEN strategy = '3' THEN goal_spend - coalesce(carried, 0) END AS goal FROM xb_scenarios LEFT JOIN (
+    SELECT {_N}, {es(f'{L}spends', 9)} AS carried FROM xb_base1 WHERE {L}spends > 0 AND {L}volume = 0 GROUP BY {_N}) USING ({_N})) USING ({_N})""")
+# The growth of the best policy is never below that of another.
+cte("xb_alloc1", _alloc("xb_items1", _N, "", "coalesce(goal, 0.0)", "coalesce(goal, centre)", {"max_net_sales": MAXNS}))
+cte("xb_stage1", f"""
+SELECT {_with(_N, _s1cols)} FROM ({_projected('xb_alloc1', '')})
+UNION ALL SELECT {_with(_N, _s1cols)} FROM ({_carried('xb_base1', '')})""")
+cte("xb_cost", f"""
+SELECT {_with(_N, S2)}, {div0(es('ec'), es('volume'))} AS ec_per_qtycase FROM x_fact f JOIN xb_scenarios s
+  ON f.modelingname = s.spend_type AND year BETWEEN (first_month - 12) // 12 AND (last_month - 12) // 12
+WHERE spends > 0 AND volume >= 0 GROUP BY {_with(_N, S2)}""")
+cte("xb_pushed", _pushed("xb_coef2d", "xb_scope", "xb_stage1", "xb_cost", _N))
+cte("xb_items2", f"SELECT * REPLACE ({L}gps_old - {L}spends_old AS {L}netsales_old) FROM ({_calibrated('xb_pushed')})")
+cte("xb_cand2", _alloc("xb_items2", _with(_N, S1), "_old", "old * 0.9", "least(centre, old * 1.1)", {"max_net_sales": MAXNS, "spend_first": FIRST}))
+cte("xb_alloc2", f"SELECT c.* FROM xb_cand2 c JOIN ({_chosen('xb_cand2', _N)}) USING ({_with(_N, S1)}, policy)")
+cte("xb_stage2", _stage2("xb_alloc2", "xb_pushed", _N))
+cte("xb_guard", f"SELECT g.*, spend_type FROM ({_guarded('xb_stage2')}) g JOIN xb_scenarios USING ({_N})".replace("JOIN xb_scenarios", f"JOIN (SELECT {_N}, spend_type FROM xb_scenarios)"))
+cte("xb_others", f"""
+SELECT s.{_N}, f.* FROM x_fact f JOIN xb_scenarios s ON {_IN} AND f.modelingname <> s.spend_type
+WHERE f.modelingname NOT IN {TOTALS} AND {_PAST}""")
+cte("xb_final", _overlaid("xb_guard", "xb_others", _N, "reverted, spend_type, ", "spend_type AS modelingname"))
+_csv = lambda c: f"coalesce(array_to_string(list_sort({c}), ','), '*')"
+cte("xb_valid", f"""
+SELECT {_N}, business, spend_type, {_csv('cats')} AS category, {_csv('chans')} AS channel, {_csv('offices')} AS shisha,
+  strategy, goal_spend, first_month, last_month, CAST(NULL AS VARCHAR) AS refused FROM xb_scenarios""")
+SQL["scenario_batch_requests"] = stmt(f"""
+SELECT *, first_month - 12 AS last_year_first, last_month - 12 AS last_year_last FROM (
+  SELECT * FROM xb_valid UNION ALL
+  SELECT * REPLACE ('unknown objective' AS {_N}, NULL AS strategy, 'objective' AS refused) FROM xb_valid WHERE {_N} = 'VALUE PRICEOFF A' UNION ALL
+  SELECT * REPLACE ('reversed period' AS {_N}, last_month AS first_month, first_month AS last_month, 'period' AS refused)
+  FROM xb_valid WHERE {_N} = 'VALUE PRICEOFF A' UNION ALL
+  SELECT NULL, NULL, NULL, '*', '*', '*', NULL, NULL, NULL, NULL, 'document')""")
+SQL["scenario_batch_stage1"] = stmt(f"SELECT {_N}, {_s1out} FROM xb_stage1")
+SQL["scenario_batch_final"] = stmt(f"""
+SELECT {_N}, {DIMS}, modelingname, reverted, {rd('optimized_spends', 3)} AS optimized_spends, {rounded(_fin, 3)} FROM xb_final""")
+SQL["publish_batch"] = stmt(f"""
+SELECT CAST(year AS INTEGER) AS year, half_year, {DIMS}, modelingname, {rd('optimized_spends', 3)} AS optimized_spends,
+  CAST(month AS INTEGER) AS month, scenario_name, date, CASE WHEN EXISTS (
+    SELECT 1 FROM xb_scenarios s WHERE {_IN} AND f.modelingname = s.spend_type
+      AND 12 * CAST(substr(date, 1, 4) AS INTEGER) + CAST(substr(date, 6, 2) AS INTEGER) - 1 BETWEEN first_month AND last_month)
+    THEN 0 ELSE is_latest END AS is_latest, {', '.join(f'CAST(NULL AS DOUBLE) AS {c.strip()}' for c in _fin.split(','))}
+FROM x_output f
+UNION ALL
+SELECT CAST(last_month // 12 AS INTEGER), CASE WHEN last_month % 12 < 6 THEN 'H1' ELSE 'H2' END, {', '.join('x.' + c.strip() for c in DIMS.split(','))},
+  x.modelingname, {rd('optimized_spends', 3)}, CAST(last_month % 12 + 1 AS INTEGER), {_N},
+  {month_end('last_month // 12', 'last_month % 12 + 1')}, 1, {', '.join(rd(c.strip(), 3) for c in _fin.split(','))}
+FROM xb_final x JOIN (SELECT {_N}, last_month FROM xb_scenarios) USING ({_N})""")
+
+# --- null and shared keys --------------------------------------------------------------
+
+
+def _unknown_office(name: str) -> str:
+    """An unknown branch office is a key like any other: the same rows, with one office shown as null."""
+    return f"SELECT * REPLACE (nullif(shisha, 'ASIA') AS shisha) FROM ({SQL[name]})"
+
+
+for _name, _of in {
+    "rescale_null_keys": "rescale_to_actuals", "ratio_impute_null_keys": "ratio_impute", "history_null_keys": "history_baseline",
+    "override_null_keys": "override_merge", "assemble_null_keys": "assemble_fact", "scenario_null_keys": "baseline_overlay",
+}.items():
+    SQL[_name] = _unknown_office(_of)
+cte("x_out", f"SELECT DISTINCT {DIMS}, 'PRICEOFF' AS modelingname, * EXCLUDE ({DIMS}) FROM x_rework")
+SQL["comparison_shown"] = stmt(f"""
+SELECT {DIMS}, 'PRICEOFF' AS modelingname, 'output' AS origin,
+  {' || '.join(f"CASE WHEN {rd(f'{L}{m}_old', 0)} = {rd(f'd_{m}', 0)} THEN '1' ELSE '0' END" for m in MEASURES)} AS matched
+FROM (SELECT DISTINCT * FROM x_matched)
+UNION ALL
+SELECT {DIMS}, modelingname, 'backfilled', CAST(count(*) AS VARCHAR) FROM (
+  SELECT {DIMS}, modelingname FROM x_out
+  UNION ALL SELECT {DIMS}, modelingname FROM x_actual a WHERE NOT EXISTS (
+    SELECT 1 FROM x_out r WHERE {' AND '.join(f'r.{c.strip()} = a.{c.strip()}' for c in DIMS.split(','))})) GROUP BY ALL
+UNION ALL
+SELECT {DIMS}, modelingname, 'kept', '' FROM x_out r WHERE EXISTS (
+  SELECT 1 FROM x_actual a WHERE r.segment = a.segment AND r.shisha = a.shisha AND r.planningcustomer = a.planningcustomer)""")
+SQL["comparison_null_keys"] = _unknown_office("comparison_shown")
+del SQL["comparison_shown"]
+_PARTS = "(VALUES ('part 1', 0.2), ('part 2', 0.8)) t(part, share)"
+cte("x_splitrows", f"""
+SELECT * EXCLUDE (part, share) REPLACE (subcategory || '/' || part AS subcategory, {', '.join(f'{m} * CAST(share AS DOUBLE) AS {m}' for m in MEASURES)})
+FROM x_spendrows, {_PARTS}""")
+cte("x_weights", f"""
+SELECT DISTINCT {_AKEY}, old_planningcustomer, contri_type, share_group, weight FROM x_conserved WHERE share_group <> 'none'""")
+cte("x_splitshared", f"""
+SELECT {KEY10}, modelingname, price, old_planningcustomer, contri_type, share_group, {', '.join(rd(f'{m} * weight', 3) + f' AS {m}' for m in MEASURES)}
+FROM x_splitrows JOIN x_weights USING ({_AKEY})
+UNION ALL
+SELECT {KEY10}, modelingname, price, NULL, NULL, 'none', {', '.join(MEASURES)} FROM x_splitrows r
+WHERE NOT EXISTS (SELECT 1 FROM x_weights w WHERE {' AND '.join(f'w.{k.strip()} = r.{k.strip()}' for k in _AKEY.split(','))})""")
+SQL["reassign_shared_keys"] = stmt(f"SELECT {_re_cols} FROM ({_reassigned('x_splitshared')})")
+SQL["reallocation_check_shared_keys"] = stmt(" UNION ALL ".join(f"""
+SELECT modelingname, '{m}' AS measure, {rd(es(m), 2)} AS before, true AS kept FROM x_splitrows GROUP BY modelingname"""
+    for m in MEASURES))
+
+
 def statements() -> dict[str, str]:
     return dict(SQL)

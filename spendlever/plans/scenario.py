@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendlever import schemas as S
 from spendlever.functions.expr import in_list, quoted
 from spendlever.functions.lineage import settle
-from spendlever.operators import allocate as A, branch as B, publish as U, response as R
+from spendlever.operators import allocate as A, branch as B, publish as U, response as R, scenarios as N
 from spendlever.plans.preparation import Save, settle_stage
 from spendlever.sources.tables import read_catalog, replace_catalog, replace_partitions
 
@@ -115,6 +115,47 @@ def run_scenario(
     }
 
 
+def run_batch(
+    scenarios: DataFrame,
+    opt_input: DataFrame,
+    repriced: DataFrame,
+    decomposition: DataFrame,
+    actuals: DataFrame,
+    save: Save = settle_stage,
+    policies: list[str] | None = A.POLICIES,
+) -> dict[str, DataFrame]:
+    """Fit, allocate, guard and overlay all scenarios (``scenarios.valid_scenarios``) in one plan.
+
+    Every table carries ``scenario_name``; a goal that can't be met is flagged in ``feasible``. By default the
+    best of all allocation policies is chosen per scenario, and per customer in the second stage.
+    """
+    by = N.BY
+    scenarios = save("batch_scenarios", scenarios)
+    rows = save("batch_fit_rows", N.scope_rows(repriced, scenarios))
+    base = save("batch_base_rows", N.period_rows(N.scope_rows(opt_input, scenarios), scenarios))
+    coarse, fine = R.response_models(rows, R.STAGE1, R.STAGE2, by=["scope_id"])
+    coarse = N.per_scenario(coarse, scenarios)
+    fine = N.per_scenario(R.attach_dimensions(fine, rows, by=["scope_id"]), scenarios)
+    goals = scenarios.filter("strategy = '3'").select(*by, "goal_spend")
+    stage1 = save("batch_customer_plan", A.optimise_stage1(
+        A.stage1_baseline(base, coarse, by), policies=policies, by=by, goals=goals))
+    pushed = A.pushdown_stage1(fine, A.stage2_old(base, by), stage1, N.cost_per_case(actuals, scenarios), by)
+    stage2 = save("batch_segment_plan", A.optimise_stage2(pushed, policies, by))
+    guarded = A.guardrail_revert(N.labelled(stage2, scenarios))
+    final = save("batch_final_plan", U.baseline_overlay(guarded, N.other_driver_rows(decomposition, scenarios), by))
+    return {
+        "scenarios": scenarios, "stage1": stage1, "stage2": stage2, "final": final,
+        "infeasible": A.infeasible_groups(stage2, [*by, *A.STAGE1_KEY]),
+        "summary": A.stage_summary(stage2, "_old", by),
+    }
+
+
+def run_requests(requests: DataFrame, *inputs: DataFrame, **how) -> dict[str, DataFrame]:
+    """Run every valid request in one plan; ``refused`` lists the others. ``inputs`` and ``how`` as in ``run_batch``."""
+    judged = settle(N.judged_requests(requests))
+    return {"refused": N.refused_requests(judged), **run_batch(N.valid_scenarios(judged), *inputs, **how)}
+
+
 def run_request(requests: DataFrame, uid: str, *inputs: DataFrame, **how) -> dict[str, DataFrame]:
     """Run the scenario of one request document; ``inputs`` and ``how`` as in ``run_scenario``."""
     rows = U.scenario_params(requests, uid).limit(2).collect()

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlever import schemas as S
-from spendlever.functions.expr import in_list, round_dp, with_exprs
+from spendlever.functions.expr import aggregate, in_list, round_dp, with_exprs
 from spendlever.functions.lineage import settle
-from spendlever.operators import allocate as A, branch as B, prep as P, publish as U, response as R
+from spendlever.operators import allocate as A, branch as B, prep as P, publish as U, response as R, scenarios as N
+from spendlever.plans.scenario import run_batch
 from spendlever.sources import star
 
 SCENARIO = U.Scenario(
@@ -535,6 +536,120 @@ def factor_align(spark, d):
     return _view(out, [*S.DIMENSIONS, *S.MEASURES, *[f"{A.LY}{m}_old_calc" for m in S.MEASURES]], 2)
 
 
+# --- scenarios as data -----------------------------------------------------------------
+
+
+def _judged(fact: DataFrame) -> DataFrame:
+    return settle(N.judged_requests(star.scenario_batch_requests(fact)))
+
+
+def _batch(spark, d) -> dict[str, DataFrame]:
+    fact = settle(_fact(spark, d))
+    return {"fact": fact, **run_batch(N.valid_scenarios(_judged(fact)), fact, fact, fact, star.booked_actuals(fact))}
+
+
+def scenario_batch_requests(spark, d):
+    """Every request as a row: its scope, periods and goal, or why it is refused."""
+    listed = {c: f"if({c} is null, '*', concat_ws(',', {c}))" for c in N.SCOPE_LISTS}
+    return with_exprs(_judged(settle(_fact(spark, d))).drop("uid", "scope_id"), listed)
+
+
+def scenario_batch_stage1(spark, d):
+    return _view(_batch(spark, d)["stage1"], [*N.BY, *A.STAGE1_OUTPUT])
+
+
+def scenario_batch_final(spark, d):
+    """All valid requests of all spend types, run to their ends in one plan."""
+    return _view(_batch(spark, d)["final"], [*N.BY, *S.DIMENSIONS, "modelingname", "reverted", "optimized_spends", *FINAL])
+
+
+def publish_batch(spark, d):
+    run = _batch(spark, d)
+    final = run["final"].select(*N.BY, *S.DIMENSIONS, "modelingname", "optimized_spends", *FINAL)
+    return _rounded(N.publish_scenarios(star.published_output(run["fact"]), final, run["scenarios"]), 3)
+
+
+# --- null and shared keys --------------------------------------------------------------
+
+
+def rescale_null_keys(spark, d):
+    fact = settle(_with_null_branch(_fact(spark, d)))
+    return P.rescale_to_actuals(P.contribution_share(fact), _actual_totals(fact))
+
+
+def ratio_impute_null_keys(spark, d):
+    fact = settle(_with_null_branch(_fact(spark, d)))
+    return _rounded(P.ratio_impute(fact, fact.filter(P.IS_SPEND)))
+
+
+def history_null_keys(spark, d):
+    fact = settle(_with_null_branch(_fact(spark, d)))
+    return _rounded(P.history_baseline(fact, fact))
+
+
+def override_null_keys(spark, d):
+    fact = settle(_with_null_branch(_fact(spark, d)))
+    drivers = fact.filter(f"not {P.IS_TOTAL}")
+    fresh = with_exprs(drivers.filter(in_list("segment", OVERRIDE_SEGMENTS)), {m: f"{m} * 2" for m in S.MEASURES})
+    return _rounded(P.override_merge(P.decomp_view(drivers, fact), P.replacement_rows(fresh), OVERRIDE_SEGMENTS))
+
+
+def _null_branch_money(spark, d, **period) -> DataFrame:
+    return with_exprs(_branch(spark, d, **period), {"shishanm": "nullif(shishanm, 'ASIA')"})
+
+
+def assemble_null_keys(spark, d):
+    fact = settle(_with_null_branch(_fact(spark, d)))
+    return _rounded(B.assemble_fact(fact, B.reallocate_branches(fact, _null_branch_money(spark, d))))
+
+
+def scenario_null_keys(spark, d):
+    """The whole chain, from fits to the overlay, on a fact with an unknown branch office."""
+    return _view(_final(spark, d, settle(_with_null_branch(_fact(spark, d)))), [*S.DIMENSIONS, *FINAL])
+
+
+def comparison_null_keys(spark, d):
+    """Re-attributed output of that chain against the actuals: flags, rows to add and keys that occur."""
+    fact = settle(_with_null_branch(_fact(spark, d)))
+    year, first, last = SCENARIO.last_year_period
+    stage2 = settle(_stage2(spark, d, fact).selectExpr("*", f"'{SCENARIO.spend_type}' as modelingname"))
+    reworked = B.branch_rework_output(
+        stage2, _null_branch_money(spark, d, **LAST_YEAR), f"year = {year} and month between {first} and {last}")
+    projected = settle(U.scenario_output_projection(reworked, SCENARIO.name, SCENARIO.spend_type, DATE_TEXT))
+    scope = R.scope_filter(fact, **SCOPE, period=SCENARIO.last_year_period, spends="> 0", volume=">= 0")
+    actuals = settle(U.scenario_period_actuals(scope, SCENARIO.name, DATE_TEXT))
+    columns = [*S.DIMENSIONS, "modelingname"]
+    flags = U.match_flags(projected, actuals).selectExpr(
+        *columns, "'output' as origin", f"concat({', '.join(f'{m}_match' for m in S.MEASURES)}) as matched")
+    both = U.missing_keys_backfill(projected.select(*columns), actuals.select(*columns))
+    filled = aggregate(both, columns, {"n": "count(1)"}).selectExpr(*columns, "'backfilled' as origin", "cast(n as string) as matched")
+    kept = U.key_semi_filter(projected.select(*columns), actuals).selectExpr("*", "'kept' as origin", "'' as matched")
+    return flags.unionByName(filled).unionByName(kept)
+
+
+#: A fact whose rows share their branch keys: each row as two parts of one key.
+PARTS = {"part 1": 0.2, "part 2": 0.8}
+
+
+def _shared_keys(fact: DataFrame) -> DataFrame:
+    parts = ", ".join(f"'{name}', {share}D" for name, share in PARTS.items())
+    both = fact.selectExpr("*", f"stack({len(PARTS)}, {parts}) as (_part, _share)")
+    return with_exprs(both, {"subcategory": "concat_ws('/', subcategory, _part)", **{m: f"{m} * _share" for m in S.MEASURES}}).drop("_part", "_share")
+
+
+def reassign_shared_keys(spark, d):
+    fact = settle(_shared_keys(_fact(spark, d)))
+    return _rounded(B.reallocate_branches(fact, _branch(spark, d)))
+
+
+def reallocation_check_shared_keys(spark, d):
+    """As ``reallocation_check``, on a fact with several rows of one branch key."""
+    fact = settle(_shared_keys(_fact(spark, d)))
+    checked = P.reconcile_totals(B.nonzero_spend_rows(fact), B.reallocate_branches(fact, _branch(spark, d)), ["modelingname"])
+    return checked.selectExpr(
+        "modelingname", "measure", f"{round_dp('before', 2)} as before", "abs(diff) <= 0.0005D * (rows_after + 2 * rows_before) as kept")
+
+
 def registry() -> dict[str, RUN]:
     named = [
         contribution_share, actuals_rollup, rescale_to_actuals, normalise_period, driver_share_pct,
@@ -551,5 +666,8 @@ def registry() -> dict[str, RUN]:
         branch_rework_output, scenario_period_actuals, guardrail_revert, baseline_overlay,
         publish_scenario, load_check, status_upsert, stage_summary, spend_mismatch, branch_list,
         missing_keys_backfill, key_semi_filter, match_flags, factor_align,
+        scenario_batch_requests, scenario_batch_stage1, scenario_batch_final, publish_batch,
+        rescale_null_keys, ratio_impute_null_keys, history_null_keys, override_null_keys, assemble_null_keys,
+        scenario_null_keys, comparison_null_keys, reassign_shared_keys, reallocation_check_shared_keys,
     ]
     return {f.__name__: f for f in named}

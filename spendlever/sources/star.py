@@ -189,6 +189,47 @@ def scenario_requests(fact: DataFrame) -> DataFrame:
     )
 
 
+#: Planned windows of the request batch: first and last month, objective, and offices (None: all). The second crosses a year end.
+BATCH_WINDOWS = {
+    "A": ("2000-01-01", "2000-06-30", KEEP_SPEND, None),
+    "B": ("2000-10-01", "2001-03-31", BUDGET_SPEND, ["AMERICA", "ASIA", "EUROPE"]),
+}
+
+
+def scenario_batch_requests(fact: DataFrame) -> DataFrame:
+    """JSON requests of several scenarios: each business, spend type and window; and three that can't be run.
+
+    A budget is 1.02 times the spend of the scope in the window's last-year period.
+    """
+    index = "12 * year + month - 1"
+    parts = []
+    for name, (first, last, objective, offices) in BATCH_WINDOWS.items():
+        start, end = (12 * (int(t[:4]) - 1) + int(t[5:7]) - 1 for t in (first, last))
+        listed = in_list("shisha", offices) if offices else "true"
+        sums = aggregate(fact.filter(f"{IS_SPEND} and spends > 0 and volume >= 0 and {listed}"), ["business", "modelingname"], {
+            **{c: f"sort_array(collect_set({c}))" for c in ("category", "channel", "shisha")},
+            "spent": exact_sum(f"if({index} between {start} and {end}, spends, 0D)"),
+        })
+        parts.append(sums.selectExpr(
+            f"concat_ws(' ', business, modelingname, '{name}') as scenario", "business", "modelingname", "category", "channel",
+            "shisha" if offices else "cast(null as array<string>) as shisha",  # no list: all offices
+            f"round(spent * 1.02D, 2) as budget", f"'{objective}' as objective", f"'{first} 00:00:00' as first", f"'{last} 23:59:59' as last"))
+    rows = parts[0].unionByName(parts[1])
+    one = rows.filter(f"modelingname = '{S.PRICEOFF}' and business = 'VALUE' and objective = '{KEEP_SPEND}'")
+    broken = [
+        with_exprs(one, {"scenario": "'unknown objective'", "objective": "'Minimize spends'"}),
+        with_exprs(one, {"scenario": "'reversed period'", "first": "last", "last": "first"}),
+    ]
+    document = """to_json(named_struct(
+        'scenarioPrameters', named_struct('scenarioName', scenario),
+        'optimizationInput', named_struct(
+            'business', business, 'spendtype', modelingname, 'channel', channel, 'category', category, 'budget', budget,
+            'optimizationobjective', objective, 'max', last, 'min', first, 'shisha', shisha)))"""
+    written = rows.unionByName(broken[0]).unionByName(broken[1]).selectExpr(
+        "concat('uid', substring(md5(scenario), 1, 12)) as uid", f"{document} as parameters")
+    return written.unionByName(one.selectExpr("'uid-broken' as uid", "'{not a document' as parameters"))
+
+
 def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress reports of scenarios, one per order: scenario, state, progress and time."""
     return star_table(spark, sf_dir, "orders").selectExpr(
