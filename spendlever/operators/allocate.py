@@ -363,10 +363,11 @@ def pushdown_stage1(
     return join_keys(shared, cost, fine, "left")
 
 
-def cost_per_case(actuals: DataFrame, year: int, spend_columns: list[str]) -> DataFrame:
-    """Cost per case of the period's year over booked rows that carry the listed spend."""
+def cost_per_case(actuals: DataFrame, year: int | range, spend_columns: list[str]) -> DataFrame:
+    """Cost per case of the period's year, or years, over booked rows that carry the listed spend."""
+    years = year if isinstance(year, range) else range(year, year + 1)
     booked = actuals.filter(
-        f"cast(year as int) = {year} and {' + '.join(spend_columns)} > 0 and salesqtycase >= 0"
+        f"cast(year as int) between {years[0]} and {years[-1]} and {' + '.join(spend_columns)} > 0 and salesqtycase >= 0"
     ).withColumnRenamed("shishanm", "shisha")
     sums = aggregate(booked, STAGE2_KEY, {"_cases": exact_sum("salesqtycase"), "_ec": exact_sum("ec")})
     return sums.selectExpr(*STAGE2_KEY, f"{ratio0('_ec', '_cases')} as ec_per_qtycase")

@@ -14,12 +14,16 @@ from spendlever.functions.expr import (
 from spendlever.sources.star import BUDGET_SPEND, KEEP_SPEND
 
 LY = "last_year_period_"
+MONTH_OF_DATE = "12 * year(to_date(substring(date, 1, 10))) + month(to_date(substring(date, 1, 10))) - 1"
 HISTORY = "HISTORICAL_DATA"
 
 
 @dataclass(frozen=True)
 class Scenario:
-    """Scope of one scenario; ``year`` and months are those of the planned period."""
+    """Scope of one scenario; ``year`` and months are those of the planned period.
+
+    ``year`` is that of the last month; ``start_year``, if the period crosses a year end, that of the first.
+    """
 
     name: str
     business: str
@@ -33,15 +37,29 @@ class Scenario:
     strategy: str = "2"
     sub_strategy: str | None = None
     goal_spend: float | None = None
+    start_year: int | None = None
     last_year: int = field(init=False)
 
     def __post_init__(self):
         object.__setattr__(self, "last_year", self.year - 1)
+        object.__setattr__(self, "start_year", self.year if self.start_year is None else self.start_year)
 
     @property
     def last_year_period(self) -> tuple[int, int, int]:
+        if self.start_year != self.year:
+            raise ValueError(f"scenario {self.name}: the period crosses a year end, use last_year_months")
         return self.last_year, self.first_month, self.last_month
 
+    @property
+    def months(self) -> tuple[int, int]:
+        """Month indexes (12 * year + month - 1) of the planned period."""
+        return 12 * self.start_year + self.first_month - 1, 12 * self.year + self.last_month - 1
+
+    @property
+    def last_year_months(self) -> tuple[int, int]:
+        first, last = self.months
+        return first - 12, last - 12
+
 
 def scenario_params(requests: DataFrame, uid: str | None = None) -> DataFrame:
     """Parse request documents and map the objective text to a strategy."""
@@ -68,14 +86,15 @@ def scenario_from_row(row) -> Scenario:
     """
     if row["strategy"] is None:
         raise ValueError(f"request {row['uid']}: unknown optimisation objective")
-    if row["period_start"][:10] > row["period_end"][:10] or row["period_start"][:4] != row["period_end"][:4]:
-        raise ValueError(f"request {row['uid']}: a scenario's period lies in one year")
+    if row["period_start"][:10] > row["period_end"][:10]:
+        raise ValueError(f"request {row['uid']}: the period ends before it starts")
     return Scenario(
         name=row["scenario_name"], business=row["business"], spend_type=row["spend_type"],
         year=int(row["period_end"][:4]), first_month=int(row["period_start"][5:7]),
-        last_month=int(row["period_end"][5:7]), categories=list(row["category"]),
-        channels=list(row["channel"]), shishas=list(row["shisha"]), strategy=row["strategy"],
-        sub_strategy=row["sub_strategy"], goal_spend=row["goal_spend"],
+        last_month=int(row["period_end"][5:7]), start_year=int(row["period_start"][:4]),
+        **{name: None if row[c] is None else list(row[c])
+           for name, c in (("categories", "category"), ("channels", "channel"), ("shishas", "shisha"))},
+        strategy=row["strategy"], sub_strategy=row["sub_strategy"], goal_spend=row["goal_spend"],
     )
 
 
@@ -192,8 +211,7 @@ def publish_scenario(existing: DataFrame, final: DataFrame, scenario: Scenario)
     }
     overlap = " and ".join([
         *[in_list(c, values) for c, values in lists.items() if values is not None],
-        f"year(to_date(substring(date, 1, 10))) = {scenario.year}",
-        f"month(to_date(substring(date, 1, 10))) between {scenario.first_month} and {scenario.last_month}",
+        f"{MONTH_OF_DATE} between {scenario.months[0]} and {scenario.months[1]}",
     ])
     others = with_exprs(
         existing.filter(f"scenario_name != {quoted(scenario.name)}"),
@@ -242,6 +260,16 @@ def latest_status(reports: DataFrame) -> DataFrame:
     return newest.selectExpr("scenarioname", "r.*")
 
 
+def compacted_log(log: DataFrame) -> DataFrame:
+    """An append-only log of reports with one report, the newest, per scenario."""
+    return latest_status(log).select(*log.columns)
+
+
+def status_view(log: DataFrame) -> DataFrame:
+    """The ledger that an append-only log of reports shows."""
+    return latest_status(log).select(*[f.name for f in S.LEDGER.fields])
+
+
 # --- comparison with actuals -----------------------------------------------------------
 
 MATCH_KEY = [*S.DIMENSIONS, "modelingname"]

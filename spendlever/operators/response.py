@@ -51,12 +51,14 @@ def scope_filter(
     shishas: list[str] | None = None,
     drivers: list[str] | None = None,
     period: tuple[int, int, int] | None = None,
+    months: tuple[int, int] | None = None,
     spends: str | None = None,
     volume: str | None = None,
 ) -> DataFrame:
     """Rows of one scenario's scope.
 
-    ``period`` is (year, first month, last month). ``spends`` and ``volume`` are
+    ``period`` is (year, first month, last month); ``months`` a range of month indexes
+    (12 * year + month - 1), which may cross a year end. ``spends`` and ``volume`` are
     comparisons such as ``"> 0"``. Only plain columns are compared, so every predicate
     reaches the scan of a stored fact.
     """
@@ -65,6 +67,9 @@ def scope_filter(
     tests += [in_list(c, values) for c, values in lists.items() if values is not None]
     if period is not None:
         tests.append("year = {} and month between {} and {}".format(*period))
+    if months is not None:
+        first, last = months
+        tests.append(f"year between {first // 12} and {last // 12} and 12 * year + month - 1 between {first} and {last}")
     tests += [f"{c} {test}" for c, test in (("spends", spends), ("volume", volume)) if test]
     return fact.filter(" and ".join(tests)) if tests else fact
 

@@ -15,7 +15,7 @@ from spendlever import schemas as S
 from spendlever.functions.expr import (
     aggregate, exact_sum, in_list, join_keys, named, quoted, ratio0, with_exprs,
 )
-from spendlever.operators.publish import scenario_params
+from spendlever.operators.publish import MONTH_OF_DATE, scenario_params
 
 BY = ["scenario_name"]
 SCOPE_LISTS = ["category", "channel", "shisha"]
@@ -157,9 +157,8 @@ def publish_scenarios(existing: DataFrame, final: DataFrame, scenarios: DataFram
 
     A published row carries the last month of its scenario's period. Scenarios of one batch don't retire each other.
     """
-    index = "12 * year(to_date(substring(date, 1, 10))) + month(to_date(substring(date, 1, 10))) - 1"
     others = with_exprs(
-        join_keys(existing, scenarios.select("scenario_name"), ["scenario_name"], "left_anti"), {"_index": index})
+        join_keys(existing, scenarios.select("scenario_name"), ["scenario_name"], "left_anti"), {"_index": MONTH_OF_DATE})
     key = ["business", *SCOPE_LISTS, "modelingname", "_index"]
     months = scenarios.selectExpr("scope_id", "explode(sequence(first_month, last_month)) as _index").distinct()
     found = _matched(others.select(*key).distinct(), scenarios).filter("modelingname = spend_type")

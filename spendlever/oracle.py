@@ -898,6 +898,19 @@ _sc = f"{KEY10}, modelingname, spends, volume, gps, netsales"
 SQL["scope_filter"] = stmt(f"SELECT {_sc} FROM x_scope")
 
 
+# --- sources and sinks -----------------------------------------------------------------
+
+cte("x_totals", f"""
+SELECT year, category, modelingname, {', '.join(es(m) + f' AS {m}' for m in MEASURES)} FROM x_fact GROUP BY ALL""")
+for _name in ("catalog_table", "catalog_append", "snapshot_copy", "external_store", "csv_scan"):
+    SQL[_name] = stmt(f"SELECT year, category, modelingname, {', '.join(MEASURES)} FROM x_totals")
+SQL["local_rows"] = stmt(f"""
+SELECT modelingname, {', '.join(es(m) + f' AS {m}' for m in MEASURES)},
+  CASE WHEN modelingname IN {TYPES} THEN 'spend' WHEN modelingname = 'Own Price' THEN 'price' END AS kind
+FROM x_totals GROUP BY modelingname""")
+SQL["versioned_publication"] = SQL["publish_scenario"]
+SQL["status_log"] = SQL["status_upsert"]
+
 # --- scenarios as data -----------------------------------------------------------------
 
 _N = "scenario_name"

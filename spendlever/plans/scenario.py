@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +12,7 @@ from spendlever.functions.expr import in_list, quoted
 from spendlever.functions.lineage import settle
 from spendlever.operators import allocate as A, branch as B, publish as U, response as R, scenarios as N
 from spendlever.plans.preparation import Save, settle_stage
-from spendlever.sources.tables import read_catalog, replace_catalog, replace_partitions
+from spendlever.sources.tables import VersionedTable, read_catalog, replace_catalog, replace_partitions, write_catalog
 
 Report = Callable[[int, float], None]
 STRATEGIES = ("2", "3")
@@ -27,6 +28,49 @@ def catalog_ledger(spark: SparkSession, database: str, table: str, scenario: str
     return report
 
 
+def append_ledger(spark: SparkSession, database: str, log: str, scenario: str) -> Report:
+    """Progress reports appended to a catalog log: one small row each, nothing is read or rewritten."""
+    numbers = count()
+
+    def report(state: int, progress: float) -> None:
+        row = spark.createDataFrame([(scenario, state, progress)], S.LEDGER).selectExpr(
+            "*", "current_timestamp() as reported_at", f"{next(numbers)}L as report_no")
+        write_catalog(row, database, log, mode="append")
+
+    return report
+
+
+def ledger_status(spark: SparkSession, database: str, log: str) -> DataFrame:
+    """Newest report of every scenario in an append-only log."""
+    return U.status_view(read_catalog(spark, database, log))
+
+
+def compact_ledger(spark: SparkSession, database: str, log: str) -> None:
+    """Rewrite a log to one report per scenario; run it when no report is being appended."""
+    replace_catalog(U.compacted_log(read_catalog(spark, database, log)), database, log)
+
+
+def publish_versioned(final: DataFrame, scenario: U.Scenario, database: str, table: str) -> DataFrame:
+    """Replace the scenario's rows in a versioned table, and return the published view.
+
+    The years that hold the scenario's rows or overlap its period are written as a new version. Readers
+    go on seeing the old versions until the new one has been read back and counted; one replacement
+    of the view then switches all its years. A version that doesn't match is dropped and never seen.
+    """
+    published = VersionedTable(final.sparkSession, database, table)
+    view = published.read()
+    mine = view.filter(f"scenario_name = {quoted(scenario.name)}").select("year").distinct()
+    years = {*range(scenario.start_year, scenario.year + 1), *(row["year"] for row in mine.collect())}  # one row per year
+    touched = view.filter(f"year in ({', '.join(map(str, sorted(years)))})")
+    new = settle(U.publish_scenario(touched, final, scenario))
+
+    def loaded(version: DataFrame) -> bool:
+        return U.load_check(final, version, scenario.name).first()["loaded"] and version.count() == new.count()
+
+    published.replace(new, "year", years, loaded)
+    return published.read()
+
+
 def publish_in_place(final: DataFrame, scenario: U.Scenario, database: str, table: str) -> None:
     """Replace the scenario's rows in a catalog table partitioned by year.
 
@@ -35,7 +79,7 @@ def publish_in_place(final: DataFrame, scenario: U.Scenario, database: str, tabl
     """
     published = read_catalog(final.sparkSession, database, table)
     mine = published.filter(f"scenario_name = {quoted(scenario.name)}").select("year").distinct()
-    years = {scenario.year, *(row["year"] for row in mine.collect())}  # one row per year
+    years = {*range(scenario.start_year, scenario.year + 1), *(row["year"] for row in mine.collect())}  # one row per year
     touched = published.filter(f"year in ({', '.join(map(str, sorted(years)))})")
     replace_partitions(settle(U.publish_scenario(touched, final, scenario)), database, table, "year", years)
 
@@ -50,14 +94,14 @@ def run_scenario(
     published: DataFrame,
     save: Save = settle_stage,
     report: Report = lambda state, progress: None,
-    publish: Callable[[DataFrame, U.Scenario], None] | None = None,
+    publish: Callable[[DataFrame, U.Scenario], DataFrame | None] | None = None,
     allow_broken_goal: bool = False,
 ) -> dict[str, DataFrame]:
     """Run every stage of one scenario and return its tables.
 
     ``report`` receives (state, progress) after each stage; a failure is reported and
     raised, never swallowed. ``publish`` receives the final rows, for instance to write them in
-    place. A goal that the items' bounds can't meet is an error, unless it is allowed; groups
+    place; the table it returns is the published one, which ``output`` and ``load_check`` read. A goal that the items' bounds can't meet is an error, unless it is allowed; groups
     of the second stage whose band can't be met are returned as ``infeasible``.
     """
     if scenario.strategy not in STRATEGIES:
@@ -68,7 +112,8 @@ def run_scenario(
         "channels": scenario.channels, "shishas": scenario.shishas,
     }
     mine = {**scope, "drivers": [scenario.spend_type]}
-    period = scenario.last_year_period
+    months = scenario.last_year_months
+    first, last = months
     spent = {"spends": "> 0", "volume": ">= 0"}
 
     def done(stage: str, df: DataFrame, share: float) -> DataFrame:
@@ -80,7 +125,7 @@ def run_scenario(
 
     try:
         rows = done("fit_rows", R.scope_filter(repriced, **mine, **spent), 0.02)
-        base = done("base_rows", R.scope_filter(opt_input, **mine, **spent, period=period), 0.04)
+        base = done("base_rows", R.scope_filter(opt_input, **mine, **spent, months=months), 0.04)
         models = R.response_models(rows, R.STAGE1, R.STAGE2)
         coarse = done("coarse_models", models[0], 0.12)
         fine = done("fine_models", R.attach_dimensions(models[1], rows), 0.26)
@@ -88,21 +133,20 @@ def run_scenario(
         stage1 = done("customer_plan", A.optimise_stage1(A.stage1_baseline(base, coarse), goal), 0.46)
         if goal is not None and not allow_broken_goal and not stage1.filter("not feasible").isEmpty():
             raise ValueError(f"scenario {scenario.name}: the items' bounds can't meet the goal {goal}")
-        cost = A.cost_per_case(actuals, scenario.last_year, [scenario.spend_type.lower()])
+        cost = A.cost_per_case(actuals, range(first // 12, last // 12 + 1), [scenario.spend_type.lower()])
         pushed = A.pushdown_stage1(fine, A.stage2_old(base), stage1, cost)
         stage2 = done("segment_plan", A.optimise_stage2(pushed), 0.60)
-        year, first, last = period
         labelled = stage2.selectExpr("*", f"'{scenario.spend_type}' as modelingname")
         reworked = done("reattributed_plan", B.branch_rework_output(
-            labelled, branch, f"year = {year} and month between {first} and {last}"
+            labelled, branch, f"12 * year + month - 1 between {first} and {last}"
         ), 0.76)
-        others = R.scope_filter(decomposition, **scope, period=period).filter(
+        others = R.scope_filter(decomposition, **scope, months=months).filter(
             "not " + in_list("modelingname", [*S.TOTAL_ROWS, scenario.spend_type])
         )
         final = done("final_plan", U.baseline_overlay(A.guardrail_revert(labelled), others), 0.88)
-        output = done("publication", U.publish_scenario(published, final, scenario), 0.96)
-        if publish is not None:
-            publish(final, scenario)
+        output = None if publish is None else publish(final, scenario)
+        if output is None:  # nothing to read back: the rows that would be published
+            output = U.publish_scenario(published, final, scenario)
     except Exception:
         report(U.FAILED, progress)
         raise

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlever import schemas as S
-from spendlever.functions.expr import aggregate, in_list, round_dp, with_exprs
-from spendlever.functions.lineage import settle
+from spendlever.functions.expr import aggregate, exact_sum, in_list, join_keys, round_dp, with_exprs
+from spendlever.functions.lineage import settle, stage_folder
 from spendlever.operators import allocate as A, branch as B, prep as P, publish as U, response as R, scenarios as N
-from spendlever.plans.scenario import run_batch
+from spendlever.plans.scenario import publish_versioned, run_batch
 from spendlever.sources import star
+from spendlever.sources.tables import (
+    VersionedTable, read_catalog, read_csv, read_external, snapshot, write_catalog, write_external,
+)
 
 SCENARIO = U.Scenario(
     name="VALUE_H1", business="VALUE", spend_type=S.PRICEOFF, year=2000, first_month=1, last_month=6,
@@ -536,6 +541,96 @@ def factor_align(spark, d):
     return _view(out, [*S.DIMENSIONS, *S.MEASURES, *[f"{A.LY}{m}_old_calc" for m in S.MEASURES]], 2)
 
 
+# --- sources and sinks -----------------------------------------------------------------
+
+
+@contextmanager
+def _scratch(spark):
+    """Name of a database in the warehouse that is dropped at the end; settle what is read from it."""
+    name = f"scratch_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _by_category(spark, d) -> DataFrame:
+    sums = aggregate(_fact(spark, d), ["year", "category", "modelingname"], {m: exact_sum(m) for m in S.MEASURES})
+    return settle(sums)
+
+
+def catalog_table(spark, d):
+    """Totals written to a catalog table twice, the second time with another schema, and read back."""
+    totals = _by_category(spark, d)
+    with _scratch(spark) as db:
+        write_catalog(totals.drop("gps"), db, "totals")
+        write_catalog(totals, db, "totals")
+        return settle(read_catalog(spark, db, "totals"))
+
+
+def catalog_append(spark, d):
+    """Years appended to a catalog table in two writes."""
+    totals = _by_category(spark, d)
+    with _scratch(spark) as db:
+        write_catalog(totals.filter("year < 1999"), db, "totals")
+        write_catalog(totals.filter("year >= 1999"), db, "totals", mode="append")
+        return settle(read_catalog(spark, db, "totals"))
+
+
+def snapshot_copy(spark, d):
+    """A view of an external store kept as a catalog table, unchanged when the store changes."""
+    totals = _by_category(spark, d)
+    with _scratch(spark) as db:
+        path = {"path": f"{stage_folder(spark)}/external-{uuid.uuid4().hex}"}
+        write_external(totals, "json", path)
+        kept = snapshot(read_external(spark, "json", path).select(*totals.columns), db, "kept")
+        write_external(totals.limit(0), "json", path)
+        return settle(kept)
+
+
+def external_store(spark, d):
+    """Totals overwritten in a store with a Spark data source, and read through its format."""
+    totals, path = _by_category(spark, d), {"path": f"{stage_folder(spark)}/external-{uuid.uuid4().hex}"}
+    write_external(totals.limit(1), "orc", path)
+    write_external(totals, "orc", path)
+    return read_external(spark, "orc", path)
+
+
+def csv_scan(spark, d):
+    """Totals written as CSV with a header and read with a declared schema."""
+    totals, path = _by_category(spark, d), f"{stage_folder(spark)}/csv-{uuid.uuid4().hex}"
+    write_external(totals, "csv", {"path": path, "header": "true"})
+    return read_csv(spark, path, totals.schema)
+
+
+def local_rows(spark, d):
+    """Totals of the drivers next to rows declared in the program."""
+    kinds = spark.createDataFrame([(t, "spend") for t in S.SPEND_TYPES] + [(S.OWN_PRICE, "price")], "modelingname string, kind string")
+    totals = aggregate(_by_category(spark, d), ["modelingname"], {m: exact_sum(m) for m in S.MEASURES})
+    return join_keys(totals, kinds, ["modelingname"], "left")
+
+
+def versioned_publication(spark, d):
+    """The scenario published in place, read back and counted before readers see it; then published again."""
+    fact = settle(_fact(spark, d))
+    final = settle(_final(spark, d, fact).select(*S.DIMENSIONS, "modelingname", "optimized_spends", *FINAL))
+    existing = star.published_output(fact)
+    with _scratch(spark) as db:
+        padded = existing.selectExpr("*", *[f"cast(null as double) as {c}" for c in FINAL])
+        VersionedTable(spark, db, "published").create(padded, "year")
+        publish_versioned(final, SCENARIO, db, "published")
+        return settle(_rounded(publish_versioned(final, SCENARIO, db, "published"), 3))
+
+
+def status_log(spark, d):
+    """Ledger shown by an append-only log whose older part has been compacted."""
+    events = settle(star.ledger_events(spark, d))
+    early = "reported_at < timestamp_ntz'2000-01-01 00:00:00'"
+    log = U.compacted_log(events.filter(early)).unionByName(events.filter(f"not ({early})"))
+    return U.status_view(log)
+
+
 # --- scenarios as data -----------------------------------------------------------------
 
 
@@ -666,6 +761,7 @@ def registry() -> dict[str, RUN]:
         branch_rework_output, scenario_period_actuals, guardrail_revert, baseline_overlay,
         publish_scenario, load_check, status_upsert, stage_summary, spend_mismatch, branch_list,
         missing_keys_backfill, key_semi_filter, match_flags, factor_align,
+        catalog_table, catalog_append, snapshot_copy, external_store, csv_scan, local_rows, versioned_publication, status_log,
         scenario_batch_requests, scenario_batch_stage1, scenario_batch_final, publish_batch,
         rescale_null_keys, ratio_impute_null_keys, history_null_keys, override_null_keys, assemble_null_keys,
         scenario_null_keys, comparison_null_keys, reassign_shared_keys, reallocation_check_shared_keys,
