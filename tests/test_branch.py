@@ -64,3 +64,32 @@ def test_branch_list_replaces_its_scenario(spark):
     rows = {(r["scenario_name"], r["branch_list"]) for r in once.collect()}
     assert rows == {("T", "keep"), ("S", "a,b")}
     assert {(r["scenario_name"], r["branch_list"]) for r in B.branch_list(once, pairs, "S").collect()} == rows
+
+
+def shared_key_rows(spark):
+    """Two fact rows of 100 and 300 that share a branch key, and one row without any branch."""
+    columns = ["year", "month", *S.DIMENSIONS, "modelingname", "price", *S.MEASURES]
+    row = lambda channel, customer, x: (1999, 1, "B", "C", "SC", "SEG", None, "CL", channel, customer, "PRICEOFF", 2.0, x, 3 * x, 4 * x, x)
+    kinds = ", ".join(f"{c} {'int' if c in ('year', 'month') else 'double' if c in ('price', *S.MEASURES) else 'string'}" for c in columns)
+    return spark.createDataFrame([row("C1", "p", 100.0), row("C2", "p", 300.0), row("C1", "q", 50.0)], kinds)
+
+
+@pytest.mark.parametrize("old", [["ho"], ["ho", "area"], ["ho", "area", "p"]])
+def test_rows_that_share_a_key_keep_their_own_money(spark, old):
+    fact = shared_key_rows(spark)
+    money = [("1999", "1", o, 60.0, 40.0 if o != "p" else 0.0) for o in old]
+    branch = spark.createDataFrame(money, "y string, m string, old_planningcustomer string, i double, a double").selectExpr(
+        "1999 as year", "1 as month", "'SEG' as segment", "cast(null as string) as shishanm", "'p' as new_planningcustomer", "old_planningcustomer",
+        "i as ini_priceoff", "a as add_priceoff", *[f"0D as {k}_{t}" for t in ("promotionad", "liquidation") for k in ("ini", "add")])
+    out = B.reallocate_branches(fact, branch)
+    got = {(r["channel"], r["planningcustomer"] == "q"): r["s"] for r in out.groupBy("channel", "planningcustomer").agg({"spends": "sum"})
+           .selectExpr("channel", "planningcustomer", "`sum(spends)` as s").groupBy("channel", "planningcustomer").agg({"s": "sum"})
+           .selectExpr("channel", "planningcustomer", "`sum(s)` as s").collect()}
+    assert got[("C1", True)] == 50.0
+    totals = {r["channel"]: r["s"] for r in out.groupBy("channel").agg({"spends": "sum"}).withColumnRenamed("sum(spends)", "s").collect()}
+    assert totals["C1"] == pytest.approx(150.0, abs=0.01) and totals["C2"] == pytest.approx(300.0, abs=0.01)
+    # The long form gives the same rows.
+    long = B.unpivot_shares(B.branch_share(branch, fact))
+    same = B.reassign_branch(B.apportion_groups(long, KEY, S.MEASURES))
+    order = [*S.KEY10, "modelingname", "spends"]
+    assert sorted(map(str, out.select(*order).collect())) == sorted(map(str, same.select(*order).collect()))
