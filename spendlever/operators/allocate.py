@@ -5,7 +5,9 @@ every item is boxed between 0.9 and 1.1 of its centre. Maximising the sum under
 total spend therefore fills items by descending slope: a running total decides how much of
 each item's range is used. Items with the same slope share pro rata, which leaves the
 optimum unchanged and needs no tie-break. Running totals are taken over slope buckets, so
-one group with all items (a company-wide budget) is still spread over the cluster.
+one group with all items (a company-wide budget) is still spread over the cluster. They only serve to
+find each group's cut: items above that slope use all of their range, items at it a part, items below
+none. So items meet one row per group, and equal slopes, however many, stay where they are.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from spendlever.functions.expr import (
     aggregate, change, exact_avg, exact_sum, join_keys, named, ratio, ratio0, round_dp, with_exprs, zero_if_null,
 )
 from spendlever.functions.lineage import settle
-from spendlever.functions.ordered import running_totals
+from spendlever.functions.ordered import quantile_bounds, running_totals
 
 LOWER, UPPER = 0.9, 1.1
 MAX_NET_SALES, SPEND_FIRST = "max_net_sales", "spend_first"
@@ -112,10 +114,26 @@ def _join_group(df: DataFrame, per_group: DataFrame, group: list[str]) -> DataFr
 def _steps(boxed: DataFrame, group: list[str], value: str, amount: str) -> DataFrame:
     """Running totals of ``amount`` by descending ``value``, one row per distinct value."""
     ties = aggregate(boxed, [*group, value], {"_tie": f"sum(cast({amount} as decimal(28,9)))"})
-    order = running_totals(ties, group, value, "_tie", descending=True)
+    order = running_totals(ties, group, value, "_tie", descending=True, bounds=quantile_bounds(boxed, value))
     return order.selectExpr(*group, value, "cast(_tie as double) as _tie", "_tie_before")
 
 
+def _cuts(steps: DataFrame, plan: DataFrame, group: list[str], planned: list[str], value: str, amount: str) -> DataFrame:
+    """Plan rows with ``_cut``, the largest value that is not filled whole (null: all are), and its ``_cut_part``.
+
+    ``planned`` are the plan's columns; ``steps`` may be ordered within a finer group than the plan's.
+    """
+    parts = _join_group(steps, plan, group).selectExpr("*", f"{_filled(amount)} as _part")
+    found = [*dict.fromkeys([*[c for c in steps.columns if c not in (value, "_tie", "_tie_before")], *planned])]
+    return aggregate(parts, found, {
+        "_cut": f"max({value}) filter (where _part < 1)", "_cut_part": f"max_by(_part, {value}) filter (where _part < 1)",
+    })
+
+
+def _part(value: str) -> str:
+    return f"case when _cut is null or {value} > _cut then 1D when {value} = _cut then _cut_part else 0D end"
+
+
 def allocate(
     items: DataFrame,
     group: list[str],
@@ -157,13 +175,11 @@ def allocate(
         *group, f"greatest(_low, _lb) <= least(_high, _ub) + {TOLERANCE}D as feasible",
         f"stack({len(wanted)}, {listed}) as (policy, _amount)",
     )
-    planned = _join_group(_steps(boxed, group, "slope", "_range"), plan, group).selectExpr(
-        *group, "slope", "feasible", "policy", f"{_filled('_amount')} as _part"
-    )
+    cuts = _cuts(_steps(boxed, group, "slope", "_range"), plan, group, ["feasible", "policy"], "slope", "_amount")
     return (
-        join_keys(boxed, planned, [*group, "slope"])
-        .selectExpr("*", f"{round_dp('spends_lb + _range * _part', 6)} as optimized_spends")
-        .drop("_range", "_part")
+        _join_group(boxed, cuts, group)
+        .selectExpr("*", f"{round_dp(f'spends_lb + _range * ({_part("slope")})', 6)} as optimized_spends")
+        .drop("_range", "_cut", "_cut_part")
     )
 
 
@@ -191,13 +207,11 @@ def min_spend_for_target(
     )
     side = [*group, "_gains"]
     amount = f"(case when _gains then _need else {'-_need' if exact else '0D'} end)"
-    planned = _join_group(_steps(boxed, side, "_steep", "_worth"), need, group).selectExpr(
-        *side, "_steep", "feasible", f"{_filled(amount)} as _part"
-    )
+    cuts = _cuts(_steps(boxed, side, "_steep", "_worth"), need, group, ["feasible"], "_steep", amount)
     return (
-        join_keys(boxed, planned, [*side, "_steep"])
-        .selectExpr("*", f"{round_dp('spends_lb + _range * _part', 6)} as optimized_spends")
-        .drop("_range", "_part", "_gains", "_steep", "_worth")
+        _join_group(boxed, cuts, side)
+        .selectExpr("*", f"{round_dp(f'spends_lb + _range * ({_part("_steep")})', 6)} as optimized_spends")
+        .drop("_range", "_cut", "_cut_part", "_gains", "_steep", "_worth")
     )
 
 

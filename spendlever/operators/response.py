@@ -1,8 +1,9 @@
 """Spend-to-volume response: percentile ranks, log-log fits, trimming and fallback.
 
-No step collects a key's observations in one task. Ranks come from value counts
-(ties collapse in partial aggregation), and every trimmed refit comes from moments
-kept per trimming class, so each key is reduced to a handful of partial sums.
+The rows of a key meet once, in one shuffle, where both measures are ranked and the fits follow
+without another. Keys too hot for one task (coarse fallback levels have a handful of keys) are ranked
+from value counts instead: ties collapse in partial aggregation and only buckets of values are
+sorted. Every trimmed refit comes from moments kept per trimming class.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from spendlever.functions.expr import (
     MONTH_START, aggregate, exact_sum, in_list, join_keys, named, quoted, round_dp, ten_thousandths, with_exprs,
 )
 from spendlever.functions.lineage import settle
-from spendlever.functions.ordered import running_totals
+from spendlever.functions.ordered import average_rank, quantile_bounds, running_totals, split_hot
 
 # Percentile pairs of the trimming corners, mildest first.
 TRIM_HIGH = [0.975, 0.95, 0.9, 0.85, 0.8, 0.75, 0.7]
@@ -76,17 +77,28 @@ def scope_filter(
 
 def value_ranks(rows: DataFrame, keys: list[str], measure: str) -> DataFrame:
     """Average-tie percentile rank of every distinct value of ``measure`` within its key."""
+    bounds = quantile_bounds(rows, measure)
     counts = aggregate(rows, [*keys, measure], {"n": "count(1)"})
-    return running_totals(counts, keys, measure, "n").selectExpr(
+    return running_totals(counts, keys, measure, "n", bounds=bounds).selectExpr(
         *keys, measure, f"(n_before + (n + 1) / 2D) / n_total as pct_rank_{measure}"
     )
 
 
 def pct_rank_avg(rows: DataFrame, keys: list[str], measures: list[str] | None = None) -> DataFrame:
-    """Add the average-tie percentile rank of each measure within its key."""
-    ranked = rows
-    for measure in measures or ["spends", "volume"]:
-        ranked = join_keys(ranked, value_ranks(rows, keys, measure), [*keys, measure], "left")
+    """Add the average-tie percentile rank of each measure within its key.
+
+    The rows are shuffled once, by key, and sorted there by each measure. Rows of hot keys meet the
+    ranks of their values instead. ``rows`` is read several times, so pass a settled table.
+    """
+    measures = measures or ["spends", "volume"]
+    usual, hot = split_hot(rows, keys)
+    ranked = usual.selectExpr("*", *[f"{average_rank(keys, m)} as pct_rank_{m}" for m in measures])
+    if hot is not None:
+        hot = settle(hot)
+        more = hot
+        for m in measures:
+            more = join_keys(more, value_ranks(hot, keys, m), [*keys, m], "left")
+        ranked = ranked.unionByName(more)
     return ranked
 
 
@@ -137,13 +149,18 @@ def _cutoffs(rows: DataFrame, keys: list[str]) -> DataFrame:
     return aggregate(ranks, keys, cuts)
 
 
-def _first_trim(corners: tuple[tuple[str, str], tuple[str, str]]) -> str:
-    """First threshold (1-based) with a corner that contains the row, else NEVER."""
-    sign = {"hi": ">=", "lo": "<="}
+def _first_trim(corners: tuple[tuple[str, str], tuple[str, str]], spends: str, volume: str) -> str:
+    """First threshold (1-based) with a corner that contains the row, else NEVER.
+
+    ``spends`` and ``volume`` are the tests of the two measures, over ``{side}`` (hi or lo), ``{sign}``,
+    ``{i}`` and ``{cut}``.
+    """
+    def test(template: str, side: str, i: int) -> str:
+        cut = (TRIM_HIGH if side == "hi" else TRIM_LOW)[i]
+        return template.format(side=side, sign=">=" if side == "hi" else "<=", i=i, cut=f"{cut}D")
+
     cases = [
-        "when " + " or ".join(
-            f"(spends {sign[s]} s_{s}{i} and volume {sign[v]} v_{v}{i})" for s, v in corners
-        ) + f" then {i + 1}"
+        "when " + " or ".join(f"({test(spends, s, i)} and {test(volume, v, i)})" for s, v in corners) + f" then {i + 1}"
         for i in range(len(TRIM_HIGH))
     ]
     return f"case {' '.join(cases)} else {NEVER} end"
@@ -163,6 +180,31 @@ FLAT_X, FLAT_Y = "x_lo = x_hi", "y_lo = y_hi"
 SLOPE = f"case when {FLAT_X} then 0D else try_divide({CXY}, {CXX}) end"
 
 
+def _points(rows: DataFrame, keys: list[str], spends: str, volume: str) -> DataFrame:
+    """Shifted logs and trimming classes of rows that know their key's least values."""
+    return rows.selectExpr(
+        *keys, "spends", "volume", "sales_month",
+        "ln(spends) - ln(s_min) as x", "ln(volume) - ln(v_min) as y", "ln(s_min) as x_min", "ln(v_min) as y_min",
+        f"{_first_trim(OFF_DIAGONAL, spends, volume)} as less", f"{_first_trim(DIAGONAL, spends, volume)} as more",
+    )
+
+
+def _ranked_points(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Classes by rank: the rows of a key meet in one task, and stay there for its fits."""
+    per_key = f"over (partition by {', '.join(keys)})"
+    ranked = rows.selectExpr(
+        "*", f"{average_rank(keys, 'spends')} as _rank_s", f"{average_rank(keys, 'volume')} as _rank_v",
+        f"min(spends) {per_key} as s_min", f"min(volume) {per_key} as v_min",
+    )
+    return _points(ranked, keys, "_rank_s {sign} {cut}", "_rank_v {sign} {cut}")
+
+
+def _cut_points(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Classes by value: the rows meet the cutoffs of their key, wherever they are."""
+    met = join_keys(rows, _cutoffs(rows, keys), keys)
+    return _points(met, keys, "spends {sign} s_{side}{i}", "volume {sign} v_{side}{i}")
+
+
 def trim_refit(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Log-log fit per key with corner trimming of implausible slopes.
 
@@ -172,15 +214,14 @@ def trim_refit(rows: DataFrame, keys: list[str]) -> DataFrame:
 
     The corners are nested, so a row is described by the first threshold that removes it.
     One aggregation keeps moments per class; each refit is a sum over classes. Logs are
-    shifted by the key's minimum so the moments do not cancel.
+    shifted by the key's minimum so the moments do not cancel. ``rows`` is read several times, so
+    pass a settled table.
     """
     keyed = rows.selectExpr(*keys, "spends", "volume", f"{MONTH_START} as sales_month")
-    points = join_keys(keyed, _cutoffs(keyed, keys), keys).selectExpr(
-        *keys, "spends", "volume", "sales_month",
-        "ln(spends) - ln(s_min) as x", "ln(volume) - ln(v_min) as y",
-        "ln(s_min) as x_min", "ln(v_min) as y_min",
-        f"{_first_trim(OFF_DIAGONAL)} as less", f"{_first_trim(DIAGONAL)} as more",
-    )
+    usual, hot = split_hot(keyed, keys)
+    points = _ranked_points(usual, keys)
+    if hot is not None:
+        points = points.unionByName(_cut_points(settle(hot), keys))
     classes = aggregate(points, [*keys, "less", "more"], {
         "n": "count(1)", "sx": "sum(x)", "sy": "sum(y)",
         "sxx": "sum(x * x)", "sxy": "sum(x * y)", "syy": "sum(y * y)",
