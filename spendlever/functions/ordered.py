@@ -8,6 +8,8 @@ and are accumulated there; the fine running sum is taken inside one (group, buck
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 
 from spendlever.functions.expr import aggregate, join_keys
@@ -27,7 +29,7 @@ def quantile_bounds(df: DataFrame, value: str) -> list[float]:
     pass rows whose ties are already summed to have equal parts of distinct values.
     """
     cuts = df.approxQuantile(value, [i / BUCKETS for i in range(1, BUCKETS)], SKETCH_ERROR)
-    return sorted(set(cuts))
+    return sorted({c for c in cuts if math.isfinite(c)})
 
 
 def bucket_of(value: str, bounds: list[float]) -> str:

@@ -90,10 +90,14 @@ def response_net_sales(items: DataFrame, spend: str, suffix: str = "") -> DataFr
 
 
 def _boxed(items: DataFrame, suffix: str) -> DataFrame:
-    """Bounds around the centre spend and the net-sales slope at the reference point."""
+    """Bounds around the centre spend and the net-sales slope at the reference point.
+
+    A column ``spends_cap`` (``without_losing_raises``) takes the place of the upper bound.
+    """
     slope = f"spends_coef * {ratio(f'{LY}gps{suffix}', f'{LY}spends{suffix}')} - 1"
+    upper = "spends_cap" if "spends_cap" in items.columns else f"{LY}spends * {UPPER}D"
     return items.selectExpr(
-        "*", f"{LY}spends * {LOWER}D as spends_lb", f"{LY}spends * {UPPER}D as spends_ub",
+        *[c for c in items.columns if c != "spends_cap"], f"{LY}spends * {LOWER}D as spends_lb", f"{upper} as spends_ub",
         f"coalesce({slope}, -1D) as slope",
     ).selectExpr("*", "spends_ub - spends_lb as _range")
 
@@ -215,6 +219,72 @@ def min_spend_for_target(
     )
 
 
+# --- budget curve ----------------------------------------------------------------------
+
+
+def budget_curve(items: DataFrame, group: list[str], suffix: str = "") -> DataFrame:
+    """Breakpoints of the best net sales a group reaches with each total spend.
+
+    The optimum is concave and piecewise linear in the budget: it starts with all items at their lower bound and
+    each distinct slope, steepest first, adds a segment. One row per segment: ``slope``, total spend
+    ``spend_from`` to ``spend_to``, and ``netsales_from`` at its beginning. Every budget of the group is answered by
+    one of these rows, without another allocation. ``items`` is read several times, so pass a settled table.
+    """
+    boxed = _boxed(items, suffix)
+    floor = aggregate(response_net_sales(boxed, "spends_lb", suffix), group, {
+        "_lb": exact_sum("spends_lb", 9), "_ns_lb": exact_sum("optimized_netsales", 9), "_ns_ly": exact_sum(f"{LY}netsales", 9),
+    })
+    # The gain of a step is its slope times its range, so both totals run over the same order.
+    ties = aggregate(boxed, [*group, "slope"], {
+        "_tie": "sum(cast(_range as decimal(28,9)))", "_gain": "sum(cast(slope * _range as decimal(28,9)))",
+    })
+    bounds = quantile_bounds(boxed, "slope")
+    spent = running_totals(ties, group, "slope", "_tie", descending=True, bounds=bounds).drop("_tie_total")
+    both = running_totals(settle(spent), group, "slope", "_gain", descending=True, bounds=bounds)
+    return _join_group(both, floor, group).selectExpr(
+        *group, "slope", "_lb + _tie_before as spend_from", "_lb + _tie_before + cast(_tie as double) as spend_to",
+        "_ns_lb + _gain_before as netsales_from", "_lb as least_spend", "_ns_lb as least_netsales", "_ns_ly as last_year_netsales",
+    )
+
+
+def optimum_at(curve: DataFrame, budgets: DataFrame, group: list[str]) -> DataFrame:
+    """Best net sales at each (group, budget): ``spend``, ``netsales``, ``growth``, ``marginal``, ``feasible``.
+
+    A budget spends all it can; beyond the last breakpoint the group spends its upper bounds, and below
+    the first one nothing is feasible and the lower bounds are shown. ``marginal`` is the net sales of the next
+    unit of spend, null at the upper bounds. Each segment meets the budgets of its group only; what
+    remains is one row per budget, found by partial aggregation.
+    """
+    met = _join_group(curve, budgets, group)
+    inside = "budget >= spend_from"
+    found = aggregate(met, [*group, "budget"], {
+        # The last segment that begins below the budget: slopes fall along the curve.
+        "_slope": f"min(slope) filter (where {inside})",
+        "_at": f"min_by(struct(spend_from, spend_to, netsales_from), slope) filter (where {inside})",
+        "_next": "max(slope) filter (where spend_to > budget)",
+        "_lb": "max(least_spend)", "_ns_lb": "max(least_netsales)", "_ns_ly": "max(last_year_netsales)",
+    })
+    spend = "if(_at is null, _lb, least(budget, _at.spend_to))"
+    netsales = f"coalesce(_at.netsales_from + _slope * ({spend} - _at.spend_from), _ns_lb)"
+    return found.selectExpr(
+        *group, "budget", f"{spend} as spend", f"{netsales} as netsales", f"{change(netsales, '_ns_ly')} as growth",
+        "_next as marginal", f"budget >= _lb - {TOLERANCE}D as feasible",
+    )
+
+
+def without_losing_raises(items: DataFrame, suffix: str = "") -> DataFrame:
+    """Items whose range is cut where more spend than last year would mean lower net sales.
+
+    The guard-rail as a bound instead of a later revert: an item with a negative slope may not be raised
+    above its old spend, so its upper bound comes down to it (never below the lower bound), and the budget
+    goes to items that gain. Adds ``spends_cap``, which ``allocate`` takes as the upper bound.
+    """
+    old = f"{LY}spends{suffix}"
+    slope = f"coalesce(spends_coef * {ratio(f'{LY}gps{suffix}', old)} - 1, -1D)"
+    lower, upper = f"{LY}spends * {LOWER}D", f"{LY}spends * {UPPER}D"
+    return items.selectExpr("*", f"if({slope} < 0, greatest({lower}, least({upper}, {old})), {upper}) as spends_cap")
+
+
 def candidate_scores(candidates: DataFrame, group: list[str], suffix: str = "") -> DataFrame:
     """Growth, spend and overall spend percent of every candidate allocation of a group."""
     sums = aggregate(response_net_sales(candidates, "optimized_spends", suffix), [*group, "policy"], {

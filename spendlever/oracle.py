@@ -898,6 +898,50 @@ _sc = f"{KEY10}, modelingname, spends, volume, gps, netsales"
 SQL["scope_filter"] = stmt(f"SELECT {_sc} FROM x_scope")
 
 
+# --- budget curve and guarded allocation ---------------------------------------------
+
+_SHARES = [0.85, 0.92, 0.95, 0.98, 1.0, 1.02, 1.05, 1.08, 1.15]
+
+
+def _curve_at(group: str) -> str:
+    """A whole allocation at every budget."""
+    by = f"{group}, " if group else ""
+    part = f"PARTITION BY {by}share"
+    m = lambda x: f"CAST(sum(CAST({x} AS DECIMAL(28,9))) OVER ({part}) AS DOUBLE)"
+    return f"""
+    WITH b AS (SELECT *, spends_ub - spends_lb AS r FROM (SELECT * EXCLUDE (rng) FROM ({_box('x_items1')}))),
+    s AS (SELECT b.*, share, {rd(f"{m(f'{L}spends')} * share", 2)} AS budget, {m('spends_lb')} AS lb, {m('spends_ub')} AS ub
+      FROM b, (SELECT CAST(unnest([{', '.join(map(str, _SHARES))}]) AS DOUBLE) AS share)),
+    o AS (SELECT *, least(budget, ub) - lb AS amount,
+        CAST(sum(CAST(r AS DECIMAL(28,9))) OVER (PARTITION BY {by}share, slope) AS DOUBLE) AS tie,
+        CAST(sum(CAST(r AS DECIMAL(28,9))) OVER ({part} ORDER BY slope DESC
+          RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS upto FROM s),
+    z AS (SELECT *, spends_lb + r * greatest(0.0, least(1.0, (amount - (upto - tie)) / tie)) AS z FROM o),
+    n AS (SELECT *, {L}gps * (1 + spends_coef * (z - {L}spends) / {L}spends) - z AS ns FROM z)
+    SELECT {by}share, {rd('budget', 2)} AS budget, {rd(es('z', 9), 2)} AS spend, {rd(es('ns', 9), 2)} AS netsales,
+      {rd(f"({es('ns', 9)} - {es(f'{L}netsales', 9)}) / {es(f'{L}netsales', 9)}", 6)} AS growth,
+      {rd('max(slope) FILTER (WHERE lb + upto > budget)', 4)} AS marginal, budget >= max(lb) - 1e-6 AS feasible
+    FROM n GROUP BY {by}share, budget"""
+
+
+cte("x_curve", _curve_at(""))
+cte("x_curve2", _curve_at("shisha"))
+SQL["budget_curve"] = stmt("SELECT * FROM x_curve")
+SQL["budget_curve_offices"] = stmt("SELECT * FROM x_curve2")
+_slope_old = f"coalesce(spends_coef * {div(f'{L}gps_old', f'{L}spends_old')} - 1, -1.0)"
+cte("x_guarded", _alloc("x_items2", S1, "_old", "old * 0.9", "least(centre, old * 1.1)", {"max_net_sales": MAXNS}).replace(
+    f"{L}spends * 1.1 AS spends_ub", f"""CASE WHEN {_slope_old} < 0
+      THEN greatest({L}spends * 0.9, least({L}spends * 1.1, {L}spends_old)) ELSE {L}spends * 1.1 END AS spends_ub""").replace(
+    "(upto - tie)) / tie", "(upto - tie)) / nullif(tie, 0)").replace("greatest(0.0, least(1.0,", "coalesce(greatest(0.0, least(1.0,").replace(
+    "nullif(tie, 0)))", "nullif(tie, 0))), 0)"))
+SQL["guarded_allocation"] = stmt(f"SELECT {S2}, {_al} FROM x_guarded")
+cte("x_maxns2", "SELECT * FROM x_cand2 WHERE policy = 'max_net_sales'")
+cte("x_reverted", _guarded(f"({_projected('x_maxns2', '_old')})"))
+SQL["guarded_gain"] = stmt(f"""
+SELECT {rd('g', 2)} AS guarded, {rd('r', 2)} AS reverted, rows_reverted, true AS not_below FROM
+  (SELECT {es('optimized_netsales', 9)} AS g FROM ({_respond('x_guarded', 'optimized_spends', '_old')})),
+  (SELECT {es('optimized_netsales', 9)} AS r, count(*) FILTER (WHERE reverted) AS rows_reverted FROM x_reverted)""")
+
 # --- sources and sinks -----------------------------------------------------------------
 
 cte("x_totals", f"""

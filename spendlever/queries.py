@@ -429,6 +429,53 @@ def candidate_select(spark, d):
     return A.candidate_select(settle(candidates), A.STAGE1_KEY, "_old")
 
 
+#: Budgets as parts of last year's spend; the first is below every lower bound, the last above every upper one.
+BUDGET_SHARES = [0.85, 0.92, 0.95, 0.98, 1.0, 1.02, 1.05, 1.08, 1.15]
+
+
+def _curve(spark, d, group: list[str]) -> DataFrame:
+    items = _stage1_items(spark, d)
+    listed = ", ".join(f"{x}D" for x in BUDGET_SHARES)
+    budgets = aggregate(items, group, {"_spent": exact_sum(f"{A.LY}spends", 9)}).selectExpr(
+        *group, "_spent", f"explode(array({listed})) as share").selectExpr(*group, "share", f"{round_dp('_spent * share', 2)} as budget")
+    budgets = settle(budgets)
+    out = A.optimum_at(settle(A.budget_curve(items, group)), budgets.drop("share"), group)
+    rows = out.selectExpr(*group, "budget", "spend", "netsales", f"{round_dp('growth', 6)} as growth", "marginal", "feasible")
+    named = join_keys(rows, budgets, [*group, "budget"])
+    return with_exprs(named, {**{c: round_dp(c, 2) for c in ("budget", "spend", "netsales")}, "marginal": round_dp("marginal", 4)})
+
+
+def budget_curve(spark, d):
+    """Optimum and growth of the whole budget at several totals, from one table of breakpoints."""
+    return _curve(spark, d, [])
+
+
+def budget_curve_offices(spark, d):
+    """The same for every branch office's own budget."""
+    return _curve(spark, d, ["shisha"])
+
+
+def guarded_allocation(spark, d):
+    """Second stage with the guard-rail as a bound: no row is raised where that loses net sales."""
+    items = settle(A.without_losing_raises(_optimisable(_pushed(spark, d)), "_old"))
+    out = A.allocate(items, A.STAGE1_KEY, "_old", band_on_old=True)
+    return _view(out, ["segment", *ALLOCATED])
+
+
+def guarded_gain(spark, d):
+    """Net sales of the guarded allocation against the allocation whose losing rows are reverted afterwards."""
+    items = _optimisable(_pushed(spark, d))
+    guarded = A.allocate(settle(A.without_losing_raises(items, "_old")), A.STAGE1_KEY, "_old", band_on_old=True)
+    reverted = A.guardrail_revert(A.project_optimised(A.allocate(items, A.STAGE1_KEY, "_old", band_on_old=True), "_old"))
+    totals = [
+        aggregate(A.response_net_sales(guarded, "optimized_spends", "_old"), [], {"guarded": exact_sum("optimized_netsales", 9)}),
+        aggregate(reverted, [], {"reverted": exact_sum("optimized_netsales", 9), "rows_reverted": "count_if(reverted)"}),
+    ]
+    both = totals[0].selectExpr("*", "0 as one").join(totals[1].selectExpr("*", "0 as one"), "one").drop("one")
+    return both.selectExpr(f"{round_dp('guarded', 2)} as guarded", f"{round_dp('reverted', 2)} as reverted", "rows_reverted",
+                           f"guarded >= reverted - 0.01D as not_below")
+
+
 def project_optimised(spark, d):
     return _view(A.project_optimised(A.allocate(_stage1_items(spark, d), [])), A.STAGE1_OUTPUT)
 
@@ -757,7 +804,7 @@ def registry() -> dict[str, RUN]:
         attach_dimensions, stage1_baseline, split_optimisable, back_calibrate, response_net_sales,
         allocate_stage1, allocate_goal, allocate_broken_goal, allocate_null_keys, trim_refit_null_keys,
         allocate_stage2, infeasible_groups, min_spend_for_target, exact_growth_target,
-        candidate_select, project_optimised, carry_non_optimised, pushdown_stage1, cost_per_case,
+        candidate_select, budget_curve, budget_curve_offices, guarded_allocation, guarded_gain, project_optimised, carry_non_optimised, pushdown_stage1, cost_per_case,
         branch_rework_output, scenario_period_actuals, guardrail_revert, baseline_overlay,
         publish_scenario, load_check, status_upsert, stage_summary, spend_mismatch, branch_list,
         missing_keys_backfill, key_semi_filter, match_flags, factor_align,

@@ -4,6 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from spendlever.functions.lineage import settle
+from spendlever.functions.ordered import bucket_of, quantile_bounds
 from spendlever.operators import allocate as A
 
 LY = A.LY
@@ -161,3 +163,80 @@ def test_null_groups_are_allocated(spark):
     assert A.min_spend_for_target(items, ["shisha"]).count() == 2
     goal = A.allocate(items, [], goal=1000.0)
     assert goal.filter("feasible").count() == 0 and goal.count() == 2
+
+
+def priced_items(spark, rows, group="g"):
+    """(group, spend, coefficient, gps per unit of spend) as allocation input."""
+    return settle(spark.createDataFrame(
+        [(g, str(i), s, c, 10.0, s * x, s * x - s, 1.0) for i, (g, s, c, x) in enumerate(rows)],
+        f"{group} string, shisha string, last_year_period_spends double, spends_coef double, last_year_period_volume double, "
+        "last_year_period_gps double, last_year_period_netsales double, price double"))
+
+
+def greedy(rows, budget):
+    """(spend, slope) pairs filled one after the other."""
+    items = sorted(((c * x - 1, s) for _, s, c, x in rows), reverse=True)
+    left, z = budget - sum(0.9 * s for _, s in items), []
+    for m, s in items:
+        use = max(0.0, min(0.2 * s, left))
+        left -= use
+        z.append((0.9 * s + use, m, s))
+    return z
+
+
+@pytest.mark.parametrize("kind", ["within a 64th", "half without response", "all equal"])
+def test_slopes_that_crowd_are_spread_over_buckets(spark, kind):
+    import random
+
+    random.seed(2)
+    n = 4000
+    if kind == "within a 64th":
+        coefficients = [0.5 + i / n / 100 for i in range(n)]
+    elif kind == "all equal":
+        coefficients = [0.4] * n
+    else:
+        coefficients = [0.0] * (n // 2) + [random.uniform(0.2, 0.8) for _ in range(n // 2)]
+    rows = [("a", round(random.uniform(1, 9), 2), c, 2.5) for c in coefficients]
+    items = priced_items(spark, rows)
+    boxed = A._boxed(items, "")
+    bounds = quantile_bounds(boxed, "slope")
+    steps = boxed.groupBy("slope").count().selectExpr(f"{bucket_of('slope', bounds)} as b")
+    largest = max(r["count"] for r in steps.groupBy("b").count().collect())
+    distinct = len(set(coefficients))
+    assert largest <= max(1, 0.1 * distinct)  # no task sorts above a tenth
+    total = sum(s for _, s, _, _ in rows)
+    for goal in (0.95, 1.0, 1.05):
+        out = A.allocate(items, ["g"], goal=f"_centre * {goal}D").agg({"optimized_spends": "sum"}).first()[0]
+        assert out == pytest.approx(total * goal, rel=1e-6)
+    plan = A.allocate(items, ["g"], goal="_centre * 1.05D")
+    joins = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "slope" not in " ".join(x for x in joins.splitlines() if "Join" in x)  # items meet groups, not slopes
+    got = sum(r["optimized_spends"] * r["slope"] for r in plan.collect())
+    assert got == pytest.approx(sum(z * m for z, m, _ in greedy(rows, total * 1.05)), rel=1e-6)
+
+
+def test_budget_curve_answers_every_budget_like_an_allocation(spark):
+    rows = [("a", 10.0, 0.9, 3.0), ("a", 20.0, 0.5, 3.0), ("a", 5.0, 0.5, 3.0), ("a", 8.0, 0.1, 2.0), ("b", 7.0, 0.6, 2.5), ("b", 3.0, None, 1.0)]
+    rows = [(g, s, 0.0 if c is None else c, x) for g, s, c, x in rows]
+    items = priced_items(spark, rows)
+    curve = settle(A.budget_curve(items, ["g"]))
+    budgets = [("a", b) for b in (30.0, 38.7, 40.0, 43.0, 45.5, 47.3, 60.0)] + [("b", 9.5)]
+    got = {(r["g"], r["budget"]): r for r in A.optimum_at(curve, spark.createDataFrame(budgets, "g string, budget double"), ["g"]).collect()}
+    for g, budget in budgets:
+        mine = [r for r in rows if r[0] == g]
+        z = greedy(mine, budget)
+        spend = sum(a for a, _, _ in z)
+        netsales = sum(x * s * (1 + c * (a - s) / s) - a for (a, m, s) in z for (_, s2, c, x) in mine if s2 == s)
+        assert got[(g, budget)]["spend"] == pytest.approx(spend) and got[(g, budget)]["netsales"] == pytest.approx(netsales)
+    assert not got[("a", 30.0)]["feasible"] and got[("a", 40.0)]["feasible"]
+    assert got[("a", 60.0)]["marginal"] is None and got[("a", 30.0)]["marginal"] == pytest.approx(1.7)
+    slopes = [r["slope"] for r in sorted(curve.filter("g = 'a'").collect(), key=lambda r: r["spend_from"])]
+    assert slopes == sorted(slopes, reverse=True) and len(slopes) == 3  # equal slopes are one segment
+
+
+def test_guarded_ranges_free_budget_for_items_that_gain(spark):
+    rows = [("a", 10.0, 0.0, 2.0), ("a", 10.0, 0.9, 3.0)]
+    items = priced_items(spark, rows)
+    out = {r["slope"] > 0: r for r in A.allocate(settle(A.without_losing_raises(items)), ["g"], goal="_centre * 1.03D").collect()}
+    assert out[True]["optimized_spends"] == pytest.approx(11.0) and out[False]["optimized_spends"] == pytest.approx(9.6)
+    assert out[False]["spends_ub"] == pytest.approx(10.0) and out[True]["spends_ub"] == pytest.approx(11.0)

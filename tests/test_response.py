@@ -2,6 +2,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from spendlever.functions import ordered
+from spendlever.functions.lineage import settle
 from spendlever.operators import response as R
 
 
@@ -124,3 +126,30 @@ def test_null_keys_are_fitted_like_any_other(spark):
     assert len(plain) == len(trimmed) == 2
     ranks = R.pct_rank_avg(df, ["shisha"]).filter("shisha is null")
     assert ranks.filter("pct_rank_spends is null or pct_rank_volume is null").count() == 0 and ranks.count() == 12
+
+
+@pytest.mark.parametrize("limit", [0, 20, 10**6])
+def test_hot_keys_take_another_way_to_the_same_results(spark, monkeypatch, limit):
+    """Every key hot, some, or none."""
+    rows = spark.createDataFrame(fit_rows())
+    usual = [sorted(map(str, f(rows, ["k"]).collect())) for f in (R.trim_refit, R.pct_rank_avg)]
+    monkeypatch.setattr(ordered, "HOT_KEY_ROWS", limit)
+    assert [sorted(map(str, f(rows, ["k"]).collect())) for f in (R.trim_refit, R.pct_rank_avg)] == usual
+
+
+def test_rows_are_shuffled_once_by_key(spark):
+    rows = settle(spark.createDataFrame(fit_rows()).selectExpr("*", "'pad' as pad"))
+    for plan, exchanges in ((R.pct_rank_avg(rows, ["k"]), 1), (R.trim_refit(rows, ["k"]), 1)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange ") == exchanges, text
+
+
+@pytest.mark.parametrize("values", [[1.0] * 50, list(range(1000)), [0.5, 0.5, 2.0], [], [-3.0, float("inf"), 7.0]])
+def test_buckets_are_monotone_and_even(spark, values):
+    df = settle(spark.createDataFrame([(float(v),) for v in values], "v double"))
+    bounds = ordered.quantile_bounds(df, "v")
+    rows = sorted((r["v"], r["b"]) for r in df.selectExpr("v", f"{ordered.bucket_of('v', bounds)} as b").collect())
+    buckets = [b for _, b in rows]
+    assert buckets == sorted(buckets) and bounds == sorted(set(bounds))
+    if len(values) == 1000:
+        assert max(buckets.count(b) for b in set(buckets)) <= 30
