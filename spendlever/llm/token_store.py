@@ -59,7 +59,6 @@ def _cache(path: str) -> pieces.PieceCache:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         line = tokenizer.encode("\n", add_special_tokens=False).ids
 
         def encode(fresh: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -81,15 +80,16 @@ def _cache(path: str) -> pieces.PieceCache:
             return [t.encode() for t in plain + rest], np.concatenate(parts), sizes
 
         _caches[path] = pieces.PieceCache(encode)
+        _caches[path].marks = [*WIDE_SPACES, *(t.content for t in tokenizer.get_added_tokens_decoder().values())]
         _caches[path].whole = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
     return _caches[path]
 
 
-def _odd_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows that hold white space outside the six ASCII characters."""
+def _odd_rows(data: np.ndarray, offsets: np.ndarray, marks: list[str]) -> np.ndarray:
+    """Rows that hold one of the marks: white space outside the six ASCII characters, or an added token."""
     found: list[int] = []
     body = data.tobytes()
-    for mark in WIDE_SPACES:
+    for mark in marks:
         at = body.find(raw := mark.encode())
         while at >= 0:
             row = int(np.searchsorted(offsets, at, "right")) - 1
@@ -99,10 +99,13 @@ def _odd_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def encode_texts(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all rows, exactly as the tokenizer gives them for each whole text."""
+    """Ids of all rows, exactly as the tokenizer gives them for each whole text.
+
+    Added tokens are found in a text as the library finds them by default.
+    """
     cache = _cache(path)
     ids, bounds = pieces.encode_rows(data, offsets, _VISIBLE, cache, _always_cut)
-    if len(odd := _odd_rows(data, offsets)):
+    if len(odd := _odd_rows(data, offsets, cache.marks)):
         rows = np.split(ids, bounds[1:-1])
         for row in odd.tolist():
             rows[row] = cache.whole(data[offsets[row]:offsets[row + 1]].tobytes().decode())

@@ -17,7 +17,7 @@ from spendlever.llm.queries import op2_token_id_output, op3_sentencepiece, vocab
 BYTES, PIECES = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
 PARTS = [
     "a", "b", "the ", " ", "  ", "\n", "\t", "é", "ß", "\xa0", "　", "▁", "<s>", "<unk>", "<|endoftext|>", "1", "23", ".", "!!",
-    "'s", "'ll", "Á ", "中文", "😀", "\x00", "\x1c", "\x85", "\r\n", "-", "@", "xxxxxxx", "<0x0A>", "ﬁ", "aaaa", "=====", "    "]
+    "'s", "'ll", "Á ", "中文", "😀", "\x00", "\x1c", "\x85", "\r\n", "-", "@", "xxxxxxx", "<0x0A>", "<|endoftext|>", "<|endof", "text|>", "ﬁ", "aaaa", "=====", "    "]
 
 
 def random_texts(n=3000):
@@ -30,7 +30,6 @@ def random_texts(n=3000):
 def byte_bpe():
     tokenizers = pytest.importorskip("tokenizers")
     found = tokenizers.Tokenizer.from_file(BYTES)
-    found.encode_special_tokens = True
     return lambda text: found.encode(text or "", add_special_tokens=False).ids
 
 
@@ -50,6 +49,12 @@ def test_byte_ids_equal_the_library(byte_bpe):
     assert rows_of(token_store.encode_texts, texts, BYTES)[2] == [byte_bpe(t) for t in texts]
 
 
+def test_added_tokens_are_found_as_by_the_library(byte_bpe):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext |>", "no token", "a<|endoftext|>"]
+    got = rows_of(token_store.encode_texts, texts, BYTES)[2]
+    assert got == [byte_bpe(t) for t in texts] and got[0].count(50256) == 1 and len(got[0]) == 4
+
+
 def test_piece_ids_and_decoding_equal_the_library(piece_bpe):
     texts = random_texts()
     ids, bounds, got = rows_of(sentence_pieces.encode_texts, texts, PIECES)
