@@ -2,13 +2,18 @@
 
 The standard library's parser streams a page's events. Block elements and line breaks end a
 line; each line has its characters, its tags and the container it lies in. The ratio of text to
-tags per line is smoothed with a Gaussian, and lines above the smoothed ratios' standard deviation
-are content. A container with content lines is a content region, if it holds a fair share of
-them, and gives all of its lines, short ones too, but for parts that name themselves as
-menus, headers, footers, asides, forms, adverts, notices or reader comments. ``article`` and
-``main`` count as one container with all that they hold; where a page has them, regions outside are left out.
+tags per line is smoothed with a Gaussian, and lines at or above the smoothed ratios' standard deviation
+are content. Content lines of one container form a cluster, with the lower lines between and beside them as long as these are
+few; clusters that hold a fair share of the largest one's characters are the content regions, and
+lines outside them, or mostly made of links, are left out. ``article`` and ``main`` are read as one
+region with all that they hold if any of their lines is content; where a page has them, the rest is left out.
 
-Work is page by page inside a task; memory follows the longest page.
+Elements that say what they are never count: menus, headers, footers, asides, forms, scripts and styles, and
+containers whose class, id or role is a name of adverts, notices, menus or reader comments. A name
+counts whole: ``comment-list`` is one, ``related-work`` is not. Headings, paragraphs and inline elements are
+judged by their lines, whatever they are called.
+
+Work is page by page inside a task and linear in the page; memory follows the longest page.
 
 Defined results. Null or empty html: empty text. White space inside a block becomes one space;
 blocks are joined by one line feed in page order. Unclosed and crossed tags, cut-off pages and broken
@@ -19,6 +24,7 @@ where an input column of an output's name is replaced. An empty table gives an e
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -32,9 +38,11 @@ from spendlever.llm.stages import without
 SIGMA = 1.5
 #: A region holds at least this share of the largest region's content characters.
 SHARE = 0.25
+#: So many lower lines between content lines of a container don't end its region.
+GAP = 3
 
 # Element names by their role.
-SILENT = frozenset("script style noscript template iframe object svg math canvas audio video head title select option datalist textarea button".split())
+SILENT = frozenset("script style noscript template iframe object svg canvas audio video head title select option datalist textarea button".split())
 BOILERPLATE = frozenset("nav header footer aside form menu dialog fieldset".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -48,15 +56,31 @@ NAMED = frozenset(
     "alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "recommendations sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer header masthead toolbar "
     "comment comments commentlist disqus reply replies respond widget skip hidden contentinfo complementary search".split())
+# Words that may stand beside them in such a name.
+BESIDE = frozenset(
+    "area articles bar block bottom box button buttons center col column container content form group inner item items left link links "
+    "list main message news outer page panel posts right row section sections site slot stories text top unit wrap wrapper".split())
+NAMEABLE = frozenset("div section ul ol dl table aside nav header footer form".split())
 _WORDS = re.compile(r"[a-z]+")
 
 
+def _telling(value: str) -> bool:
+    """Whether a class, id or role names a part that is not the article."""
+    for token in value.lower().split():
+        words = _WORDS.findall(token)
+        if not NAMED.isdisjoint(words) and all(w in NAMED or w in BESIDE for w in words):
+            return True
+    return False
+
+
 class _Lines(HTMLParser):
     """Lines of a page: text, number of tags, characters of links, container."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # name, container, left out
+        self.total: Counter[str] = Counter()  # open elements by name
+        self.inside: list[Counter[str]] = [Counter()]  # those since each open container began
         self.containers, self.whole = 1, {}
         self.lines: list[tuple[str, int, int, int]] = []
         self.parts: list[str] = []
@@ -81,13 +105,13 @@ class _Lines(HTMLParser):
         if tag == "p":
             self.close("p")
         _, container, out = self.open[-1]
-        if tag in WHOLE and out and not any(name == "aside" for name, _, _ in self.open):
+        if tag in WHOLE and out and not self.total["aside"]:
             out = False
         if not out and (tag in SILENT or tag in BOILERPLATE):
             out = True
         elif not out and tag not in ("html", "body", *WHOLE):
             for name, value in attrs:
-                if name == "hidden" or (name in ("class", "id", "role") and value and not NAMED.isdisjoint(_WORDS.findall(value.lower()))):
+                if name == "hidden" or (tag in NAMEABLE and name in ("class", "id", "role") and value and _telling(value)):
                     out = True
         if tag in CONTAINERS and not self.whole.get(container):
             container = self.containers
@@ -95,6 +119,10 @@ class _Lines(HTMLParser):
             self.whole[container] = tag in WHOLE
         if tag == "a":
             self.in_link += 1
+        self.total[tag] += 1
+        self.inside[-1][tag] += 1
+        if tag in CONTAINERS:
+            self.inside.append(Counter())
         self.open.append((tag, container, out))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -103,18 +131,24 @@ class _Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def close(self, tag: str | None = None) -> None:
+        """End an element and what is open inside it; each element is taken off once, so this is linear in all."""
         if tag is None:  # the page ends
             super().close()
             self.end_line()
             return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == tag:
-                if tag in BLOCKS:
-                    self.end_line()
-                del self.open[i:]
+        # An inline element or paragraph doesn't close what holds it.
+        if not (self.total if tag in CONTAINERS or tag in SILENT else self.inside[-1])[tag]:
+            return
+        if tag in BLOCKS:
+            self.end_line()
+        while True:
+            name = self.open.pop()[0]
+            if name in CONTAINERS:
+                self.inside.pop()
+            self.total[name] -= 1
+            self.inside[-1][name] -= 1
+            if name == tag:
                 return
-            if tag not in CONTAINERS and tag not in SILENT and self.open[i][0] in CONTAINERS:
-                return  # an inline element or paragraph doesn't close what holds it
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -139,6 +173,31 @@ def _smoothed(ratio: np.ndarray) -> np.ndarray:
     return np.convolve(ratio, kernel)[reach:reach + len(ratio)] / weight
 
 
+def _clusters(content: np.ndarray, container: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """Number of the cluster of every line, -1 outside of all.
+
+    A cluster holds content lines of one container with the lower ones between, before and after them, as long as
+    no more than ``GAP`` lines in a row are lower: a headline or a short last line goes with its text. Lines
+    that are not ``plain`` (mostly links) belong to no cluster and end it.
+    """
+    out = np.full(len(content), -1)
+    made = 0
+    for own in np.split(np.argsort(container, kind="stable"), np.flatnonzero(np.diff(np.sort(container))) + 1):
+        high = np.flatnonzero(content[own])
+        if not len(high):
+            continue
+        barrier = np.cumsum(~plain[own])
+        fresh = np.concatenate(([True], (np.diff(high) > GAP + 1) | (np.diff(barrier[high]) > 0)))
+        number = made + np.cumsum(fresh) - 1
+        made = int(number[-1]) + 1
+        after = np.clip(np.searchsorted(high, np.arange(len(own))), 0, len(high) - 1)
+        before = np.clip(after - 1, 0, None)
+        for near in (before, after):  # of two clusters in reach the later one
+            reach = (np.abs(high[near] - np.arange(len(own))) <= GAP) & (barrier[high[near]] == barrier)
+            out[own[reach]] = number[near[reach]]
+    return np.where(plain, out, -1)
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -154,14 +213,20 @@ def main_text(html: str | None) -> str:
     smooth = _smoothed(plain / np.maximum(tags, 1))
     content = smooth >= smooth.std()
     whole = np.array([bool(page.whole.get(c)) for c in container.tolist()])
-    eligible = whole if whole.any() else np.ones(len(chars), bool)
-    weight = np.bincount(container, weights=plain * content * eligible)
-    regions = weight >= max(SHARE * weight.max(), 1e-9)
-    if not regions.any():  # links only
-        regions = np.bincount(container, weights=eligible) > 0
-    kept = regions[container] & eligible
-    if not whole.any():
-        kept &= plain > 0.4 * chars
+    if whole.any():
+        kept = whole
+        if (content & whole).any():
+            weight = np.bincount(container, weights=plain * content * whole)
+            kept = whole & (weight >= max(SHARE * weight.max(), 1e-9))[container]
+    else:
+        text = plain > 0.4 * chars
+        content &= text
+        cluster = _clusters(content, container, text)
+        weight = np.bincount(cluster + 1, weights=plain * content, minlength=1)[1:]
+        regions = weight >= max(SHARE * weight.max(initial=0), 1e-9)
+        kept = (cluster >= 0) & np.append(regions, False)[cluster]
+        if not kept.any():  # no line stands out
+            kept = text
     return "\n".join(page.lines[i][0] for i in np.flatnonzero(kept).tolist())
 
 
