@@ -41,18 +41,26 @@ FROM m"""
 
 def _decontamination() -> str:
     width = decontaminate.WIDTH
+    listed = ("SELECT {0}, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS words FROM {1}")
     shingles = f"""
   SELECT DISTINCT {{0}} AS id, array_to_string(words[i:i + {width - 1}], ' ') AS shingle
-  FROM (SELECT *, unnest(range(1, len(words) - {width - 2})) AS i FROM (
-    SELECT {{0}}, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{{{L}}}}\\p{{{{N}}}}]+'), lambda x: x <> '') AS words FROM {{1}})
-    WHERE len(words) >= {width})""".replace("{{{{", "{{").replace("}}}}", "}}")
+  FROM (SELECT *, unnest(range(1, len(words) - {width - 2})) AS i FROM ({listed})
+    WHERE len(words) >= {width})"""
     return f"""
 WITH d AS ({shingles.format('doc_id', 'documents')}),
 b AS ({shingles.format('item_id', 'benchmark')}),
-n AS (SELECT id, count(*) AS n_shingles FROM b GROUP BY id)
+n AS (SELECT id, count(*) AS n_shingles FROM b GROUP BY id),
+k AS (SELECT DISTINCT item_id, len(words) AS k, array_to_string(words, ' ') AS whole FROM ({listed.format('item_id', 'benchmark')})
+  WHERE len(words) BETWEEN 1 AND {width - 1} AND item_id NOT IN (SELECT id FROM n)),
+e AS (SELECT doc_id, words FROM ({listed.format('doc_id', 'documents')}) WHERE EXISTS (SELECT 1 FROM k)),
+f AS (SELECT DISTINCT doc_id, item_id, whole FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM e), k
+  WHERE array_to_string(words[i:i + k - 1], ' ') = whole AND i + k - 1 <= len(words))
 SELECT d.id AS doc_id, b.id AS item_id, n_shingles, count(*) AS n_common
 FROM d JOIN b USING (shingle) JOIN n ON n.id = b.id GROUP BY d.id, b.id, n_shingles
-HAVING 100 * count(*) >= {decontaminate.THRESHOLD} * n_shingles"""
+HAVING 100 * count(*) >= {decontaminate.THRESHOLD} * n_shingles
+UNION ALL
+SELECT doc_id, item_id, n_shingles, count(*) AS n_common FROM f JOIN (SELECT item_id, count(*) AS n_shingles FROM k GROUP BY item_id) USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING 100 * count(*) >= {decontaminate.THRESHOLD} * n_shingles"""
 
 
 def _chat() -> str:

@@ -58,6 +58,33 @@ def test_decontamination_finds_items_at_the_threshold(spark):
     assert kept == set(texts) - {d for d, *_ in want}
 
 
+def test_common_phrases_make_candidates_in_proportion(spark, monkeypatch):
+    """One question phrase in all items and documents: pairs to compare grow with the documents, not with items times documents."""
+    phrase = "which of the following statements about this matter is true"
+    random.seed(9)
+    word = lambda: f"w{random.randrange(10**6)}"
+    tried = []
+    for n in (60, 120):
+        items = [(i, f"{phrase} " + " ".join(word() for _ in range(30))) for i in range(n)]
+        docs = [(i, f"{phrase} " + (items[i][1] if i % 10 == 0 else " ".join(word() for _ in range(60)))) for i in range(n)]
+        benchmark = spark.createDataFrame(items, "item_id long, text string")
+        sketch = decontaminate.sketches(decontaminate.shingled(benchmark, "item_id", "text").selectExpr("id as item_id", "shingles"))
+        posted = decontaminate.shingled(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text").selectExpr("id", "explode(shingles) as value")
+        tried.append(posted.join(sketch, "value").select("id", "item_id").distinct().count())
+        got = decontaminate.contained(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i in range(0, n, 10)}
+    assert tried == [6, 12]
+
+
+def test_items_shorter_than_a_shingle_are_found_whole(spark):
+    docs = spark.createDataFrame([(0, "well, the QUICK brown fox."), (1, "quick the brown"), (2, "yes"), (3, None), (None, "yes"), (4, "no; yes!")], "doc_id long, text string")
+    items = [(10, "The quick brown"), (11, "Yes"), (12, ""), (13, None), (14, "one two three four"), (15, "yes"), (15, "a long item of more than five words"), (16, "quick fox")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.contained(docs, benchmark, short_items=True).collect()}
+    assert got == {(0, 10, 1, 1), (2, 11, 1, 1), (4, 11, 1, 1)}
+    assert decontaminate.cleaned(docs, benchmark).count() == 6  # too short to say that a document leaks
+
+
 def test_decontamination_on_hostile_rows(spark):
     df = documents(spark)
     bench = spark.createDataFrame([(0, TEXTS[5]), (1, None), (1, TEXTS[10]), (None, TEXTS[5])], "item_id long, text string")
