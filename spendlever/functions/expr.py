@@ -38,7 +38,8 @@ def exact_avg(x: str, scale: int = 9) -> str:
 
 
 def round_dp(x: str, dp: int = 3) -> str:
-    return f"cast(round(cast({x} as decimal(28,9)), {dp}) as double)"
+    """``x`` at ``dp`` places, half up; beyond 19 digits before the point a double has no places to round."""
+    return f"coalesce(cast(round(try_cast({x} as decimal(28,9)), {dp}) as double), {x})"
 
 
 def ratio(n: str, d: str) -> str:

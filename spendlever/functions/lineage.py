@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,20 +20,43 @@ def stage_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/stages-{spark.sparkContext.applicationId}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a Parquet stage table and return the table.
+_scopes: list[str] = []
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Stage tables that are settled inside are deleted at the end, unless they were kept.
+
+    A plan runs in one scope, so it leaves behind only what it returns.
+    """
+    path = f"{stage_folder(spark)}/scope-{uuid.uuid4().hex}"
+    _scopes.append(path)
+    try:
+        yield
+    finally:
+        _scopes.remove(path)
+        _delete(spark, path)
+
+
+def settle(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Write ``df`` as a Parquet stage table and return the table; ``keep`` lets it outlive the running plan.
 
     Readers see one fixed set of values however often the plan below is reused
     or retried, and the planner sees the table's real size, so a join against it
     is broadcast only when it is measured to be under the broadcast threshold.
     """
     spark = df.sparkSession
-    path = f"{stage_folder(spark)}/stage-{uuid.uuid4().hex}"
+    folder = _scopes[-1] if _scopes and not keep else stage_folder(spark)
+    path = f"{folder}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete every stage table of this application; results that still read one are lost."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, stage_folder(spark))

@@ -17,7 +17,7 @@ Save = Callable[[str, DataFrame], DataFrame]
 
 def settle_stage(name: str, df: DataFrame) -> DataFrame:
     """Keep a stage in the session's shared folder."""
-    return settle(df)
+    return settle(df, keep=True)
 
 
 def catalog_stage(database: str) -> Save:

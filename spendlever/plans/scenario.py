@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendlever import schemas as S
 from spendlever.functions.expr import in_list, quoted
-from spendlever.functions.lineage import settle
+from spendlever.functions.lineage import settle, stage_scope
 from spendlever.operators import allocate as A, branch as B, publish as U, response as R, scenarios as N
 from spendlever.plans.preparation import Save, settle_stage
 from spendlever.sources.tables import VersionedTable, read_catalog, replace_catalog, replace_partitions, write_catalog
@@ -84,7 +84,13 @@ def publish_in_place(final: DataFrame, scenario: U.Scenario, database: str, tabl
     replace_partitions(settle(U.publish_scenario(touched, final, scenario)), database, table, "year", years)
 
 
-def run_scenario(
+def run_scenario(scenario: U.Scenario, opt_input: DataFrame, *inputs: DataFrame, **how) -> dict[str, DataFrame]:
+    """``scenario_stages``; what the stages settle between them is deleted at the end, what they return is kept."""
+    with stage_scope(opt_input.sparkSession):
+        return scenario_stages(scenario, opt_input, *inputs, **how)
+
+
+def scenario_stages(
     scenario: U.Scenario,
     opt_input: DataFrame,
     repriced: DataFrame,
@@ -173,6 +179,11 @@ def run_batch(
     Every table carries ``scenario_name``; a goal that can't be met is flagged in ``feasible``. By default the
     best of all allocation policies is chosen per scenario, and per customer in the second stage.
     """
+    with stage_scope(scenarios.sparkSession):
+        return _batch(scenarios, opt_input, repriced, decomposition, actuals, save, policies)
+
+
+def _batch(scenarios, opt_input, repriced, decomposition, actuals, save, policies) -> dict[str, DataFrame]:
     by = N.BY
     scenarios = save("batch_scenarios", scenarios)
     rows = save("batch_fit_rows", N.scope_rows(repriced, scenarios))
@@ -196,7 +207,7 @@ def run_batch(
 
 def run_requests(requests: DataFrame, *inputs: DataFrame, **how) -> dict[str, DataFrame]:
     """Run every valid request in one plan; ``refused`` lists the others. ``inputs`` and ``how`` as in ``run_batch``."""
-    judged = settle(N.judged_requests(requests))
+    judged = settle(N.judged_requests(requests), keep=True)
     return {"refused": N.refused_requests(judged), **run_batch(N.valid_scenarios(judged), *inputs, **how)}
 
 
