@@ -752,10 +752,19 @@ SELECT {_sum('optimized_spends', f'{L}spends_old')} AS spend_change,
 SQL["infeasible_groups"] = stmt(f"""
 SELECT {S1}, count(*) AS items, {', '.join(rd(es(c, 9), 3) + f' AS {c}' for c in ('spends_lb', 'spends_ub', 'optimized_spends'))}
 FROM x_stage2 WHERE NOT feasible GROUP BY {S1}""")
-SQL["spend_mismatch"] = stmt(f"""
-SELECT {S1}, {rd('a', 3)} AS {L}spends, {rd('b', 3)} AS optimized_spends, {rd('(b - a) / a * 100', 3)} AS change_perc
-FROM (SELECT {S1}, {es(f'{L}spends', 9)} AS a, {es('optimized_spends', 9)} AS b FROM x_stage2 GROUP BY {S1})
-WHERE {rd('a', 0)} <> {rd('b', 0)}""")
+
+
+def _mismatch(stage2: str) -> str:
+    return f"""
+    SELECT {S1}, {rd('a', 3)} AS {L}spends, {rd('b', 3)} AS optimized_spends, {rd('(b - a) / a * 100', 3)} AS change_perc
+    FROM (SELECT {S1}, {es(f'{L}spends', 9)} AS a, {es('optimized_spends', 9)} AS b FROM {stage2} GROUP BY {S1})
+    WHERE {rd('a', 0)} <> {rd('b', 0)}"""
+
+
+SQL["spend_mismatch"] = stmt(_mismatch("x_stage2"))
+cte("x_maxns2", "SELECT * FROM x_cand2 WHERE policy = 'max_net_sales'")
+cte("x_saving2", _stage2("x_maxns2", "x_pushed"))
+SQL["spend_mismatch_saved"] = stmt(_mismatch("x_saving2"))
 
 
 def _guarded(stage2: str) -> str:
@@ -935,7 +944,6 @@ cte("x_guarded", _alloc("x_items2", S1, "_old", "old * 0.9", "least(centre, old
     "(upto - tie)) / tie", "(upto - tie)) / nullif(tie, 0)").replace("greatest(0.0, least(1.0,", "coalesce(greatest(0.0, least(1.0,").replace(
     "nullif(tie, 0)))", "nullif(tie, 0))), 0)"))
 SQL["guarded_allocation"] = stmt(f"SELECT {S2}, {_al} FROM x_guarded")
-cte("x_maxns2", "SELECT * FROM x_cand2 WHERE policy = 'max_net_sales'")
 cte("x_reverted", _guarded(f"({_projected('x_maxns2', '_old')})"))
 SQL["guarded_gain"] = stmt(f"""
 SELECT {rd('g', 2)} AS guarded, {rd('r', 2)} AS reverted, rows_reverted, true AS not_below FROM

@@ -57,8 +57,15 @@ def _branch(spark, d, **period) -> DataFrame:
     return P.branch_money_split([star.branch_feed(lines)], star.customer_master(spark, d))
 
 
+def _fact_and_branch(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Fact and branch money from one scan of the lines."""
+    days = settle(star.booked_days(spark, d))
+    return star.fact_of_days(days), P.branch_money_split([star.branch_feed_of_days(days)], star.customer_master(spark, d))
+
+
 def _unpivoted(spark, d) -> DataFrame:
-    return B.unpivot_shares(B.branch_share(_branch(spark, d), B.nonzero_spend_rows(_fact(spark, d))))
+    fact, branch = _fact_and_branch(spark, d)
+    return B.unpivot_shares(B.branch_share(branch, B.nonzero_spend_rows(fact)))
 
 
 def _apportioned(spark, d, conserve=True) -> DataFrame:
@@ -215,8 +222,9 @@ def apportion_conserving(spark, d):
 
 def reallocation_check(spark, d):
     """Spend, volume, GPS and net sales per spend type before and after the re-attribution, at whole units of a thousand."""
-    fact = settle(_fact(spark, d))
-    after = B.reallocate_branches(fact, _branch(spark, d))
+    fact, branch = _fact_and_branch(spark, d)
+    fact = settle(fact)
+    after = B.reallocate_branches(fact, branch)
     checked = P.reconcile_totals(B.nonzero_spend_rows(fact), after, ["modelingname"])
     # Every row is rounded to three places, so totals may differ by half a thousandth a row.
     return checked.selectExpr(
@@ -228,8 +236,8 @@ def reassign_branch(spark, d):
 
 
 def assemble_fact(spark, d):
-    fact = settle(_fact(spark, d))
-    return _rounded(B.assemble_fact(fact, B.reallocate_branches(fact, _branch(spark, d))))
+    fact, branch = _fact_and_branch(spark, d)
+    return _rounded(B.assemble_fact(fact, B.reallocate_branches(fact, branch)))
 
 
 def decomp_view(spark, d):
@@ -555,6 +563,12 @@ def spend_mismatch(spark, d):
     return _rounded(A.spend_mismatch(_stage2(spark, d)), 3)
 
 
+def spend_mismatch_saved(spark, d):
+    """Groups that spend less than was pushed down, because more would lose net sales."""
+    saving = A.optimise_stage2(_pushed(spark, d), policies=[A.MAX_NET_SALES])
+    return _rounded(A.spend_mismatch(saving), 3)
+
+
 def branch_list(spark, d):
     pairs = settle(_branch(spark, d).select("old_planningcustomer", "new_planningcustomer").distinct())
     existing = pairs.selectExpr(
@@ -806,7 +820,7 @@ def registry() -> dict[str, RUN]:
         allocate_stage2, infeasible_groups, min_spend_for_target, exact_growth_target,
         candidate_select, budget_curve, budget_curve_offices, guarded_allocation, guarded_gain, project_optimised, carry_non_optimised, pushdown_stage1, cost_per_case,
         branch_rework_output, scenario_period_actuals, guardrail_revert, baseline_overlay,
-        publish_scenario, load_check, status_upsert, stage_summary, spend_mismatch, branch_list,
+        publish_scenario, load_check, status_upsert, stage_summary, spend_mismatch, spend_mismatch_saved, branch_list,
         missing_keys_backfill, key_semi_filter, match_flags, factor_align,
         catalog_table, catalog_append, snapshot_copy, external_store, csv_scan, local_rows, versioned_publication, status_log,
         scenario_batch_requests, scenario_batch_stage1, scenario_batch_final, publish_batch,

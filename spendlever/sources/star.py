@@ -107,21 +107,50 @@ def promo_lines(spark: SparkSession, sf_dir: str, since: str | None = None, unti
     return _coded_lines(spark, sf_dir, since, until).selectExpr("*", *named(DERIVED))
 
 
-def promo_fact(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
-    """Monthly decomposition fact: one row per period, dimensions and driver."""
-    grain = ["year", "month", "category", "pack", "shisha", "cluster", "channel", "modelingname"]
-    sums = aggregate(
-        _coded_lines(spark, sf_dir, since, until), grain,
-        {m: f"sum({ten_thousandths(m)})" for m in ("spends", "gps", "volume", "ec")},
-    )
+GRAIN = ["year", "month", "category", "pack", "shisha", "cluster", "channel", "modelingname"]
+SUMMED = ("spends", "gps", "volume", "ec")
+
+
+def _fact(sums: DataFrame) -> DataFrame:
+    """Fact columns of sums of ten-thousandths at the grain."""
     measures = {"spends": "spends", "gps": "gps", "volume": "volume", "ec": "ec",
                 "netsales": "gps - spends", "mc": "gps - spends - ec"}
     values = {m: f"cast({sql} as double) / 10000D" for m, sql in measures.items()}
-    return sums.selectExpr(*grain, *named(DERIVED), *named(values)).selectExpr(
+    return sums.selectExpr(*GRAIN, *named(DERIVED), *named(values)).selectExpr(
         "*", "try_divide(gps, volume) as price", "try_divide(ec, volume) as ec_per_qtycase"
     ).select(*S.FACT_COLUMNS)
 
 
+def promo_fact(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Monthly decomposition fact: one row per period, dimensions and driver."""
+    return _fact(aggregate(
+        _coded_lines(spark, sf_dir, since, until), GRAIN, {m: f"sum({ten_thousandths(m)})" for m in SUMMED}))
+
+
+def booked_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines summed per day, dimensions, driver, line status and old customer: one scan for fact and branch feed.
+
+    Sums are whole ten-thousandths. Lines with and without sales or spend stay apart, so what holds
+    for a line holds for its row. However many lines there are, the rows are bounded by days and dimensions.
+    """
+    lines = with_exprs(_coded_lines(spark, sf_dir), {"planningcustomer": DERIVED["planningcustomer"]}).selectExpr(
+        "*", "cast(l_shipdate as date) as day", f"{OLD_CUSTOMER} as old_planningcustomer", "gps != 0 as sold", "spends != 0 as paid")
+    key = [*GRAIN, "day", "l_linestatus", "old_planningcustomer", "sold", "paid"]
+    return aggregate(lines, key, {m: f"sum({ten_thousandths(m)})" for m in SUMMED})
+
+
+def fact_of_days(days: DataFrame) -> DataFrame:
+    """The same as ``promo_fact``."""
+    return _fact(aggregate(days, GRAIN, {m: f"sum({m})" for m in SUMMED}))
+
+
+def branch_feed_of_days(days: DataFrame) -> DataFrame:
+    """A feed that adds up to that of the lines."""
+    rows = days.selectExpr("*", *named(DERIVED)).selectExpr(
+        *[c for c in days.columns if c not in SUMMED], *DERIVED, *[f"cast({m} as double) / 10000D as {m}" for m in SUMMED])
+    return _feed(rows, "day", "old_planningcustomer")
+
+
 def booked_actuals(fact: DataFrame) -> DataFrame:
     """Booked actuals per month, segment, branch office and customer; text periods."""
     spend = {t.lower(): f"case when modelingname = '{t}' then spends else 0D end" for t in S.SPEND_TYPES}
@@ -142,13 +171,17 @@ def price_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def branch_feed(lines: DataFrame) -> DataFrame:
     """Head-office/branch feed: new spend per type with initial and additional shares."""
+    return _feed(lines, "l_shipdate", OLD_CUSTOMER)
+
+
+def _feed(lines: DataFrame, day: str, old_customer: str) -> DataFrame:
     initial = "case when l_linestatus = 'F' then 1D else 0D end"
     new = {f"new_{t.lower()}": f"case when modelingname = '{t}' then spends else 0D end" for t in S.SPEND_TYPES}
     codes = ("po", "liq", "pa")
     return lines.filter(IS_SPEND).selectExpr(
         "concat(cast(year as string), lpad(cast(month as string), 2, '0')) as yearmonth", "year", "month",
-        "substring(cast(l_shipdate as string), 1, 10) as week_start", "segment", "shisha as shishanm",
-        f"concat('CD-', {OLD_CUSTOMER}) as old_planningcustomercd",
+        f"substring(cast({day} as string), 1, 10) as week_start", "segment", "shisha as shishanm",
+        f"concat('CD-', {old_customer}) as old_planningcustomercd",
         "concat('CD-', planningcustomer) as new_planningcustomercd",
         "planningcustomer as new_planningcustomer", *named(new), "gps as salesamt",
         *[f"{initial} as ini_contri_{c}" for c in codes],
