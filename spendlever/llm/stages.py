@@ -45,22 +45,29 @@ class Stages:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _stars(links: DataFrame) -> DataFrame:
-    """One large-star and one small-star pass over links (a > b)."""
+def _stars(stages: Stages, links: DataFrame, name: str) -> DataFrame:
+    """One large-star and one small-star pass over links (a > b), settled.
+
+    Least neighbours are partial aggregates, settled before the links meet them: the join of a node with very many
+    links is then one of two plain tables, which is broadcast where the nodes are few, and whose large
+    partitions Spark splits where they are not.
+    """
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-    small = large.groupBy("a").agg(F.min("b").alias("m"))
+    least = stages.settle(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
+    large = stages.settle(
+        both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
+    small = stages.settle(large.groupBy("a").agg(F.min("b").alias("m")), name)
     moved = large.join(small, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return small.select("a", F.col("m").alias("b")).union(moved).distinct()
+    done = stages.settle(small.select("a", F.col("m").alias("b")).union(moved).distinct(), name)
+    stages.drop(least, large, small)
+    return done
 
 
 def components(stages: Stages, links: DataFrame, name: str = "component") -> DataFrame:
     """(node, component) for every node of ``links`` (a, b); a component is named by its smallest node.
 
     Large-star and small-star passes alternate until the links stop changing, which takes a
-    number of rounds logarithmic in the graph's size. Minima are partial aggregates, so a node
-    with very many links is no burden to one task.
+    number of rounds logarithmic in the graph's size. A node with very many links is no burden to one task.
     """
     now = stages.settle(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), name
@@ -71,7 +78,7 @@ def components(stages: Stages, links: DataFrame, name: str = "component") -> Dat
         if after[0] == 0 or after == mark:
             break
         mark, last = after, now
-        now = stages.settle(_stars(now), name)
+        now = _stars(stages, now, name)
         stages.drop(last)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return roots.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from spendlever.llm import flat, samples
-from spendlever.llm.stages import without
+from spendlever.llm.stages import Stages, without
 
 SAMPLE = 12_000
 TERMS = 2_000
@@ -299,8 +299,9 @@ def _hits(automaton_of):
 
 def train(documents: DataFrame, sample: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Scorer:
     """Lexicon and model from a bounded sample of (doc_id, label)."""
-    # Copies of one text would make all of its words look toxic.
-    rows = samples.texts(documents, sample, [text_col], id_col).dropDuplicates([text_col]).select(text_col, "label")
+    # Copies of one text would make all of its words look toxic. One of them labelled toxic makes the text toxic.
+    rows = Stages(documents.sparkSession, "toxicity").settle(
+        samples.texts(documents, sample, [text_col], id_col).groupBy(text_col).agg(F.max("label").alias("label")), "sample")
     seen = dict(rows.groupBy("label").count().collect())
     n_toxic, n_other = seen.get(1, 0), seen.get(0, 0)
     counted = rows.mapInArrow(_term_counts, "term string, stem boolean, n_toxic bigint, n_other bigint")
