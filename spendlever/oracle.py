@@ -950,6 +950,67 @@ SELECT {rd('g', 2)} AS guarded, {rd('r', 2)} AS reverted, rows_reverted, true AS
   (SELECT {es('optimized_netsales', 9)} AS g FROM ({_respond('x_guarded', 'optimized_spends', '_old')})),
   (SELECT {es('optimized_netsales', 9)} AS r, count(*) FILTER (WHERE reverted) AS rows_reverted FROM x_reverted)""")
 
+# --- power-law volume: one price per group, by halving -----------------------------------
+
+_POWER_ITEMS = f"""SELECT shisha, planningcustomer, {L}spends AS s, {L}volume AS v, {L}gps AS g, {L}netsales AS ns, {L}spends * 0.9 AS lb,
+      {L}spends * 1.1 AS ub, backcalc_intercept AS a, spends_coef AS c, spends_coef * {L}gps / {L}spends - 1 AS m FROM x_items1"""
+
+
+def _halved(group: str, goal: str, amount: str) -> str:
+    """The price at which the items' ``amount`` comes to the group's goal."""
+    z = lambda price: f"CASE WHEN c <= 0 THEN lb ELSE greatest(lb, least(ub, pow({price} / (a * c), 1 / (c - 1)))) END"
+    return f"""(
+    WITH RECURSIVE i AS (SELECT *, {group} AS grp FROM ({_POWER_ITEMS})),
+    b AS (
+      SELECT grp, 0 AS n, CAST(1e-30 AS DOUBLE) AS lo, max(a * c * pow(lb, c - 1)) + 1 AS hi, {goal} AS goal FROM i GROUP BY grp
+      UNION ALL
+      SELECT grp, n + 1, CASE WHEN reached >= goal THEN mid ELSE lo END, CASE WHEN reached >= goal THEN hi ELSE mid END, goal
+      FROM (SELECT grp, n, lo, hi, goal, mid, sum({amount}) AS reached
+            FROM (SELECT b.*, i.*, (lo + hi) / 2 AS mid, {z('(lo + hi) / 2')} AS z FROM b JOIN i ON b.grp IS NOT DISTINCT FROM i.grp WHERE n < 110) GROUP BY ALL))
+    SELECT {S1}, {rd('z', 2)} AS optimized_spends, {rd('a * pow(z, c)', 2)} AS optimized_volume, true AS feasible
+    FROM (SELECT i.*, {z('lo')} AS z FROM b JOIN i ON b.grp IS NOT DISTINCT FROM i.grp WHERE n = 110))"""
+
+
+SQL["volume_budget"] = stmt(f"SELECT * FROM {_halved('shisha', 'sum(s)', 'z')}")
+SQL["volume_budget_total"] = stmt(f"SELECT * FROM {_halved('0', 'sum(s) * 1.03', 'z')}")
+SQL["volume_target"] = stmt(f"SELECT * FROM {_halved('shisha', 'sum(a * pow(s, c))', 'a * pow(z, c)')}")
+
+#: Halvings of the price within each weight, and of the weight.
+_INNER, _OUTER = 60, 36
+
+
+def _floored(floor: float) -> str:
+    """Weights of volume are halved, and for each of them the price that meets the budget."""
+    flat, bent = "((1 - t) * m)", "(t * k * a * c)"
+    z = lambda price: f"""CASE WHEN {price} < {flat} THEN ub WHEN {bent} <= 0 THEN lb WHEN {price} = {flat} THEN ub
+        ELSE greatest(lb, least(ub, pow(({price} - {flat}) / {bent}, 1 / (c - 1)))) END"""
+    grown = lambda new, old: rd(f"(sum({new}) - sum({old})) / sum({old})", 5)
+    return f"""(
+    WITH RECURSIVE i AS ({_POWER_ITEMS}),
+    b AS (
+      SELECT shisha AS grp, 0 AS n, CAST(0 AS DOUBLE) AS tlo, CAST(1 AS DOUBLE) AS thi, bot AS lo, top AS hi, * EXCLUDE (shisha) FROM (
+        SELECT shisha, sum(s) AS goal, sum(a * pow(s, c)) * {floor} AS want, sum(abs(m) * ub) / sum(a * pow(s, c)) AS k,
+          least(min(m), 0) - 1 AS bot, greatest(max(m), max(a * c * pow(lb, c - 1)) * sum(abs(m) * ub) / sum(a * pow(s, c))) + 1 AS top
+        FROM i GROUP BY shisha)
+      UNION ALL
+      SELECT grp, n + 1,
+        CASE WHEN n % {_INNER} = {_INNER - 1} AND sold < want THEN t ELSE tlo END, CASE WHEN n % {_INNER} = {_INNER - 1} AND sold >= want THEN t ELSE thi END,
+        CASE WHEN n % {_INNER} = {_INNER - 1} THEN bot WHEN spent >= goal THEN mid ELSE lo END,
+        CASE WHEN n % {_INNER} = {_INNER - 1} THEN top WHEN spent >= goal THEN hi ELSE mid END, goal, want, k, bot, top
+      FROM (SELECT grp, n, tlo, thi, lo, hi, goal, want, k, bot, top, t, mid, sum(z) AS spent, sum(a * pow(z, c)) AS sold
+            FROM (SELECT *, {z('mid')} AS z FROM (SELECT *, (tlo + thi) / 2 AS t, (lo + hi) / 2 AS mid
+              FROM b JOIN i ON grp IS NOT DISTINCT FROM shisha WHERE n < {_INNER * _OUTER - 1})) GROUP BY ALL)),
+    e AS (SELECT *, {z('lo')} AS zl, {z('hi')} AS zh FROM (SELECT *, (tlo + thi) / 2 AS t
+      FROM b JOIN i ON grp IS NOT DISTINCT FROM shisha WHERE n = {_INNER * _OUTER - 1})),
+    f AS (SELECT *, zh + (zl - zh) * greatest(0, least(1, coalesce(
+        (goal - sum(zh) OVER w) / nullif(sum(zl) OVER w - sum(zh) OVER w, 0), 0))) AS z FROM e WINDOW w AS (PARTITION BY grp))
+    SELECT shisha, count(*) AS items, {grown('z', 's')} AS spend_change, {grown('a * pow(z, c)', 'v')} AS volume_change,
+      {grown('g * (1 + c * (z / s - 1)) - z', 'ns')} AS netsales_change, sum(a * pow(z, c)) >= max(want) * (1 - 1e-6) AS feasible
+    FROM f GROUP BY shisha)"""
+
+
+SQL["volume_floor_netsales"] = stmt(f"SELECT * FROM {_floored(1.0145)}")
+
 # --- sources and sinks -----------------------------------------------------------------
 
 cte("x_totals", f"""

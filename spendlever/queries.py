@@ -9,9 +9,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlever import schemas as S
-from spendlever.functions.expr import aggregate, exact_sum, in_list, join_keys, round_dp, with_exprs
+from spendlever.functions.expr import aggregate, change, exact_sum, in_list, join_keys, round_dp, with_exprs
 from spendlever.functions.lineage import settle, stage_folder
-from spendlever.operators import allocate as A, branch as B, prep as P, publish as U, response as R, scenarios as N
+from spendlever.operators import allocate as A, branch as B, power as W, prep as P, publish as U, response as R, scenarios as N
 from spendlever.plans.scenario import publish_versioned, run_batch
 from spendlever.sources import star
 from spendlever.sources.tables import (
@@ -25,6 +25,8 @@ SCENARIO = U.Scenario(
 DATE_TEXT = "2000-06-30 23:59:59"
 #: Goals as parts of last year's spend: one inside the items' bounds, one beyond them.
 GOAL_SHARE, BROKEN_GOAL_SHARE = 1.02, 1.25
+#: Least power-law volume over the totals of a group.
+VOLUME_FLOOR = "_volume * 1.0145D"
 SEGMENT_RULES = [("ECONOMY", "LOW"), ("STANDARD", "LOW"), ("PROMO", "PROMOTED")]
 OVERRIDE_SEGMENTS = ["SMALL/XS", "SMALL/S", "LARGE/M"]
 RUN = Callable[[SparkSession, str], DataFrame]
@@ -463,6 +465,40 @@ def budget_curve_offices(spark, d):
     return _curve(spark, d, ["shisha"])
 
 
+def _volume_rows(out: DataFrame) -> DataFrame:
+    return out.selectExpr(*A.STAGE1_KEY, f"{round_dp('optimized_spends', 2)} as optimized_spends",
+                          f"{round_dp('optimized_volume', 2)} as optimized_volume", "feasible")
+
+
+def volume_budget(spark, d):
+    """Power-law volume of every branch office maximised at last year's spend."""
+    return _volume_rows(W.most_volume(_stage1_items(spark, d), ["shisha"]))
+
+
+def volume_budget_total(spark, d):
+    """The same for one company-wide budget, raised by 3 %."""
+    return _volume_rows(W.most_volume(_stage1_items(spark, d), [], "_centre * 1.03D"))
+
+
+def volume_target(spark, d):
+    """Least spend of every branch office that keeps last year's power-law volume."""
+    return _volume_rows(W.least_spend_for_volume(_stage1_items(spark, d), ["shisha"]))
+
+
+def volume_floor_netsales(spark, d):
+    """Net sales of every branch office at last year's spend, with and without a floor under its volume."""
+    items = _stage1_items(spark, d)
+    return _floor_rows(W.best_netsales_with_volume(items, ["shisha"], volume=VOLUME_FLOOR), ["shisha"])
+
+
+def _floor_rows(out: DataFrame, group: list[str]) -> DataFrame:
+    grown = lambda new, old: round_dp(change(exact_sum(new, 9), exact_sum(old, 9)), 5)
+    return aggregate(out, group, {
+        "items": "count(1)", "spend_change": grown("optimized_spends", f"{A.LY}spends"), "volume_change": grown("optimized_volume", f"{A.LY}volume"),
+        "netsales_change": grown("optimized_netsales", f"{A.LY}netsales"), "feasible": "bool_and(feasible)",
+    })
+
+
 def guarded_allocation(spark, d):
     """Second stage with the guard-rail as a bound: no row is raised where that loses net sales."""
     items = settle(A.without_losing_raises(_optimisable(_pushed(spark, d)), "_old"))
@@ -818,7 +854,7 @@ def registry() -> dict[str, RUN]:
         attach_dimensions, stage1_baseline, split_optimisable, back_calibrate, response_net_sales,
         allocate_stage1, allocate_goal, allocate_broken_goal, allocate_null_keys, trim_refit_null_keys,
         allocate_stage2, infeasible_groups, min_spend_for_target, exact_growth_target,
-        candidate_select, budget_curve, budget_curve_offices, guarded_allocation, guarded_gain, project_optimised, carry_non_optimised, pushdown_stage1, cost_per_case,
+        candidate_select, budget_curve, budget_curve_offices, volume_budget, volume_budget_total, volume_target, volume_floor_netsales, guarded_allocation, guarded_gain, project_optimised, carry_non_optimised, pushdown_stage1, cost_per_case,
         branch_rework_output, scenario_period_actuals, guardrail_revert, baseline_overlay,
         publish_scenario, load_check, status_upsert, stage_summary, spend_mismatch, spend_mismatch_saved, branch_list,
         missing_keys_backfill, key_semi_filter, match_flags, factor_align,
