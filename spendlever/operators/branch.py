@@ -9,40 +9,54 @@ from spendlever.functions.expr import (
     aggregate, any_nonzero, change, exact_avg, exact_sum, in_list, join_keys, named, quoted, ratio0, round_dp,
     with_exprs, zero_if_null,
 )
+from spendlever.functions.lineage import settle
 
 INI, ADD = "INI", "ADD"
 IS_SPEND = in_list("modelingname", S.SPEND_TYPES)
 
 
-def branch_totals(branch: DataFrame, keys: list[str]) -> DataFrame:
-    """Initial and additional money per key, old customer and spend type."""
-    sums = aggregate(
+def branch_sums(branch: DataFrame, keys: list[str]) -> DataFrame:
+    """Initial and additional money of each spend type per key and old customer."""
+    return aggregate(
         branch.withColumnsRenamed({"new_planningcustomer": "planningcustomer", "shishanm": "shisha"}),
         [*keys, "old_planningcustomer"],
         {f"{k}_{t.lower()}": exact_sum(f"{k}_{t.lower()}") for t in S.SPEND_TYPES for k in ("ini", "add")},
     )
+
+
+def branch_totals(branch: DataFrame, keys: list[str]) -> DataFrame:
+    """Initial and additional money per key, old customer and spend type."""
     typed = ", ".join(f"'{t}', ini_{t.lower()}, add_{t.lower()}" for t in S.SPEND_TYPES)
-    return sums.selectExpr(
+    return branch_sums(branch, keys).selectExpr(
         *keys, "old_planningcustomer", f"stack({len(S.SPEND_TYPES)}, {typed}) as (modelingname, ini_money, add_money)"
     )
 
 
 def key_shares(branch: DataFrame, keys: list[str] = S.KEY5) -> DataFrame:
     """Initial and additional share of every old customer of a key and spend type."""
-    total = "ini_money + add_money"
     return branch_totals(branch, keys).selectExpr(
-        *keys, "modelingname", "old_planningcustomer",
-        f"{ratio0('ini_money', total, 3)} as ini_contri", f"{ratio0('add_money', total, 3)} as add_contri",
-    )
+        *keys, "modelingname", "old_planningcustomer", *named(_shares("ini_money", "add_money")))
+
+
+def _shares(ini: str, add: str) -> dict[str, str]:
+    total = f"({ini} + {add})"
+    return {"ini_contri": ratio0(ini, total, 3), "add_contri": ratio0(add, total, 3)}
 
 
 def branch_share(branch: DataFrame, spend_rows: DataFrame, keys: list[str] = S.KEY5) -> DataFrame:
     """Spend rows with the initial/additional share of every old customer of their key.
 
-    All three spend types go through one plan: the spend type is part of the join key.
-    Rows without any branch match keep null shares.
+    All three spend types go through one plan: the money of all types meets the rows of its key once,
+    and each row takes that of its own type. Rows without any branch match keep null shares.
     """
-    return join_keys(spend_rows, key_shares(branch, keys), [*keys, "modelingname"], "left")
+    money = [f"{k}_{t.lower()}" for k in ("ini", "add") for t in S.SPEND_TYPES]
+    sums = branch_sums(branch, keys).selectExpr(
+        *keys, "old_planningcustomer", *[f"{m} as _{m}" for m in money], "true as _spend", "true as _met")
+    rows = with_exprs(spend_rows, {"_spend": f"if({IS_SPEND}, true, null)"})
+    own = {k: f"case modelingname {' '.join(f'when {quoted(t)} then _{k}_{t.lower()}' for t in S.SPEND_TYPES)} end" for k in ("ini", "add")}
+    met = with_exprs(join_keys(rows, sums, [*keys, "_spend"], "left"), {f"_{k}": x for k, x in own.items()})
+    shares = {name: f"if(_met, {share}, null)" for name, share in _shares("_ini", "_add").items()}
+    return met.selectExpr(*[f"`{c}`" for c in spend_rows.columns], "old_planningcustomer", *named(shares))
 
 
 def nonzero_spend_rows(fact: DataFrame) -> DataFrame:
@@ -115,10 +129,20 @@ def apportion_groups(
     ``long`` holds every row once per pair of its key (``unpivot_shares``). Weights belong to the key's
     distinct pairs, so each of several rows that share a key is split by the same weights and keeps
     its own money. Groups and weights as in ``share_weights``; a row of group ``none`` passes through once.
+    ``long`` is read twice, so pass a settled table, or the unpivoted rows of one.
     """
+    # No group keeps a pair of additional money whose share is zero.
+    long = long.filter(f"contri_val != 0 or contri_type = '{INI}'")
     pair = [*keys, "old_planningcustomer", "contri_type"]
-    pairs = aggregate(long, pair, {"contri_val": "max(contri_val)"})
-    return _weighted(join_keys(long, share_weights(pairs, keys, conserve), pair), measures)
+    # One shuffle by key serves the distinct pairs, their windows and the list of the kept ones; rows
+    # that meet these lists by key alone stay side by side with their copies.
+    pairs = aggregate(long.select(*pair, "contri_val").repartition(*keys), pair, {"contri_val": "max(contri_val)"})
+    kept = aggregate(share_weights(pairs, keys, conserve), keys, {
+        "_kept": "collect_list(struct(old_planningcustomer as _old, contri_type as _type, share_group, weight))"})
+    own = "get(filter(_kept, x -> x._old <=> old_planningcustomer and x._type <=> contri_type), 0)"
+    met = with_exprs(join_keys(long, kept, keys), {"_own": own}).filter("_own is not null")
+    return _weighted(
+        met.selectExpr(*[f"`{c}`" for c in long.columns], "_own.share_group", "_own.weight"), measures)
 
 
 def apportion_rows(
@@ -129,7 +153,9 @@ def apportion_rows(
     The same as ``apportion_groups`` of the joined and unpivoted rows, but the rows meet only the
     weights they keep.
     """
-    weights = share_weights(shares.transform(unpivot_shares), keys, conserve).filter("share_group != 'none'")
+    # Shares of zero change neither a group nor a weight of a key that has any other.
+    pairs = shares.transform(unpivot_shares).filter("contri_val != 0")
+    weights = share_weights(pairs, keys, conserve).filter("share_group != 'none'")
     split = join_keys(rows, weights, keys, "left")
     return _weighted(with_exprs(split, {"share_group": "coalesce(share_group, 'none')", "weight": "coalesce(weight, 1D)"}), measures)
 
@@ -142,9 +168,10 @@ TARGET_CUSTOMER = f"""case when share_group = 'none' or planningcustomer = old_p
 def reassign_branch(apportioned: DataFrame) -> DataFrame:
     """Move apportioned money to its target customer and sum it back to the fact grain.
 
-    Unmatched rows are returned as they are.
+    Unmatched rows are returned as they are. Both kinds of rows are read from one settled table.
     """
     columns = [*S.KEY10, "modelingname", "price", *S.MEASURES]
+    apportioned = settle(apportioned.select(*columns, "old_planningcustomer", "contri_type", "share_group"))
     moved = aggregate(
         with_exprs(apportioned.filter("share_group != 'none'"), {"planningcustomer": TARGET_CUSTOMER}),
         [*S.KEY10, "modelingname"],

@@ -61,17 +61,24 @@ def _branch(spark, d, **period) -> DataFrame:
 
 def _fact_and_branch(spark, d) -> tuple[DataFrame, DataFrame]:
     """Fact and branch money from one scan of the lines."""
-    days = settle(star.booked_days(spark, d))
-    return star.fact_of_days(days), P.branch_money_split([star.branch_feed_of_days(days)], star.customer_master(spark, d))
+    months = star.named_months(spark, d, settle(star.booked_months(spark, d)))
+    customers = settle(star.customer_master(spark, d))
+    return star.fact_of_months(months), P.branch_money_split([star.branch_feed_of_months(months)], customers)
 
 
-def _unpivoted(spark, d) -> DataFrame:
+def _shared(spark, d) -> DataFrame:
     fact, branch = _fact_and_branch(spark, d)
-    return B.unpivot_shares(B.branch_share(branch, B.nonzero_spend_rows(fact)))
+    return B.branch_share(branch, B.nonzero_spend_rows(fact))
+
+
+def _unpivoted(spark, d) -> DataFrame:
+    return B.unpivot_shares(_shared(spark, d))
 
 
 def _apportioned(spark, d, conserve=True) -> DataFrame:
-    return B.apportion_groups(_unpivoted(spark, d), [*S.KEY5, "modelingname"], S.MEASURES, conserve)
+    columns = [*S.KEY10, "modelingname", "price", *S.MEASURES, "old_planningcustomer", "ini_contri", "add_contri"]
+    long = B.unpivot_shares(settle(_shared(spark, d).select(*columns)))
+    return B.apportion_groups(long, [*S.KEY5, "modelingname"], S.MEASURES, conserve)
 
 
 SCOPE = {
@@ -239,6 +246,7 @@ def reassign_branch(spark, d):
 
 def assemble_fact(spark, d):
     fact, branch = _fact_and_branch(spark, d)
+    fact = settle(fact)
     return _rounded(B.assemble_fact(fact, B.reallocate_branches(fact, branch)))
 
 
@@ -786,13 +794,14 @@ def override_null_keys(spark, d):
     return _rounded(P.override_merge(P.decomp_view(drivers, fact), P.replacement_rows(fresh), OVERRIDE_SEGMENTS))
 
 
-def _null_branch_money(spark, d, **period) -> DataFrame:
-    return with_exprs(_branch(spark, d, **period), {"shishanm": "nullif(shishanm, 'ASIA')"})
+def _with_null_office(branch: DataFrame) -> DataFrame:
+    return with_exprs(branch, {"shishanm": "nullif(shishanm, 'ASIA')"})
 
 
 def assemble_null_keys(spark, d):
-    fact = settle(_with_null_branch(_fact(spark, d)))
-    return _rounded(B.assemble_fact(fact, B.reallocate_branches(fact, _null_branch_money(spark, d))))
+    fact, branch = _fact_and_branch(spark, d)
+    fact = settle(_with_null_branch(fact))
+    return _rounded(B.assemble_fact(fact, B.reallocate_branches(fact, _with_null_office(branch))))
 
 
 def scenario_null_keys(spark, d):
@@ -806,7 +815,7 @@ def comparison_null_keys(spark, d):
     year, first, last = SCENARIO.last_year_period
     stage2 = settle(_stage2(spark, d, fact).selectExpr("*", f"'{SCENARIO.spend_type}' as modelingname"))
     reworked = B.branch_rework_output(
-        stage2, _null_branch_money(spark, d, **LAST_YEAR), f"year = {year} and month between {first} and {last}")
+        stage2, _with_null_office(_branch(spark, d, **LAST_YEAR)), f"year = {year} and month between {first} and {last}")
     projected = settle(U.scenario_output_projection(reworked, SCENARIO.name, SCENARIO.spend_type, DATE_TEXT))
     scope = R.scope_filter(fact, **SCOPE, period=SCENARIO.last_year_period, spends="> 0", volume=">= 0")
     actuals = settle(U.scenario_period_actuals(scope, SCENARIO.name, DATE_TEXT))
@@ -830,14 +839,15 @@ def _shared_keys(fact: DataFrame) -> DataFrame:
 
 
 def reassign_shared_keys(spark, d):
-    fact = settle(_shared_keys(_fact(spark, d)))
-    return _rounded(B.reallocate_branches(fact, _branch(spark, d)))
+    fact, branch = _fact_and_branch(spark, d)
+    return _rounded(B.reallocate_branches(_shared_keys(fact), branch))
 
 
 def reallocation_check_shared_keys(spark, d):
     """As ``reallocation_check``, on a fact with several rows of one branch key."""
-    fact = settle(_shared_keys(_fact(spark, d)))
-    checked = P.reconcile_totals(B.nonzero_spend_rows(fact), B.reallocate_branches(fact, _branch(spark, d)), ["modelingname"])
+    fact, branch = _fact_and_branch(spark, d)
+    fact = settle(_shared_keys(fact))
+    checked = P.reconcile_totals(B.nonzero_spend_rows(fact), B.reallocate_branches(fact, branch), ["modelingname"])
     return checked.selectExpr(
         "modelingname", "measure", f"{round_dp('before', 2)} as before", "abs(diff) <= 0.0005D * (rows_after + 2 * rows_before) as kept")
 

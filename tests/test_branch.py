@@ -1,7 +1,8 @@
 import pytest
 
-from spendlever import schemas as S
+from spendlever import queries as Q, schemas as S
 from spendlever.operators import branch as B
+from spendlever.sources import star
 
 KEY = [*S.KEY5, "modelingname"]
 
@@ -93,3 +94,54 @@ def test_rows_that_share_a_key_keep_their_own_money(spark, old):
     same = B.reassign_branch(B.apportion_groups(long, KEY, S.MEASURES))
     order = [*S.KEY10, "modelingname", "spends"]
     assert sorted(map(str, out.select(*order).collect())) == sorted(map(str, same.select(*order).collect()))
+
+
+def test_both_kinds_of_rows_are_read_from_one_settled_table(spark):
+    rows = B.apportion_groups(long_rows(spark, CASES), KEY, S.MEASURES)
+    out = B.reassign_branch(rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan  # neither is worked out twice
+    assert out.count() == B.reassign_branch(rows.repartition(3)).count()
+
+
+def test_shares_meet_rows_of_other_drivers_with_null(spark):
+    branch = spark.sql("""select 1999 as year, 1 as month, 'SEG' as segment, cast(null as string) as shishanm, 'p' as new_planningcustomer,
+        old_planningcustomer, i as ini_priceoff, a as add_priceoff, 0D as ini_promotionad, 0D as add_promotionad, 3D as ini_liquidation, 1D as add_liquidation
+        from values ('ho', 1D, 3D), ('p', 0D, 0D) as t(old_planningcustomer, i, a)""")
+    rows = spark.sql("select 1999 as year, 1 as month, 'SEG' as segment, cast(null as string) as shisha, c as planningcustomer, m as modelingname "
+                     "from values ('p', 'PRICEOFF'), ('p', 'PROMOTIONAD'), ('p', 'LIQUIDATION'), ('p', 'Own Price'), ('p', null), ('q', 'PRICEOFF') as t(c, m)")
+    shared = B.branch_share(branch, rows)
+    assert shared._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 0  # types are not dealt out before the join
+    got = sorted([tuple(r)[4:] for r in shared.collect()], key=str)
+    assert got == sorted([
+        ("p", "PRICEOFF", "ho", 0.25, 0.75), ("p", "PRICEOFF", "p", 0.0, 0.0), ("p", "PROMOTIONAD", "ho", 0.0, 0.0), ("p", "PROMOTIONAD", "p", 0.0, 0.0),
+        ("p", "LIQUIDATION", "ho", 0.75, 0.25), ("p", "LIQUIDATION", "p", 0.75, 0.25),
+        ("p", "Own Price", None, None, None), ("p", None, None, None, None), ("q", "PRICEOFF", None, None, None)], key=str)
+
+
+def star_rows(spark, folder):
+    """Five lines of one month on five days, three of them booked by the head office; one name of two nations."""
+    tables = {
+        "region": "select * from values (0, 'R') as t(k, n)",
+        "nation": "select * from values (1, 'N', 0), (2, 'N', 0) as t(k, n, r)",
+        "supplier": "select 1L, 's', 1, 0D",
+        "part": "select 1L, 'p', 'b', 'STANDARD', 10, 5D",
+        "customer": "select k, 'c', cast(k as int), 0D, 'BUILDING' from values (1L), (2L) as t(k)",
+        "orders": "select o, c, 'F', 0D, timestamp_ntz'1999-01-01 00:00:00', 'x' from values (3L, 1L), (4L, 1L), (6L, 2L), (8L, 2L), (9L, 1L) as t(o, c)",
+        "lineitem": """select o, 1L, 1L, 1, 2D, 10.5D * o, 0.1D, 0D, 'R', f, make_timestamp_ntz(1999, 1, cast(o as int), 0, 0, 0)
+            from values (3L, 'F'), (4L, 'F'), (6L, 'F'), (8L, 'F'), (9L, 'F') as t(o, f)""",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).toDF(*[c.split()[0] for c in S.STAR[name].split(", ")]).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_lines_are_summed_to_the_month_before_fact_and_branch_feed(spark, tmp_path):
+    d = star_rows(spark, tmp_path)
+    months = star.booked_months(spark, d)
+    assert months.count() == 4  # two nations, with and without head office; five lines, each with a day of its own
+    fact, branch = Q._fact_and_branch(spark, d)
+    assert sorted(map(tuple, fact.collect()), key=str) == sorted(map(tuple, star.promo_fact(spark, d).select(*fact.columns).collect()), key=str)
+    assert fact.count() == 1
+    shares = [sorted(map(tuple, B.key_shares(b).collect()), key=str) for b in (branch, Q._branch(spark, d))]
+    assert shares[0] == shares[1] and len(shares[0]) == 6
