@@ -37,10 +37,11 @@ from spendlever.llm import flat
 from spendlever.llm.elias_fano import FINGERPRINT_BITS, Trie, least_kind
 from spendlever.llm.stages import Stages
 
-ORDER = 2
+#: Words of the longest n-grams that the query counts.
+ORDER = 5
 DISCOUNT = 0.75
 ALPHA = 0.1
-BLOCK_BYTES = 10 << 20
+BLOCK_BYTES = 6 << 20
 SHARD_TOKENS = 500_000
 HOT_SHARE = 256
 #: Keys that no word has: the end of a text and the mark before its first word.
@@ -242,8 +243,8 @@ def build(keys: np.ndarray, counts: np.ndarray, owner: np.ndarray, prints: np.nd
     return Trie.of(known[kept], count[kept], total[kept], pointers, pair & np.uint64((1 << FINGERPRINT_BITS) - 1), codes_of(n, book))
 
 
-def _answers(lists: DataFrame, book: np.ndarray) -> DataFrame:
-    """Tries of every shard, and its answers to every block."""
+def _answers(lists: DataFrame, book: np.ndarray, keep: bool) -> DataFrame:
+    """Answers of every shard and level to every block, from its trie, which is returned as well if ``keep``."""
     schema = _arrow(ANSWERS)
 
     def run(table: pa.Table) -> pa.Table:
@@ -275,10 +276,10 @@ def _answers(lists: DataFrame, book: np.ndarray) -> DataFrame:
                 parts = [least_kind(v[at:at + m]).tobytes() for v in values]
                 out.append((r["block"], shard, level, *parts, codes[x:y].tobytes(), m, None, None))
                 at += m
-            out.append((None, shard, level, None, None, None, None, None, int((trie.counts > 0).sum()) if level == 0 else 0, data))
+            out.append((None, shard, level, None, None, None, None, None, int((trie.counts > 0).sum()) if level == 0 else 0, data if keep else None))
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
 
-    return lists.groupBy("shard").applyInArrow(run, ANSWERS)
+    return lists.groupBy("shard", "level").applyInArrow(run, ANSWERS)
 
 
 def _scores(table: DataFrame, answers: DataFrame, order: int, hot: list[dict[int, int]], shards: int,
@@ -309,7 +310,7 @@ def _scores(table: DataFrame, answers: DataFrame, order: int, hot: list[dict[int
 
 
 def scored(
-    documents: DataFrame, train: str = "true", order: int = ORDER, id_col: str = "doc_id", text_col: str = "text",
+    documents: DataFrame, train: str = "true", order: int = 2, id_col: str = "doc_id", text_col: str = "text",
     model_path: str | None = None,
 ) -> tuple[DataFrame, int]:
     """Scores of all texts under the model of those that meet ``train``, and the number of training tokens.
@@ -329,7 +330,7 @@ def scored(
     for r in owned.filter(F.col("n") > n_tokens // HOT_SHARE).collect():  # fewer than HOT_SHARE a level
         hot[r["level"]][r["key"] % (1 << 64)] = math.ceil(HOT_SHARE * r["n"] / n_tokens)
     book = code_book(n_trained)
-    answers = stages.settle(_answers(_lists(table, order, hot, shards), book), "answers")
+    answers = stages.settle(_answers(_lists(table, order, hot, shards), book, model_path is not None), "answers")
     n_words = answers.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     if model_path is not None:
         answers.filter("trie is not null").select("shard", "level", "trie").write.parquet(model_path)

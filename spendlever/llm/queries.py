@@ -129,7 +129,7 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores, train_tokens = lm_scoring.scored(table(spark, sf_dir, "documents"), f"{remainder(10)} != 0")
+    scores, train_tokens = lm_scoring.scored(table(spark, sf_dir, "documents"), f"{remainder(10)} != 0", order=lm_scoring.ORDER)
     return scores.selectExpr(
         "doc_id", f"coalesce({remainder(10)} = 0, false) as held_out", "n_tokens", "n_known",
         f"{train_tokens}L as train_tokens", "base_score", "score")

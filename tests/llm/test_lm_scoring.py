@@ -70,6 +70,16 @@ def test_query_matches_a_plain_model(spark, sf_dir):
     assert sum(g["score"] for g in fresh) > sum(g["base_score"] for g in fresh)
 
 
+def test_query_scores_with_contexts_of_four_words(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["a", "b", "c"], 40)) for _ in range(40)]
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want, _ = plain_scores(texts, [not h for h in held], 5)
+    got = {r["doc_id"]: r["score"] for r in queries.op12_lm_scoring(spark, str(tmp_path)).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx([w[3] for w in want], rel=1e-9)
+
+
 @pytest.mark.parametrize("order", [2, 3, 4])
 def test_many_blocks_shards_and_hot_contexts(spark, monkeypatch, order):
     rng = np.random.default_rng(order)
