@@ -95,22 +95,42 @@ def with_exprs(df: DataFrame, expressions: Mapping[str, str]) -> DataFrame:
     return df.selectExpr(*kept, *new)
 
 
+#: A hash of a part of the other keys, never null. Tables laid out by it (``settle``) are grouped and joined without a shuffle.
+KEY_HASH = "key_hash"
+
+
+def hashed(keys: list[str], *tables: DataFrame) -> list[str]:
+    """``keys`` after ``KEY_HASH``, if all ``tables`` have it."""
+    return [KEY_HASH, *keys] if all(KEY_HASH in t.columns for t in tables) else keys
+
+
 def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on ``keys`` with null equal to null; the keys appear once, at their places in ``left``.
 
     ``how`` is inner, left, outer, left_semi or left_anti. In an outer join a row of ``right``
-    alone brings its own keys.
+    alone brings its own keys. With ``KEY_HASH`` among the keys, rows meet by it alone and the other keys are compared there.
     """
     if not keys:
         raise ValueError("no join key")
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    same = " and ".join(f"`{k}` <=> `_right_{k}`" for k in keys)
+    added = []
+    if KEY_HASH in keys:
+        # Not as `=` or `<=>`, which Spark would add to the keys that both sides must be laid out by.
+        # A hash of all keys tells most unequal rows apart at once.
+        added = ["_all_keys", "_right_all_keys"]
+        left = left.selectExpr("*", f"xxhash64({', '.join(f'`{k}`' for k in keys)}) as _all_keys")
+        renamed = renamed.selectExpr("*", f"xxhash64({', '.join(f'`_right_{k}`' for k in keys)}) as _right_all_keys")
+        others = ["_all_keys between _right_all_keys and _right_all_keys", *[
+            f"(`{k}` between `_right_{k}` and `_right_{k}` or `{k}` is null and `_right_{k}` is null)" for k in keys if k != KEY_HASH]]
+        same = " and ".join([f"`{KEY_HASH}` = `_right_{KEY_HASH}`", *others])
+    else:
+        same = " and ".join(f"`{k}` <=> `_right_{k}`" for k in keys)
     joined = left.join(renamed, F.expr(same), how)
     if how in ("left_semi", "left_anti"):
-        return joined
+        return joined.drop(*added)
     if how in ("outer", "full", "full_outer"):
         joined = with_exprs(joined, {k: f"coalesce(`{k}`, `_right_{k}`)" for k in keys})
-    return joined.drop(*[f"_right_{k}" for k in keys])
+    return joined.drop(*[f"_right_{k}" for k in keys], *added)
 
 
 def aggregate(df: DataFrame, keys: list[str], expressions: Mapping[str, str]) -> DataFrame:

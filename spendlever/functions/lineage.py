@@ -38,9 +38,24 @@ def stage_scope(spark: SparkSession) -> Iterator[None]:
         _delete(spark, path)
 
 
-def settle(df: DataFrame, keep: bool = False) -> DataFrame:
+#: Least number of buckets of a stage table that is laid out by a key.
+BUCKETS = 48
+
+
+def buckets(spark: SparkSession) -> int:
+    return max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def laid_out(df: DataFrame, by: str) -> DataFrame:
+    """``df`` dealt out by ``by`` like a stage table that is bucketed by it."""
+    return df.repartition(buckets(df.sparkSession), by)
+
+
+def settle(df: DataFrame, keep: bool = False, by: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet stage table and return the table; ``keep`` lets it outlive the running plan.
 
+    With ``by`` the table is bucketed by that column: grouping and joining by it need no shuffle.
+
     Readers see one fixed set of values however often the plan below is reused
     or retried, and the planner sees the table's real size, so a join against it
     is broadcast only when it is measured to be under the broadcast threshold.
@@ -48,8 +63,15 @@ def settle(df: DataFrame, keep: bool = False) -> DataFrame:
     spark = df.sparkSession
     folder = _scopes[-1] if _scopes and not keep else stage_folder(spark)
     path = f"{folder}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if by is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    # Only a table of the catalog tells its buckets; its entry goes once it is resolved, the files stay.
+    name = f"stage_{uuid.uuid4().hex}"
+    laid_out(df, by).write.format("parquet").bucketBy(buckets(spark), by).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"drop table {name}")
+    return table
 
 
 def _delete(spark: SparkSession, folder: str) -> None:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    aggregate, any_nonzero, change, exact_avg, exact_sum, in_list, join_keys, named, quoted, ratio0, round_dp,
-    with_exprs, zero_if_null,
+    KEY_HASH, aggregate, any_nonzero, change, exact_avg, exact_sum, hashed, in_list, join_keys, named, quoted, ratio0,
+    round_dp, with_exprs, zero_if_null,
 )
 from spendlever.functions.lineage import settle
 
@@ -65,9 +65,9 @@ def nonzero_spend_rows(fact: DataFrame) -> DataFrame:
 
 def unpivot_shares(shared: DataFrame) -> DataFrame:
     """One row per (spend row, old customer, INI/ADD) with its share."""
-    ids = [c for c in shared.columns if c not in ("ini_contri", "add_contri")]
-    named_shares = shared.withColumnsRenamed({"ini_contri": INI, "add_contri": ADD})
-    return named_shares.unpivot(ids, [INI, ADD], "contri_type", "contri_val")
+    ids = [f"`{c}`" for c in shared.columns if c not in ("ini_contri", "add_contri")]
+    # `unpivot` would forget how a bucketed table is laid out.
+    return shared.selectExpr(*ids, f"stack(2, '{INI}', ini_contri, '{ADD}', add_contri) as (contri_type, contri_val)")
 
 
 def share_weights(pairs: DataFrame, keys: list[str], conserve: bool = True) -> DataFrame:
@@ -134,15 +134,10 @@ def apportion_groups(
     # No group keeps a pair of additional money whose share is zero.
     long = long.filter(f"contri_val != 0 or contri_type = '{INI}'")
     pair = [*keys, "old_planningcustomer", "contri_type"]
-    # One shuffle by key serves the distinct pairs, their windows and the list of the kept ones; rows
-    # that meet these lists by key alone stay side by side with their copies.
-    pairs = aggregate(long.select(*pair, "contri_val").repartition(*keys), pair, {"contri_val": "max(contri_val)"})
-    kept = aggregate(share_weights(pairs, keys, conserve), keys, {
-        "_kept": "collect_list(struct(old_planningcustomer as _old, contri_type as _type, share_group, weight))"})
-    own = "get(filter(_kept, x -> x._old <=> old_planningcustomer and x._type <=> contri_type), 0)"
-    met = with_exprs(join_keys(long, kept, keys), {"_own": own}).filter("_own is not null")
-    return _weighted(
-        met.selectExpr(*[f"`{c}`" for c in long.columns], "_own.share_group", "_own.weight"), measures)
+    # One shuffle by key, or none for a table laid out by it, serves the distinct pairs and their windows.
+    alone = long.select(*pair, "contri_val")
+    pairs = aggregate(alone if KEY_HASH in keys else alone.repartition(*keys), pair, {"contri_val": "max(contri_val)"})
+    return _weighted(join_keys(long, share_weights(pairs, keys, conserve), pair), measures)
 
 
 def apportion_rows(
@@ -172,9 +167,12 @@ def reassign_branch(apportioned: DataFrame) -> DataFrame:
     """
     columns = [*S.KEY10, "modelingname", "price", *S.MEASURES]
     apportioned = settle(apportioned.select(*columns, "old_planningcustomer", "contri_type", "share_group"))
+    key = [*S.KEY10, "modelingname"]
+    # Few parts of one task share a target, and a row is shorter than its partial sums.
+    targets = with_exprs(apportioned.filter("share_group != 'none'"), {"planningcustomer": TARGET_CUSTOMER})
     moved = aggregate(
-        with_exprs(apportioned.filter("share_group != 'none'"), {"planningcustomer": TARGET_CUSTOMER}),
-        [*S.KEY10, "modelingname"],
+        targets.select(*columns).repartition(*key),
+        key,
         {"price": exact_avg("price"), **{m: exact_sum(m) for m in S.MEASURES}},
     )
     untouched = apportioned.filter("share_group = 'none'")
@@ -183,8 +181,9 @@ def reassign_branch(apportioned: DataFrame) -> DataFrame:
 
 def reallocate_branches(fact: DataFrame, branch: DataFrame) -> DataFrame:
     """Shares, apportionment and reassignment of all three spend types in one plan."""
+    keys = hashed(S.KEY5, fact, branch)
     return reassign_branch(apportion_rows(
-        nonzero_spend_rows(fact), key_shares(branch), [*S.KEY5, "modelingname"], S.MEASURES))
+        nonzero_spend_rows(fact), key_shares(branch, keys), [*keys, "modelingname"], S.MEASURES))
 
 
 def assemble_fact(fact: DataFrame, reassigned: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from spendlever import schemas as S
 from spendlever.functions.expr import (
-    HALF_LABEL, HALF_NUMBER, MONTH_END, aggregate, any_nonzero, exact_avg, exact_sum, in_list, join_keys,
+    HALF_LABEL, HALF_NUMBER, MONTH_END, aggregate, any_nonzero, exact_avg, exact_sum, hashed, in_list, join_keys,
     named, quoted, ratio, ratio0, round_dp, ten_thousandths, with_exprs, zero_if_null,
 )
 
@@ -119,7 +119,7 @@ def branch_money_split(feeds: list[DataFrame], customers: DataFrame) -> DataFram
         for t, code in BRANCH_CODES.items() for kind in ("ini", "add")
     }
     no_new_spend = " and ".join(f"new_{t} = 0" for t in BRANCH_CODES)
-    grain = ["yearmonth", "year", "month", "week_start", "segment", "shishanm", "new_planningcustomer"]
+    grain = hashed(["yearmonth", "year", "month", "week_start", "segment", "shishanm", "new_planningcustomer"], *feeds)
     weekly = aggregate(
         reduce(DataFrame.unionByName, feeds).filter(f"salesamt != 0 or ({no_new_spend})"),
         [*grain, "old_planningcustomercd"], {m: exact_sum(x) for m, x in money.items()},

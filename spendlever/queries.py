@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlever import schemas as S
-from spendlever.functions.expr import aggregate, change, exact_sum, in_list, join_keys, round_dp, with_exprs
+from spendlever.functions.expr import KEY_HASH, aggregate, change, exact_sum, in_list, join_keys, round_dp, with_exprs
 from spendlever.functions.lineage import settle, stage_folder
 from spendlever.operators import allocate as A, branch as B, power as W, prep as P, publish as U, response as R, scenarios as N
 from spendlever.plans.scenario import publish_versioned, run_batch
@@ -59,16 +59,21 @@ def _branch(spark, d, **period) -> DataFrame:
     return P.branch_money_split([star.branch_feed(lines)], star.customer_master(spark, d))
 
 
-def _fact_and_branch(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Fact and branch money from one scan of the lines."""
-    months = star.named_months(spark, d, settle(star.booked_months(spark, d)))
+def _hashed_fact_and_branch(spark, d, spend_only=False) -> tuple[DataFrame, DataFrame]:
+    """Fact and branch money from one scan of the lines, both laid out by ``KEY_HASH``."""
+    months = settle(star.booked_months(spark, d, spend_only), by=KEY_HASH)
     customers = settle(star.customer_master(spark, d))
     return star.fact_of_months(months), P.branch_money_split([star.branch_feed_of_months(months)], customers)
 
 
+def _fact_and_branch(spark, d) -> tuple[DataFrame, DataFrame]:
+    fact, branch = _hashed_fact_and_branch(spark, d)
+    return fact.drop(KEY_HASH), branch.drop(KEY_HASH)
+
+
 def _shared(spark, d) -> DataFrame:
-    fact, branch = _fact_and_branch(spark, d)
-    return B.branch_share(branch, B.nonzero_spend_rows(fact))
+    fact, branch = _hashed_fact_and_branch(spark, d, spend_only=True)
+    return B.branch_share(branch, B.nonzero_spend_rows(fact), [KEY_HASH, *S.KEY5])
 
 
 def _unpivoted(spark, d) -> DataFrame:
@@ -76,9 +81,9 @@ def _unpivoted(spark, d) -> DataFrame:
 
 
 def _apportioned(spark, d, conserve=True) -> DataFrame:
-    columns = [*S.KEY10, "modelingname", "price", *S.MEASURES, "old_planningcustomer", "ini_contri", "add_contri"]
-    long = B.unpivot_shares(settle(_shared(spark, d).select(*columns)))
-    return B.apportion_groups(long, [*S.KEY5, "modelingname"], S.MEASURES, conserve)
+    columns = [KEY_HASH, *S.KEY10, "modelingname", "price", *S.MEASURES, "old_planningcustomer", "ini_contri", "add_contri"]
+    long = B.unpivot_shares(settle(_shared(spark, d).select(*columns), by=KEY_HASH))
+    return B.apportion_groups(long, [KEY_HASH, *S.KEY5, "modelingname"], S.MEASURES, conserve)
 
 
 SCOPE = {
@@ -231,8 +236,8 @@ def apportion_conserving(spark, d):
 
 def reallocation_check(spark, d):
     """Spend, volume, GPS and net sales per spend type before and after the re-attribution, at whole units of a thousand."""
-    fact, branch = _fact_and_branch(spark, d)
-    fact = settle(fact)
+    fact, branch = _hashed_fact_and_branch(spark, d, spend_only=True)
+    fact = settle(fact, by=KEY_HASH)
     after = B.reallocate_branches(fact, branch)
     checked = P.reconcile_totals(B.nonzero_spend_rows(fact), after, ["modelingname"])
     # Every row is rounded to three places, so totals may differ by half a thousandth a row.
@@ -245,8 +250,8 @@ def reassign_branch(spark, d):
 
 
 def assemble_fact(spark, d):
-    fact, branch = _fact_and_branch(spark, d)
-    fact = settle(fact)
+    fact, branch = _hashed_fact_and_branch(spark, d)
+    fact = settle(fact, by=KEY_HASH)
     return _rounded(B.assemble_fact(fact, B.reallocate_branches(fact, branch)))
 
 
@@ -799,8 +804,8 @@ def _with_null_office(branch: DataFrame) -> DataFrame:
 
 
 def assemble_null_keys(spark, d):
-    fact, branch = _fact_and_branch(spark, d)
-    fact = settle(_with_null_branch(fact))
+    fact, branch = _hashed_fact_and_branch(spark, d)
+    fact = settle(_with_null_branch(fact), by=KEY_HASH)
     return _rounded(B.assemble_fact(fact, B.reallocate_branches(fact, _with_null_office(branch))))
 
 
@@ -839,14 +844,14 @@ def _shared_keys(fact: DataFrame) -> DataFrame:
 
 
 def reassign_shared_keys(spark, d):
-    fact, branch = _fact_and_branch(spark, d)
+    fact, branch = _hashed_fact_and_branch(spark, d, spend_only=True)
     return _rounded(B.reallocate_branches(_shared_keys(fact), branch))
 
 
 def reallocation_check_shared_keys(spark, d):
     """As ``reallocation_check``, on a fact with several rows of one branch key."""
-    fact, branch = _fact_and_branch(spark, d)
-    fact = settle(_shared_keys(fact))
+    fact, branch = _hashed_fact_and_branch(spark, d, spend_only=True)
+    fact = settle(_shared_keys(fact), by=KEY_HASH)
     checked = P.reconcile_totals(B.nonzero_spend_rows(fact), B.reallocate_branches(fact, branch), ["modelingname"])
     return checked.selectExpr(
         "modelingname", "measure", f"{round_dp('before', 2)} as before", "abs(diff) <= 0.0005D * (rows_after + 2 * rows_before) as kept")

@@ -145,3 +145,30 @@ def test_lines_are_summed_to_the_month_before_fact_and_branch_feed(spark, tmp_pa
     assert fact.count() == 1
     shares = [sorted(map(tuple, B.key_shares(b).collect()), key=str) for b in (branch, Q._branch(spark, d))]
     assert shares[0] == shares[1] and len(shares[0]) == 6
+
+
+def test_months_laid_out_by_key_hash_are_shared_out_without_a_shuffle(spark, tmp_path):
+    d = star_rows(spark, tmp_path)
+    shared = Q._shared(spark, d).select("key_hash", *S.KEY10, "modelingname", "price", *S.MEASURES, "old_planningcustomer", "ini_contri", "add_contri")
+    rows = B.apportion_groups(B.unpivot_shares(Q.settle(shared, by="key_hash")), ["key_hash", *KEY], S.MEASURES)
+    for made in (shared, rows):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        assert all("old_planningcustomercd" in line for line in plan.splitlines() if "Exchange hash" in line)  # names of customers alone
+    fact, branch = Q._fact_and_branch(spark, d)
+    plain = B.apportion_groups(B.unpivot_shares(B.branch_share(branch, B.nonzero_spend_rows(fact))), KEY, S.MEASURES).drop("business")
+    assert rows.count() > 0
+    assert sorted(map(str, rows.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_hashed_keys_join_with_null_equal_to_null(spark):
+    left, right = (spark.sql(f"select * from values (1L, 'a', 1), (1L, null, 2), (1L, 'b', 3), (2L, 'a', 4) as t(key_hash, k, {c})") for c in "xy")
+    for how in ("inner", "left", "outer", "left_semi", "left_anti"):
+        got, plain = (B.join_keys(l, r, keys, how).drop("key_hash", "h") for l, r, keys in (
+            (left, right.filter("y != 3"), ["key_hash", "k"]),
+            (left.withColumnRenamed("key_hash", "h"), right.filter("y != 3").withColumnRenamed("key_hash", "h"), ["h", "k"])))
+        assert got.columns == plain.columns
+        if how != "outer":
+            tables = [Q.settle(t, by="key_hash").hint("merge") for t in (left, right)]
+            assert "Exchange" not in B.join_keys(*tables, ["key_hash", "k"], how)._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
