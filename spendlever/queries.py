@@ -59,9 +59,9 @@ def _branch(spark, d, **period) -> DataFrame:
     return P.branch_money_split([star.branch_feed(lines)], star.customer_master(spark, d))
 
 
-def _hashed_fact_and_branch(spark, d, spend_only=False) -> tuple[DataFrame, DataFrame]:
+def _hashed_fact_and_branch(spark, d, spend_only=False, fixed_offices=True) -> tuple[DataFrame, DataFrame]:
     """Fact and branch money from one scan of the lines, both laid out by ``KEY_HASH``."""
-    months = settle(star.booked_months(spark, d, spend_only), by=KEY_HASH)
+    months = settle(star.booked_months(spark, d, spend_only, fixed_offices), by=KEY_HASH)
     customers = settle(star.customer_master(spark, d))
     return star.fact_of_months(months), P.branch_money_split([star.branch_feed_of_months(months)], customers)
 
@@ -804,7 +804,7 @@ def _with_null_office(branch: DataFrame) -> DataFrame:
 
 
 def assemble_null_keys(spark, d):
-    fact, branch = _hashed_fact_and_branch(spark, d)
+    fact, branch = _hashed_fact_and_branch(spark, d, fixed_offices=False)
     fact = settle(_with_null_branch(fact), by=KEY_HASH)
     return _rounded(B.assemble_fact(fact, B.reallocate_branches(fact, _with_null_office(branch))))
 

@@ -161,6 +161,29 @@ def test_months_laid_out_by_key_hash_are_shared_out_without_a_shuffle(spark, tmp
     assert sorted(map(str, rows.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
 
 
+def test_keys_of_two_offices_share_no_hash(spark, tmp_path):
+    d = star_rows(spark, tmp_path)
+    more = {
+        "region": "select * from values (0, 'R'), (1, 'S'), (2, null) as t(k, n)",
+        "nation": "select * from values (1, 'N', 0), (2, 'N', 0), (3, 'M', 1), (4, 'L', 2) as t(k, n, r)",
+        "supplier": "select k, 's', n, 0D from values (1L, 1), (2L, 3), (3L, 4) as t(k, n)",
+        "lineitem": """select o, 1L, s, 1, 2D, 10.5D * o, 0.1D, 0D, 'R', 'F', timestamp_ntz'1999-01-02 00:00:00'
+            from values (3L, 1L), (4L, 1L), (4L, 2L), (6L, 2L), (6L, 3L), (8L, 3L) as t(o, s)""",
+    }
+    for name, sql in more.items():
+        spark.sql(sql).toDF(*[c.split()[0] for c in S.STAR[name].split(", ")]).write.mode("overwrite").parquet(f"{d}/{name}.parquet")
+    found = []
+    for fixed in (True, False):
+        fact, branch = Q._hashed_fact_and_branch(spark, d, fixed_offices=fixed)
+        for rows, keys in ((fact, S.KEY5), (branch, ["year", "month", "segment", "shishanm", "new_planningcustomer"])):
+            found.append((rows.select(*keys).distinct().count(), rows.select("key_hash").distinct().count()))
+    assert found == [(3, 3), (3, 3), (3, 1), (3, 1)]
+    shared = Q._shared(spark, d)
+    plain = B.branch_share(*[t(spark, d) for t in (Q._branch, lambda *a: B.nonzero_spend_rows(star.promo_fact(*a)))])
+    columns = [*S.KEY10, "old_planningcustomer", "ini_contri", "add_contri", "spends"]
+    assert sorted(map(str, shared.select(*columns).collect())) == sorted(map(str, plain.select(*columns).collect()))
+
+
 def test_hashed_keys_join_with_null_equal_to_null(spark):
     left, right = (spark.sql(f"select * from values (1L, 'a', 1), (1L, null, 2), (1L, 'b', 3), (2L, 'a', 4) as t(key_hash, k, {c})") for c in "xy")
     for how in ("inner", "left", "outer", "left_semi", "left_anti"):
