@@ -210,7 +210,7 @@ _models: dict[str, tuple[Model, pieces.PieceCache]] = {}
 def loaded(path: str) -> tuple[Model, pieces.PieceCache]:
     if path not in _models:
         model = Model(path)
-        _models[path] = model, pieces.PieceCache(lambda fresh: (fresh, *encode_pieces(model, fresh)))
+        _models[path] = model, pieces.PieceCache(lambda fresh: (np.arange(len(fresh)), *encode_pieces(model, fresh)))
     return _models[path]
 
 

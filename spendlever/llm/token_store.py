@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from spendlever.llm.stages import Stages
 STORE = "file_no int, doc_id bigint, start_in_file bigint, n_tokens bigint, tokens array<int>"
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 1 << 18
+CACHE_BYTES = 12 << 20
 #: White space outside ASCII, where the cut before a space would not be safe.
 WIDE_SPACES = [chr(c) for c in (0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                                 0x202F, 0x205F, 0x3000)]
@@ -61,12 +63,11 @@ def _cache(path: str) -> pieces.PieceCache:
         tokenizer = Tokenizer.from_file(path)
         line = tokenizer.encode("\n", add_special_tokens=False).ids
 
-        def encode(fresh: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        def encode(fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             """Plain pieces, visible characters after a space or none, go in one text with a line between them."""
-            plain, rest = [], []
-            for p in fresh:
-                t = p.decode()
-                (plain if t.rfind(" ") <= 0 and t != " " and t.isprintable() else rest).append(t)
+            texts = [p.decode() for p in fresh]
+            is_plain = np.array([t.rfind(" ") <= 0 and t != " " and t.isprintable() for t in texts], bool)
+            plain, rest = list(compress(texts, is_plain)), list(compress(texts, ~is_plain))
             parts = [np.array(got.ids, np.int32) for got in tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
             if plain:
                 ids = np.array(tokenizer.encode_batch_fast(["\n".join(plain)], add_special_tokens=False)[0].ids, np.int32)
@@ -77,9 +78,9 @@ def _cache(path: str) -> pieces.PieceCache:
             else:
                 sizes = np.zeros(0, np.int64)
             sizes = np.concatenate([sizes, [len(x) for x in parts[bool(plain):]]]).astype(np.int64)
-            return [t.encode() for t in plain + rest], np.concatenate(parts), sizes
+            return np.argsort(~is_plain, kind="stable"), np.concatenate(parts), sizes
 
-        _caches[path] = pieces.PieceCache(encode)
+        _caches[path] = pieces.PieceCache(encode, CACHE_BYTES)
         _caches[path].marks = [*WIDE_SPACES, *(t.content for t in tokenizer.get_added_tokens_decoder().values())]
         _caches[path].whole = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
     return _caches[path]

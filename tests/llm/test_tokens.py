@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from hostile import documents, nothing
-from spendlever.llm import flat, sentence_pieces, token_store
+from spendlever.llm import flat, pieces, sentence_pieces, token_store
 from spendlever.llm.queries import op2_token_id_output, op3_sentencepiece, vocabulary
 
 BYTES, PIECES = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
@@ -134,3 +134,39 @@ def test_hostile_rows(spark, tmp_path, byte_bpe, piece_bpe):
     token_store.write(nothing(spark), str(tmp_path / "empty"), BYTES)
     assert token_store.digests(spark, str(tmp_path / "empty")).count() == 0
     assert sentence_pieces.digests(nothing(spark), PIECES).count() == 0
+
+
+def piece_texts(n):
+    """``n`` words of nine letters, all different, and the bytes and offsets of one text with all of them."""
+    words = [f"{i:09d}" for i in range(n)]
+    return words, *flat.utf8(pa.array([" ".join(words)]))
+
+
+def sizes_of(asked):
+    """A coder that gives each piece its length and its last digit, the pieces in reverse order."""
+    def encode(fresh):
+        asked.extend(fresh)
+        order = np.arange(len(fresh))[::-1]
+        return order, np.array([x for k in order for x in (len(fresh[k]), int(fresh[k][-1:]))], np.int32), np.full(len(fresh), 2)
+    return encode
+
+
+def test_pieces_of_several_megabytes_are_encoded_once():
+    words, data, offsets = piece_texts(600_000)  # 6 MB of pieces, less than a worker remembers
+    asked, got = [], []
+    cache = pieces.PieceCache(sizes_of(asked), 12 << 20)
+    for _ in range(2):
+        got.append(pieces.encode_rows(data, offsets, ~flat.byte_set(b" "), cache)[0])
+    assert len(asked) == len(words) and (got[0] == got[1]).all()
+    assert (got[0].reshape(-1, 2) == [[9 + (i > 0), i % 10] for i in range(len(words))]).all()
+
+
+def test_pieces_are_right_after_the_cache_was_emptied():
+    asked = []
+    cache = pieces.PieceCache(sizes_of(asked), 500)
+    for n in (100, 3, 100, 40):
+        words, data, offsets = piece_texts(n)
+        ids, bounds = pieces.encode_rows(data, offsets, ~flat.byte_set(b" "), cache)
+        assert ids.reshape(-1, 2).tolist() == [[9 + (i > 0), i % 10] for i in range(n)] and bounds.tolist() == [0, 2 * n]
+        assert len(cache.names) == len(cache.place) and (np.diff(cache.names.astype(object)) > 0).all()
+    assert len(asked) == 100 + 3 + 97 + 40  # emptied before the second and the fourth text
