@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 2 << 20
+#: For stages that share their worker processes with others: numpy needs about 50 times a block, and keeps much of it.
+SMALL_CHUNK_BYTES = 1 << 19
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_BREAKS = bytes([32, 9, 10, 11, 12, 13])
 
@@ -81,7 +83,7 @@ def lowered(data: np.ndarray) -> np.ndarray:
 def _grow(n: int) -> None:
     global _powers, _inverses
     if len(_powers) < n:
-        size = max(n, CHUNK_BYTES + 1)
+        size = (1 << max(n - 2, 0).bit_length()) + 1
         for name, base in (("_powers", _BASE), ("_inverses", _BASE_INVERSE)):
             table = np.full(size, base, np.uint64)
             table[0] = 1

@@ -96,7 +96,7 @@ def _sketch(width: int, n: int):
                             ("signature", pa.list_(pa.int64()))])
         for batch in batches:
             data, offsets = flat.utf8(batch.column(1))
-            for a, b in flat.chunks(offsets):
+            for a, b in flat.chunks(offsets, flat.SMALL_CHUNK_BYTES):
                 value, bounds = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
                 size = np.diff(bounds)
                 got = signatures(value, bounds, n).astype(np.int64).ravel()
@@ -113,7 +113,7 @@ def _sets(width: int):
         schema = pa.schema([("cls", pa.int64()), ("shingles", pa.list_(pa.int64()))])
         for batch in batches:
             data, offsets = flat.utf8(batch.column(1))
-            for a, b in flat.chunks(offsets):
+            for a, b in flat.chunks(offsets, flat.SMALL_CHUNK_BYTES):
                 value, bounds = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
                 yield pa.RecordBatch.from_arrays([
                     _classes(value, bounds), flat.lists(value.astype(np.int64), bounds, pa.int64()),

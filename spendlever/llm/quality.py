@@ -200,7 +200,7 @@ def _meta_rows(column: pa.Array, n: int) -> np.ndarray:
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = flat.utf8(batch.column(0))
-        for a, b in flat.chunks(offsets):
+        for a, b in flat.chunks(offsets, flat.SMALL_CHUNK_BYTES):
             bucket, value, bounds, statistics = features(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             yield pa.RecordBatch.from_arrays([
                 batch.column(2).slice(a, b - a), flat.lists(bucket, bounds, pa.int32()), flat.lists(value, bounds, pa.float32()),
@@ -230,7 +230,7 @@ def scored(documents: DataFrame, machine: Machine, text_col: str = "text", metad
             data, offsets = flat.utf8(batch.column(place))
             meta = _meta_rows(batch.column(carried), batch.num_rows)
             score = [np.zeros(0)]
-            for a, b in flat.chunks(offsets):
+            for a, b in flat.chunks(offsets, flat.SMALL_CHUNK_BYTES):
                 got = features(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 score.append(_sigmoid(machine.margins(*machine.assembled(*got, meta[a:b]))))
             yield pa.RecordBatch.from_arrays(

@@ -280,7 +280,7 @@ def _text_array(text: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 def _mapped(df: DataFrame, source: str, made: dict[str, T.DataType], convert) -> DataFrame:
-    """All columns of ``df`` and new ones, made from column ``source`` a few megabytes at a time."""
+    """All columns of ``df`` and new ones, made from column ``source`` half a megabyte at a time."""
     df = without(df, *made)
     place = df.columns.index(source)
 
@@ -298,7 +298,7 @@ _IDS = T.ArrayType(T.IntegerType())
 
 def _encoded(column: pa.Array, model: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data, offsets = flat.utf8(column)
-    for a, b in flat.chunks(offsets):
+    for a, b in flat.chunks(offsets, flat.SMALL_CHUNK_BYTES):
         yield a, *encode_texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], model)
 
 
@@ -317,7 +317,7 @@ def decode(df: DataFrame, model: str, ids_col: str = "piece_ids", name: str = "d
         column = column.fill_null([]) if column.null_count else column
         bounds = column.offsets.to_numpy().astype(np.int64)
         ids = column.values.to_numpy(zero_copy_only=False)
-        for a, b in flat.chunks(bounds, flat.CHUNK_BYTES // 4):
+        for a, b in flat.chunks(bounds, flat.SMALL_CHUNK_BYTES // 4):
             yield a, [_text_array(*decode_rows(ids[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a], model))]
 
     return _mapped(df, ids_col, {name: T.StringType()}, convert)
