@@ -34,12 +34,19 @@ def _packed(values: np.ndarray, width: int) -> np.ndarray:
     if width and len(values):
         at = np.arange(len(values), dtype=np.int64) * width
         shift = _u(at & 63)
-        np.bitwise_or.at(words, at >> 6, values << shift)
-        spill = (at & 63) + width > 64
-        np.bitwise_or.at(words, (at[spill] >> 6) + 1, values[spill] >> (np.uint64(64) - shift[spill]))
+        _join(words, at >> 6, values << shift)
+        spill = np.flatnonzero((at & 63) + width > 64)
+        words[(at[spill] >> 6) + 1] |= values[spill] >> (np.uint64(64) - shift[spill])  # one value at most spills into a word
     return words
 
 
+def _join(words: np.ndarray, place: np.ndarray, bits: np.ndarray) -> None:
+    """Set ``bits`` in the words at ``place``, which never falls."""
+    if len(place):
+        first = np.concatenate(([0], np.flatnonzero(place[1:] != place[:-1]) + 1))
+        words[place[first]] |= np.bitwise_or.reduceat(bits, first)
+
+
 def _unpacked(words: np.ndarray, width: int, place: np.ndarray) -> np.ndarray:
     if not width:
         return np.zeros(len(place), np.uint64)
@@ -64,7 +71,7 @@ class Sequence:
         width = max(0, (universe // max(n, 1)).bit_length() - 1)
         at = (values >> np.uint64(width)).astype(np.int64) + np.arange(n)
         high = np.zeros(((universe >> width) + n) // 64 + 2, np.uint64)
-        np.bitwise_or.at(high, at >> 6, _ONE << _u(at & 63))
+        _join(high, at >> 6, _ONE << _u(at & 63))
         return cls(n, width, _packed(values & np.uint64((1 << width) - 1), width), high)
 
     def _select(self, k: np.ndarray, before: np.ndarray, flip: bool) -> np.ndarray:
@@ -88,6 +95,12 @@ class Sequence:
         high = self._select(place, self.ones, False) - place
         return _u(high) << np.uint64(self.width) | _unpacked(self.low, self.width, place)
 
+    def all(self) -> np.ndarray:
+        """All numbers, read from the first to the last."""
+        place = np.arange(self.n, dtype=np.int64)
+        high = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little")) - place
+        return _u(high) << np.uint64(self.width) | _unpacked(self.low, self.width, place)
+
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Place of the first number that is not below each x; n if there is none."""
         x = _u(x)
@@ -114,6 +127,14 @@ def least_kind(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
 
 
+def _matched(sorted_: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place of each wanted number, or -1."""
+    if not len(sorted_):
+        return np.full(len(wanted), -1, np.int64)
+    place = np.minimum(np.searchsorted(sorted_, wanted), len(sorted_) - 1)
+    return np.where(sorted_[place] == wanted, place, -1)
+
+
 class Trie:
     """One level of contexts with their successors; build with ``of``, read with ``on`` or ``map``."""
 
@@ -138,6 +159,10 @@ class Trie:
         there[there] = self.contexts.at(place[there]) == keys[there]
         return np.where(there, place, -1)
 
+    def find_ascending(self, keys: np.ndarray) -> np.ndarray:
+        """Like ``find`` for keys that never fall: one pass over the level instead of a search for each."""
+        return _matched(self.contexts.all(), keys)
+
     def children(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the successors of these contexts begin and end."""
         return self.pointers.at(context).astype(np.int64), self.pointers.at(context + 1).astype(np.int64)
@@ -154,6 +179,19 @@ class Trie:
             out[known[there]] = self.codes[place[there]]
         return out
 
+    def find_successors_ascending(self, context: np.ndarray, fingerprints: np.ndarray) -> np.ndarray:
+        """Like ``find_successors`` where the known contexts, and the fingerprints in a context, never fall."""
+        out = np.zeros(len(context), np.uint8)
+        known = np.flatnonzero(context >= 0)
+        place = _matched(self.successors.all(), _u(context[known]) << np.uint64(FINGERPRINT_BITS) | _u(fingerprints[known]))
+        there = place >= 0
+        out[known[there]] = self.codes[place[there]]
+        return out
+
+    def kinds(self) -> np.ndarray:
+        """Number of successors of each context."""
+        return np.diff(self.pointers.all().astype(np.int64))
+
     def tobytes(self) -> bytes:
         arrays, head = [], {"sequences": {}, "arrays": []}
         for name in ("contexts", "pointers", "successors"):

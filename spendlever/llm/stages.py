@@ -22,6 +22,10 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Whether Spark deletes a plan's shuffle files when the plan has run.
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Stages:
     """Tables written once and read many times; ``drop`` frees those that no later plan reads."""
 
@@ -32,9 +36,15 @@ class Stages:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
 
-    def settle(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.path(name)
-        df.write.parquet(path)
+    def settle(self, df: DataFrame, name: str, free: bool = False) -> DataFrame:
+        """Write ``df`` and return the table; with ``free`` the shuffle files go when it is written, not with the driver's next collection."""
+        path, before = self.path(name), self.spark.conf.get(FREE)
+        if free:
+            self.spark.conf.set(FREE, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(FREE, before)
         table = self.spark.read.schema(df.schema).parquet(path)
         self.kept[id(table)] = path
         return table
