@@ -632,7 +632,8 @@ def scored(
     classes = answers.select(F.explode("classes").alias("c")).groupBy("c.n").agg(F.max("c.size").alias("size")).collect()
     totals = answers.select(F.explode("hot").alias("h")).groupBy("h.hot").agg(F.sum("h.total").alias("total"), F.sum("h.kinds").alias("kinds"))
     corpus = Corpus(n_trained, n_words, book, [(r["n"], r["size"] * few) for r in classes], {r["hot"]: (r["total"], r["kinds"]) for r in totals.collect()})
-    named = stages.settle(_named(table, answers, order, hot, few, corpus, keep), "named", free=True)
+    halves = [[t.filter(f"pmod(xxhash64(block), 2) = {i}") for t in (table, answers)] for i in range(2)]  # one after the other, for disk
+    named = reduce(DataFrame.union, [stages.settle(_named(*half, order, hot, few, corpus, keep), "named", free=True) for half in halves])
     stages.drop(table)
     together = min(TOGETHER, max(1, shards // (PASSES * LEAST_PARTS)))
     tries, folded = [answers.select("shard", "level", "trie")], []

@@ -44,7 +44,8 @@ class Stages:
         try:
             df.write.parquet(path)
         finally:
-            self.spark.conf.set(FREE, before)
+            if free:
+                self.spark.conf.set(FREE, before)
         table = self.spark.read.schema(df.schema).parquet(path)
         self.kept[id(table)] = path
         return table
